@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from hazeframe.catalog import cleaning, scoring  # noqa: F401
+from hazeframe.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

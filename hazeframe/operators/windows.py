@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeframe.functions.aqi import half_even
 from hazeframe.functions.casts import hour_of
 from hazeframe.scale import trailing
 
@@ -71,6 +72,6 @@ def o3_8hr(df: DataFrame, by: Sequence[str], ts: str, tie: str, col: str = "o3")
     both = keys.join(reads, list(by), "left").join(hours, list(by), "left")
     method = (F.when(F.col("_hours") >= 8, "8hr_resample")
               .when(F.col("_reads") >= 8, "8hr_rolling").otherwise("instant"))
-    used = (F.when(F.col("_hours") >= 8, F.bround("_hours_mean", 2))
-            .when(F.col("_reads") >= 8, F.bround("_reads_mean", 2)).otherwise(F.col("o3_raw")))
+    used = (F.when(F.col("_hours") >= 8, half_even(F.col("_hours_mean"), 2))
+            .when(F.col("_reads") >= 8, half_even(F.col("_reads_mean"), 2)).otherwise(F.col("o3_raw")))
     return both.select(*by, "o3_raw", used.alias("o3_used"), method.alias("o3_method"))
