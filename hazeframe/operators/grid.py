@@ -12,10 +12,13 @@ from hazeframe.functions.casts import hour_of
 from hazeframe.operators.columns import numeric_columns
 from hazeframe.operators.filters import keep_last
 
-HOUR = F.expr("interval 1 hour")
 MAX_GAP_HOURS = 200_000
 
 
+def _hours(n: int = 1) -> Column:
+    return F.expr(f"interval {int(n)} hours")
+
+
 def hourly_mean(df: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Mean per key and clock hour; hours without rows are absent."""
     if cols is None:
@@ -40,12 +43,12 @@ def fill_hours(df: DataFrame, by: Sequence[str], ts: str, end: str | None = None
     gap longer than ``max_gap`` hours (a stray far-off time) raises.
     """
     w = Window.partitionBy(*by).orderBy(ts)
-    step = F.lead(ts).over(w) - HOUR
+    step = F.lead(ts).over(w) - _hours()
     until = F.coalesce(step, F.col(end) if end else F.col(ts))
     rows = df.withColumn("_until", until)
     gap = _hours_between(F.col(ts), F.col("_until"))
     stop = F.when(gap > max_gap, F.raise_error(F.lit(f"a gap exceeds {max_gap} hours")).cast("timestamp_ntz"))
-    hours = F.sequence(F.col(ts), F.coalesce(stop, F.col("_until")), HOUR)
+    hours = F.sequence(F.col(ts), F.coalesce(stop, F.col("_until")), _hours())
     rest = [c for c in df.columns if c not in (*by, ts, end)]
     spread = rows.select(*by, *[F.col(c).alias(f"_v_{c}") for c in rest], F.posexplode(hours).alias("_at", ts))
     return spread.select(
@@ -83,5 +86,5 @@ def reindex_hourly(df: DataFrame, by: Sequence[str], ts: str, order: Sequence[st
 def future_grid(df: DataFrame, by: Sequence[str], ts: str, steps: int = 24) -> DataFrame:
     """The next ``steps`` hours after the newest time of each key."""
     last = df.groupBy(*by).agg(F.max(ts).alias("_last"))
-    hours = F.sequence(F.col("_last") + HOUR, F.col("_last") + F.expr(f"interval {int(steps)} hours"), HOUR)
+    hours = F.sequence(F.col("_last") + _hours(), F.col("_last") + _hours(steps), _hours())
     return last.select(*by, F.posexplode(hours).alias("step", ts)).withColumn("step", F.col("step") + 1)
