@@ -53,10 +53,14 @@ def _compact(items: list[Column]) -> Column:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
+def _label() -> Column:
+    return F.coalesce(*[F.when(F.col("dominant") == p, F.lit(l)) for p, l in LABELS.items()])
+
+
 def _reasons(text: bool) -> list[Column]:
     wind, hum, rain, vis = (F.col(c) for c in ("windspeed", "humidity", "precipitation", "visibility"))
     cars, speed = F.col("vehicle_count"), F.col("avg_speed")
-    label = F.coalesce(*[F.when(F.col("dominant") == p, F.lit(l)) for p, l in LABELS.items()])
+    label = _label()
     top = F.coalesce(*[F.when(F.col("dominant") == p, F.col(f"si_{p}")) for p in LABELS])
 
     def say(cond, code, pattern, *cols):
@@ -111,7 +115,7 @@ def report(scored_rows: DataFrame, by: Sequence[str]) -> DataFrame:
         *by, F.current_timestamp().alias("timestamp"), "aqi", "category",
         F.struct(*[v.alias(l) for l, v in value.items()]).alias("pollutant_values_last"),
         F.struct(*[F.col(f"si_{p}").alias(l) for l, p in cols.items()]).alias("subindices"),
-        "dominant",
+        _label().alias("dominant"),
         F.struct(F.col("o3_raw").alias("raw"), F.col("o3_used").alias("used"), F.col("o3_method").alias("method")).alias("o3_diag"),
         F.struct(F.col("windspeed").alias("wind"), "humidity", F.col("precipitation").alias("precip"), "visibility").alias("weather_snapshot"),
         F.struct("vehicle_count", "avg_speed").alias("traffic_snapshot"),

@@ -41,7 +41,11 @@ def archive_rows(df: DataFrame, keys: list[str], body: str = "body") -> DataFram
     h = F.from_json(body, ARCHIVE)["hourly"]
     names = ("time", "temperature_2m", "relative_humidity_2m", "pressure_msl", "windspeed_10m",
              "winddirection_10m", "cloudcover", "visibility")
-    zipped = df.select(*keys, h.alias("h")).select(*keys, F.explode(F.arrays_zip(*[F.col(f"h.{n}") for n in names])).alias("e"))
+    # A missing array would make the whole zip null; an empty one is padded with nulls.
+    arrays = [F.coalesce(F.col(f"h.{n}"), F.array().cast("array<string>" if n == "time" else "array<double>")).alias(n)
+              for n in names]
+    parsed = df.select(*keys, h.alias("h")).select(*keys, *arrays)
+    zipped = parsed.select(*keys, F.explode(F.arrays_zip(*names)).alias("e"))
     out = ("time", "temperature", "humidity", "pressure", "windspeed", "winddirection", "cloudiness", "visibility")
     return zipped.select(*keys, *[F.col(f"e.{n}").alias(o) for n, o in zip(names, out)])
 
