@@ -91,8 +91,7 @@ EXOG = ["temperature", "humidity", "windspeed"]
 
 @query("insample_fit")
 def insample_fit(spark, sf):
-    from hazeframe.session import stored
-    frame = stored(training(spark, sf), "training")  # read by the search and by the fit
+    frame = training(spark, sf)
     exog = [c for c in EXOG if c in frame.columns]
     grid = [g for g in M.small_grid() if g[0][2] == 0 and g[1] == (0, 0, 0)]
     orders = M.best_orders(frame, ["station"], "timestamp", "aqi", exog, grid)

@@ -6,6 +6,7 @@ from hazeframe.catalog import views as V
 from hazeframe.catalog.registry import query, sql
 from hazeframe.functions import aqi as A
 from hazeframe.functions.casts import hour_of, station_key
+from hazeframe.operators.filters import keep_last
 from hazeframe.operators.joins import join_bands
 from hazeframe.operators.upsert import merge_measures
 
@@ -63,8 +64,8 @@ STRICT = {
  max(s) FILTER (WHERE pollutant = 'so2') AS si_so2, max(s) FILTER (WHERE pollutant = 'co') AS si_co FROM si GROUP BY ord""",
     **{k: STRICT[k] for k in ("bp", "long", "si")}))
 def subindex_in_strict(spark, sf):
-    air = V.air_wide(spark, sf)
-    return air.select("ord", *[A.sub_index(F.col(p), "in_strict", p).alias(f"si_{p}") for p in A.IN_STRICT])
+    out = A.sub_indices(V.air_wide(spark, sf), "in_strict", {p: p for p in A.IN_STRICT})
+    return out.select("ord", *[f"si_{p}" for p in A.IN_STRICT])
 
 
 @query("aqi_in_strict", sql("air", """SELECT ord, station, aqi, dominant,
@@ -85,8 +86,8 @@ REPORT_SI = f"""SELECT l.*, CASE WHEN conc > (SELECT max(hi) FROM bp b WHERE b.p
  max(s) FILTER (WHERE pollutant = 'o3') AS si_o3, max(s) FILTER (WHERE pollutant = 'nh3') AS si_nh3 FROM si GROUP BY ord""",
     bp=bands_cte(REPORT_BANDS), long=long_cte("air", REPORT_NAMES), si=REPORT_SI.replace("l.*", "ord, l.pollutant, pos")))
 def subindex_in_report(spark, sf):
-    air = V.air_wide(spark, sf)
-    return air.select("ord", *[A.sub_index(F.col(p), "in_report", p).alias(f"si_{p}") for p in A.IN_REPORT])
+    out = A.sub_indices(V.air_wide(spark, sf), "in_report", {p: p for p in A.IN_REPORT})
+    return out.select("ord", *[f"si_{p}" for p in A.IN_REPORT])
 
 
 IN_CATEGORY = "CASE WHEN aqi IS NULL THEN NULL WHEN aqi <= 50 THEN 'Good' WHEN aqi <= 100 THEN 'Satisfactory' WHEN aqi <= 200 THEN 'Moderate' WHEN aqi <= 300 THEN 'Poor' WHEN aqi <= 400 THEN 'Very Poor' ELSE 'Severe' END"
@@ -134,21 +135,22 @@ def aqi_history(spark, sf):
 
 
 MEASURES = ["aqi", "pm25", "pm10", "no2", "o3", "so2", "co"]
-PLACE = "'ST' || station AS city, 20 + station % 10 AS lat0, 70 + station % 20 AS lon0"
+KEYED = """SELECT *, CASE WHEN ord % 2 = 1 THEN 'NEW' ELSE 'ST' END || station AS city, CAST(20 + station % 10 AS DOUBLE) AS latitude, CAST(70 + station % 20 AS DOUBLE) AS longitude,
+ printf('ST%d_%.4f_%.4f', station, CAST(20 + station % 10 AS DOUBLE), CAST(70 + station % 20 AS DOUBLE)) AS station_name, date_trunc('hour', ts) AS timestamp_hour FROM strict"""
+NEWEST = "SELECT * FROM keyed WHERE ord % 2 = {odd} QUALIFY row_number() OVER (PARTITION BY station_name, timestamp_hour ORDER BY ord DESC) = 1"
 
 
-@query("station_hour_upsert", sql("air", """SELECT station_name, timestamp_hour, city, latitude, longitude, aqi, pm25, pm10, no2, o3, so2, co FROM (
- SELECT *, row_number() OVER (PARTITION BY station_name, timestamp_hour ORDER BY ord DESC) AS rn FROM keyed) WHERE rn = 1""",
-    **STRICT, keyed="""SELECT *, 'ST' || station AS city, CAST(20 + station % 10 AS DOUBLE) AS latitude, CAST(70 + station % 20 AS DOUBLE) AS longitude,
- printf('ST%d_%.4f_%.4f', station, CAST(20 + station % 10 AS DOUBLE), CAST(70 + station % 20 AS DOUBLE)) AS station_name, date_trunc('hour', ts) AS timestamp_hour FROM strict"""))
+@query("station_hour_upsert", sql("air", "SELECT station_name, timestamp_hour, coalesce(t.city, u.city) AS city, coalesce(t.latitude, u.latitude) AS latitude, coalesce(t.longitude, u.longitude) AS longitude, "
+    + ", ".join(f"CASE WHEN u.ord IS NOT NULL THEN u.{c} ELSE t.{c} END AS {c}" for c in MEASURES) + " FROM t FULL JOIN u USING (station_name, timestamp_hour)",
+    **STRICT, keyed=KEYED, t=NEWEST.format(odd=0), u=NEWEST.format(odd=1)))
 def station_hour_upsert(spark, sf):
+    """Odd readings are merged into a table built from the even ones; its city names stay."""
     rows = keyed_rows(A.score_aqi(V.air_wide(spark, sf), "in_strict"))
-    target, updates = rows.where("ord % 2 = 0"), rows.where("ord % 2 = 1")
     keys, ident = ["station_name", "timestamp_hour"], ["city", "latitude", "longitude"]
-    # The newest reading of an hour wins, whichever side it comes from.
-    empty = rows.limit(0)
-    first = merge_measures(empty, target.unionByName(updates), keys, ident, MEASURES, ["ord"])
-    return merge_measures(first, rows.where("ord % 3 = 0 and ord < 0"), keys, ident, MEASURES, ["ord"])
+    rows = rows.select(*keys, *ident, *MEASURES, "ord")
+    target = keep_last(rows.where("ord % 2 = 0"), keys, ["ord"])
+    updates = rows.where("ord % 2 = 1").withColumn("city", F.regexp_replace("city", "^ST", "NEW"))
+    return merge_measures(target, updates, keys, ident, MEASURES, ["ord"])
 
 
 def keyed_rows(scored):

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.operators.columns import numeric_columns
-from hazeframe.scale import one_row
+from hazeframe.scale import one_row, ranking
 
 
 def with_time(df: DataFrame, ts: str) -> DataFrame:
@@ -27,7 +27,7 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last in ``order``. An aggregate: copies shrink before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
+    last = F.max_by(F.struct(*rest), ranking(order)).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
 
 
@@ -46,8 +46,3 @@ def last_hours(df: DataFrame, ts: str, hours: int = 24) -> DataFrame:
     """Rows of the last ``hours`` before the newest time in the table."""
     newest = df.agg(F.max(ts).alias("newest"))
     return df.where(F.col(ts) > one_row(newest)["newest"] - F.expr(f"interval {int(hours)} hours"))
-
-
-def usable_payload(status: Column, items: Column) -> Column:
-    """An answer counts when its status is ok and its list is not empty."""
-    return (F.coalesce(status, F.lit("ok")) == "ok") & (F.size(items) > 0)

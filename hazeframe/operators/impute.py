@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.operators.columns import numeric_columns, text_columns
-from hazeframe.scale import carry, medians, one_row
+from hazeframe.scale import carry, group_sizes, medians, one_row
 
 
 def _targets(df: DataFrame, cols: Sequence[str] | None, skip: Sequence[str]) -> list[str]:
@@ -24,18 +24,19 @@ def impute_median(df: DataFrame, cols: Sequence[str] | None = None, skip: Sequen
     return df.withColumns({c: F.coalesce(F.col(c), med[c], *parts) for c in cols})
 
 
-def _filled(df, by, order, cols, forward, backward, bounded):
+def _filled(df, by, order, cols, forward, backward, bounded, sizes=None):
     ahead = {f"_ff_{c}": c for c in cols} if forward else {}
     behind = {f"_bf_{c}": c for c in cols} if backward else {}
-    return carry(df, by, order, ahead, behind, bounded)
+    return carry(df, by, order, ahead, behind, bounded, sizes)
 
 
 def impute_forward_median(df: DataFrame, by: Sequence[str], order: Sequence[str],
                           cols: Sequence[str] | None = None, skip: Sequence[str] = ()) -> DataFrame:
     """Last value before, then the column median taken before any filling."""
     cols = _targets(df, cols, list(skip) + list(by) + list(order))
-    med = one_row(medians(df, [], cols))
-    filled = _filled(df, by, order, cols, True, False, False)
+    total, largest = group_sizes(df, by)
+    med = one_row(medians(df, [], cols, sizes=(total, total)))
+    filled = _filled(df, by, order, cols, True, False, False, (total, largest))
     return filled.select(*[F.coalesce(F.col(f"_ff_{c}"), med[c]).alias(c) if c in cols else c
                            for c in df.columns])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hazeframe.functions.aqi import SCHEMES, breakpoint_table
 from hazeframe.operators.filters import keep_last
-from hazeframe.scale import carry
+from hazeframe.scale import carry, group_sizes
 
 
 def suffix_shared(left: DataFrame, right: DataFrame, keys: Sequence[str], suffixes: tuple[str, str]):
@@ -41,7 +41,7 @@ def join_feeds(aqi: DataFrame, weather: DataFrame, traffic: DataFrame, keys: Seq
 def asof(
     left: DataFrame, right: DataFrame, by: Sequence[str], ts: str, order: Sequence[str],
     right_order: Sequence[str], direction: str = "nearest", tolerance: str | None = None,
-    prefix: str = "", time_name: str | None = None,
+    prefix: str = "", time_name: str | None = None, hourly_left: bool = False,
 ) -> DataFrame:
     """Attach to every left row one right row of the same key, chosen by time.
 
@@ -49,6 +49,8 @@ def asof(
     the closer of that row and the first one after it; equal distances go to the later
     row. ``tolerance`` (such as "1 hour") is inclusive. Both sides are stacked and
     scanned once in time order, so the work grows with the rows, not with pairs.
+    ``hourly_left`` says that the left side has one row per key and hour, so that only
+    the right side needs counting.
     """
     taken = [c for c in right.columns if c not in by]
     unique = keep_last(right, [*by, ts], right_order) if right_order else right
@@ -57,7 +59,10 @@ def asof(
     rights = unique.select(*by, ts, F.lit(0).alias("_side"), hit.alias("_hit"))
     both = lefts.unionByName(rights, allowMissingColumns=True)
     nearest = direction == "nearest"
-    scanned = carry(both, by, [ts, "_side", *order], {"_prev": "_hit"}, {"_next": "_hit"} if nearest else {})
+    # Counting the inputs spares the count from running the dedup as well.
+    counted = right.select(*by) if hourly_left else left.select(*by).unionByName(right.select(*by))
+    scanned = carry(both, by, [ts, "_side", *order], {"_prev": "_hit"}, {"_next": "_hit"} if nearest else {},
+                    sizes=group_sizes(counted, by))
     rows = scanned.where("_side = 1")
     pick = F.col("_prev")
     if nearest:

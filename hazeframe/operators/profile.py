@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,9 +94,7 @@ def coverage(feeds: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every unordered pair, one pass per chunk."""
-    pairs = list(combinations(cols, 2))
+def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     out = None
     for start in range(0, len(pairs), CORR_CHUNK):
         part = pairs[start:start + CORR_CHUNK]
@@ -109,16 +107,18 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out
 
 
+def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete Pearson correlation of every unordered pair, one pass per chunk."""
+    return _correlations(df, list(combinations(cols, 2)))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Full matrix in long form, mirrored from the unordered pairs."""
-    half = corr_pairs(df, cols)
-    both = half.select(F.explode(F.array(
-        F.struct("a", "b", "corr"),
-        F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("corr")))).alias("_e")).select("_e.*")
-    own = df.agg(*[F.corr(F.col(c).cast("double"), F.col(c).cast("double")).alias(c) for c in cols])
-    diag = own.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(c).alias("corr")) for c in cols])).alias("_e"))
-    return both.unionByName(diag.select("_e.*"))
+    """Full matrix in long form; each unordered pair is computed once and mirrored."""
+    half = _correlations(df, list(combinations_with_replacement(cols, 2)))
+    same = F.struct("a", "b", "corr")
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("corr"))
+    both = F.when(F.col("a") == F.col("b"), F.array(same)).otherwise(F.array(same, turned))
+    return half.select(F.explode(both).alias("_e")).select("_e.*")
 
 
 def top_pairs(df: DataFrame, cols: Sequence[str], n: int = 12, digits: int = 6) -> DataFrame:

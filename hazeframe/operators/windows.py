@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazeframe.functions.aqi import half_even
 from hazeframe.functions.casts import hour_of
-from hazeframe.scale import trailing
+from hazeframe.scale import ranking, trailing
 
 
 def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, out: str,
@@ -37,14 +37,14 @@ def lags(df: DataFrame, by: Sequence[str], ts: str, col: str, steps: Sequence[in
 
 def last_valid(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Last non-null value of each column on its own; partial aggregates, no sort."""
-    rank = F.struct(*order)
+    rank = ranking(order)
     return df.groupBy(*by).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in cols])
 
 
 def latest_row(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row of each key as a unit."""
     rest = [c for c in df.columns if c not in by]
-    return (df.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return (df.groupBy(*by).agg(F.max_by(F.struct(*rest), ranking(order)).alias("_r"))
             .select(*by, "_r.*"))
 
 

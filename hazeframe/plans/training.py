@@ -12,6 +12,7 @@ from hazeframe.operators import columns as K
 from hazeframe.operators.grid import hourly_mean, reindex_hourly
 from hazeframe.operators.impute import impute_neighbours
 from hazeframe.operators.joins import asof
+from hazeframe.session import stored
 
 
 def repair_scale(series: DataFrame, live: DataFrame, by: Sequence[str], ts: str, col: str,
@@ -55,9 +56,13 @@ def training_frame(sources: DataFrame, weather: DataFrame, live: DataFrame | Non
     wts = K.time_column(weather, "train")
     exog = K.exog_columns(weather)
     right = weather.select(*by, F.col(wts).alias("timestamp"), *exog, *tie)
-    near = asof(y, right, by, "timestamp", [], tie, "nearest", "1 hour", time_name="_weather_time")
+    near = asof(y, right, by, "timestamp", [], tie, "nearest", "1 hour",
+                time_name="_weather_time", hourly_left=True)
     near = near.drop("_weather_time", *tie)
     filled = impute_neighbours(near, by, ["timestamp"], exog, bounded=True)
+    # Hourly rows only, so small next to the readings; stored because the check below and
+    # every fit read it again.
+    filled = stored(filled, "training")
     return K.drop_all_null_columns(filled, exog)
 
 

@@ -46,17 +46,15 @@ def ordered_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], total
     """
     spark = df.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = math.ceil(total / max(1, group_row_limit(spark) // 4))
+    wanted = math.ceil(total / max(1, group_row_limit(spark)))
     ranged = df.repartitionByRange(max(shuffle, wanted), *by, *order)
     return stored(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
-def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition on ``keys`` that lets null match null."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[k])
-    return cond
+def ranking(order: Sequence[str]) -> Column:
+    """Sort key for max_by and min_by. A single column keeps the buffer fixed-width, so
+    that Spark can aggregate by hash instead of by sort."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
 def _attach(rows: DataFrame, state: DataFrame, keys: Sequence[str], chunks: int) -> DataFrame:
@@ -78,24 +76,23 @@ def carry(
     forward: dict[str, str] | None = None,
     backward: dict[str, str] | None = None,
     bounded: bool = False,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Last non-null value at or before each row, and first one at or after it.
 
     ``forward`` and ``backward`` map a new column name to the column that is carried.
     ``order`` must end in a column that breaks ties. ``bounded`` says that the groups
     are known to be small (for example one row per hour), which skips the count.
+    ``sizes`` hands in the result of ``group_sizes`` where it is known.
     """
     forward, backward = forward or {}, backward or {}
     by, order = list(by), list(order)
-    if bounded:
-        total = largest = 0
-    else:
-        total, largest = group_sizes(df, by)
+    total, largest = (0, 0) if bounded else sizes or group_sizes(df, by)
     if largest <= group_row_limit(df.sparkSession):
         return _carry_in(df, by, order, forward, backward)
 
     rows = ordered_chunks(df, by, order, total)
-    rank = F.struct(*order)
+    rank = ranking(order)
     carried = {**forward, **backward}
     state = rows.groupBy(*by, CHUNK).agg(
         *[F.max_by(src, F.when(F.col(src).isNotNull(), rank)).alias(f"_f_{new}")
@@ -176,7 +173,7 @@ def trailing(
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select("*", *[agg.over(w.rowsBetween(lo, hi)).alias(n)
                                 for n, (agg, lo, hi) in exprs.items()])
-    size = max(width + 1, group_row_limit(df.sparkSession) // 4)
+    size = max(width + 1, group_row_limit(df.sparkSession))
     ranked = positions(df, by, order)
     index = F.col(POSITION) - 1
     block = F.floor(index / size)
@@ -193,7 +190,7 @@ def trailing(
 
 def quantiles(
     df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float],
-    approx: bool = False,
+    approx: bool = False, sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles: one row per key, one array per column.
 
@@ -206,7 +203,7 @@ def quantiles(
     if approx:
         return df.groupBy(*by).agg(
             *[F.percentile_approx(c, probs, 10_000).alias(c) for c in cols])
-    _, largest = group_sizes(df, by)
+    _, largest = sizes or group_sizes(df, by)
     if largest <= group_row_limit(df.sparkSession):
         return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), grid).alias(c) for c in cols])
 
@@ -241,9 +238,10 @@ def quantiles(
     return long.groupBy(*by).agg(*[F.max(F.when(F.col("_column") == c, F.col("_q"))).alias(c) for c in cols])
 
 
-def medians(df: DataFrame, by: Sequence[str], cols: Sequence[str], approx: bool = False) -> DataFrame:
+def medians(df: DataFrame, by: Sequence[str], cols: Sequence[str], approx: bool = False,
+            sizes: tuple[int, int] | None = None) -> DataFrame:
     """Exact medians (mean of the middle two), one row per key."""
-    q = quantiles(df, by, cols, [0.5], approx)
+    q = quantiles(df, by, cols, [0.5], approx, sizes)
     return q.select(*by, *[F.col(c)[0].alias(c) for c in cols])
 
 

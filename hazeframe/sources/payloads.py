@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.operators.filters import usable_payload
-
 # Fixed payload shapes.
 POLLUTION = """list array<struct<dt: bigint, components: struct<co: double, no: double, no2: double,
  o3: double, so2: double, pm2_5: double, pm10: double, nh3: double>>>"""
@@ -30,9 +28,9 @@ def epoch(c: Column) -> Column:
 
 def pollution_history(df: DataFrame, keys: list[str], body: str = "body", newest_only: bool = False) -> DataFrame:
     """One row per list element; ``newest_only`` takes the first element of each payload."""
-    parsed = df.select(*keys, F.from_json(body, POLLUTION).alias("p"))
-    items = parsed.where(usable_payload(F.lit(None).cast("string"), F.col("p.list")))
-    rows = items.select(*keys, (F.col("p.list")[0] if newest_only else F.explode("p.list")).alias("e"))
+    # Explode drops empty and missing lists by itself.
+    items = F.from_json(body, POLLUTION)["list"]
+    rows = df.select(*keys, F.explode(F.slice(items, 1, 1) if newest_only else items).alias("e"))
     return rows.select(*keys, epoch(F.col("e.dt")).alias("ts"), "e.components.*")
 
 
@@ -74,7 +72,7 @@ def current_weather(df: DataFrame, keys: list[str], body: str = "body") -> DataF
 
 def station_feed(df: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
     """Index and pollutant values of answers whose status is ok."""
-    p = df.select(*keys, F.from_json(body, STATION).alias("p")).where("p.status = 'ok'")
+    p = df.where(F.get_json_object(body, "$.status") == "ok").select(*keys, F.from_json(body, STATION).alias("p"))
     species = ("pm25", "pm10", "no2", "o3", "so2", "co")
     return p.select(
         *keys, F.col("p.data.aqi").alias("aqi"), F.col("p.data.city.name").alias("city"),

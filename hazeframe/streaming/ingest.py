@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from hazeframe.operators.filters import keep_last
 from hazeframe.operators.joins import asof
+from hazeframe.scale import ranking
 from hazeframe.session import scratch_path
 
 BATCH = "_batch_id"
@@ -74,7 +75,7 @@ def dedup_stream(rows: DataFrame, keys: Sequence[str], delay: str = "2 hours") -
 
 def last_valid_stream(rows: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Running last non-null value per key and column (update mode)."""
-    rank = F.struct(*order)
+    rank = ranking(order)
     return rows.groupBy(*by).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in cols])
 
 
