@@ -124,6 +124,12 @@ def _fit_or_mean(y, order, seasonal, exog=None):
 
 # --- Spark operators ----------------------------------------------------------------
 
+def _rows(keys: dict, n: int, **columns) -> pd.DataFrame:
+    """``n`` result rows; keys as plain objects, which Arrow takes in any type."""
+    out = {k: pd.Series([v] * n, dtype=object) for k, v in keys.items()}
+    return pd.DataFrame({**out, **columns})
+
+
 def _checked(n) -> None:
     if n > MAX_HOURS:
         raise ValueError(f"a series exceeds {MAX_HOURS} hours")
@@ -139,14 +145,13 @@ def forecast_24h(df: DataFrame, keys: Sequence[str], ts: str, y: str, steps: int
         pdf = pdf.sort_values(ts)
         known = pdf[y].dropna().to_numpy(float)
         if len(known) < MIN_POINTS:
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+            return _rows({k: None for k in keys}, 0, step=np.empty(0, "int32"),
+                         ts=np.empty(0, "datetime64[us]"), yhat=np.empty(0))
         fit, _, _ = _fit_or_mean(known, *FORECAST_ORDER)
         values = forecast_series(known, fit, steps) if fit else np.full(steps, known.mean())
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * steps for k in keys})
-        out["step"] = np.arange(1, steps + 1, dtype="int32")
-        out["ts"] = pdf[ts].iloc[-1] + pd.to_timedelta(np.arange(1, steps + 1), unit="h")
-        out["yhat"] = values
-        return out
+        ahead = np.arange(1, steps + 1, dtype="int32")
+        return _rows({k: pdf[k].iloc[0] for k in keys}, steps, step=ahead,
+                     ts=pdf[ts].iloc[-1] + pd.to_timedelta(ahead, unit="h"), yhat=values)
 
     return df.select(*keys, ts, y).groupBy(*keys).applyInPandas(run, schema)
 
@@ -196,8 +201,8 @@ def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seq
         try:
             aic = fit_series(table[:, 0], order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]
         except np.linalg.LinAlgError:
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-        return pd.DataFrame({**{k: [row[k]] for k in keys}, "candidate": [int(row["candidate"])], "aic": [aic]})
+            return _rows({k: None for k in keys}, 0, candidate=np.empty(0, "int32"), aic=np.empty(0))
+        return _rows({k: row[k] for k in keys}, 1, candidate=np.array([row["candidate"]], "int32"), aic=[float(aic)])
 
     return fan.groupBy(*keys, "candidate").applyInPandas(run, schema)
 
@@ -225,6 +230,7 @@ def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str,
     types = dict(df.dtypes)
     schema = (", ".join(f"{k} {types[k]}" for k in keys)
               + ", ts timestamp_ntz, y double, y_pred_in_sample double, order string, seasonal string, aic double")
+    columns = [*keys, "ts", "y", "y_pred_in_sample", "order", "seasonal", "aic"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -240,15 +246,15 @@ def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str,
                     pred[at:] = values[at:] - fit["resid"]
                 else:
                     pred[:] = values.mean()
-                out = pd.DataFrame({k: [row[k]] * len(values) for k in keys})
-                out["ts"], out["y"], out["y_pred_in_sample"] = times, values, pred
-                out["order"], out["seasonal"] = str(order), str((*seasonal, SEASON if any(seasonal) else 0))
-                out["aic"] = fit["aic"] if fit else None
-                yield out
+                names = {**{k: row[k] for k in keys}, "order": str(order),
+                         "seasonal": str((*seasonal, SEASON if any(seasonal) else 0))}
+                out = _rows(names, len(values), ts=times, y=values, y_pred_in_sample=pred,
+                            aic=np.full(len(values), fit["aic"] if fit else np.nan))
+                yield out[columns]
 
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
     done = packed.repartition(n, *keys).mapInPandas(run, schema)
-    return done.withColumn("y_pred_in_sample", F.nanvl("y_pred_in_sample", F.lit(None).cast("double")))
+    return done.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("y_pred_in_sample", "aic")})
 
 
 def model_table(insample: DataFrame, keys: Sequence[str], exog: Sequence[str]) -> DataFrame:
