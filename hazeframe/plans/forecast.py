@@ -165,16 +165,23 @@ def stale_series(series: DataFrame, models: DataFrame, keys: Sequence[str], now,
 
 
 def _pack(df: DataFrame, keys, ts, cols) -> DataFrame:
-    """One row per series: its hourly values as an array in time order."""
-    items = F.sort_array(F.collect_list(F.struct(ts, *cols)))
-    return df.groupBy(*keys).agg(items.alias("_points"))
+    """One row per series, each column as an array in time order.
 
+    Arrays of plain numbers reach the Python worker as numpy arrays.
+    """
+    points = F.sort_array(F.collect_list(F.struct(ts, *cols)))
+    packed = df.groupBy(*keys).agg(points.alias("_p"))
+    return packed.select(*keys, *[F.col(f"_p.{c}").alias(f"_a_{c}") for c in (ts, *cols)])
 
-def _unpack(row, ts, cols):
-    points = row["_points"]
-    _checked(len(points))
-    table = np.array([[p[c] if p[c] is not None else np.nan for c in cols] for p in points], dtype=float)
-    return [p[ts] for p in points], table
+
+def _unpack(row, y, exog):
+    """Series values, and the outside columns unless one has a gap."""
+    values = np.asarray(row[f"_a_{y}"], dtype=float)
+    _checked(len(values))
+    if not exog:
+        return values, None
+    x = np.column_stack([np.asarray(row[f"_a_{c}"], dtype=float) for c in exog])
+    return values, None if np.isnan(x).any() else x
 
 
 def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Sequence[str] = (),
@@ -186,20 +193,19 @@ def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seq
     numbers = F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("candidate")
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     # An explicit count keeps adaptive execution from merging small but slow partitions.
-    fan = packed.select("*", numbers).repartition(n, *keys, "candidate")
+    fan = packed.drop(f"_a_{ts}").select("*", numbers).repartition(n, *keys, "candidate")
     types = dict(df.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", candidate int, aic double"
     widest = max(max(p + q + 2, p, q, 4, SEASON * max(P, Q)) for (p, _, q), (P, _, Q) in grid)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
-        _, table = _unpack(row, ts, [y, *exog])
+        values, x = _unpack(row, y, exog)
         order, seasonal = grid[int(row["candidate"])]
-        x = table[:, 1:] if exog and not np.isnan(table[:, 1:]).any() else None
         # A common first point makes the candidates comparable.
         lost = order[1] + SEASON * seasonal[1]
         try:
-            aic = fit_series(table[:, 0], order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]
+            aic = fit_series(values, order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]
         except np.linalg.LinAlgError:
             return _rows({k: None for k in keys}, 0, candidate=np.empty(0, "int32"), aic=np.empty(0))
         return _rows({k: row[k] for k in keys}, 1, candidate=np.array([row["candidate"]], "int32"), aic=[float(aic)])
@@ -235,9 +241,7 @@ def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, row in pdf.iterrows():
-                times, table = _unpack(row, ts, [y, *exog])
-                values = table[:, 0]
-                x = table[:, 1:] if exog and not np.isnan(table[:, 1:]).any() else None
+                values, x = _unpack(row, y, exog)
                 fit, order, seasonal = _fit_or_mean(
                     values, tuple(map(int, row["order"])), tuple(map(int, row["seasonal"])), x)
                 pred = np.full(len(values), np.nan)
@@ -248,7 +252,7 @@ def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str,
                     pred[:] = values.mean()
                 names = {**{k: row[k] for k in keys}, "order": str(order),
                          "seasonal": str((*seasonal, SEASON if any(seasonal) else 0))}
-                out = _rows(names, len(values), ts=times, y=values, y_pred_in_sample=pred,
+                out = _rows(names, len(values), ts=row[f"_a_{ts}"], y=values, y_pred_in_sample=pred,
                             aic=np.full(len(values), fit["aic"] if fit else np.nan))
                 yield out[columns]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.functions.casts import calendar_parts, clip, to_number
@@ -23,13 +23,16 @@ def repair_scale(series: DataFrame, live: DataFrame, by: Sequence[str], ts: str,
     (last counts as 1 when 0), held within [1, 1000].
     """
     by = list(by)
-    last = series.groupBy(*by).agg(F.max_by(col, F.when(F.col(col).isNotNull(), F.col(ts))).alias("_last"))
+    # The series is hourly, so a window over a whole key is small, and it reuses the
+    # partitioning of the fills before it.
+    whole = Window.partitionBy(*by)
+    last = F.max_by(col, F.when(F.col(col).isNotNull(), F.col(ts))).over(whole)
     now = live.groupBy(*by).agg(F.max_by(live_col, F.struct(live_ts, *live_tie)).alias("_live"))
     ratio = F.col("_live") / F.when(F.col("_last") == 0, F.lit(1.0)).otherwise(F.col("_last"))
     off = (F.abs("_last") < 10) & (F.col("_live") > F.col("_last") * 3 + 10)
     factor = F.when(off, F.least(F.greatest(ratio, F.lit(1.0)), F.lit(1000.0))).otherwise(F.lit(1.0))
-    factors = last.join(now, by, "left").select(*by, factor.alias("scale"))
-    return series.join(factors, by).withColumn(col, F.col(col) * F.col("scale"))
+    both = series.withColumn("_last", last).join(now, by, "left").withColumn("scale", factor)
+    return both.withColumn(col, F.col(col) * F.col("scale")).drop("_last", "_live")
 
 
 def training_series(sources: DataFrame, by: Sequence[str], tie: Sequence[str], align: str = "hour") -> DataFrame:
