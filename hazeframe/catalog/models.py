@@ -89,13 +89,32 @@ def arima_grid_best(spark, sf):
 EXOG = ["temperature", "humidity", "windspeed"]
 
 
-@query("insample_fit")
-def insample_fit(spark, sf):
+def _fitted(spark, sf):
     frame = training(spark, sf)
     exog = [c for c in EXOG if c in frame.columns]
     grid = [g for g in M.small_grid() if g[0][2] == 0 and g[1] == (0, 0, 0)]
     orders = M.best_orders(frame, ["station"], "timestamp", "aqi", exog, grid)
-    return M.fit_insample(frame, orders, ["station"], "timestamp", "aqi", exog)
+    return frame, M.fit_insample(frame, orders, ["station"], "timestamp", "aqi", exog), exog
+
+
+@query("insample_fit")
+def insample_fit(spark, sf):
+    return _fitted(spark, sf)[1]
+
+
+@query("model_metadata")
+def model_metadata(spark, sf):
+    frame, insample, exog = _fitted(spark, sf)
+    return M.model_table(insample, frame, ["station"], exog)
+
+
+@query("insample_fixed_order", sql("hourly_station", "SELECT station, ts, round(pm25, 6) AS y, round(y_pred, 6) AS y_pred FROM ins", **SERIES))
+def insample_fixed_order(spark, sf):
+    """The numeric solver at order (1, 0, 0) against the closed form."""
+    rows = series(spark, sf)
+    orders = rows.select("station").distinct().selectExpr("station", "array(1, 0, 0) as order", "array(0, 0, 0) as seasonal", "0D as aic")
+    out = M.fit_insample(rows, orders, ["station"], "ts", "pm25")
+    return out.select("station", "ts", F.round("y", 6).alias("y"), F.round("y_pred_in_sample", 6).alias("y_pred"))
 
 
 @query("regr_sql", sql("air", "SELECT station, round(regr_slope(pm25, pm10), 6) AS slope, round(regr_intercept(pm25, no2), 6) AS intercept_no2, round(regr_r2(pm25, no2), 6) AS r2_no2, regr_count(pm25, no2) AS n FROM (SELECT station, CASE WHEN pm25 >= 0 THEN pm25 END AS pm25, pm10 + no2 AS pm10, no2 FROM air) GROUP BY station"))

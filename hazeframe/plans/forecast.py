@@ -261,11 +261,13 @@ def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str,
     return done.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("y_pred_in_sample", "aic")})
 
 
-def model_table(insample: DataFrame, keys: Sequence[str], exog: Sequence[str]) -> DataFrame:
-    """One metadata row per fitted series."""
-    return insample.groupBy(*keys).agg(
+def model_table(insample: DataFrame, frame: DataFrame, keys: Sequence[str], exog: Sequence[str]) -> DataFrame:
+    """One metadata row per fitted series: order, AIC, training end, outside columns, scale used."""
+    fits = insample.groupBy(*keys).agg(
         F.first("order").alias("order"), F.first("seasonal").alias("seasonal"), F.first("aic").alias("aic"),
-        F.max("ts").alias("training_end"), F.array(*[F.lit(c) for c in exog]).cast("array<string>").alias("exog_cols"))
+        F.max("ts").alias("training_end"), F.lit(",".join(exog)).alias("exog_cols"))
+    scales = frame.groupBy(*keys).agg(F.max("scale").alias("applied_scale"))
+    return fits.join(scales, list(keys)).withColumn("scaled", F.col("applied_scale") != 1)
 
 
 def ar1_fit(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:

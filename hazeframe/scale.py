@@ -38,16 +38,19 @@ def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
     return int(row[0] or 0), int(row[1] or 0)
 
 
+def chunk_count(spark: SparkSession, total: int) -> int:
+    """Ranges to cut ``total`` rows into."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, math.ceil(total / max(1, group_row_limit(spark))))
+
+
 def ordered_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], total: int) -> DataFrame:
     """Add ``_chunk``: the number of the (key, order) range a row lies in.
 
     Spark samples the range borders, so ranges are even whatever the keys look like.
     The result is stored because borders differ from one evaluation to the next.
     """
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = math.ceil(total / max(1, group_row_limit(spark)))
-    ranged = df.repartitionByRange(max(shuffle, wanted), *by, *order)
+    ranged = df.repartitionByRange(chunk_count(df.sparkSession, total), *by, *order)
     return stored(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
@@ -111,7 +114,7 @@ def carry(
     for new in carried:
         crossing = crossing | F.col(f"_s_{new}").isNotNull()
     inside = _carry_in(rows, by + [CHUNK], order, forward, backward)
-    chunks = rows.select(CHUNK).distinct().count()
+    chunks = chunk_count(df.sparkSession, total)
     joined = _attach(inside, state.where(crossing), by + [CHUNK], chunks)
     return joined.select(
         *df.columns,
@@ -151,7 +154,7 @@ def positions(
         .select(*by, CHUNK, F.sum("_sum").over(before).alias("_start"))
         .where("_start is not null")
     )
-    chunks = rows.select(CHUNK).distinct().count()
+    chunks = chunk_count(df.sparkSession, total)
     joined = _attach(rows.withColumn("_in", F.sum(step).over(w)), state, by + [CHUNK], chunks)
     return joined.select(
         *df.columns, (F.col("_in") + F.coalesce(F.col("_start"), F.lit(0))).alias(POSITION)
@@ -204,7 +207,8 @@ def quantiles(
         return df.groupBy(*by).agg(
             *[F.percentile_approx(c, probs, 10_000).alias(c) for c in cols])
     _, largest = sizes or group_sizes(df, by)
-    if largest <= group_row_limit(df.sparkSession):
+    # One buffer per column holds the distinct values of a group.
+    if largest <= group_row_limit(df.sparkSession) // max(1, len(cols)):
         return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), grid).alias(c) for c in cols])
 
     pairs = F.explode(F.array(*[

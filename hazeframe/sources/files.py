@@ -69,12 +69,15 @@ def all_sources(spark: SparkSession, paths: Sequence[str], format: str = "parque
     return union_feeds(*parts)
 
 
-def write_by_date(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
-    """Parquet partitioned by date, rows clustered so that each date gets few files."""
+def write_by_date(df: DataFrame, path: str, ts: str, mode: str = "overwrite", max_rows: int = 20_000_000) -> None:
+    """Parquet partitioned by date.
+
+    Rows are ranged by date, time and a row hash, so a hot date, or a hot time, is written
+    by many tasks, and files cover short time spans.
+    """
     dated = df.withColumn("date", F.to_date(ts))
-    # A plain repartition by date would send a hot date to one task.
-    dated.repartition("date", F.pmod(F.xxhash64(ts), F.lit(16))).sortWithinPartitions(ts).write.mode(
-        mode).partitionBy("date").parquet(path)
+    ranged = dated.repartitionByRange("date", ts, F.xxhash64(*df.columns))
+    ranged.write.mode(mode).option("maxRecordsPerFile", max_rows).partitionBy("date").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
