@@ -72,8 +72,9 @@ def subindex_in_strict(spark, sf):
  CASE WHEN aqi IS NULL THEN NULL ELSE (SELECT string_agg(pollutant || '=' || s, ',' ORDER BY pos) FROM si WHERE si.ord = strict.ord AND s <> 0) END AS breakdown FROM strict""", **STRICT))
 def aqi_in_strict(spark, sf):
     out = A.score_aqi(V.air_wide(spark, sf), "in_strict", breakdown=True)
-    parts = F.transform(F.map_entries("sub_indices"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return out.select("ord", "station", "aqi", "dominant", F.array_join(parts, ",").alias("breakdown"))
+    m = F.col("sub_indices")
+    text = F.concat_ws(",", *[F.concat(F.lit(f"{p}="), m[p].cast("string")) for p in A.IN_STRICT])
+    return out.select("ord", "station", "aqi", "dominant", F.when(m.isNotNull(), text).alias("breakdown"))
 
 
 REPORT_NAMES = {p: p for p in ("pm25", "pm10", "no2", "so2", "o3", "nh3")}
