@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.functions.aqi import SCHEMES, breakpoint_table
+from hazeframe.functions.aqi import breakpoint_table
 from hazeframe.operators.filters import keep_last
 from hazeframe.scale import carry, group_sizes
 
@@ -88,10 +88,6 @@ def join_bands(df: DataFrame, scheme: str, pollutant: str = "pollutant", conc: s
     return df.join(bands, cond, "left").drop("_p")
 
 
-def pollutants_of(scheme: str) -> list[str]:
-    return list(SCHEMES[scheme].bands)
-
-
 def attach(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join a dimension; Spark broadcasts it when its measured size allows."""
     return df.join(dim, list(on), "left")

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +50,3 @@ def importances(model: PipelineModel, features: Sequence[str], df: DataFrame) ->
     rows = [(f, float(v)) for f, v in zip(features, values)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature")
-
-
-def scaled_columns(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Standardised features as an array column."""
-    return model.transform(df).withColumn("scaled_values", vector_to_array("scaled"))

@@ -10,8 +10,30 @@ from pyspark.sql import functions as F
 from hazeframe.functions.aqi import category, score_aqi
 from hazeframe.operators.windows import last_valid, latest_row, o3_8hr
 
-# Labels, thresholds and texts of the report.
+# Labels, texts and advice of the report.
 LABELS = {"pm25": "PM2.5", "pm10": "PM10", "no2": "NO2", "so2": "SO2", "o3": "O3", "nh3": "NH3"}
+REASONS = {
+    "DOMINANT": "Dominant pollutant: %s (subindex %s).",
+    "O3_DIAGNOSTIC": "O3 diagnostic: raw_last=%s µg/m3  used_for_aqi=%s µg/m3  method=%s  col=%s",
+    "LOW_WIND": "Low wind (%s m/s) — poor dispersion.",
+    "LIGHT_WIND": "Light wind (%s m/s) — limited dispersion.",
+    "HELPFUL_WIND": "Moderate/high wind (%s m/s) — helps dispersion.",
+    "HIGH_HUMIDITY": "High humidity (%s%%) — hygroscopic growth can increase PM.",
+    "RAIN": "Recent precipitation (%s) — washout likely reduced PM.",
+    "LOW_VISIBILITY": "Low visibility (%s) — heavy particulate loading.",
+    "HIGH_TRAFFIC": "High vehicle count (%s) — likely higher vehicular PM/NO2.",
+    "MODERATE_TRAFFIC": "Moderate vehicle count (%s).",
+    "LOW_SPEED": "Low avg traffic speed (%s km/h) — congestion contributes to emissions.",
+    "NO_WEATHER": "Weather data not available in live feed.",
+    "NO_TRAFFIC": "Traffic data not available in live feed.",
+}
+SUGGESTIONS = {
+    "AVOID_EXERCISE": "Avoid outdoor exercise; use masks; reduce vehicle travel if possible.",
+    "LIMIT_DUST": "Limit dusty outdoor activities; control construction dust.",
+    "MONITOR": "Monitor updates; reduce exposure if sensitive.",
+    "CUT_LOCAL_EMISSIONS": "Reduce local emissions (avoid burning, limit non-essential traffic) until dispersion improves.",
+    "EXPECT_WASHOUT": "Pollution likely to improve after rain - check updated AQI later.",
+}
 ADVICE = (
     ("Good", "Enjoy outdoor activities.", "No special care needed."),
     ("Moderate", "Outdoor activity is fine for most people.", "Watch for symptoms and take breaks."),
@@ -57,44 +79,46 @@ def _label() -> Column:
     return F.coalesce(*[F.when(F.col("dominant") == p, F.lit(l)) for p, l in LABELS.items()])
 
 
-def _reasons(text: bool) -> list[Column]:
+def _reasons(text: bool, o3_column: str = "o3") -> list[Column]:
+    """One column per rule in report order: its code or its text, null where it does not hold."""
     wind, hum, rain, vis = (F.col(c) for c in ("windspeed", "humidity", "precipitation", "visibility"))
     cars, speed = F.col("vehicle_count"), F.col("avg_speed")
-    label = _label()
     top = F.coalesce(*[F.when(F.col("dominant") == p, F.col(f"si_{p}")) for p in LABELS])
+    rules = (
+        (F.col("dominant").isNotNull(), "DOMINANT", (_label(), top)),
+        (F.lit(True), "O3_DIAGNOSTIC", (F.col("o3_raw"), F.col("o3_used"), F.col("o3_method"), F.lit(o3_column))),
+        (wind < 2, "LOW_WIND", (wind,)),
+        ((wind >= 2) & (wind < 4), "LIGHT_WIND", (wind,)),
+        (wind >= 4, "HELPFUL_WIND", (wind,)),
+        (hum > 75, "HIGH_HUMIDITY", (hum,)),
+        (rain > 0, "RAIN", (rain,)),
+        (vis < 2000, "LOW_VISIBILITY", (vis,)),
+        (cars > 400, "HIGH_TRAFFIC", (cars,)),
+        ((cars > 200) & (cars <= 400), "MODERATE_TRAFFIC", (cars,)),
+        (speed < 20, "LOW_SPEED", (speed,)),
+        (~F.col("has_weather"), "NO_WEATHER", ()),
+        (~F.col("has_traffic"), "NO_TRAFFIC", ()),
+    )
+
+    def words(code, cols):
+        if not text:
+            return F.lit(code)
+        return F.format_string(REASONS[code], *[c.cast("string") for c in cols]) if cols else F.lit(REASONS[code])
+
+    return [F.when(cond, words(code, cols)) for cond, code, cols in rules]
 
-    def say(cond, code, pattern, *cols):
-        return F.when(cond, F.format_string(pattern, *[c.cast("string") for c in cols]) if text else F.lit(code))
 
-    one = "%s"
-    return [
-        say(F.col("dominant").isNotNull(), "DOMINANT", f"Dominant pollutant: {one} (subindex {one}).", label, top),
-        say(F.lit(True), "O3_DIAGNOSTIC", f"O3 diagnostic: raw_last={one} used_for_aqi={one} method={one}",
-            F.col("o3_raw"), F.col("o3_used"), F.col("o3_method")),
-        say(wind < 2, "LOW_WIND", f"Low wind ({one} m/s): poor dispersion.", wind),
-        say((wind >= 2) & (wind < 4), "LIGHT_WIND", f"Light wind ({one} m/s): limited dispersion.", wind),
-        say(wind >= 4, "HELPFUL_WIND", f"Moderate or high wind ({one} m/s): helps dispersion.", wind),
-        say(hum > 75, "HIGH_HUMIDITY", f"High humidity ({one}%%): hygroscopic growth can increase PM.", hum),
-        say(rain > 0, "RAIN", f"Recent precipitation ({one}): washout likely reduced PM.", rain),
-        say(vis < 2000, "LOW_VISIBILITY", f"Low visibility ({one}): heavy particulate loading.", vis),
-        say(cars > 400, "HIGH_TRAFFIC", f"High vehicle count ({one}): likely higher vehicular PM/NO2.", cars),
-        say((cars > 200) & (cars <= 400), "MODERATE_TRAFFIC", f"Moderate vehicle count ({one}).", cars),
-        say(speed < 20, "LOW_SPEED", f"Low average traffic speed ({one} km/h): congestion adds emissions.", speed),
-        F.when(~F.col("has_weather"), "Weather data not available in live feed." if text else "NO_WEATHER"),
-        F.when(~F.col("has_traffic"), "Traffic data not available in live feed." if text else "NO_TRAFFIC"),
-    ]
+def _suggestions(text: bool) -> list[Column]:
+    dominant = F.col("dominant")
 
+    def words(code):
+        return F.lit(SUGGESTIONS[code] if text else code)
 
-def _suggestions(text: bool) -> list[Column]:
-    wind, rain, dominant = F.col("windspeed"), F.col("precipitation"), F.col("dominant")
-    def pick(code, words):
-        return words if text else code
     return [
-        F.when(dominant == "pm25", pick("AVOID_EXERCISE", "Avoid outdoor exercise; use masks; reduce vehicle travel if possible."))
-        .when(dominant == "pm10", pick("LIMIT_DUST", "Limit dusty outdoor activities; control construction dust."))
-        .when(dominant.isNotNull(), pick("MONITOR", "Monitor updates; reduce exposure if sensitive.")),
-        F.when(wind < 2, pick("CUT_LOCAL_EMISSIONS", "Reduce local emissions (avoid burning, limit non-essential traffic) until dispersion improves.")),
-        F.when(rain > 0, pick("EXPECT_WASHOUT", "Pollution likely to improve after rain; check the updated AQI later.")),
+        F.when(dominant == "pm25", words("AVOID_EXERCISE")).when(dominant == "pm10", words("LIMIT_DUST"))
+        .when(dominant.isNotNull(), words("MONITOR")),
+        F.when(F.col("windspeed") < 2, words("CUT_LOCAL_EMISSIONS")),
+        F.when(F.col("precipitation") > 0, words("EXPECT_WASHOUT")),
     ]
 
 
@@ -107,19 +131,20 @@ def suggestion_codes() -> Column:
     return _compact(_suggestions(False))
 
 
-def report(scored_rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Nested report document per station."""
-    cols = {l: p for p, l in LABELS.items()}
-    value = {l: F.col("o3_used" if p == "o3" else p) for l, p in cols.items()}
+def report(scored_rows: DataFrame, by: Sequence[str], o3_column: str = "o3") -> DataFrame:
+    """Nested report document per station; stations without any sub-index give none."""
+    values = [F.col("o3_used").alias("O3_used_µg/m3") if p == "o3" else F.col(p).alias(l) for p, l in LABELS.items()]
     return scored_rows.where("aqi is not null").select(
         *by, F.current_timestamp().alias("timestamp"), "aqi", "category",
-        F.struct(*[v.alias(l) for l, v in value.items()]).alias("pollutant_values_last"),
-        F.struct(*[F.col(f"si_{p}").alias(l) for l, p in cols.items()]).alias("subindices"),
+        F.struct(*values).alias("pollutant_values_last"),
+        F.struct(*[F.col(f"si_{p}").alias(l) for p, l in LABELS.items()]).alias("subindices"),
         _label().alias("dominant"),
-        F.struct(F.col("o3_raw").alias("raw"), F.col("o3_used").alias("used"), F.col("o3_method").alias("method")).alias("o3_diag"),
-        F.struct(F.col("windspeed").alias("wind"), "humidity", F.col("precipitation").alias("precip"), "visibility").alias("weather_snapshot"),
+        F.struct(F.col("o3_raw").alias("raw"), F.col("o3_used").alias("used"), F.col("o3_method").alias("method"),
+                 F.lit(o3_column).alias("column")).alias("o3_diag"),
+        F.struct(F.col("windspeed").alias("wind"), "humidity", F.col("precipitation").alias("precip"),
+                 "visibility").alias("weather_snapshot"),
         F.struct("vehicle_count", "avg_speed").alias("traffic_snapshot"),
-        _compact(_reasons(True)).alias("reasons"), _compact(_suggestions(True)).alias("suggestions"))
+        _compact(_reasons(True, o3_column)).alias("reasons"), _compact(_suggestions(True)).alias("suggestions"))
 
 
 def with_advice(df: DataFrame, category_col: str) -> DataFrame:

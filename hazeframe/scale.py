@@ -218,7 +218,8 @@ def quantiles(
         df.select(*by, pairs.alias("_pair")).select(*by, "_pair.*")
         .groupBy(*keys, "_value").agg(F.count("_value").alias("_n"))
     )
-    ranked = positions(counts, keys, ["_value"], "_n")
+    # Stored, because sizing, sampling of the ranges and the ranking all read the counts.
+    ranked = positions(stored(counts, "counts"), keys, ["_value"], "_n")
     totals = ranked.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     right = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total")
     cond = F.lit(True)

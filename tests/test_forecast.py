@@ -61,7 +61,7 @@ def test_forecast_contract(spark):
 
 
 def test_order_search(spark):
-    assert len(M.small_grid()) == 36
+    assert len(M.small_grid()) == 36 and len(M.wide_grid()) == 5 * 3 * 5 * 3 * 2 * 3
     df = frame(spark, {"ar": ar1(600, 0.8), "flat": np.full(80, 7.0)})
     best = {r.k: (r.order, r.seasonal) for r in M.best_orders(df, ["k"], "ts", "y").collect()}
     assert best["ar"][0][0] >= 1

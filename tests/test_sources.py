@@ -59,7 +59,13 @@ def test_published_reasons(spark):
     got = out.select("aqi", "category", R.reason_codes().alias("r"), R.suggestion_codes().alias("s")).first()
     assert got[:] == (161, "Moderate", ["DOMINANT", "O3_DIAGNOSTIC", "LIGHT_WIND", "NO_TRAFFIC"], ["MONITOR"])
     doc = R.report(out, ["station"]).first()
-    assert doc.dominant == "O3" and doc.reasons[0] == "Dominant pollutant: O3 (subindex 161.24)."
+    assert doc.dominant == "O3"
+    assert doc.reasons == [
+        "Dominant pollutant: O3 (subindex 161.24).",
+        "O3 diagnostic: raw_last=141.77 µg/m3  used_for_aqi=141.77 µg/m3  method=8hr_rolling  col=o3",
+        "Light wind (2.49 m/s) — limited dispersion.", "Traffic data not available in live feed."]
+    assert doc.suggestions == ["Monitor updates; reduce exposure if sensitive."]
+    assert doc.pollutant_values_last["O3_used_µg/m3"] == 141.77
 
 
 def test_payload_edges(spark):
