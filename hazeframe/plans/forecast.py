@@ -185,15 +185,20 @@ def _unpack(row, y, exog):
 
 
 def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Sequence[str] = (),
-                  grid: list[tuple] | None = None, partitions: int | None = None) -> DataFrame:
-    """AIC of every candidate order of every series, one task slot per (series, candidate)."""
+                  grid: list[tuple] | None = None, blocks: int = 6, partitions: int | None = None) -> DataFrame:
+    """AIC of every candidate order of every series.
+
+    The candidates of a series are dealt out to ``blocks`` groups, so that a few long
+    series still use many cores and many short ones do not pay for a group per fit.
+    """
     keys, exog, grid = list(keys), list(exog), grid or small_grid()
     spark = df.sparkSession
+    blocks = min(blocks, len(grid))
     packed = _pack(df.where(F.col(y).isNotNull()), keys, ts, [y, *exog])
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("candidate")
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     # An explicit count keeps adaptive execution from merging small but slow partitions.
-    fan = packed.drop(f"_a_{ts}").select("*", numbers).repartition(n, *keys, "candidate")
+    fan = packed.drop(f"_a_{ts}").select("*", numbers).repartition(n, *keys, "_block")
     types = dict(df.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", candidate int, aic double"
     widest = max(max(p + q + 2, p, q, 4, SEASON * max(P, Q)) for (p, _, q), (P, _, Q) in grid)
@@ -201,16 +206,19 @@ def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seq
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
         values, x = _unpack(row, y, exog)
-        order, seasonal = grid[int(row["candidate"])]
-        # A common first point makes the candidates comparable.
-        lost = order[1] + SEASON * seasonal[1]
-        try:
-            aic = fit_series(values, order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]
-        except np.linalg.LinAlgError:
-            return _rows({k: None for k in keys}, 0, candidate=np.empty(0, "int32"), aic=np.empty(0))
-        return _rows({k: row[k] for k in keys}, 1, candidate=np.array([row["candidate"]], "int32"), aic=[float(aic)])
-
-    return fan.groupBy(*keys, "candidate").applyInPandas(run, schema)
+        done = []
+        for number in range(int(row["_block"]), len(grid), blocks):
+            order, seasonal = grid[number]
+            # A common first point makes the candidates comparable.
+            lost = order[1] + SEASON * seasonal[1]
+            try:
+                done.append((number, fit_series(values, order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]))
+            except np.linalg.LinAlgError:
+                continue
+        return _rows({k: row[k] for k in keys}, len(done), candidate=np.array([c for c, _ in done], "int32"),
+                     aic=np.array([a for _, a in done], float))
+
+    return fan.groupBy(*keys, "_block").applyInPandas(run, schema)
 
 
 def best_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Sequence[str] = (),
