@@ -174,7 +174,7 @@ def outer_join_feeds(spark, sf):
                         hourly(V.traffic(spark, sf), "vehicle_count", False), ["station", "hour"])
 
 
-@query("scale_repair", sql("hourly_station traffic", """SELECT y.station, y.ts, round(y.pm25 * s.scale, 8) AS pm25, round(s.scale, 6) AS scale FROM y JOIN s USING (station)""",
+@query("scale_repair", sql("hourly_station traffic", """SELECT y.station, y.ts, round(y.pm25 * s.scale, 6) AS pm25, round(s.scale, 6) AS scale FROM y JOIN s USING (station)""",
     y="SELECT station, ts, pm25 / 20 AS pm25 FROM hourly_station",
     l="SELECT station, arg_max(pm25, ts) FILTER (WHERE pm25 IS NOT NULL) AS last FROM y GROUP BY station",
     v="SELECT station, arg_max(vehicle_count, ord) AS live FROM traffic GROUP BY station",
@@ -183,8 +183,11 @@ def scale_repair(spark, sf):
     y = V.hourly_station(spark, sf).withColumn("pm25", F.col("pm25") / 20)
     live = V.traffic(spark, sf).select("station", "ts", "ord", "vehicle_count")
     out = T.repair_scale(y, live, ["station"], "ts", "pm25", "ts", "vehicle_count", ["ord"])
-    # The product has seven decimals: eight keep all of them, six would meet ties.
-    return out.select("station", "ts", F.round("pm25", 8).alias("pm25"), F.round("scale", 6).alias("scale"))
+    # The products meet many ties, which Spark's round takes on the decimal text; the SQL
+    # rounds the binary value half away from zero.
+    x = F.col("pm25")
+    binary = F.signum(x) * F.floor(F.abs(x) * 1e6 + 0.5) / 1e6
+    return out.select("station", "ts", binary.alias("pm25"), F.round("scale", 6).alias("scale"))
 
 
 def training(spark, sf):
