@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_shipped: set[str] = set()
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -58,3 +62,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver was started.
+
+    The package is added to the session once; Spark hands it to every executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(SparkFiles.getRootDirectory(), f"package-{uuid.uuid4().hex}"), "zip",
+        root_dir=os.path.dirname(package), base_dir=os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
