@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from hazeframe.catalog import views as V
 from hazeframe.catalog.registry import NUMBER_GUARD, query, sql
 from hazeframe.functions import casts as C
-from hazeframe.functions.places import load_places, match_location as place_match
+from hazeframe.catalog.scoring import STRICT
+from hazeframe.functions.aqi import score_aqi
+from hazeframe.functions.places import match_places
 from hazeframe.operators import columns as K
 from hazeframe.operators import filters as FI
 from hazeframe.operators import joins as J
@@ -114,15 +116,18 @@ PLACE_QUERY = """CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name)
  len(list_filter(string_split_regex(lower(replace(query, '-', ' ')), '\\s+'), lambda w: w <> '' AND contains(lower(name), w))) END AS rank FROM q, g"""))
 def match_location(spark, sf):
     part = V.table(spark, sf, "part")
-    places = load_places(part.groupBy("p_name").agg(F.min("p_size").alias("lat"), F.max("p_size").alias("lon")), "p_name", "lat", "lon")
     rows = part.select("p_partkey", F.expr(PLACE_QUERY).alias("query"))
-    return rows.withColumn("place", place_match(F.col("query"), places))
+    return match_places(rows, "query", part, "p_name")
 
 
-@query("unpivot_parameters", sql("air", """SELECT ord, 'pm25' AS parameter, pm25 AS value FROM air UNION ALL SELECT ord, 'pm10', pm10 FROM air
- UNION ALL SELECT ord, 'no2', no2 FROM air UNION ALL SELECT ord, 'o3', o3 FROM air"""))
+PARAMETERS = ("aqi", "pm25", "pm10", "no2", "o3")
+
+
+@query("unpivot_parameters", sql("air", " UNION ALL ".join(
+    f"SELECT ord, '{p}' AS parameter, CAST({p} AS DOUBLE) AS value FROM strict" for p in PARAMETERS), **STRICT))
 def unpivot_parameters(spark, sf):
-    return V.air_wide(spark, sf).unpivot("ord", ["pm25", "pm10", "no2", "o3"], "parameter", "value")
+    rows = score_aqi(V.air_wide(spark, sf), "in_strict").withColumn("aqi", F.col("aqi").cast("double"))
+    return rows.unpivot("ord", list(PARAMETERS), "parameter", "value")
 
 
 @query("tidy_columns", sql("ev", "SELECT ord, value AS wind_speed_m_s, k AS rel_humidity_pct, event_type AS type_of_event FROM ev"))
@@ -165,6 +170,18 @@ def normalize_traffic(spark, sf):
     return K.normalize(raw, "traffic")
 
 
+@query("normalize_weather_raw", sql("wx", """SELECT 'S' || station AS "City", CAST(NULL AS DOUBLE) AS "Latitude", CAST(NULL AS DOUBLE) AS "Longitude", ts AS "Timestamp", temperature AS "Temperature (°C)",
+ humidity AS "Humidity (%)", CAST(NULL AS DOUBLE) AS "Pressure (hPa)", windspeed AS "Wind Speed (m/s)", CAST(NULL AS DOUBLE) AS "Wind Direction (°)", CAST(NULL AS DOUBLE) AS "Cloudiness (%)",
+ visibility AS "Visibility (m)", CAST(NULL AS VARCHAR) AS "Source" FROM wx"""))
+def normalize_weather_raw(spark, sf):
+    """The landing schema of weather rows; numbers arrive as text."""
+    raw = V.wx(spark, sf).select(
+        F.concat(F.lit("S"), F.col("station").cast("string")).alias("City"), F.col("ts").alias("Timestamp"),
+        F.col("temperature").cast("string").alias("Temperature (°C)"), F.col("humidity").alias("Humidity (%)"),
+        F.col("windspeed").alias("Wind Speed (m/s)"), F.col("visibility").alias("Visibility (m)"))
+    return K.normalize(raw, "weather_raw")
+
+
 @query("drop_all_null_cols", sql("null_rows", "SELECT ord, ts, station, temperature, humidity, windspeed FROM null_rows"))
 def drop_all_null_cols(spark, sf):
     return K.drop_all_null_columns(V.null_rows(spark, sf))

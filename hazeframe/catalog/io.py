@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from hazeframe.catalog import views as V
 from hazeframe.catalog.cleaning import LENIENT_TS, lenient
 from hazeframe.catalog.registry import query, sql
+from hazeframe.operators import columns as K
 from hazeframe.operators import upsert as U
+from hazeframe.plans.feeds import parse_time
 from hazeframe.session import scratch_path
 from hazeframe.sources import files, payloads
 
@@ -19,6 +21,32 @@ def scan_csv_typed(spark, sf):
     return files.typed(text, {"ord": "bigint", "reading": "double", "at": "timestamp", "flag": "boolean"})
 
 
+@query("csv_unknown_header", sql("air", "SELECT station, ord, ts AS timestamp, pm25 AS PM2_5, o3 AS ozone FROM air"))
+def csv_unknown_header(spark, sf):
+    """A feed whose columns nobody names: header scan, then the finders."""
+    root = scratch_path(spark, "csv")
+    rows = V.air_wide(spark, sf).select(
+        "station", "ord", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Reading Time (é)"),
+        F.col("pm25").alias("pm2.5"), F.col("o3").alias("O3_ugm3"))
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{root}/feed")
+    raw = files.first_source(spark, [f"{root}/missing", f"{root}/feed"], "csv", encoding="ISO-8859-1")
+    ozone = K.o3_column(raw)
+    named = K.canonical_rename(parse_time(raw, "clean"), "aqi", skip=["timestamp"]).withColumnRenamed(ozone, "ozone")
+    return files.typed(named.select("station", "ord", "timestamp", "PM2_5", "ozone"),
+                       {"station": "bigint", "ord": "bigint", "PM2_5": "double", "ozone": "double"} | {"timestamp": "asis"})
+
+
+@query("derived_csv_roundtrip", sql("air", "SELECT station, date_trunc('hour', ts) AS hour, round(avg(o3), 4) AS o3, count(*) AS n FROM air GROUP BY ALL"))
+def derived_csv_roundtrip(spark, sf):
+    """A derived table written as CSV in two appends, and read back."""
+    path = scratch_path(spark, "derived")
+    hours = V.air_wide(spark, sf).groupBy("station", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.round(F.avg("o3"), 4).alias("o3"), F.count("*").alias("n"))
+    files.write_csv(hours.where("station % 2 = 0"), path)
+    files.write_csv(hours.where("station % 2 = 1"), path, "append")
+    return files.typed(files.read_text_table(spark, path), {"station": "bigint", "hour": "timestamp", "o3": "double", "n": "bigint"})
+
+
 @query("sink_roundtrip", sql("air", "SELECT ord, ts, station, pm25, CAST(ts AS DATE) AS date FROM air"))
 def sink_roundtrip(spark, sf):
     path = scratch_path(spark, "sink")

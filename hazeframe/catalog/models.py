@@ -5,14 +5,16 @@ import datetime
 from pyspark.sql import functions as F
 
 from hazeframe.catalog import views as V
-from hazeframe.catalog.ordered import training
+from hazeframe.catalog.ordered import TRAINING, training
 from hazeframe.catalog.registry import query, sql
-from hazeframe.catalog.scoring import US_CATEGORY
+from hazeframe.catalog.scoring import STRICT, US_CATEGORY
 from hazeframe.functions.aqi import category, score_aqi
-from hazeframe.operators.impute import impute_median, impute_neighbours
+from hazeframe.operators.grid import resample_hourly
+from hazeframe.operators.impute import impute_neighbours
 from hazeframe.plans import forecast as M
 from hazeframe.plans import learn as L
 from hazeframe.plans.training import feature_frame as features_of
+from hazeframe.session import stored
 
 
 def series(spark, sf):
@@ -76,9 +78,43 @@ def stale_series(spark, sf):
     return M.stale_series(names, models, ["station", "parameter"], F.lit(NOW).cast("timestamp_ntz"))
 
 
+PARAMETERS = ("aqi", "pm25", "pm10", "no2", "o3")
+
+
+def parameter_series(spark, sf):
+    """Gap-free hourly values per station and parameter."""
+    rows = score_aqi(V.air_wide(spark, sf), "in_strict").withColumn("aqi", F.col("aqi").cast("double"))
+    long = rows.unpivot(["station", "ts"], list(PARAMETERS), "parameter", "value")
+    hours = resample_hourly(long, ["station", "parameter"], "ts", ["value"])
+    filled = impute_neighbours(hours, ["station", "parameter"], ["ts"], ["value"], bounded=True)
+    return filled.where("value is not null")
+
+
 @query("forecast_24h")
 def forecast_24h(spark, sf):
-    return M.forecast_24h(series(spark, sf), ["station"], "ts", "pm25")
+    """All five parameters of every station."""
+    return M.forecast_24h(parameter_series(spark, sf), ["station", "parameter"], "ts", "value")
+
+
+# Order (1, 1, 0): the step follows its predecessor, so its forecast has a closed form.
+STEPS = {
+    **STRICT,
+    "lng": " UNION ALL ".join(f"SELECT station, '{p}' AS parameter, date_trunc('hour', ts) AS ts, avg({p}) AS v FROM strict GROUP BY ALL" for p in PARAMETERS),
+    "lgrid": "SELECT station, parameter, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM lng GROUP BY station, parameter",
+    "lall": "SELECT g.station, g.parameter, g.ts, v FROM lgrid g LEFT JOIN lng l ON g.station = l.station AND g.parameter = l.parameter AND g.ts = l.ts",
+    "lv": """SELECT * FROM (SELECT station, parameter, ts, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY station, parameter ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+ last_value(v IGNORE NULLS) OVER (PARTITION BY station, parameter ORDER BY ts DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS v FROM lall) WHERE v IS NOT NULL""",
+    "ld": "SELECT station, parameter, ts, v, v - lag(v) OVER w AS d FROM lv WINDOW w AS (PARTITION BY station, parameter ORDER BY ts)",
+    "lp": "SELECT *, lag(d) OVER (PARTITION BY station, parameter ORDER BY ts) AS d0 FROM ld",
+    "lf": "SELECT station, parameter, regr_slope(d, d0) AS phi, regr_intercept(d, d0) AS c, arg_max(v, ts) AS lastv, arg_max(d, ts) AS lastd, max(ts) AS last_ts, count(*) AS n FROM lp GROUP BY station, parameter",
+}
+
+
+@query("forecast_110", sql("air", """SELECT station, parameter, CAST(s AS INTEGER) AS step, last_ts + s * INTERVAL 1 HOUR AS ts,
+ round(lastv + s * c / (1 - phi) + (lastd - c / (1 - phi)) * phi * (1 - pow(phi, s)) / (1 - phi), 4) AS yhat FROM lf, generate_series(1, 24) t(s) WHERE n >= 10""", **STEPS))
+def forecast_110(spark, sf):
+    out = M.forecast_24h(parameter_series(spark, sf), ["station", "parameter"], "ts", "value", order=((1, 1, 0), (0, 0, 0)))
+    return out.withColumn("yhat", F.round("yhat", 4))
 
 
 @query("arima_grid_best")
@@ -86,26 +122,53 @@ def arima_grid_best(spark, sf):
     return M.best_orders(series(spark, sf), ["station"], "ts", "pm25")
 
 
+@query("arima_wide_search")
+def arima_wide_search(spark, sf):
+    """Search beyond the small grid: every order up to (4, 2, 4) without a seasonal part."""
+    return M.best_orders(series(spark, sf), ["station"], "ts", "pm25", grid=[g for g in M.wide_grid() if g[1] == (0, 0, 0)])
+
+
+AR_GRID = [((p, d, 0), (0, 0, 0)) for d in range(2) for p in range(2)]
+
+
+@query("ar_order_search", sql("hourly_station", """SELECT station, ord[1] AS p, ord[2] AS d, round(aic, 4) AS aic FROM (SELECT station, ord, aic, row_number() OVER (PARTITION BY station ORDER BY aic, nr) AS rn FROM cand) WHERE rn = 1""",
+    **SERIES,
+    i="SELECT station, ts, pm25 AS y, row_number() OVER (PARTITION BY station ORDER BY ts) - 1 AS i FROM y",
+    d1="SELECT *, y - lag(y) OVER w AS d, lag(y) OVER w AS y0 FROM i WINDOW w AS (PARTITION BY station ORDER BY i)",
+    d2="SELECT *, lag(d) OVER (PARTITION BY station ORDER BY i) AS d0 FROM d1",
+    u="SELECT station, count(*) AS n, var_pop(y) AS vy, var_pop(d) AS vd, regr_r2(y, y0) AS ry, regr_r2(d, d0) AS rd FROM d2 WHERE i >= 6 GROUP BY station",
+    cand="""SELECT station, 0 AS nr, [0, 0] AS ord, n * ln(greatest(vy, 1e-12)) + 4 AS aic FROM u WHERE n > 1 UNION ALL SELECT station, 1, [1, 0], n * ln(greatest(vy * (1 - ry), 1e-12)) + 6 FROM u WHERE n > 2
+ UNION ALL SELECT station, 2, [0, 1], n * ln(greatest(vd, 1e-12)) + 4 FROM u WHERE n > 1 UNION ALL SELECT station, 3, [1, 1], n * ln(greatest(vd * (1 - rd), 1e-12)) + 6 FROM u WHERE n > 2"""))
+def ar_order_search(spark, sf):
+    """The order search on candidates whose fits have a closed form."""
+    out = M.best_orders(series(spark, sf), ["station"], "ts", "pm25", grid=AR_GRID)
+    return out.select("station", F.col("order")[0].alias("p"), F.col("order")[1].alias("d"), F.round("aic", 4).alias("aic"))
+
+
 EXOG = ["temperature", "humidity", "windspeed"]
 
 
 def _fitted(spark, sf):
     frame = training(spark, sf)
     exog = [c for c in EXOG if c in frame.columns]
-    grid = [g for g in M.small_grid() if g[0][2] == 0 and g[1] == (0, 0, 0)]
-    orders = M.best_orders(frame, ["station"], "timestamp", "aqi", exog, grid)
-    return frame, M.fit_insample(frame, orders, ["station"], "timestamp", "aqi", exog), exog
+    orders = M.best_orders(frame, ["station"], "timestamp", "aqi", exog)
+    return frame, M.fit_insample(frame, orders, ["station"], "timestamp", "aqi", exog)
 
 
 @query("insample_fit")
 def insample_fit(spark, sf):
+    """Order search over all 36 candidates, then the fit."""
     return _fitted(spark, sf)[1]
 
 
-@query("model_metadata")
+@query("model_metadata", sql("air wx traffic", """SELECT station, max(timestamp) AS training_end, concat_ws(',', CASE WHEN count(temperature) = count(*) THEN 'temperature' END, CASE WHEN count(humidity) = count(*) THEN 'humidity' END,
+ CASE WHEN count(windspeed) = count(*) AND 1 - abs(corr(temperature, windspeed)) > 1e-9 THEN 'windspeed' END) AS exog_cols, round(max(scale), 6) AS applied_scale, max(scale) <> 1 AS scaled FROM tf GROUP BY station""", **TRAINING))
 def model_metadata(spark, sf):
-    frame, insample, exog = _fitted(spark, sf)
-    return M.model_table(insample, frame, ["station"], exog)
+    """What a table of fitted models says beside order and AIC (see ``insample_fit``). Wind
+    speed is a multiple of temperature in the test feeds, so no fit can use both."""
+    frame, insample = _fitted(spark, sf)
+    return M.model_table(insample, frame, ["station"]).select(
+        "station", "training_end", "exog_cols", F.round("applied_scale", 6).alias("applied_scale"), "scaled")
 
 
 @query("insample_fixed_order", sql("hourly_station", "SELECT station, ts, round(pm25, 6) AS y, round(y_pred, 6) AS y_pred FROM ins", **SERIES))
@@ -142,35 +205,52 @@ def frame(spark, sf):
     return features_of(air, V.wx(spark, sf).select("station", "ts", "temperature", "humidity", "windspeed"), "aqi", "ts", ["station"])
 
 
-@query("feature_frame", sql("air wx", """SELECT station, ts, round(pm10, 6) AS pm10, round(no2, 6) AS no2, round(temperature, 6) AS temperature, round(humidity, 6) AS humidity,
- CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS dayofweek FROM a LEFT JOIN w USING (station, ts)""",
-    a="SELECT station, date_trunc('hour', ts) AS ts, avg(pm10) AS pm10, avg(no2) AS no2 FROM air GROUP BY ALL",
-    w="SELECT station, date_trunc('hour', ts) AS ts, avg(temperature) AS temperature, avg(humidity) AS humidity FROM wx GROUP BY ALL"))
+MEASURES = ("pm10", "no2", "so2", "co", "nh3", "temperature", "humidity", "windspeed")
+
+
+@query("feature_frame", sql("air wx", "SELECT station, ts, " + ", ".join(f"round({c}, 6) AS {c}" for c in MEASURES) + """, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS dayofweek,
+ round(aqi, 6) AS aqi FROM a LEFT JOIN w USING (station, ts)""", **STRICT,
+    a="SELECT station, date_trunc('hour', ts) AS ts, " + ", ".join(f"avg({c}) AS {c}" for c in (*MEASURES[:5], "aqi")) + " FROM strict GROUP BY ALL",
+    w="SELECT station, date_trunc('hour', ts) AS ts, " + ", ".join(f"avg({c}) AS {c}" for c in MEASURES[5:]) + " FROM wx GROUP BY ALL"))
 def feature_frame(spark, sf):
-    return frame(spark, sf).select("station", "ts", *[F.round(c, 6).alias(c) for c in ("pm10", "no2", "temperature", "humidity")], "hour", "dayofweek")
+    rounded = {c: F.round(c, 6) for c in (*MEASURES, "aqi")}
+    return frame(spark, sf).withColumns(rounded)
 
 
 def learning_rows(spark, sf):
-    from hazeframe.session import stored
-    rows = frame(spark, sf).where("aqi is not null")
-    # Iterative training reads the frame many times.
-    return stored(impute_median(rows, ["temperature", "humidity", "windspeed"], zero_if_empty=True), "features")
+    """Training and test part. Stored, because iterative training reads the frame many times."""
+    rows = stored(frame(spark, sf).where("aqi is not null"), "features")
+    return L.fill_from_training(*L.split_by_time(rows, "ts"), FEATURES)
+
+
+@query("linreg_two_features", sql("air", """SELECT 'linear' AS model, count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae, round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2
+ FROM (SELECT aqi AS y, aqi - (my + b1 * (pm10 - m1) + b2 * (no2 - m2)) AS e FROM h, fit, cut WHERE epoch_us(ts) > "at")""", **STRICT,
+    h="SELECT station, date_trunc('hour', ts) AS ts, avg(pm10) AS pm10, avg(no2) AS no2, avg(aqi) AS aqi FROM strict GROUP BY ALL HAVING avg(aqi) IS NOT NULL",
+    cut="SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) * 0.8 AS \"at\" FROM h",
+    mo="""SELECT avg(pm10) AS m1, avg(no2) AS m2, avg(aqi) AS my, var_pop(pm10) AS s11, var_pop(no2) AS s22, covar_pop(pm10, no2) AS s12, covar_pop(pm10, aqi) AS s1, covar_pop(no2, aqi) AS s2
+ FROM h, cut WHERE epoch_us(ts) <= "at" """,
+    fit="SELECT m1, m2, my, (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) AS b1, (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM mo"))
+def linreg_two_features(spark, sf):
+    """The linear model on two features, against the normal equations."""
+    train, test = learning_rows(spark, sf)
+    out = L.metrics(L.fit_linear(train, ["pm10", "no2"], "aqi", scale=True), test, "aqi", "linear")
+    return out.withColumns({c: F.round(c, 6) for c in ("rmse", "mae", "r2")})
 
 
 @query("linreg_metrics")
 def linreg_metrics(spark, sf):
-    train, test = L.split_by_time(learning_rows(spark, sf), "ts")
+    train, test = learning_rows(spark, sf)
     model = L.fit_linear(train, FEATURES, "aqi", scale=True)
     return L.metrics(model, test, "aqi", "linear")
 
 
 @query("gbt_metrics")
 def gbt_metrics(spark, sf):
-    train, test = L.split_by_time(learning_rows(spark, sf), "ts")
+    train, test = learning_rows(spark, sf)
     return L.metrics(L.fit_trees(train, FEATURES, "aqi"), test, "aqi", "boosted_trees")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    rows = learning_rows(spark, sf)
-    return L.importances(L.fit_trees(L.split_by_time(rows, "ts")[0], FEATURES, "aqi"), FEATURES, rows)
+    train, _ = learning_rows(spark, sf)
+    return L.importances(L.fit_trees(train, FEATURES, "aqi"), FEATURES, train)

@@ -152,6 +152,32 @@ def asof_nearest(spark, sf):
     return J.asof(left, right, ["station"], "ts", ["ord"], ["ord"], "nearest", "1 hour", prefix="wx_").drop("ts", "wx_ts")
 
 
+# Weather rows that lost their time, and readings that did.
+HOLES = {
+    "l": "SELECT ord, station, CASE WHEN ord % 17 <> 0 THEN ts END AS ts FROM air",
+    "r": "SELECT ord, station, CASE WHEN ord % 3 <> 0 THEN ts END AS ts, temperature FROM wx",
+}
+
+
+def holes(spark, sf):
+    left = V.air_wide(spark, sf).selectExpr("ord", "station", "case when ord % 17 <> 0 then ts end as ts")
+    return left, V.wx(spark, sf).selectExpr("ord", "station", "case when ord % 3 <> 0 then ts end as ts", "temperature")
+
+
+@query("asof_nearest_null_times", sql("air wx", """SELECT ord, station, wx_ord FROM (SELECT l.ord, l.station, r.ord AS wx_ord,
+ row_number() OVER (PARTITION BY l.ord ORDER BY abs(epoch_us(l.ts) - epoch_us(r.ts)), r.ts DESC) AS rn
+ FROM l LEFT JOIN r ON l.station = r.station AND r.ts BETWEEN l.ts - INTERVAL 1 HOUR AND l.ts + INTERVAL 1 HOUR) WHERE rn = 1""", **HOLES))
+def asof_nearest_null_times(spark, sf):
+    left, right = holes(spark, sf)
+    return J.asof(left, right, ["station"], "ts", ["ord"], ["ord"], "nearest", "1 hour", prefix="wx_").select("ord", "station", "wx_ord")
+
+
+@query("asof_backward_null_times", sql("air wx", "SELECT l.ord, l.station, r.ord AS wx_ord FROM l ASOF LEFT JOIN (SELECT * FROM r WHERE ts IS NOT NULL) r ON l.station = r.station AND l.ts >= r.ts", **HOLES))
+def asof_backward_null_times(spark, sf):
+    left, right = holes(spark, sf)
+    return J.asof(left, right, ["station"], "ts", ["ord"], ["ord"], "backward", prefix="wx_").select("ord", "station", "wx_ord")
+
+
 @query("asof_backward", sql("air wx", "SELECT a.ord, a.station, w.ord AS wx_ord, w.temperature AS wx_temperature FROM air a ASOF LEFT JOIN wx w ON a.station = w.station AND a.ts >= w.ts"))
 def asof_backward(spark, sf):
     right = V.wx(spark, sf).select("station", "ts", "ord", "temperature")
@@ -174,7 +200,7 @@ def outer_join_feeds(spark, sf):
                         hourly(V.traffic(spark, sf), "vehicle_count", False), ["station", "hour"])
 
 
-@query("scale_repair", sql("hourly_station traffic", """SELECT y.station, y.ts, round(y.pm25 * s.scale, 6) AS pm25, round(s.scale, 6) AS scale FROM y JOIN s USING (station)""",
+@query("scale_repair", sql("hourly_station traffic", """SELECT y.station, y.ts, floor(y.pm25 * s.scale * 1e6 + 0.5) / 1e6 AS pm25, round(s.scale, 6) AS scale FROM y JOIN s USING (station)""",
     y="SELECT station, ts, pm25 / 20 AS pm25 FROM hourly_station",
     l="SELECT station, arg_max(pm25, ts) FILTER (WHERE pm25 IS NOT NULL) AS last FROM y GROUP BY station",
     v="SELECT station, arg_max(vehicle_count, ord) AS live FROM traffic GROUP BY station",
@@ -183,11 +209,8 @@ def scale_repair(spark, sf):
     y = V.hourly_station(spark, sf).withColumn("pm25", F.col("pm25") / 20)
     live = V.traffic(spark, sf).select("station", "ts", "ord", "vehicle_count")
     out = T.repair_scale(y, live, ["station"], "ts", "pm25", "ts", "vehicle_count", ["ord"])
-    # The products meet many ties, which Spark's round takes on the decimal text; the SQL
-    # rounds the binary value half away from zero.
-    x = F.col("pm25")
-    binary = F.signum(x) * F.floor(F.abs(x) * 1e6 + 0.5) / 1e6
-    return out.select("station", "ts", binary.alias("pm25"), F.round("scale", 6).alias("scale"))
+    # Compared to six decimals, cut the same way on both sides.
+    return out.select("station", "ts", (F.floor(F.col("pm25") * 1e6 + 0.5) / 1e6).alias("pm25"), F.round("scale", 6).alias("scale"))
 
 
 def training(spark, sf):
@@ -200,6 +223,27 @@ def training(spark, sf):
     return T.training_frame(sources, weather, live, ["station"], ["ord"])
 
 
+@query("training_series_text_time", sql("dirty_ts", """SELECT g.station, g.timestamp, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY g.station ORDER BY g.timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+ last_value(v IGNORE NULLS) OVER (PARTITION BY g.station ORDER BY g.timestamp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS aqi FROM g LEFT JOIN h ON g.station = h.station AND g.timestamp = h.h""",
+    p="SELECT station, ord, CAST(ord % 500 AS DOUBLE) AS v, CASE WHEN raw_ts = 'not a time' THEN NULL ELSE TRY_CAST(regexp_replace(raw_ts, '\\+00:00$', '') AS TIMESTAMP) END AS ts FROM dirty_ts",
+    h="SELECT station, date_trunc('hour', ts) AS h, arg_max(v, struct_pack(ts := ts, ord := ord)) AS v FROM p WHERE ts IS NOT NULL GROUP BY ALL",
+    g="SELECT station, unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS timestamp FROM h GROUP BY station"))
+def training_series_text_time(spark, sf):
+    """Times as text, some of them none: rows without a time are left out."""
+    rows = V.dirty_ts(spark, sf).select("station", "ord", F.col("raw_ts").alias("time"), (F.col("ord") % 500).cast("string").alias("aqi"))
+    return T.training_series(rows, ["station"], ["ord"])
+
+
+@query("merge_masters", sql("air wx traffic", """SELECT coalesce(a.ts, w.ts, t.ts) AS timestamp, o3, a.station AS station_aqi_x, w.station AS station_weather, temperature, vehicle_count, t.station AS station
+ FROM (SELECT ts, station, o3 FROM air) a FULL JOIN (SELECT ts, station, temperature FROM wx) w ON a.ts = w.ts FULL JOIN (SELECT ts, station, vehicle_count FROM traffic) t ON coalesce(a.ts, w.ts) = t.ts""".replace("station_aqi_x", "station_aqi")))
+def merge_masters(spark, sf):
+    """Three raw feeds, each with a time column of another name."""
+    a = V.air_wide(spark, sf).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("reading_time"), "station", "o3")
+    w = V.wx(spark, sf).select(F.col("ts").alias("obs_date"), "station", "temperature")
+    t = V.traffic(spark, sf).select("station", F.col("ts").alias("timestamp"), "vehicle_count")
+    return J.merge_masters(a, w, t)
+
+
 TRAINING = {
     **STRICT,
     "h": "SELECT station, date_trunc('hour', ts) AS h, arg_max(struct_pack(v := aqi), ord).v AS aqi FROM strict GROUP BY ALL",

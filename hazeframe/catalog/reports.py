@@ -60,17 +60,77 @@ def suggestion_codes(spark, sf):
     return R.scored(snap(spark, sf)).select("station", F.array_join(R.suggestion_codes(), ",").alias("suggestions"))
 
 
-@query("current_report")
-def current_report(spark, sf):
-    return R.report(R.scored(snap(spark, sf)), ["station"])
+REPORT_LABELS = {"pm25": "PM2.5", "pm10": "PM10", "no2": "NO2", "so2": "SO2", "o3": "O3", "nh3": "NH3"}
+NOW = "2024-02-01 00:00:00"
+
+
+def _text(code, *cols):
+    """A report text as SQL, its places filled with columns."""
+    parts = R.REASONS[code].replace("%%", "%").split("%s")
+    out = []
+    for k, part in enumerate(parts):
+        out.append("'" + part.replace("'", "''") + "'")
+        if k < len(cols):
+            out.append(f"coalesce(CAST({cols[k]} AS VARCHAR), 'null')")
+    return " || ".join(out)
+
+
+REPORT = {
+    **SNAP,
+    "wide": "SELECT station, " + ", ".join(f"max(s) FILTER (WHERE pollutant = '{p}') AS si_{p}" for p in REPORT_LABELS) + " FROM si GROUP BY station",
+    "doc": "SELECT snap.*, sc.aqi, sc.dominant, " + ", ".join(f"si_{p}" for p in REPORT_LABELS) + f""",
+ CASE dominant {' '.join(f"WHEN '{p}' THEN '{l}'" for p, l in REPORT_LABELS.items())} END AS label, CASE dominant {' '.join(f"WHEN '{p}' THEN si_{p}" for p in REPORT_LABELS)} END AS top,
+ {IN_CATEGORY} AS category FROM snap JOIN sc USING (station) JOIN wide USING (station) WHERE aqi IS NOT NULL""",
+}
 
 
-@query("health_advisory", sql("air", f"""SELECT ord, {US_CATEGORY} AS category,
- CASE {US_CATEGORY} WHEN 'Good' THEN 'Enjoy outdoor activities.' WHEN 'Moderate' THEN 'Outdoor activity is fine for most people.' WHEN 'Unhealthy for Sensitive Groups' THEN 'Shorten long outdoor exertion.'
- WHEN 'Unhealthy' THEN 'Avoid long outdoor exertion.' WHEN 'Very Unhealthy' THEN 'Stay indoors where possible.' WHEN 'Hazardous' THEN 'Stay indoors and wear a mask outside.' END AS advice FROM strict""", **STRICT))
+@query("current_report", sql("air wx traffic", f"""SELECT station, TIMESTAMP '{NOW}' AS timestamp, aqi, category, label AS dominant,
+ pm25 AS v_pm25, pm10 AS v_pm10, no2 AS v_no2, so2 AS v_so2, o3_used AS v_o3, nh3 AS v_nh3, {', '.join(f'si_{p}' for p in REPORT_LABELS)}, o3_raw, o3_used, o3_method, 'o3' AS o3_column,
+ windspeed, humidity, precipitation, visibility, vehicle_count, avg_speed,
+ array_to_string(list_filter([CASE WHEN dominant IS NOT NULL THEN {_text('DOMINANT', 'label', 'top')} END, {_text('O3_DIAGNOSTIC', 'o3_raw', 'o3_used', 'o3_method', "'o3'")},
+ CASE WHEN windspeed < 2 THEN {_text('LOW_WIND', 'windspeed')} WHEN windspeed < 4 THEN {_text('LIGHT_WIND', 'windspeed')} WHEN windspeed >= 4 THEN {_text('HELPFUL_WIND', 'windspeed')} END,
+ CASE WHEN humidity > 75 THEN {_text('HIGH_HUMIDITY', 'humidity')} END, CASE WHEN precipitation > 0 THEN {_text('RAIN', 'precipitation')} END, CASE WHEN visibility < 2000 THEN {_text('LOW_VISIBILITY', 'visibility')} END,
+ CASE WHEN vehicle_count > 400 THEN {_text('HIGH_TRAFFIC', 'vehicle_count')} WHEN vehicle_count > 200 THEN {_text('MODERATE_TRAFFIC', 'vehicle_count')} END,
+ CASE WHEN avg_speed < 20 THEN {_text('LOW_SPEED', 'avg_speed')} END, CASE WHEN NOT has_weather THEN {_text('NO_WEATHER')} END, CASE WHEN NOT has_traffic THEN {_text('NO_TRAFFIC')} END], lambda x: x IS NOT NULL), '|') AS reasons,
+ array_to_string(list_filter([CASE WHEN dominant = 'pm25' THEN '{R.SUGGESTIONS["AVOID_EXERCISE"]}' WHEN dominant = 'pm10' THEN '{R.SUGGESTIONS["LIMIT_DUST"]}' WHEN dominant IS NOT NULL THEN '{R.SUGGESTIONS["MONITOR"]}' END,
+ CASE WHEN windspeed < 2 THEN '{R.SUGGESTIONS["CUT_LOCAL_EMISSIONS"]}' END, CASE WHEN precipitation > 0 THEN '{R.SUGGESTIONS["EXPECT_WASHOUT"]}' END], lambda x: x IS NOT NULL), '|') AS suggestions FROM doc""", **REPORT))
+def current_report(spark, sf):
+    """The report documents at a given time, unfolded into plain columns."""
+    doc = R.report(R.scored(snap(spark, sf)), ["station"], now=F.lit(NOW).cast("timestamp_ntz"))
+    values = {"pm25": "PM2.5", "pm10": "PM10", "no2": "NO2", "so2": "SO2", "o3": "O3_used_µg/m3", "nh3": "NH3"}
+    return doc.select(
+        "station", "timestamp", "aqi", "category", "dominant",
+        *[F.col("pollutant_values_last")[l].alias(f"v_{p}") for p, l in values.items()],
+        *[F.col("subindices")[l].alias(f"si_{p}") for p, l in REPORT_LABELS.items()],
+        F.col("o3_diag.raw").alias("o3_raw"), F.col("o3_diag.used").alias("o3_used"), F.col("o3_diag.method").alias("o3_method"),
+        F.col("o3_diag.column").alias("o3_column"), F.col("weather_snapshot.wind").alias("windspeed"), "weather_snapshot.humidity",
+        F.col("weather_snapshot.precip").alias("precipitation"), "weather_snapshot.visibility",
+        "traffic_snapshot.vehicle_count", "traffic_snapshot.avg_speed",
+        F.array_join("reasons", "|").alias("reasons"), F.array_join("suggestions", "|").alias("suggestions"))
+
+
+@query("current_snapshot_loose_names", sql("air wx traffic", f"SELECT station, snap.pm25, snap.no2, o3_method, windspeed, vehicle_count, aqi, dominant FROM snap JOIN sc USING (station)",
+    **{**SNAP, "lv": "SELECT station, " + ", ".join(_arg(c, "air") for c in ("pm25", "no2")) + ", CAST(NULL AS DOUBLE) AS pm10, CAST(NULL AS DOUBLE) AS so2, CAST(NULL AS DOUBLE) AS nh3 FROM air GROUP BY station",
+       "o8": "SELECT station, CAST(NULL AS DOUBLE) AS o3_raw, CAST(NULL AS DOUBLE) AS o3_used, 'no_o3_column' AS o3_method FROM st"}))
+def current_snapshot_loose_names(spark, sf):
+    """Raw feeds with other names, numbers as text, and no ozone column."""
+    air = V.air_wide(spark, sf).select("station", "ts", "ord", F.col("pm25").cast("string").alias("PM2.5 (ug)"), F.col("no2").alias("avg_no2"))
+    weather = V.wx(spark, sf).where("station % 5 <> 1").select("station", "ts", "ord", F.col("windspeed").alias("Wind_Speed (m/s)"))
+    traffic = V.traffic(spark, sf).where("station % 4 <> 2").select("station", "ts", "ord", F.col("vehicle_count").alias("Vehicle Count"))
+    keep = ["station", "ts", "ord"]
+    snap_rows = R.snapshot(R.named(air, "air", keep), R.named(weather, "weather", keep), R.named(traffic, "traffic", keep), ["station"], "ts", "ord")
+    return R.scored(snap_rows).select("station", "pm25", "no2", "o3_method", "windspeed", "vehicle_count", "aqi", "dominant")
+
+
+def _advice_sql(part):
+    return " ".join(f"WHEN '{row[0]}' THEN '{row[part]}'" for row in R.ADVICE)
+
+
+@query("health_advisory", sql("air", f"""SELECT ord, category, CASE category {_advice_sql(1)} END AS advice, CASE category {_advice_sql(2)} END AS sensitive_advice
+ FROM (SELECT ord, {US_CATEGORY} AS category FROM strict)""", **STRICT))
 def health_advisory(spark, sf):
     rows = score_aqi(V.air_wide(spark, sf), "in_strict").select("ord", category(F.col("aqi")).alias("category"))
-    return R.with_advice(rows, "category").select("ord", "category", "advice")
+    return R.with_advice(rows, "category").select("ord", "category", "advice", "sensitive_advice")
 
 
 SCENARIOS = {"baseline": 1.0, "traffic_cut": 0.8, "ev_shift": 0.7}

@@ -10,7 +10,7 @@ from hazeframe.operators.filters import keep_last
 from hazeframe.operators.joins import join_bands
 from hazeframe.operators.upsert import merge_measures
 
-# Band tables of the oracle, written out so that they do not share the engine's generator.
+# The band tables of the oracle, written out so that they do not share the engine's generator.
 STRICT_BANDS = """SELECT * FROM (VALUES
  ('pm25',0,30,0,50),('pm25',31,60,51,100),('pm25',61,90,101,200),('pm25',91,120,201,300),('pm25',121,250,301,400),('pm25',251,500,401,500),
  ('pm10',0,50,0,50),('pm10',51,100,51,100),('pm10',101,250,101,200),('pm10',251,350,201,300),('pm10',351,430,301,400),('pm10',431,600,401,500),

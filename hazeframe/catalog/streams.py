@@ -12,8 +12,8 @@ WIDE = "40 days"  # the events span 30 days, so no row of the test tables is lat
 
 def _events(spark, sf):
     schema = V.table(spark, sf, "events").schema
-    # A pattern, so that the source takes one file as well as a folder of files.
-    return S.landed(spark, f"{sf}/events.parquet*", schema), schema
+    # A pattern, as the source takes no plain file; it matches this one name only.
+    return S.landed(spark, f"{sf}/events.parque[t]", schema), schema
 
 
 def _air(spark, sf):
@@ -51,23 +51,51 @@ def stream_o3_8h(spark, sf):
     return S.read_log(spark, out, ["station", "window_end"]).withColumn("mean", F.round("mean", 6))
 
 
-@query("stream_upsert", sql("air", "SELECT station, date_trunc('hour', ts) AS hour, max(ord) AS ord, arg_max(o3, ord) AS o3, arg_max(pm10, ord) AS pm10 FROM air GROUP BY ALL"))
+@query("stream_upsert", sql("air", "SELECT station, date_trunc('hour', ts) AS hour, min(ord) AS first_ord, max(ord) AS last_ord, arg_max(o3, ord) AS o3, arg_max(pm10, ord) AS pm10 FROM air GROUP BY ALL"))
 def stream_upsert(spark, sf):
     out, check = S.folders(spark, "upsert")
-    rows = _air(spark, sf).select("station", hour_of(F.col("ts")).alias("hour"), "ord", "o3", "pm10")
-    S.upsert_stream(rows, out, check, ["station", "hour"], ["ord"])
-    return S.read_log(spark, out, ["station", "hour"], ["ord"])
+    rows = _air(spark, sf).select("station", hour_of(F.col("ts")).alias("hour"), "ord", F.col("ord").alias("first_ord"),
+                                  F.col("ord").alias("last_ord"), "o3", "pm10")
+    S.upsert_stream(rows, out, check, ["station", "hour"], ["first_ord"], ["last_ord", "o3", "pm10"], ["ord"])
+    return S.read_upserts(spark, out, ["station", "hour"])
 
 
 @query("stream_interval_join", sql("air wx", """SELECT ord, station, wx_ord, wx_temperature FROM (SELECT a.ord, a.station, w.ord AS wx_ord, w.temperature AS wx_temperature,
  row_number() OVER (PARTITION BY a.ord ORDER BY abs(epoch_us(a.ts) - epoch_us(w.ts)), w.ts DESC) AS rn FROM air a LEFT JOIN wx w ON a.station = w.station AND w.ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts + INTERVAL 1 HOUR) WHERE rn = 1"""))
 def stream_interval_join(spark, sf):
     out, check = S.folders(spark, "interval")
-    _, schema = _events(spark, sf)
-    S.nearest_weather_stream(
-        _air(spark, sf).select("ord", "ts", "station"), f"{sf}/events.parquet", schema, ["station"], "ts", ["ord"], out, check,
-        shape=lambda raw: V.shape_wx(V.shape_events(raw)).select("station", "ts", "ord", "temperature"))
-    return spark.read.parquet(out).select("ord", "station", "wx_ord", "wx_temperature")
+    weather = V.shape_wx(V.shape_events(_events(spark, sf)[0])).select("station", "ts", "ord", "temperature")
+    readings = _air(spark, sf).select("ord", "ts", "station")
+    S.nearest_weather_stream(readings, weather, ["station"], "ts", ["ord"], out, check, delay=WIDE)
+    return S.read_nearest(V.air_wide(spark, sf).select("ord", "station"), out, ["ord"]).select("ord", "station", "wx_ord", "wx_temperature")
+
+
+FILES = 6
+# The first file that a row lands in; every 50th row comes two files late.
+LANDED = f"""SELECT *, CAST(least(({FILES} * (ord - lo)) // (hi - lo + 1), {FILES - 1}) AS BIGINT) AS own FROM ev, (SELECT min(ord) AS lo, max(ord) AS hi FROM ev)"""
+
+
+@query("stream_late_rows", sql("ev", """SELECT station, date_trunc('hour', ts) AS hour, round(avg(value), 6) AS value FROM batched
+ LEFT JOIN newest ON newest.own = file - 2 WHERE seen IS NULL OR date_trunc('hour', ts) + INTERVAL 1 HOUR > seen - INTERVAL 2 HOUR GROUP BY ALL""",
+    landed=LANDED,
+    batched=f"SELECT *, CASE WHEN ord % 50 = 0 THEN least(own + 2, {FILES - 1}) ELSE own END AS file FROM landed",
+    top="SELECT file AS own, max(ts) AS newest FROM batched GROUP BY 1",
+    newest="SELECT own, max(newest) OVER (ORDER BY own) AS seen FROM top"))
+def stream_late_rows(spark, sf):
+    """Hourly means over six landings with a delay of two hours. A row is cut off when its
+    hour lies behind the watermark, which Spark raises one batch after the rows that set it."""
+    out, check = S.folders(spark, "late")
+    inbox = f"{out}-inbox"
+    events = V.events(spark, sf)
+    span = events.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).first()
+    own = F.least(F.floor(F.lit(FILES) * (F.col("ord") - F.lit(span["lo"])) / F.lit(span["hi"] - span["lo"] + 1)), F.lit(FILES - 1))
+    file = F.when(F.col("ord") % 50 == 0, F.least(own + 2, F.lit(FILES - 1))).otherwise(own)
+    rows = events.select("ord", "ts", "station", "value").withColumn("_file", file)
+    for k in range(FILES):
+        rows.where(F.col("_file") == k).drop("_file").coalesce(1).write.parquet(f"{inbox}/{k}")
+    stream = S.landed(spark, inbox, rows.drop("_file").schema, files_per_trigger=1, nested=True)
+    S.change_log(S.hourly_mean_stream(stream, ["station"], ["value"], "2 hours"), out, check)
+    return S.read_log(spark, out, ["station", "hour"]).withColumn("value", F.round("value", 6))
 
 
 @query("stream_last_valid", sql("air", "SELECT station, arg_max(pm25, ord) FILTER (WHERE pm25 IS NOT NULL) AS pm25, arg_max(o3, ord) AS o3 FROM air GROUP BY station"))

@@ -1,42 +1,48 @@
-"""Match free-text place names to a small gazetteer."""
+"""Match free-text place names to a gazetteer of any size."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PLACES = 10_000
+#: Length of the word starts by which names are looked up.
+GRAM = 3
+
+
+def _words(c: Column) -> Column:
+    """Lower-case words; hyphens separate words."""
+    return F.filter(F.split(F.lower(F.regexp_replace(c, "-", " ")), r"\s+"), lambda w: w != "")
+
 
+def _grams(name: Column) -> Column:
+    """Every run of 1 to GRAM characters of a name, each once."""
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(name) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(name, i, F.lit(n)))
 
-def load_places(df: DataFrame, name: str, lat: str, lon: str) -> dict[str, tuple[float, float]]:
-    """Read a gazetteer table into a dictionary; refuses tables that are not small."""
-    rows = df.select(name, lat, lon).distinct().limit(MAX_PLACES + 1).collect()
-    if len(rows) > MAX_PLACES:
-        raise ValueError(f"a gazetteer may hold at most {MAX_PLACES} places")
-    return {r[0]: (float(r[1]), float(r[2])) for r in rows}
+    return F.array_distinct(F.concat(*[runs(n) for n in range(1, GRAM + 1)]))
 
 
-def match_location(query: Column, places: Mapping[str, object]) -> Column:
-    """Best place name for each query, or null.
+def match_places(df: DataFrame, query: str, places: DataFrame, name: str, out: str = "place") -> DataFrame:
+    """Add the best place name for each query, or null.
 
-    An exact name wins, then the same name in another case, then the name that
-    contains most words of the query (hyphens separate words). Ties go to the
-    greatest name. The gazetteer is a literal array, so nothing is joined.
+    An exact name wins, then the same name in another case, then the name that contains
+    most words of the query. Ties go to the greatest name. A word can only be contained
+    in a name that holds its first characters, so words and names meet by an equi-join
+    on these; each distinct query and name is looked up once.
     """
-    if len(places) > MAX_PLACES:
-        raise ValueError(f"a gazetteer may hold at most {MAX_PLACES} places")
-    names = F.array(*[F.lit(n) for n in sorted(places)])
-    words = F.filter(F.split(F.lower(F.regexp_replace(query, "-", " ")), r"\s+"), lambda w: w != "")
-
-    def rate(name):
-        hits = F.size(F.filter(words, lambda w: F.lower(name).contains(w)))
-        return F.struct(
-            (name == query).cast("int").alias("exact"),
-            (F.lower(name) == F.lower(query)).cast("int").alias("folded"),
-            hits.alias("score"), name.alias("name"))
-
-    best = F.array_max(F.transform(names, rate))
-    found = (best["exact"] == 1) | (best["folded"] == 1) | (best["score"] > 0)
-    return F.when(found, best["name"])
+    asked = df.select(F.col(query).alias("_q")).where("_q is not null").distinct()
+    names = places.select(F.col(name).alias("_name")).where("_name is not null").distinct()
+    folded = names.withColumn("_low", F.lower("_name"))
+    words = asked.select("_q", F.explode(_words(F.col("_q"))).alias("_w")).groupBy("_q", "_w").agg(F.count("*").alias("_n"))
+    held = folded.select("_name", "_low", F.explode(_grams(F.col("_low"))).alias("_g"))
+    keyed = words.withColumn("_k", F.substring("_w", 1, GRAM))
+    contained = (keyed.join(held, (F.col("_k") == F.col("_g")) & F.col("_low").contains(F.col("_w")))
+                 .groupBy("_q", "_name").agg(F.sum("_n").alias("_score")))
+    same = asked.join(folded, F.lower("_q") == F.col("_low")).select(
+        "_q", "_name", F.when(F.col("_q") == F.col("_name"), 2).otherwise(1).alias("_level"), F.lit(0).cast("long").alias("_score"))
+    every = contained.select("_q", "_name", F.lit(0).alias("_level"), "_score").unionByName(same)
+    best = every.groupBy("_q").agg(F.max(F.struct("_level", "_score", "_name")).alias("_b"))
+    # an exact or folded hit also counts the words it contains, which only breaks ties
+    found = best.select(F.col("_q"), F.col("_b._name").alias(out))
+    return df.join(found, F.col(query) == F.col("_q"), "left").drop("_q")

@@ -40,21 +40,28 @@ def fill_hours(df: DataFrame, by: Sequence[str], ts: str, end: str | None = None
     """Add null rows for the missing hours of a series with one row per hour.
 
     Each row yields itself and the hours up to the next one, so no grid is joined. A
-    gap longer than ``max_gap`` hours (a stray far-off time) raises.
+    gap longer than ``max_gap`` hours (a stray far-off time) is left open, and
+    ``long_gaps`` lists it.
     """
     w = Window.partitionBy(*by).orderBy(ts)
     step = F.lead(ts).over(w) - _hours()
     until = F.coalesce(step, F.col(end) if end else F.col(ts))
     rows = df.withColumn("_until", until)
     gap = _hours_between(F.col(ts), F.col("_until"))
-    stop = F.when(gap > max_gap, F.raise_error(F.lit(f"a gap exceeds {max_gap} hours")).cast("timestamp_ntz"))
-    hours = F.sequence(F.col(ts), F.coalesce(stop, F.col("_until")), _hours())
+    hours = F.sequence(F.col(ts), F.when(gap > max_gap, F.col(ts)).otherwise(F.col("_until")), _hours())
     rest = [c for c in df.columns if c not in (*by, ts, end)]
     spread = rows.select(*by, *[F.col(c).alias(f"_v_{c}") for c in rest], F.posexplode(hours).alias("_at", ts))
     return spread.select(
         *by, ts, *[F.when(F.col("_at") == 0, F.col(f"_v_{c}")).alias(c) for c in rest])
 
 
+def long_gaps(df: DataFrame, by: Sequence[str], ts: str, max_gap: int = MAX_GAP_HOURS) -> DataFrame:
+    """The error output of ``fill_hours``: key, start, end and hours of every gap it leaves open."""
+    w = Window.partitionBy(*by).orderBy(ts)
+    rows = df.select(*by, F.col(ts).alias("gap_start"), F.lead(ts).over(w).alias("gap_end"))
+    return rows.withColumn("hours", _hours_between(F.col("gap_start"), F.col("gap_end"))).where(F.col("hours") > max_gap)
+
+
 def resample_hourly(df: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str] | None = None,
                     max_gap: int = MAX_GAP_HOURS) -> DataFrame:
     """Hourly mean with null rows for empty hours between a key's first and last hour."""

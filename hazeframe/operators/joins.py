@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.functions.aqi import breakpoint_table
+from hazeframe.operators.columns import as_time, time_column
 from hazeframe.operators.filters import keep_last
 from hazeframe.scale import carry, group_sizes
 
@@ -22,7 +23,8 @@ def suffix_shared(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix
 
 def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
-    """Full outer join; null keys match null keys."""
+    """Full outer join; null keys match null keys, so rows that repeat a key are paired.
+    Spark never splits a hot key of a full outer join; ``join_feeds`` needs none."""
     left, right = suffix_shared(left, right, keys, suffixes)
     mine = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
@@ -34,8 +36,31 @@ def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def join_feeds(aqi: DataFrame, weather: DataFrame, traffic: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The three feeds side by side on their keys."""
-    return outer_join(outer_join(aqi, weather, keys, ("_aqi", "_weather")), traffic, keys)
+    """The three feeds side by side on their keys, named as two outer joins would.
+
+    Every feed has one row per key (of rows that repeat a key the largest value of a
+    column counts). They are stacked and grouped once, so null keys meet, and a hot key
+    is summed up before the shuffle.
+    """
+    aqi, weather = suffix_shared(aqi, weather, keys, ("_aqi", "_weather"))
+    both = [c for c in (*aqi.columns, *weather.columns) if c not in keys]
+    shared = {c for c in both if c in traffic.columns}
+    aqi, weather = (f.withColumnsRenamed({c: f"{c}_x" for c in shared}) for f in (aqi, weather))
+    traffic = traffic.withColumnsRenamed({c: f"{c}_y" for c in shared})
+    values = [c for f in (aqi, weather, traffic) for c in f.columns if c not in keys]
+    return union_feeds(aqi, weather, traffic).groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
+
+def merge_masters(aqi: DataFrame, weather: DataFrame, traffic: DataFrame) -> DataFrame:
+    """The merged table of three raw feeds: the time column of each is found by name, taken
+    as the common key, and the result is in time order."""
+    feeds = []
+    for feed in (aqi, weather, traffic):
+        found = time_column(feed, "merge")
+        if found is None:
+            raise ValueError(f"no time column among {feed.columns}")
+        feeds.append(feed.withColumn(found, as_time(feed, found)).withColumnRenamed(found, "timestamp"))
+    return join_feeds(*feeds, ["timestamp"]).orderBy("timestamp")
 
 
 def asof(
@@ -50,8 +75,10 @@ def asof(
     row. ``tolerance`` (such as "1 hour") is inclusive. Both sides are stacked and
     scanned once in time order, so the work grows with the rows, not with pairs.
     ``hourly_left`` says that the left side has one row per key and hour, so that only
-    the right side needs counting.
+    the right side needs counting. Right rows without a time are left out, and a left
+    row without a time gets nulls.
     """
+    right = right.where(F.col(ts).isNotNull())
     taken = [c for c in right.columns if c not in by]
     unique = keep_last(right, [*by, ts], right_order) if right_order else right
     hit = F.struct(*[F.col(c) for c in taken])
@@ -64,11 +91,12 @@ def asof(
     scanned = carry(both, by, [ts, "_side", *order], {"_prev": "_hit"}, {"_next": "_hit"} if nearest else {},
                     sizes=group_sizes(counted, by))
     rows = scanned.where("_side = 1")
-    pick = F.col("_prev")
+    pick = F.when(F.col(ts).isNotNull(), F.col("_prev"))
     if nearest:
         back = F.col(ts) - F.col("_prev")[ts]
         ahead = F.col("_next")[ts] - F.col(ts)
-        pick = F.when(F.col("_prev").isNull() | (ahead <= back), F.col("_next")).otherwise(F.col("_prev"))
+        later = F.when(F.col("_prev").isNull() | (ahead <= back), F.col("_next")).otherwise(F.col("_prev"))
+        pick = F.when(F.col(ts).isNotNull(), later)
     rows = rows.withColumn("_pick", pick)
     if tolerance:
         limit = F.expr(f"interval {tolerance}")

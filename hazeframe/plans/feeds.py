@@ -15,8 +15,10 @@ from hazeframe.operators.grid import resample_hourly
 from hazeframe.operators.impute import (
     impute_forward_median, impute_median, impute_neighbours, impute_unknown, impute_zero)
 
+# Pollutant columns that cannot be negative.
 POLLUTANTS = ("AQI", "PM2_5", "PM10", "NO2", "SO2", "CO")
 SIGNED = ("temperature", "latitude", "longitude", "lat", "lon")
+# Keywords of the live measures.
 LIVE_KEYWORDS = {
     "aqi": ("pm2", "pm25", "pm10", "no2", "so2", "o3", "co", "aqi", "index"),
     "weather": ("temp", "temperature", "humidity", "pressure", "wind", "rain", "precip", "visibility"),
@@ -29,8 +31,7 @@ def parse_time(df: DataFrame, rules: str, name: str = "timestamp") -> DataFrame:
     found = K.time_column(df, rules)
     if found is None:
         raise ValueError("no time column found")
-    c = F.col(f"`{found}`")
-    parsed = to_timestamp(c) if isinstance(df.schema[found].dataType, T.StringType) else c.cast("timestamp_ntz")
+    parsed = K.as_time(df, found)
     rest = [F.col(f"`{x}`") for x in df.columns if x not in (found, name)]
     return with_time(df.select(parsed.alias(name), *rest), name)
 

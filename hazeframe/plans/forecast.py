@@ -1,7 +1,8 @@
 """Short-term forecasts of many series in parallel.
 
 Series are hourly, so a series is as long as its time span in hours. That bounds what a
-task holds whatever the number of raw readings; longer series than ``MAX_HOURS`` raise.
+task holds whatever the number of raw readings. Series longer than ``MAX_HOURS`` are not
+fitted; ``too_long`` lists them and the others go on.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.scale import one_row
+from hazeframe.session import ship
 
 HORIZON = 24
 MIN_POINTS = 10
@@ -130,30 +132,37 @@ def _rows(keys: dict, n: int, **columns) -> pd.DataFrame:
     return pd.DataFrame({**out, **columns})
 
 
-def _checked(n) -> None:
-    if n > MAX_HOURS:
-        raise ValueError(f"a series exceeds {MAX_HOURS} hours")
+def too_long(df: DataFrame, keys: Sequence[str], most: int = MAX_HOURS) -> DataFrame:
+    """The error output of the fits: series with more than ``most`` rows and their lengths."""
+    return df.groupBy(*keys).agg(F.count("*").alias("hours")).where(F.col("hours") > most)
 
 
-def forecast_24h(df: DataFrame, keys: Sequence[str], ts: str, y: str, steps: int = HORIZON) -> DataFrame:
+def within_length(df: DataFrame, keys: Sequence[str], most: int = MAX_HOURS) -> DataFrame:
+    """The rows of all other series, counted in the partitioning that the fit needs anyway."""
+    n = F.count("*").over(Window.partitionBy(*keys))
+    return df.withColumn("_n", n).where(F.col("_n") <= most).drop("_n")
+
+
+def forecast_24h(df: DataFrame, keys: Sequence[str], ts: str, y: str, steps: int = HORIZON,
+                 order: tuple = FORECAST_ORDER) -> DataFrame:
     """Fixed-order forecast per series; series with fewer than 10 values give no rows."""
     keys = list(keys)
     schema = ", ".join(f"{k} {t}" for k, t in df.select(*keys).dtypes) + ", step int, ts timestamp_ntz, yhat double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        _checked(len(pdf))
         pdf = pdf.sort_values(ts)
         known = pdf[y].dropna().to_numpy(float)
         if len(known) < MIN_POINTS:
             return _rows({k: None for k in keys}, 0, step=np.empty(0, "int32"),
                          ts=np.empty(0, "datetime64[us]"), yhat=np.empty(0))
-        fit, _, _ = _fit_or_mean(known, *FORECAST_ORDER)
+        fit, _, _ = _fit_or_mean(known, *order)
         values = forecast_series(known, fit, steps) if fit else np.full(steps, known.mean())
         ahead = np.arange(1, steps + 1, dtype="int32")
         return _rows({k: pdf[k].iloc[0] for k in keys}, steps, step=ahead,
                      ts=pdf[ts].iloc[-1] + pd.to_timedelta(ahead, unit="h"), yhat=values)
 
-    return df.select(*keys, ts, y).groupBy(*keys).applyInPandas(run, schema)
+    ship(df.sparkSession)
+    return within_length(df.select(*keys, ts, y), keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def stale_series(series: DataFrame, models: DataFrame, keys: Sequence[str], now, trained: str = "trained_at",
@@ -175,26 +184,35 @@ def _pack(df: DataFrame, keys, ts, cols) -> DataFrame:
 
 
 def _unpack(row, y, exog):
-    """Series values, and the outside columns unless one has a gap."""
+    """Series values, the outside columns used, and their names. A column with a gap, or one
+    that the constant and the columns before it determine, is left out for this series."""
     values = np.asarray(row[f"_a_{y}"], dtype=float)
-    _checked(len(values))
-    if not exog:
-        return values, None
-    x = np.column_stack([np.asarray(row[f"_a_{c}"], dtype=float) for c in exog])
-    return values, None if np.isnan(x).any() else x
+    names, used = [], np.empty((len(values), 0))
+    for c in exog:
+        x = np.asarray(row[f"_a_{c}"], dtype=float)
+        if np.isnan(x).any():
+            continue
+        more = np.column_stack([used, (x - x.mean()) / (x.std() or 1.0)])
+        if np.linalg.matrix_rank(more, tol=1e-6 * np.sqrt(len(x))) == more.shape[1]:
+            names.append(c)
+            used = more
+    taken = [np.asarray(row[f"_a_{c}"], dtype=float) for c in names]
+    return values, np.column_stack(taken) if taken else None, names
 
 
 def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Sequence[str] = (),
-                  grid: list[tuple] | None = None, blocks: int = 6, partitions: int | None = None) -> DataFrame:
-    """AIC of every candidate order of every series.
+                  grid: list[tuple] | None = None, blocks: int | None = None, partitions: int | None = None) -> DataFrame:
+    """AIC of every candidate order of every series, null where it can't be fitted.
 
-    The candidates of a series are dealt out to ``blocks`` groups, so that a few long
-    series still use many cores and many short ones do not pay for a group per fit.
+    The candidates of a series are dealt out to ``blocks`` groups (one per six candidates),
+    so that a few long series still use many cores and many short ones do not pay for a
+    group per fit.
     """
     keys, exog, grid = list(keys), list(exog), grid or small_grid()
     spark = df.sparkSession
-    blocks = min(blocks, len(grid))
-    packed = _pack(df.where(F.col(y).isNotNull()), keys, ts, [y, *exog])
+    blocks = min(blocks or max(1, len(grid) // 6), len(grid))
+    ship(spark)
+    packed = _pack(within_length(df.where(F.col(y).isNotNull()), keys), keys, ts, [y, *exog])
     numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     # An explicit count keeps adaptive execution from merging small but slow partitions.
@@ -205,7 +223,7 @@ def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seq
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
-        values, x = _unpack(row, y, exog)
+        values, x, _ = _unpack(row, y, exog)
         done = []
         for number in range(int(row["_block"]), len(grid), blocks):
             order, seasonal = grid[number]
@@ -214,11 +232,12 @@ def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seq
             try:
                 done.append((number, fit_series(values, order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]))
             except np.linalg.LinAlgError:
-                continue
+                done.append((number, np.nan))
         return _rows({k: row[k] for k in keys}, len(done), candidate=np.array([c for c, _ in done], "int32"),
                      aic=np.array([a for _, a in done], float))
 
-    return fan.groupBy(*keys, "_block").applyInPandas(run, schema)
+    tried = fan.groupBy(*keys, "_block").applyInPandas(run, schema)
+    return tried.withColumn("aic", F.nanvl("aic", F.lit(None).cast("double")))
 
 
 def best_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Sequence[str] = (),
@@ -226,30 +245,34 @@ def best_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seque
     """Order with the least AIC per series, the first candidate on ties, else (1, 0, 0)."""
     keys, grid = list(keys), grid or small_grid()
     tried = search_orders(df, keys, ts, y, exog, grid)
-    best = tried.groupBy(*keys).agg(F.min(F.struct("aic", "candidate")).alias("_b"))
+    known = F.when(F.col("aic").isNotNull(), F.struct("aic", "candidate"))
+    best = tried.groupBy(*keys).agg(F.min(known).alias("_b"))
     spelled = F.array(*[F.struct(F.array(*map(F.lit, o)).alias("o"), F.array(*map(F.lit, s)).alias("s")) for o, s in grid])
     chosen = spelled[F.col("_b.candidate")]
     default = F.struct(F.array(*map(F.lit, DEFAULT_ORDER[0])).alias("o"), F.array(*map(F.lit, DEFAULT_ORDER[1])).alias("s"))
     pick = F.when(F.col("_b").isNotNull(), chosen).otherwise(default)
-    every = df.select(*keys).distinct()
-    return (every.join(best, keys, "left").withColumn("_p", pick)
+    return (best.withColumn("_p", pick)
             .select(*keys, F.col("_p.o").alias("order"), F.col("_p.s").alias("seasonal"), F.col("_b.aic").alias("aic")))
 
 
 def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str, y: str,
                  exog: Sequence[str] = ()) -> DataFrame:
-    """Final fit per series: y and its in-sample prediction, with the order and AIC used."""
+    """Final fit per series: y and its in-sample prediction, with the order and the outside
+    columns used, the AIC of this fit and the AIC by which the order was chosen. The two
+    differ: the search compares all candidates from one common first point."""
     keys, exog = list(keys), list(exog)
-    packed = _pack(df.where(F.col(y).isNotNull()), keys, ts, [y, *exog]).join(orders.drop("aic"), keys)
+    ship(df.sparkSession)
+    rows = within_length(df.where(F.col(y).isNotNull()), keys)
+    packed = _pack(rows, keys, ts, [y, *exog]).join(orders.withColumnRenamed("aic", "search_aic"), keys)
     types = dict(df.dtypes)
     schema = (", ".join(f"{k} {types[k]}" for k in keys)
-              + ", ts timestamp_ntz, y double, y_pred_in_sample double, order string, seasonal string, aic double")
-    columns = [*keys, "ts", "y", "y_pred_in_sample", "order", "seasonal", "aic"]
+              + ", ts timestamp_ntz, y double, y_pred_in_sample double, order string, seasonal string, exog_cols string, aic double, search_aic double")
+    columns = [*keys, "ts", "y", "y_pred_in_sample", "order", "seasonal", "exog_cols", "aic", "search_aic"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, row in pdf.iterrows():
-                values, x = _unpack(row, y, exog)
+                values, x, used = _unpack(row, y, exog)
                 fit, order, seasonal = _fit_or_mean(
                     values, tuple(map(int, row["order"])), tuple(map(int, row["seasonal"])), x)
                 pred = np.full(len(values), np.nan)
@@ -259,21 +282,25 @@ def fit_insample(df: DataFrame, orders: DataFrame, keys: Sequence[str], ts: str,
                 else:
                     pred[:] = values.mean()
                 names = {**{k: row[k] for k in keys}, "order": str(order),
-                         "seasonal": str((*seasonal, SEASON if any(seasonal) else 0))}
+                         "seasonal": str((*seasonal, SEASON if any(seasonal) else 0)),
+                         "exog_cols": ",".join(used) if fit and fit["x_last"] is not None else ""}
+                chosen = row["search_aic"]
                 out = _rows(names, len(values), ts=row[f"_a_{ts}"], y=values, y_pred_in_sample=pred,
-                            aic=np.full(len(values), fit["aic"] if fit else np.nan))
+                            aic=np.full(len(values), fit["aic"] if fit else np.nan),
+                            search_aic=np.full(len(values), np.nan if chosen is None else float(chosen)))
                 yield out[columns]
 
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
     done = packed.repartition(n, *keys).mapInPandas(run, schema)
-    return done.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("y_pred_in_sample", "aic")})
+    return done.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("y_pred_in_sample", "aic", "search_aic")})
 
 
-def model_table(insample: DataFrame, frame: DataFrame, keys: Sequence[str], exog: Sequence[str]) -> DataFrame:
-    """One metadata row per fitted series: order, AIC, training end, outside columns, scale used."""
+def model_table(insample: DataFrame, frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One metadata row per fitted series: order, both AICs, training end, outside columns
+    and scale used."""
+    same = ("order", "seasonal", "aic", "search_aic", "exog_cols")
     fits = insample.groupBy(*keys).agg(
-        F.first("order").alias("order"), F.first("seasonal").alias("seasonal"), F.first("aic").alias("aic"),
-        F.max("ts").alias("training_end"), F.lit(",".join(exog)).alias("exog_cols"))
+        *[F.first(c).alias(c) for c in same], F.max("ts").alias("training_end"))
     scales = frame.groupBy(*keys).agg(F.max("scale").alias("applied_scale"))
     return fits.join(scales, list(keys)).withColumn("scaled", F.col("applied_scale") != 1)
 
@@ -290,9 +317,11 @@ def ar1_fit(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
 def ar1_insample(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
     """One-step predictions of the closed-form model."""
     w = Window.partitionBy(*keys).orderBy(ts)
+    whole = Window.partitionBy(*keys)  # the same partitioning: no second pass, no join
     pairs = df.where(F.col(y).isNotNull()).select(*keys, ts, y, F.lag(y).over(w).alias("prev_y"))
-    fit = ar1_fit(df, keys, ts, y).select(*keys, "phi", "c")
-    return pairs.join(fit, list(keys)).withColumn("y_pred", F.col("c") + F.col("phi") * F.col("prev_y"))
+    fitted = pairs.select("*", F.regr_slope(y, "prev_y").over(whole).alias("phi"),
+                          F.regr_intercept(y, "prev_y").over(whole).alias("c"))
+    return fitted.withColumn("y_pred", F.col("c") + F.col("phi") * F.col("prev_y"))
 
 
 def ar1_forecast(df: DataFrame, keys: Sequence[str], ts: str, y: str, steps: int = HORIZON) -> DataFrame:

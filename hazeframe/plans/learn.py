@@ -1,4 +1,7 @@
-"""Regression of the index on hourly features with Spark ML."""
+"""Regression of the index on hourly features with Spark ML.
+
+A null feature is an error: fill both parts with ``fill_from_training`` first.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.plans.forecast import evaluate
+from hazeframe.scale import medians
 
 TRAIN_SHARE = 0.8
 
@@ -22,8 +26,17 @@ def split_by_time(df: DataFrame, ts: str, share: float = TRAIN_SHARE) -> tuple[D
     return df.where(F.col(ts) <= cut), df.where(F.col(ts) > cut)
 
 
+def fill_from_training(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both parts with null features filled by the medians of the training part; 0 where
+    that part has no value. No row is dropped, and no test row shapes the fill."""
+    row = medians(train.select(*cols), [], cols).first()
+    fill = {c: float(row[c]) if row is not None and row[c] is not None else 0.0 for c in cols}
+    whole = {c: F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in cols}
+    return train.withColumns(whole), test.withColumns(whole)
+
+
 def fit_linear(train: DataFrame, features: Sequence[str], target: str, scale: bool = False) -> PipelineModel:
-    vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     stages = [vector]
     used = "features"
     if scale:
@@ -34,7 +47,7 @@ def fit_linear(train: DataFrame, features: Sequence[str], target: str, scale: bo
 
 def fit_trees(train: DataFrame, features: Sequence[str], target: str, rounds: int = 20, depth: int = 5,
               seed: int = 42) -> PipelineModel:
-    vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     trees = GBTRegressor(labelCol=target, maxIter=rounds, maxDepth=depth, seed=seed)
     return Pipeline(stages=[vector, trees]).fit(train)
 

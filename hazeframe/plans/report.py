@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.functions.aqi import category, score_aqi
+from hazeframe.functions.casts import to_number
+from hazeframe.operators import columns as K
 from hazeframe.operators.windows import last_valid, latest_row, o3_8hr
 
 # Labels, texts and advice of the report.
@@ -44,11 +46,48 @@ ADVICE = (
 )
 
 
+# Words by which the columns of a raw feed are found, in order of rank.
+KEYWORDS = {
+    "air": {"pm25": ("pm2.5", "pm2_5", "pm25", "pm2"), "pm10": ("pm10", "pm_10"), "no2": ("no2", "no_2"),
+            "so2": ("so2", "so_2"), "nh3": ("nh3", "nh_3")},
+    "weather": {"windspeed": ("wind_speed", "windspeed", "wind"), "humidity": ("humidity", "hum"),
+                "precipitation": ("rain", "precip", "precipitation"), "visibility": ("vis", "visibility")},
+    "traffic": {"vehicle_count": ("count", "vehicle", "volume", "veh_count", "vehicles"),
+                "avg_speed": ("speed", "avg_speed", "avg_speed_km", "avg_speed_kph")},
+}
+
+
+def named(feed: DataFrame, kind: str, keep: Sequence[str]) -> DataFrame:
+    """A raw feed with the report's names: columns are found by keyword and read as numbers,
+    what is not found is left out. ``keep`` names the key, time and tie-break columns."""
+    able = [c for c in feed.columns if c not in keep]
+    found = {name: K.resolve(able, contains=words, keyword_major=True) for name, words in KEYWORDS[kind].items()}
+    if kind == "air":
+        found["o3"] = K.resolve(able, exact=K.O3_NAMES, prefix="o3")
+    text = set(K.text_columns(feed))
+
+    def number(c):
+        return to_number(F.col(f"`{c}`")) if c in text else F.col(f"`{c}`").cast("double")
+
+    return feed.select(*keep, *[number(c).alias(name) for name, c in found.items() if c])
+
+
 def snapshot(air: DataFrame, weather: DataFrame | None, traffic: DataFrame | None, by: Sequence[str],
              ts: str, tie: str, pollutants: Sequence[str] = ("pm25", "pm10", "no2", "so2", "nh3")) -> DataFrame:
-    """Last pollutant values, eight-hour ozone, newest weather row and newest traffic row."""
+    """Last pollutant values, eight-hour ozone, newest weather row and newest traffic row.
+
+    A pollutant without a column is null; without an ozone column the method is
+    ``no_o3_column``. Bring raw feeds to these names with ``named``.
+    """
     by = list(by)
-    out = last_valid(air, by, [ts, tie], pollutants).join(o3_8hr(air, by, ts, tie), by)
+    here = [p for p in pollutants if p in air.columns]
+    out = last_valid(air, by, [ts, tie], here) if here else air.select(*by).distinct()
+    out = out.withColumns({p: F.lit(None).cast("double") for p in pollutants if p not in here})
+    if "o3" in air.columns:
+        out = out.join(o3_8hr(air, by, ts, tie), by)
+    else:
+        nothing = F.lit(None).cast("double")
+        out = out.withColumns({"o3_raw": nothing, "o3_used": nothing, "o3_method": F.lit("no_o3_column")})
     measures = {"weather": ("windspeed", "humidity", "precipitation", "visibility"),
                 "traffic": ("vehicle_count", "avg_speed")}
     for name, side in (("weather", weather), ("traffic", traffic)):
@@ -131,11 +170,12 @@ def suggestion_codes() -> Column:
     return _compact(_suggestions(False))
 
 
-def report(scored_rows: DataFrame, by: Sequence[str], o3_column: str = "o3") -> DataFrame:
-    """Nested report document per station; stations without any sub-index give none."""
+def report(scored_rows: DataFrame, by: Sequence[str], o3_column: str = "o3", now: Column | None = None) -> DataFrame:
+    """Nested report document per station; stations without any sub-index give none.
+    ``now`` is the time of the report, the current one by default."""
     values = [F.col("o3_used").alias("O3_used_µg/m3") if p == "o3" else F.col(p).alias(l) for p, l in LABELS.items()]
     return scored_rows.where("aqi is not null").select(
-        *by, F.current_timestamp().alias("timestamp"), "aqi", "category",
+        *by, (F.current_timestamp() if now is None else now).alias("timestamp"), "aqi", "category",
         F.struct(*values).alias("pollutant_values_last"),
         F.struct(*[F.col(f"si_{p}").alias(l) for p, l in LABELS.items()]).alias("subindices"),
         _label().alias("dominant"),

@@ -42,7 +42,7 @@ def training_series(sources: DataFrame, by: Sequence[str], tie: Sequence[str], a
     """
     ts, aqi = K.time_column(sources, "train"), K.aqi_column(sources)
     number = to_number(aqi) if dict(sources.dtypes)[aqi] == "string" else F.col(aqi).cast("double")
-    rows = sources.select(*by, F.col(ts).cast("timestamp_ntz").alias("timestamp"), number.alias("aqi"), *tie)
+    rows = sources.select(*by, K.as_time(sources, ts).alias("timestamp"), number.alias("aqi"), *tie)
     grid = reindex_hourly(rows.where("timestamp is not null"), by, "timestamp", tie, align).drop(*tie)
     return impute_neighbours(grid, by, ["timestamp"], ["aqi"], bounded=True)
 
@@ -52,13 +52,17 @@ def training_frame(sources: DataFrame, weather: DataFrame, live: DataFrame | Non
     """Series, scale-repaired and held in [0, 500], with the nearest weather within 1 hour."""
     y = training_series(sources, by, tie, align)
     if live is not None:
-        y = repair_scale(y, live, by, "timestamp", "aqi", K.time_column(live, "train"), K.aqi_column(live), tie)
+        lts, value = K.time_column(live, "train"), K.aqi_column(live)
+        live = live.withColumn(lts, K.as_time(live, lts)).where(F.col(lts).isNotNull())
+        if dict(live.dtypes)[value] == "string":
+            live = live.withColumn(value, to_number(value))
+        y = repair_scale(y, live, by, "timestamp", "aqi", lts, value, tie)
     else:
         y = y.withColumn("scale", F.lit(1.0))
     y = y.withColumn("aqi", clip("aqi", 0, 500)).where("aqi is not null")
     wts = K.time_column(weather, "train")
     exog = K.exog_columns(weather)
-    right = weather.select(*by, F.col(wts).alias("timestamp"), *exog, *tie)
+    right = weather.select(*by, K.as_time(weather, wts).alias("timestamp"), *exog, *tie)
     near = asof(y, right, by, "timestamp", [], tie, "nearest", "1 hour",
                 time_name="_weather_time", hourly_left=True)
     near = near.drop("_weather_time", *tie)

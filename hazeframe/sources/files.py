@@ -14,8 +14,16 @@ from hazeframe.operators.columns import with_schema
 from hazeframe.operators.joins import union_feeds
 
 
-def read_text_table(spark: SparkSession, path: str, columns: Sequence[str], encoding: str = "utf-8") -> DataFrame:
-    """CSV with a header, every column as text: bad cells never fail the scan."""
+def read_text_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                    encoding: str = "utf-8") -> DataFrame:
+    """CSV with a header, every column as text: bad cells never fail the scan.
+
+    Without ``columns`` the names are read from the first header line on the driver; the
+    finders of ``operators.columns`` then pick what a plan needs.
+    """
+    if columns is None:
+        return (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+                .option("encoding", encoding).csv(path))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
             .option("enforceSchema", False).option("encoding", encoding).csv(path))
@@ -30,7 +38,7 @@ def typed(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
             out.append(to_number(c).alias(c))
         elif kind == "timestamp":
             out.append(to_timestamp(c).alias(c))
-        elif kind == "string":
+        elif kind in ("string", "asis"):
             out.append(F.col(c))
         else:
             out.append(F.trim(F.col(c)).try_cast(kind).alias(c))
@@ -38,10 +46,10 @@ def typed(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 
 def read_if_present(spark: SparkSession, path: str, format: str = "parquet",
-                    columns: Sequence[str] | None = None) -> DataFrame | None:
+                    columns: Sequence[str] | None = None, encoding: str = "utf-8") -> DataFrame | None:
     """The table at ``path``, or None if the path is missing or holds no row."""
     try:
-        df = read_text_table(spark, path, columns) if format == "csv" else spark.read.format(format).load(path)
+        df = read_text_table(spark, path, columns, encoding) if format == "csv" else spark.read.format(format).load(path)
         return None if df.isEmpty() else df
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
@@ -50,19 +58,19 @@ def read_if_present(spark: SparkSession, path: str, format: str = "parquet",
 
 
 def first_source(spark: SparkSession, paths: Sequence[str], format: str = "parquet",
-                 columns: Sequence[str] | None = None) -> DataFrame | None:
+                 columns: Sequence[str] | None = None, encoding: str = "utf-8") -> DataFrame | None:
     """The first non-empty table of an ordered list."""
     for path in paths:
-        df = read_if_present(spark, path, format, columns)
+        df = read_if_present(spark, path, format, columns, encoding)
         if df is not None:
             return df
     return None
 
 
 def all_sources(spark: SparkSession, paths: Sequence[str], format: str = "parquet",
-                columns: Sequence[str] | None = None) -> DataFrame:
+                columns: Sequence[str] | None = None, encoding: str = "utf-8") -> DataFrame:
     """Every non-empty table of the list, stacked by column name with its list position."""
-    found = [read_if_present(spark, p, format, columns) for p in paths]
+    found = [read_if_present(spark, p, format, columns, encoding) for p in paths]
     parts = [d.withColumn("source_no", F.lit(i)) for i, d in enumerate(found) if d is not None]
     if not parts:
         raise FileNotFoundError(f"no usable table among {list(paths)}")

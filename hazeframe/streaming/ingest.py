@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hazeframe.operators.filters import keep_last
-from hazeframe.operators.joins import asof
 from hazeframe.scale import ranking
 from hazeframe.session import scratch_path
 
@@ -22,9 +21,11 @@ BATCH = "_batch_id"
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, ts: str = "ts",
-           files_per_trigger: int = 1000) -> DataFrame:
-    """Stream of the files in ``path``; times become zoned, as watermarks require."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+           files_per_trigger: int = 1000, nested: bool = False) -> DataFrame:
+    """Stream of the files in ``path`` (``nested``: and below it) in the order they landed;
+    times become zoned, as watermarks require."""
+    rows = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+            .option("recursiveFileLookup", nested).parquet(path))
     return rows.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
@@ -85,31 +86,67 @@ def late_rows(rows: DataFrame, ts: str, newest_seen, delay_hours: int) -> DataFr
     return rows.agg(F.count_if(behind).alias("late"))
 
 
-def upsert_stream(rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Latest-wins upsert: each micro-batch keeps its newest row per key."""
-    change_log(rows, out, checkpoint, "append", lambda batch: keep_last(batch, keys, order))
+def upsert_stream(rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str], identity: Sequence[str],
+                  measures: Sequence[str], order: Sequence[str]) -> None:
+    """Upsert by event order: a key keeps the identity columns of its earliest row and takes
+    the measures of its latest one, whatever batch they land in. Each micro-batch is
+    reduced to one row per key; ``read_upserts`` folds the batches."""
+    rank = F.struct(*order)
 
+    def reduce(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*keys).agg(
+            F.min(rank).alias("_first"), F.min_by(F.struct(*identity), rank).alias("_id"),
+            F.max(rank).alias("_last"), F.max_by(F.struct(*measures), rank).alias("_m"))
 
-def nearest_weather_stream(readings: DataFrame, weather_path: str, weather_schema: StructType, by: Sequence[str],
-                           ts: str, order: Sequence[str], out: str, checkpoint: str, tolerance: str = "1 hour",
-                           shape: Callable[[DataFrame], DataFrame] = lambda d: d) -> None:
-    """Attach the nearest landed weather row to each micro-batch of readings.
+    change_log(rows, out, checkpoint, "append", reduce)
 
-    A stream-stream interval join would emit every pair within the tolerance; the batch
-    as-of scan stays linear. Weather is read for the time span of the batch only.
+
+def read_upserts(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
+    """Current state of every key of an upsert log; a repeated event order goes to the later batch."""
+    return spark.read.parquet(out).groupBy(*keys).agg(
+        F.min_by("_id", F.struct("_first", BATCH)).alias("_id"),
+        F.max_by("_m", F.struct("_last", BATCH)).alias("_m")).select(*keys, "_id.*", "_m.*")
+
+
+def compact_log(spark: SparkSession, out: str, new_out: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
+    """Fold a change log into one folder of a new log, between two drains.
+
+    Later drains go on into ``new_out``; the old folder may be removed then. The folded
+    state ranks below every later batch.
     """
+    read_log(spark, out, keys, order).write.mode("overwrite").parquet(f"{new_out}/{BATCH}=-1")
 
-    def join(batch: DataFrame) -> DataFrame:
-        span = batch.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-        left = batch.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
-        right = shape(batch.sparkSession.read.schema(weather_schema).parquet(weather_path))
-        if span["lo"] is not None:
-            width = F.expr(f"interval {tolerance}")
-            lo, hi = (F.lit(span[k]).cast("timestamp").cast("timestamp_ntz") for k in ("lo", "hi"))
-            right = right.where(F.col(ts).between(lo - width, hi + width))
-        return asof(left, right, by, ts, order, order, "nearest", tolerance, prefix="wx_")
-
-    change_log(readings, out, checkpoint, "append", join)
+
+def nearest_weather_stream(readings: DataFrame, weather: DataFrame, by: Sequence[str], ts: str, key: Sequence[str],
+                           out: str, checkpoint: str, tolerance: str = "1 hour", delay: str = "2 hours") -> None:
+    """Join two streams on ``by`` within ``tolerance`` and log the nearest row per reading.
+
+    Both sides are held in state until the watermark has passed, so weather may land
+    before or after the reading. A micro-batch writes one row per reading it matched.
+    """
+    right = weather.withColumnsRenamed({c: f"_r_{c}" if c in by else f"wx_{c}" for c in weather.columns})
+    left, right = readings.withWatermark(ts, delay), right.withWatermark(f"wx_{ts}", delay)
+    near = F.lit(True)
+    for c in by:
+        near = near & (F.col(c) == F.col(f"_r_{c}"))
+    width = F.expr(f"interval {tolerance}")
+    near = near & (F.col(f"wx_{ts}") >= F.col(ts) - width) & (F.col(f"wx_{ts}") <= F.col(ts) + width)
+    pairs = left.join(right, near).drop(*[f"_r_{c}" for c in by])
+    found = [f"wx_{c}" for c in weather.columns if c not in by]
+
+    def nearest(batch: DataFrame) -> DataFrame:
+        at, wx = F.unix_micros(F.col(ts)), F.unix_micros(F.col(f"wx_{ts}"))
+        rank = F.struct((-F.abs(at - wx)).alias("d"), wx.alias("t"))
+        return batch.groupBy(*key).agg(F.max(rank).alias("_rank"), F.max_by(F.struct(*found), rank).alias("_hit"))
+
+    change_log(pairs, out, checkpoint, "append", nearest)
+
+
+def read_nearest(readings: DataFrame, out: str, key: Sequence[str]) -> DataFrame:
+    """Landed readings with the nearest weather found so far; nulls where there is none."""
+    log = readings.sparkSession.read.parquet(out)
+    best = log.groupBy(*key).agg(F.max_by("_hit", "_rank").alias("_hit"))
+    return readings.join(best, list(key), "left").select(*readings.columns, "_hit.*")
 
 
 def folders(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hazeframe import scale
 from hazeframe.functions import casts as C
-from hazeframe.functions.places import match_location
+from hazeframe.functions.places import match_places
 from hazeframe.operators import columns as K
 from hazeframe.operators import grid as G
 from hazeframe.operators import impute as I
@@ -95,10 +95,12 @@ def test_resample_keeps_empty_hours_and_sums(spark):
     assert got == [("a", at(0), 2.0), ("a", at(1), None), ("a", at(2), None), ("a", at(3), 5.0), ("b", at(7), None)]
 
 
-def test_far_off_time_raises(spark):
-    rows = spark.createDataFrame([("a", at(0), 1.0), ("a", dt.datetime(9990, 1, 1), 1.0)], "k string, ts timestamp_ntz, v double")
-    with pytest.raises(Exception, match="gap exceeds"):
-        G.resample_hourly(rows, ["k"], "ts", ["v"]).collect()
+def test_far_off_time_is_listed_and_the_rest_goes_on(spark):
+    rows = spark.createDataFrame([("a", at(0), 1.0), ("a", at(2), 2.0), ("a", dt.datetime(9990, 1, 1), 1.0)],
+                                 "k string, ts timestamp_ntz, v double")
+    assert G.resample_hourly(rows, ["k"], "ts", ["v"]).count() == 4
+    stray = G.long_gaps(rows, ["k"], "ts").collect()
+    assert [(r.k, r.gap_start, r.gap_end.year) for r in stray] == [("a", at(2), 9990)]
 
 
 def test_reindex_first_keeps_the_minute(spark):
@@ -173,5 +175,27 @@ def test_places(spark):
     places = {"Upper Town": 0, "Upper Town - East Side": 0, "Lake": 0, "lake view": 0}
     asked = [("Lake", "Lake"), ("LAKE VIEW", "lake view"), ("east-upper", "Upper Town - East Side"), ("upper", "Upper Town - East Side"),
              ("nowhere", None), ("-", None), (None, None)]
-    df = spark.createDataFrame(asked, "q string, want string").withColumn("got", match_location(F.col("q"), places))
-    assert [r for r in df.collect() if r.got != r.want] == []
+    gazetteer = spark.createDataFrame([(n,) for n in [*places, None, "Lake"]], "n string")
+    df = match_places(spark.createDataFrame(asked, "q string, want string"), "q", gazetteer, "n", "got")
+    assert df.count() == len(asked) and [r for r in df.collect() if r.got != r.want] == []
+
+
+def test_asof_without_right_time(spark):
+    left = spark.createDataFrame([("a", 1, at(1)), ("a", 2, None)], "k string, o int, ts timestamp_ntz")
+    right = spark.createDataFrame([("a", 1, at(1, 30)), ("a", 2, None)], "k string, o int, ts timestamp_ntz")
+    for direction, want in (("nearest", 1), ("backward", None)):
+        got = J.asof(left, right, ["k"], "ts", ["o"], ["o"], direction, prefix="r_")
+        assert {r.o: r.r_o for r in got.collect()} == {1: want, 2: None}
+
+
+def test_text_that_is_no_number(spark):
+    rows = spark.createDataFrame([("1d",), ("NaN",), ("Infinity",), ("2,000.5",), (" 7 ",)], "a string")
+    got = [r.a for r in K.with_schema(rows, [("a", "double")]).collect()]
+    assert got == [None, None, None, 2000.5, 7.0]
+
+
+def test_rename_rules(spark):
+    assert K.canonical_names(["dew_temp", "air_temp", "spd of wind", "rainfall"], "weather") == {
+        "air_temp": "temperature", "spd of wind": "windspeed", "rainfall": "precipitation"}
+    assert K.canonical_names(["aqi_category", "us_aqi", "pm_10"], "aqi") == {"us_aqi": "AQI", "pm_10": "PM10"}
+    assert K.canonical_names(["the_aqi_category_x"], "aqi") == {"the_aqi_category_x": "AQI"}

@@ -10,8 +10,9 @@ from hazeframe.catalog import QUERIES
 from hazeframe.catalog import views as V
 from hazeframe.functions.aqi import score_aqi
 
-PYTHON = {"forecast_24h", "arima_grid_best", "insample_fit", "insample_fixed_order", "model_metadata"}  # model fits
-EAGER = {k for k in QUERIES if k.startswith("stream_")} | {"linreg_metrics", "gbt_metrics", "feature_importance"}
+PYTHON = {"forecast_24h", "forecast_110", "arima_grid_best", "arima_wide_search", "ar_order_search", "insample_fit",
+          "insample_fixed_order", "model_metadata"}  # model fits
+EAGER = {k for k in QUERIES if k.startswith("stream_")} | {"linreg_two_features", "linreg_metrics", "gbt_metrics", "feature_importance"}
 
 
 def plan(df, capsys, mode=None):

@@ -80,13 +80,72 @@ def test_stream_restart_changes_nothing(spark, tmp_path):
     out, check = f"{tmp_path}/out", f"{tmp_path}/check"
 
     def run():
-        rows = streams._air(spark, SMALL).select("station", "ord", "o3")
-        S.upsert_stream(rows, out, check, ["station"], ["ord"])
-        return sorted(map(tuple, S.read_log(spark, out, ["station"], ["ord"]).collect()))
+        rows = streams._air(spark, SMALL).select("station", "ord", "o3", F.col("ord").alias("first"))
+        S.upsert_stream(rows, out, check, ["station"], ["first"], ["o3"], ["ord"])
+        return sorted(map(tuple, S.read_upserts(spark, out, ["station"]).collect()))
 
     assert run() == run()
 
 
+def test_upserts_follow_event_order_not_landing_order(spark, tmp_path):
+    schema = "k int, ord long, city string, v int, ts timestamp_ntz"
+    when = dt.datetime(2024, 1, 1)
+    for n, rows in enumerate([[(1, 5, "five", 50, when), (2, 1, "one", 10, when)], [(1, 3, "three", 30, when), (2, 2, "two", None, when)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    stream = S.landed(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, files_per_trigger=1, nested=True)
+    S.upsert_stream(stream, f"{tmp_path}/out", f"{tmp_path}/check", ["k"], ["city"], ["v"], ["ord"])
+    got = {r.k: (r.city, r.v) for r in S.read_upserts(spark, f"{tmp_path}/out", ["k"]).collect()}
+    assert got == {1: ("three", 50), 2: ("one", None)}
+
+
+def test_weather_that_lands_later_is_matched(spark, tmp_path):
+    def hour(h, m=0):
+        return dt.datetime(2024, 1, 1, h, m)
+
+    readings = [[("a", 1, hour(1)), ("a", 2, hour(2))], [("a", 3, hour(3))]]
+    weather = [[("a", 10, hour(5))], [("a", 11, hour(1, 20)), ("a", 12, hour(2, 50))]]
+    schema = "k string, id int, ts timestamp_ntz"
+    for name, parts in (("r", readings), ("w", weather)):
+        for n, rows in enumerate(parts):
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}/{n}")
+
+    def stream(name):
+        kind = spark.createDataFrame([], schema).schema
+        return S.landed(spark, f"{tmp_path}/{name}", kind, files_per_trigger=1, nested=True)
+
+    S.nearest_weather_stream(stream("r"), stream("w"), ["k"], "ts", ["id"], f"{tmp_path}/out", f"{tmp_path}/check", delay="6 hours")
+    landed = spark.createDataFrame([r for p in readings for r in p], schema)
+    got = {r.id: r.wx_id for r in S.read_nearest(landed.select("k", "id"), f"{tmp_path}/out", ["id"]).collect()}
+    assert got == {1: 11, 2: 11 if abs(hour(2) - hour(1, 20)) < abs(hour(2, 50) - hour(2)) else 12, 3: 12}
+
+
+def test_compacted_log_reads_the_same(spark, tmp_path):
+    for n in range(3):
+        spark.createDataFrame([(1, n), (n + 5, n)], "k int, v int").write.parquet(f"{tmp_path}/log/{S.BATCH}={n}")
+    S.compact_log(spark, f"{tmp_path}/log", f"{tmp_path}/new", ["k"])
+    spark.createDataFrame([(1, 9)], "k int, v int").write.parquet(f"{tmp_path}/new/{S.BATCH}=3")
+    got = {r.k: r.v for r in S.read_log(spark, f"{tmp_path}/new", ["k"]).collect()}
+    assert got == {1: 9, 5: 0, 6: 1, 7: 2}
+
+
+def test_unknown_header_and_default_columns(spark, tmp_path):
+    spark.createDataFrame([("1", "2024-01-01")], "`my aqi` string, day string").write.option("header", True).csv(f"{tmp_path}/a")
+    got = files.first_source(spark, [f"{tmp_path}/none", f"{tmp_path}/a"], "csv")
+    assert got.columns == ["my aqi", "day"] and got.first()[:] == ("1", "2024-01-01")
+
+
+def test_report_on_loose_names(spark):
+    when = dt.datetime(2024, 1, 1)
+    air = spark.createDataFrame([(1, when, 1, "40,5", 80.0)], "s int, ts timestamp_ntz, o int, `PM2.5 (µg)` string, my_no2 double")
+    wx = spark.createDataFrame([(1, when, 1, 1.5, 80)], "s int, ts timestamp_ntz, o int, Wind double, rel_hum int")
+    keep = ["s", "ts", "o"]
+    snap = R.snapshot(R.named(air, "air", keep), R.named(wx, "weather", keep), None, ["s"], "ts", "o")
+    row = snap.first()
+    assert (row.pm25, row.no2, row.pm10, row.o3_method, row.windspeed, row.humidity) == (405.0, 80.0, None, "no_o3_column", 1.5, 80.0)
+    out = R.report(R.scored(snap), ["s"], now=F.lit(when)).first()
+    assert out.aqi is not None and out.o3_diag.method == "no_o3_column" and out.timestamp == when
+
+
 def test_late_rows_are_counted(spark):
     rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in range(6)], "ts timestamp_ntz")
     newest = F.lit(dt.datetime(2024, 1, 1, 5)).cast("timestamp_ntz")
