@@ -6,6 +6,7 @@ import uuid
 from typing import BinaryIO
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
 def _at(uri: str) -> tuple[fs.FileSystem, str]:
@@ -42,3 +43,9 @@ class NewFile:
 def open_input(uri: str) -> BinaryIO:
     store, path = _at(uri)
     return store.open_input_file(path)
+
+
+def reading_tasks(spark: SparkSession) -> int:
+    """Tasks that read files whose names come as a few small rows: adaptive execution would
+    put such rows into one task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.llm.common import in_tasks, stored
-from hazeframe.llm.files import NewFile, open_input
-from hazeframe.llm.tokens import encoder, gather
+from hazeframe.llm.files import NewFile, open_input, reading_tasks
+from hazeframe.llm.tokens import by_bytes, encoder, gather
 from hazeframe.session import scratch_path
 
 MAGIC = b"IDBLOCK1"
@@ -33,7 +33,11 @@ END_ID = 0
 #: Ids of a block: the grammar works on some ten arrays of this length.
 BLOCK_IDS = 2_000_000
 #: Rounds of replacement, new rules per round at most, and times a pair must occur.
-ROUNDS, RULES_PER_ROUND, LEAST_PAIRS = 4, 3500, 16
+ROUNDS, RULES_PER_ROUND, LEAST_PAIRS = 3, 5000, 16
+
+
+def _buckets(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
 
 
 def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int = ROUNDS,
@@ -41,7 +45,9 @@ def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int = ROUN
     """(symbols, last flags, rules) of one block. ``last`` marks the last id of a document.
 
     Each round counts every pair of the block, takes the most frequent ones as rules and
-    replaces them from left to right, of overlapping pairs every other one.
+    replaces them from left to right, of overlapping pairs every other one. Pairs that
+    would come after ``per_round`` others, or share a hash bucket with a more frequent
+    one, wait for the next round.
     """
     seq, last = ids.astype(np.int64), last.copy()
     rules: list[np.ndarray] = []
@@ -52,18 +58,31 @@ def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int = ROUN
         inner = np.flatnonzero(~last[:-1])
         pair = (seq[inner] << 32) | seq[inner + 1]
         # Buckets that are too rare as a whole hold no frequent pair: no need to sort them.
-        bucket = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        heavy = np.bincount(bucket, minlength=1 << 20)[bucket] >= least
-        inner, pair = inner[heavy], pair[heavy]
-        kinds, which, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        bucket = _buckets(pair)
+        weight = np.bincount(bucket, minlength=1 << 20)
+        last_weight = np.partition(weight, len(weight) - per_round)[len(weight) - per_round]
+        limit = max(least, int(last_weight) // 2)
+        heavy = (weight >= limit)[bucket]
+        inner, pair, bucket = inner[heavy], pair[heavy], bucket[heavy]
+        ranked = np.sort(pair)
+        begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(begin, len(ranked)))
+        begin, counts = begin[counts >= limit], counts[counts >= limit]
+        kinds = ranked[begin]
         order = np.lexsort((kinds, -counts))[:per_round]
-        order = order[counts[order] >= least]
         if not len(order):
             break
-        name = np.full(len(kinds), -1, np.int64)
-        name[order] = new + np.arange(len(order))
-        mark = name[which]
-        at, mark = inner[mark >= 0], mark[mark >= 0]
+        chosen = kinds[order]
+        place = _buckets(chosen)
+        _, first = np.unique(place, return_index=True)
+        chosen = chosen[np.sort(first)]
+        # each bucket holds one chosen pair at most
+        name = np.full(1 << 20, -1, np.int32)
+        name[_buckets(chosen)] = np.arange(len(chosen))
+        mark = name[bucket]
+        hit = np.flatnonzero(mark >= 0)
+        hit = hit[chosen[mark[hit]] == pair[hit]]
+        at, mark = inner[hit], mark[hit] + new
         # in a run of touching pairs every other one is taken
         begins = np.append(True, np.diff(at) != 1)
         run = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
@@ -74,8 +93,8 @@ def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int = ROUN
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last = seq[keep], last[keep]
-        rules.append(np.stack([kinds[order] >> 32, kinds[order] & 0xFFFFFFFF], axis=1))
-        new += len(order)
+        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
+        new += len(chosen)
     return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
@@ -180,8 +199,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids:
         for batch in batches:
             if batch.num_rows:
                 part = batch.column(2)[0].as_py()
-            for lo in range(0, batch.num_rows, 500):
-                some = batch.slice(lo, 500)
+            for some in by_bytes(batch, 1):
                 ids, offsets = enc.encode(some.column(1))
                 for d, a, b in zip(some.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                     held += [ids[a:b], tail]
@@ -235,7 +253,8 @@ def read_ids(manifest: DataFrame) -> DataFrame:
         Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = (manifest.withColumn("_in", inside).join(bases, "part")
               .select("path", "at", "size", (F.col("_base") + F.col("_in")).alias("base")))
-    spread = blocks.repartition(F.xxhash64("path", "at"))
+    # an explicit number, as these few small rows stand for much work
+    spread = blocks.repartition(reading_tasks(manifest.sparkSession), F.xxhash64("path", "at"))
     return in_tasks(spread, run, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.llm.common import in_tasks, stored
-from hazeframe.llm.files import NewFile, open_input
+from hazeframe.llm.files import NewFile, open_input, reading_tasks
 from hazeframe.session import scratch_path
 
 SKIPPABLE = 0x184D2A5D
@@ -250,6 +250,6 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                     raise ValueError(f"{path} holds {seen} records, not {records}")
                 yield made(rows)
 
-    spread = manifest.select("path", "records").repartition(F.xxhash64("path"))
+    spread = manifest.select("path", "records").repartition(reading_tasks(manifest.sparkSession), F.xxhash64("path"))
     return in_tasks(spread, run, "path string, page_id long, target_uri string, record_type string, refers_to long, "
                     "payload_digest string, payload_bytes long, payload binary")
