@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeframe.llm.common import in_tasks, stored
-from hazeframe.llm.tokens import encoder
+from hazeframe.llm.tokens import by_bytes, encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for batch in batches:
+        for batch in (part for whole in batches for part in by_bytes(whole, 1)):
             ids, offsets = enc.encode(batch.column(1))
             docs_, parts, starts, lengths, values = [], [], [], [], []
             tail = np.array([end_id], "<u4")

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _loaded: dict[str, "Encoder"] = {}
 #: Pieces kept per worker and generation; two generations are alive at a time.
@@ -49,6 +51,18 @@ def piece_starts(data: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``most`` bytes, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    lo = 0
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
