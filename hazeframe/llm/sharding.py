@@ -1,9 +1,9 @@
 """Sharding by balanced label propagation (operator 10), DataFrame operations only.
 
 Documents with equal texts are linked. Shards are labels that spread over the links: in
-every round each linked document asks for the shard that holds most of its group, and
-requests are granted, the strongest first, while the wanted shard stays within its quota
-of bytes. Documents without links cost no cut wherever they go, so they are dealt last
+every round each linked document asks for the shard that holds most of its group among
+those with room (for the whole group, where there is one), and requests are granted, the
+strongest first, while the wanted shard stays within its quota of bytes. Documents without links cost no cut wherever they go, so they are dealt last
 and level the shards, the large ones first.
 """
 
@@ -40,15 +40,25 @@ def _propagate(linked: DataFrame, quota: int, shards: int, rounds: int) -> DataF
     for _ in range(rounds):
         used = _totals(now, shards)
         room = [quota - u for u in used]
-        votes = now.groupBy("group", "shard").agg(F.sum("size").alias("bytes"))
-        # a full shard can't be asked for, unless the document is in it already
-        open_to = F.when(_pick(room, F.col("shard")) > 0, F.col("bytes"))
-        wanted = votes.groupBy("group").agg(
-            F.max_by("shard", F.struct(open_to, -F.col("shard"))).alias("to"), F.max(open_to).alias("there"))
-        own = votes.select(F.col("group").alias("_g"), F.col("shard").alias("_s"), F.col("bytes").alias("here"))
-        strength = (wanted.join(own, F.col("group") == F.col("_g"))
-                    .where("there is not null and `to` <> _s and (there > here or (there = here and `to` < _s))")
-                    .select("_g", "_s", "to", (F.col("there") - F.col("here")).alias("gain")))
+        roomiest = max(range(shards), key=lambda k: room[k])
+        # at most one row per group and shard, so a group is a handful of rows here
+        of_group = Window.partitionBy("group")
+        votes = now.groupBy("group", "shard").agg(F.sum("size").alias("here"))
+        votes = votes.withColumn("total", F.sum("here").over(of_group))
+        # a shard that can take the whole group beats one that can take a part of it
+        whole = _pick(room, F.col("shard")) >= F.col("total") - F.col("here")
+        open_to = F.when(whole | (_pick(room, F.col("shard")) > 0), F.col("here"))
+        best = F.max(F.struct(whole.alias("whole"), open_to.alias("there"), (-F.col("shard")).alias("shard"))).over(of_group)
+        votes = votes.withColumn("best", best).select(
+            "group", "shard", "here", "total", F.col("best.whole").alias("whole"), F.col("best.there").alias("there"),
+            (-F.col("best.shard")).alias("best"))
+        aside = ~F.col("whole") & (F.col("total") <= room[roomiest])
+        part = ~F.col("whole") & ~aside
+        strength = (votes.withColumn("to", F.when(aside, roomiest).otherwise(F.col("best")).cast("int"))
+                    .where(F.col("to") != F.col("shard"))
+                    .where(~part | (F.col("there") > F.col("here")) | ((F.col("there") == F.col("here")) & (F.col("to") < F.col("shard"))))
+                    .select(F.col("group").alias("_g"), F.col("shard").alias("_s"), "to",
+                            F.when(part, F.col("there") - F.col("here")).otherwise(F.col("total")).alias("gain")))
         asks = (now.join(strength, (F.col("group") == F.col("_g")) & (F.col("shard") == F.col("_s")))
                 .select("key", "group", "size", "shard", "to", "gain"))
         asks = stored(asks, "asks")
