@@ -6,7 +6,7 @@ order of an upper bound on their cosine, until no block can hold a nearer one. N
 vote with their cosines, and the vote is calibrated on the examples themselves, each
 scored without its own text.
 
-Terms are words and their first four to six letters, so inflected forms meet. Those that
+Terms are words and stems of four to seven letters, so inflected forms meet. Those that
 tell the labels apart beyond chance are selected (likelihood ratio test with a bound
 that allows for the number of terms); the others would only add noise to the cosine.
 """
@@ -32,18 +32,31 @@ MAX_EXAMPLES = 20_000
 MAX_TERMS = 4000
 NEIGHBOURS, BLOCK = 15, 64
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7)
 _VECTOR = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
 
 
 def terms_of(text: str | None) -> Counter:
-    """Terms of a whole text with their frequencies; a prefix ends in ``*``."""
+    """Terms of a whole text with their frequencies.
+
+    Words; their first letters, marked ``*``; and first letters that begin at least two or
+    three different words, marked ``*2`` and ``*3``: a stem that a text keeps inflecting
+    says more than one that it happens to contain.
+    """
     out: Counter = Counter()
+    forms: Counter = Counter()
     for word, n in Counter(WORD.findall((text or "").lower())).items():
         out[word] += n
         for k in PREFIXES:
             if len(word) > k:
-                out[word[:k] + "*"] += n
+                stem = word[:k] + "*"
+                out[stem] += n
+                forms[stem] += 1
+    for stem, n in forms.items():
+        if n >= 2:
+            out[stem + "2"] = 1
+        if n >= 3:
+            out[stem + "3"] = 1
     return out
 
 
