@@ -12,13 +12,20 @@ from pyspark.sql import types as T
 
 from hazeframe.session import ship, stored
 
-__all__ = ["add_columns", "bounded_rows", "in_tasks", "number_slots", "remainder", "running_total", "stored", "table"]
+__all__ = ["add_columns", "bounded_rows", "fresh", "in_tasks", "number_slots", "remainder", "running_total", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def remainder(col: str, by: int) -> Column:
     """crc32 of the value as text, modulo ``by``; null for a null value."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % by

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeframe.llm.common import add_columns
+from hazeframe.llm.common import add_columns, fresh
 
 SHARE = 0.2
 MIN_WORDS = 5
@@ -225,14 +225,14 @@ def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: i
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, target: float = TARGET_RECALL,
-               min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns of ``docs`` plus ``leaks``: one (item_id, start, n_words,
+               min_words: int = MIN_WORDS, into: str = "leaks") -> DataFrame:
+    """All rows and columns of ``docs`` plus ``into``: one (item_id, start, n_words,
     distance) per benchmark item found, null for none.
 
     Null and empty texts have no leaks; rows that repeat are judged alike; an empty
-    benchmark leaves every row without leaks; a clashing column ``leaks`` is replaced.
+    benchmark leaves every row without leaks; a clashing column is replaced.
     """
-    out = docs.drop("leaks")
+    out = docs.drop(into)
     names: list[str] = []
     for k, block in enumerate(item_blocks(benchmark, min_words, share=share, target=target)):
         def run(texts: pa.Array, block: Items = block) -> list[pa.Array]:
@@ -243,13 +243,13 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, targ
                                        ("n_words", pa.int32()), ("distance", pa.int32())]))
             return [pa.array([None if x is None else [dict(zip(LEAK.names, y)) for y in x] for x in found], kind)]
 
-        names.append(f"_leaks{k}")
+        names.append(fresh(out, f"_leaks{k}"))
         out = add_columns(out, ["text"], [T.StructField(names[-1], T.ArrayType(LEAK))], run)
     if not names:
-        return out.withColumn("leaks", F.lit(None).cast(T.ArrayType(LEAK)))
+        return out.withColumn(into, F.lit(None).cast(T.ArrayType(LEAK)))
     parts = [F.coalesce(F.col(n), F.array().cast(T.ArrayType(LEAK))) for n in names]
     whole = F.concat(*parts)
-    return out.withColumn("leaks", F.when(F.size(whole) > 0, whole)).drop(*names)
+    return out.withColumn(into, F.when(F.size(whole) > 0, whole)).drop(*names)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
@@ -262,4 +262,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
     """The documents that hold no benchmark item, with their columns."""
-    return with_leaks(docs, benchmark, **kwargs).where("leaks is null").select(*docs.columns)
+    found = fresh(docs, "leaks")
+    return with_leaks(docs, benchmark, into=found, **kwargs).where(F.col(found).isNull()).select(*docs.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeframe.llm.common import add_columns, in_tasks, remainder
+from hazeframe.llm.common import add_columns, fresh, in_tasks, remainder
 
 #: n-grams of a profile, and of a document that are compared with it.
 PROFILE_GRAMS = 300
@@ -142,11 +142,9 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, size: int =
     return Profiles(ranked, size)
 
 
-_FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-
-
-def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """All rows and columns plus lang_pred and score (0 to 1; clashing ones are replaced).
+def identify(docs: DataFrame, profiles: Profiles, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All rows and columns plus lang_pred and score (0 to 1), under ``names``; clashing
+    columns are replaced.
 
     Only the text is read: ``und`` with score 0 if it is null, has no letter, or nothing
     was learned. Repeated rows are judged alike.
@@ -155,7 +153,8 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
         made = [profiles.predict(t.as_py()) for t in texts]
         return [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
 
-    return add_columns(docs, ["text"], _FIELDS, run)
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    return add_columns(docs, ["text"], fields, run)
 
 
 def predictions(docs: DataFrame) -> DataFrame:
@@ -173,6 +172,7 @@ def in_known_language(docs: DataFrame) -> DataFrame:
     profiles = learn(docs)
     if not profiles.names:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return identify(docs, profiles).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    names = fresh(docs, "lang_pred"), fresh(docs, "score")
+    return identify(docs, profiles, names).where(F.col(names[0]) != UNKNOWN).select(*docs.columns)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeframe.llm.common import add_columns, bounded_rows, stored
+from hazeframe.llm.common import add_columns, bounded_rows, fresh, stored
 
 #: Trees, and rows each one is grown on; the sample is TREES * TREE_ROWS rows at most.
 TREES, TREE_ROWS = 200, 256
@@ -219,7 +219,7 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their columns."""
     stats = stored(with_statistics(docs, keep=["doc_id"]), "statistics")
     model = learn(stats, labels)
-    names = docs.columns
+    verdict = fresh(docs, "_kept")
 
     def run(texts: pa.Array) -> list[pa.Array]:
         made = np.array([statistics(t.as_py()) for t in texts], np.int64).reshape(-1, len(COUNTS + MORE))
@@ -227,7 +227,8 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         bad = base_failed(counts["n_words"], counts["n_repeat_words"])
         return [pa.array(~bad & (model.forest.score(features(counts)) <= model.threshold), pa.bool_())]
 
-    return add_columns(docs, ["text"], [T.StructField("_kept", T.BooleanType())], run).where("_kept").select(*names)
+    judged = add_columns(docs, ["text"], [T.StructField(verdict, T.BooleanType())], run)
+    return judged.where(F.col(verdict)).select(*docs.columns)
 
 
 __all__ = ["Forest", "Model", "good_documents", "judge", "learn", "statistics", "verdicts", "with_statistics"]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeframe.llm.common import add_columns, stored
+from hazeframe.llm.common import add_columns, fresh, stored
 from hazeframe.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
@@ -111,9 +111,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    kept = (near_duplicates(docs).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept")).distinct())
+    own = fresh(docs, "_kept")
+    kept = (near_duplicates(docs.select("doc_id", "text")).where("doc_id = component_id")
+            .select(F.col("doc_id").alias(own)).distinct())
     same = Window.partitionBy("doc_id").orderBy("doc_id")
-    chosen = (docs.join(kept, docs["doc_id"] == kept["_kept"])
-              .withColumn("_kept", F.row_number().over(same)).where("_kept = 1").select(*docs.columns))
+    chosen = (docs.join(kept, F.col("doc_id") == F.col(own))
+              .withColumn(own, F.row_number().over(same)).where(F.col(own) == 1).select(*docs.columns))
     return chosen.unionByName(docs.where("doc_id is null"))
