@@ -5,7 +5,8 @@ of n words (fewer at the end of a text) is a leak if its word edit distance to t
 is at most ``share`` * n, rounded down. Steps, all inside the task that holds the text:
 
 1. q-gram lemma, loses nothing: within k edits a window keeps at least n - 1 - 2k of the
-   item's n - 1 word pairs, so windows with fewer pairs known from any item are out.
+   item's n - 1 word pairs, so windows with fewer pairs of items of n words are out; pairs
+   that repeat count once more only as far as they repeat in an item.
 2. CGK random walks embed windows and items so that edits become differing positions.
    A walk steps from a word to the next one when a random bit of (step, word) says so.
 3. Bit-sampling LSH: a few sampled positions of a walk make a signature; equal
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeframe.llm.common import add_columns, fresh
+from hazeframe.llm.tokens import by_bytes, gather
 
 SHARE = 0.2
 MIN_WORDS = 5
@@ -79,8 +81,16 @@ class Items:
             by_size[len(ids)].append((item_id, ids))
         self.vocabulary, self.base = vocabulary, len(vocabulary) + 1
         self.sizes = {n: (np.array([i for i, _ in v]), np.stack([w for _, w in v])) for n, v in sorted(by_size.items())}
-        pairs = [(w[:, :-1] * self.base + w[:, 1:]).ravel() for _, w in self.sizes.values()]
-        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        pairs = {n: w[:, :-1] * self.base + w[:, 1:] for n, (_, w) in self.sizes.items()}
+        self.own_pairs = {n: np.unique(p) for n, p in pairs.items()}
+        self.repeats = {n: max(p.shape[1] - len(np.unique(row)) for row in p) for n, p in pairs.items()}
+        self.pairs = np.unique(np.concatenate([*self.own_pairs.values(), np.zeros(0, np.int64)]))
+        # for every pair the sizes of the items that hold it, one after another
+        held = [(np.searchsorted(self.pairs, p), np.full(len(p), n)) for n, p in self.own_pairs.items()]
+        which = np.concatenate([np.zeros(0, np.int64), *[w for w, _ in held]])
+        order = np.argsort(which, kind="stable")
+        self.pair_sizes = np.concatenate([np.zeros(0, np.int64), *[n for _, n in held]])[order]
+        self.pair_ends = np.searchsorted(which[order], np.arange(len(self.pairs) + 1))
         self.filter = np.zeros(1 << 20, bool)
         self.filter[self._bucket(self.pairs)] = True
         rng = np.random.default_rng(seed)
@@ -96,14 +106,44 @@ class Items:
     def _bucket(pairs: np.ndarray) -> np.ndarray:
         return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
-    def known_pairs(self, ids: np.ndarray) -> np.ndarray:
+    def known_pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, numbers) of the word pairs that some item holds."""
         pair = ids[:-1] * self.base + ids[1:]
-        hit = self.filter[self._bucket(pair)] & (ids[:-1] > 0) & (ids[1:] > 0)
-        at = np.flatnonzero(hit)
-        if len(at):
-            found = np.searchsorted(self.pairs, pair[at])
-            hit[at] = self.pairs[np.minimum(found, len(self.pairs) - 1)] == pair[at]
-        return hit
+        at = np.flatnonzero(self.filter[self._bucket(pair)] & (ids[:-1] > 0) & (ids[1:] > 0))
+        number = np.minimum(np.searchsorted(self.pairs, pair[at]), len(self.pairs) - 1)
+        known = self.pairs[number] == pair[at]
+        return at[known], number[known]
+
+    def starts(self, ids: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> dict[int, np.ndarray]:
+        """Window starts per item size that the pair count leaves."""
+        at, number = self.known_pairs(ids)
+        inside = doc[at] == doc[at + 1]
+        at, number = at[inside], number[inside]
+        times = self.pair_ends[number + 1] - self.pair_ends[number]
+        size, _ = gather(self.pair_sizes, self.pair_ends[number], times)
+        place = np.repeat(at, times)
+        order = np.argsort(size, kind="stable")
+        size, place = size[order], place[order]
+        out = {}
+        for n in self.sizes:
+            need = n - 1 - 2 * int(self.share * n)
+            if need <= 0:
+                out[n] = np.arange(len(ids))
+                continue
+            own = place[np.searchsorted(size, n):np.searchsorted(size, n, "right")]
+            first, last = own[:len(own) - need + 1], own[need - 1:]
+            fits = np.flatnonzero((last - first <= n - 2) & (doc[first] == doc[last])) if len(own) >= need else []
+            if not len(fits):
+                continue
+            # all starts from which a window holds these pairs
+            first, last = first[fits], last[fits]
+            begin = np.concatenate([[0], ends[:-1]])[doc[first]]
+            low = np.maximum(last - (n - 2), begin)
+            cover = np.zeros(len(ids) + 1, np.int32)
+            np.add.at(cover, low, 1)
+            np.add.at(cover, first + 1, -1)
+            out[n] = np.flatnonzero(np.cumsum(cover) > 0)
+        return out
 
     def signatures(self, rows: np.ndarray, walk: int) -> np.ndarray:
         """(rows, SAMPLES) signatures of word rows of equal length, padded with -1."""
@@ -165,22 +205,29 @@ class Items:
         ids = np.concatenate(coded)
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(texts)), sizes)
-        known = np.zeros(len(ids), np.int64)
-        known[:-1] = self.known_pairs(ids) & (doc[:-1] == doc[1:])
-        sums = np.concatenate([[0], np.cumsum(known)])
-        here = np.arange(len(ids))
-        for n, (item_ids, rows) in self.sizes.items():
+        for n, starts in self.starts(ids, doc, ends).items():
             most = int(self.share * n)
-            stop = np.minimum(here + n, ends[doc])
-            starts = here[(sums[stop - 1] - sums[here] >= n - 1 - 2 * most) & (stop - here >= n - most)]
+            starts = starts[np.minimum(starts + n, ends[doc[starts]]) - starts >= n - most]
             for lo in range(0, len(starts), 50_000):
-                self._search(starts[lo:lo + 50_000], n, most, ids, doc, ends, item_ids, rows, best)
+                self._search(starts[lo:lo + 50_000], n, most, ids, doc, ends, *self.sizes[n], best)
         return [[(i, s, n, d) for i, (d, s, n) in sorted(b.items())] for b in best]
 
+    def _distinct_pairs(self, windows: np.ndarray, n: int) -> np.ndarray:
+        """Different word pairs of each window that items of n words hold."""
+        pair = windows[:, :-1] * self.base + windows[:, 1:]
+        own = self.own_pairs[n]
+        known = (own[np.minimum(np.searchsorted(own, pair), len(own) - 1)] == pair) & (windows[:, :-1] > 0) & (windows[:, 1:] > 0)
+        ranked = np.sort(np.where(known, pair, -1), axis=1)
+        return (ranked[:, 0] >= 0) + ((ranked[:, 1:] != ranked[:, :-1]) & (ranked[:, 1:] >= 0)).sum(axis=1)
+
     def _search(self, starts, n, most, ids, doc, ends, item_ids, rows, best) -> None:
         at = starts[:, None] + np.arange(n)
         inside = at < ends[doc[starts]][:, None]
         windows = np.where(inside, ids[np.minimum(at, len(ids) - 1)], -1)
+        enough = self._distinct_pairs(windows, n) >= n - 1 - 2 * most - self.repeats[n]
+        starts, windows, inside = starts[enough], windows[enough], inside[enough]
+        if not len(starts):
+            return
         seen: set[tuple[int, int]] = set()
         for walk in range(self.walks):
             made, have = self.signatures(windows, walk), self.index[n][walk]
@@ -190,17 +237,22 @@ class Items:
                 lo, hi = np.searchsorted(ranked, made[:, s]), np.searchsorted(ranked, made[:, s], "right")
                 for w in np.flatnonzero(hi > lo).tolist():
                     seen.update((w, int(i)) for i in order[lo[w]:hi[w]])
-        for w, i in sorted(seen):
+        if not seen:
+            return
+        pairs = np.array(sorted(seen))
+        # windows that differ in fewest places first: they settle most pairs at once
+        apart = (windows[pairs[:, 0]] != rows[pairs[:, 1]]).sum(axis=1)
+        for k in np.argsort(apart, kind="stable").tolist():
+            w, i = pairs[k].tolist()
             p = int(starts[w])
             d, item = int(doc[p]), int(item_ids[i])
+            first = int(ends[d - 1]) if d else 0
             had = best[d].get(item)
-            limit = most if had is None else min(most, had[0] - 1)
-            if limit < 0:
+            limit = most if had is None else min(most, had[0])
+            if not limit and apart[k]:
                 continue
-            window = windows[w][inside[w]].tolist()
-            distance = 0 if window == rows[i].tolist() else edit_distance(rows[i].tolist(), window, limit)
-            if distance is not None:
-                first = int(ends[d - 1]) if d else 0
+            distance = 0 if not apart[k] else edit_distance(rows[i].tolist(), windows[w][inside[w]].tolist(), limit)
+            if distance is not None and (had is None or (distance, p - first) < had[:2]):
                 best[d][item] = (distance, p - first, n)
 
 
@@ -237,8 +289,8 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, targ
     for k, block in enumerate(item_blocks(benchmark, min_words, share=share, target=target)):
         def run(texts: pa.Array, block: Items = block) -> list[pa.Array]:
             found: list = []
-            for lo in range(0, len(texts), 500):
-                found += [x or None for x in block.leaks(texts.slice(lo, 500).to_pylist())]
+            for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, 8 << 20):
+                found += [x or None for x in block.leaks(part.column(0).to_pylist())]
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()),
                                        ("n_words", pa.int32()), ("distance", pa.int32())]))
             return [pa.array([None if x is None else [dict(zip(LEAK.names, y)) for y in x] for x in found], kind)]
