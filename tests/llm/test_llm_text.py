@@ -259,8 +259,12 @@ def test_banded_distance(a, b, most):
 def plain_leaks(text, items):
     words, out = decontam.words_of(text), {}
     for item, own in items:
-        n, most = len(own), int(0.2 * len(own))
+        n, most, bag = len(own), int(0.2 * len(own)), set(own)
+        hits = np.concatenate([[0], np.cumsum([w in bag for w in words])])
         for p in range(len(words)):
+            # words that no edit touches are words of the item
+            if hits[min(p + n, len(words))] - hits[p] < n - most:
+                continue
             window = words[p:p + n]
             # words that no edit touches are common to both
             if len(window) >= n - most and sum((Counter(own) & Counter(window)).values()) >= n - most:
