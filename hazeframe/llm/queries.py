@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm import decontam, idfiles, langid, licenses, packing, quality, sharding, simhash, toxicity, warc
+from hazeframe.llm import decontam, idfiles, langid, licenses, oracles, packing, quality, sharding, simhash, toxicity, warc
 from hazeframe.llm.common import table
 
 
@@ -70,6 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_simhash, op3_packing, op4_warc, op5_toxicity, op6_licenses, op7_language,
         op8_token_ids, op9_quality, op10_sharding)}
-#: No operator's result can be stated in SQL: fingerprints, ids, models and files all
-#: need hashes or libraries that it lacks. Their tests compare with plain versions.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc": oracles.WARC, "op6_licenses": oracles.licenses_sql()}

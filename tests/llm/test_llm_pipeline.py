@@ -3,13 +3,19 @@
 import os
 import sys
 
-from conftest import SMALL
+import pytest
+from conftest import SMALL, rows_of, rows_of_sql
 from llm_cases import SENTENCE
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
-from hazeframe.llm.queries import QUERIES  # noqa: E402
+from hazeframe.llm.queries import ORACLES, QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_same_rows_as_sql(spark, duck, name):
+    assert rows_of(QUERIES[name](spark, SMALL)) == rows_of_sql(duck, ORACLES[name])
 
 
 def test_run_is_the_chain_of_stages(spark, tmp_path):
