@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from hazeframe.operators.columns import numeric_columns
 from hazeframe.scale import medians, one_row, quantiles
 
-CORR_CHUNK = 1_000
+#: Pairs per pass: the cost of a pass lies in its expressions.
+CORR_CHUNK = 100
 
 
 def _long(row: DataFrame, parts: dict[str, list], names: Sequence[str]) -> DataFrame:
