@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeframe.llm.common import add_columns, fresh, in_tasks, remainder
+from hazeframe.llm.common import add_columns, fresh, in_tasks, remainder, stored
 
 #: n-grams of a profile, and of a document that are compared with it.
 PROFILE_GRAMS = 300
 #: Expected training documents per language: those with the smallest hashes of doc_id.
 SAMPLE_PER_LANGUAGE = 3000
 HELD_OUT, FOLDS = 2, 4
+#: Languages up to which their counts are broadcast; beyond, texts are shuffled by language.
+BROADCAST_LANGUAGES = 10_000
 UNKNOWN = "und"
 _BORDER = 0x5F
 _letters: np.ndarray | None = None
@@ -117,7 +119,9 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, size: int =
         "doc_id", F.col("lang").cast("string").alias("lang"), "text")
     if held_out:
         rows = rows.where(remainder("doc_id", FOLDS) != HELD_OUT)
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
+    if sizes.count() <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
     spread = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30))
     chosen = rows.join(sizes, "lang").where(spread * F.col("_n") < F.lit(per_language * (1 << 30))).select("lang", "text")
 
