@@ -17,7 +17,9 @@ def test_gives_rows(spark, name):
 
 
 HOT = ["impute_ffill_median", "impute_ffill_bfill_zero", "impute_ffill_bfill", "impute_ffill_table", "impute_median",
-       "rolling_mean_8", "asof_nearest", "asof_backward", "daily_median", "station_median_top10", "boxplot_stats"]
+       "rolling_mean_8", "asof_nearest", "asof_backward", "daily_median", "station_median_top10", "boxplot_stats",
+       "describe_numeric", "clean_aqi", "clean_weather", "clean_traffic", "combined_daily", "training_frame",
+       "asof_nearest_null_times", "asof_backward_null_times", "spike_detect"]
 
 
 @pytest.mark.parametrize("name", HOT)

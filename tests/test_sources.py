@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +153,19 @@ def test_late_rows_are_counted(spark):
     rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in range(6)], "ts timestamp_ntz")
     newest = F.lit(dt.datetime(2024, 1, 1, 5)).cast("timestamp_ntz")
     assert S.late_rows(rows, "ts", newest, 2).first().late == 3
+
+
+def test_workers_import_the_package_from_any_folder(tmp_path):
+    """A driver started elsewhere, with the package only on its own path."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from hazeframe.catalog import QUERIES
+from hazeframe.session import local_session
+spark = local_session("2", partitions=2, memory="2g")
+print("rows", QUERIES["insample_fixed_order"](spark, {SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 2133" in done.stdout, done.stderr[-2000:]
