@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hazeframe.catalog import views as V
 from hazeframe.catalog.registry import query, sql
+from hazeframe.operators import joins as J
 from hazeframe.operators import profile as P
 from hazeframe.plans.daily import combined_daily as combine
 from hazeframe.plans.daily import daily_table
@@ -21,6 +22,15 @@ def daily_median(spark, sf):
     return P.daily_median(V.table(spark, sf, "lineitem"), "l_shipdate", NUMS)
 
 
+@query("daily_outer_join", sql("", """SELECT coalesce(a.date, b.date) AS date, l_quantity, l_extendedprice, o_totalprice FROM
+ (SELECT CAST(l_shipdate AS DATE) AS date, median(l_quantity) AS l_quantity, median(l_extendedprice) AS l_extendedprice FROM lineitem GROUP BY 1) a
+ FULL JOIN (SELECT CAST(o_orderdate AS DATE) AS date, median(o_totalprice) AS o_totalprice FROM orders GROUP BY 1) b ON a.date = b.date"""))
+def daily_outer_join(spark, sf):
+    """Daily medians of two tables side by side."""
+    a = P.daily_median(V.table(spark, sf, "lineitem"), "l_shipdate", NUMS[:2])
+    return J.outer_join(a, P.daily_median(V.table(spark, sf, "orders"), "o_orderdate", ["o_totalprice"]), ["date"])
+
+
 @query("hour_of_day_mean", sql("traffic", "SELECT CAST(hour(ts) AS INTEGER) AS hour, round(avg(vehicle_count), 6) AS vehicle_count FROM traffic GROUP BY 1"))
 def hour_of_day_mean(spark, sf):
     return P.hour_of_day_mean(V.traffic(spark, sf), "ts", ["vehicle_count"]).withColumn("vehicle_count", F.round("vehicle_count", 6))
