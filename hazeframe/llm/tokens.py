@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 _loaded: dict[str, "Encoder"] = {}
 #: Pieces kept per worker and generation; two generations are alive at a time.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 300_000
 
 
 def encoder(path: str) -> "Encoder":
@@ -51,7 +51,7 @@ def piece_starts(data: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-def by_bytes(batch: pa.RecordBatch, column: int, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``most`` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
