@@ -31,6 +31,8 @@ HELD_OUT, FOLDS = 0, 5
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 4000
 NEIGHBOURS, BLOCK = 15, 64
+#: Cosines that differ by less are equal.
+EQUAL = 1e-6
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7)
 _VECTOR = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
@@ -149,8 +151,8 @@ class Index:
             w = np.array([x[2] for x in triples])
             np.maximum.at(self.maxima[:, b], t, (w * 1.000001).astype(np.float32))
             self.postings.append((t, np.array([x[1] for x in triples]), w))
+        self.place = {i: n for n, i in enumerate(held)}
         self.steps = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        self._calibrate([weighted[i] for i in held])
 
     def weigh(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of unit length: (1 + log tf) * idf."""
@@ -160,11 +162,12 @@ class Index:
         return (terms, weights / norm) if norm else (terms[:0], weights[:0])
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k examples of largest positive cosine, exactly; ties go to earlier ones."""
-        bounds = weights @ self.maxima[terms]
+        """The k examples of largest positive cosine. Blocks whose bound is within EQUAL of
+        the k-th cosine are left out, so cosines are exact to EQUAL; ties go to any."""
+        bounds = np.minimum(weights @ self.maxima[terms], 1.0)
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1][0]):
+            if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1][0] + EQUAL):
                 break
             t, e, w = self.postings[b]
             at = np.searchsorted(terms, t)
@@ -184,15 +187,19 @@ class Index:
         weights = np.array([c for c, _ in near])
         return float((weights @ self.toxic[[i for _, i in near]] + 0.5 * self.prior) / (weights.sum() + 0.5))
 
-    def _calibrate(self, weighted) -> None:
-        """Isotonic steps from raw votes to observed shares, each example left out itself."""
-        if not weighted:
-            return
-        raw = np.array([self.vote(near) if (near := self.nearest(t, w, self.k, i)) else self.prior
-                        for i, (t, w) in enumerate(weighted)])
+    def left_out(self, row: int, terms, counts) -> float | None:
+        """The raw vote on example ``row`` (its number when the index was made) without the
+        example itself; null for one without terms."""
+        if row not in self.place:
+            return None
+        near = self.nearest(*self.weigh(terms, counts), self.k, self.place[row])
+        return self.vote(near) if near else self.prior
+
+    def calibrate(self, raw: np.ndarray, toxic: np.ndarray) -> None:
+        """Isotonic steps from raw votes to observed shares."""
         order = np.argsort(raw, kind="stable")
         pools: list[list[float]] = []  # sum, number, least and largest raw vote
-        for x, y in zip(raw[order], self.toxic[order]):
+        for x, y in zip(raw[order], toxic[order]):
             pools.append([y, 1, x, x])
             while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
                 last = pools.pop()
@@ -221,6 +228,24 @@ class Index:
 _SCORES = [T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(T.LongType()))]
 
 
+def _calibrate(index: Index, known: DataFrame, held: list) -> None:
+    """Vote on every example in tasks, then fit the steps on these votes."""
+    rows: dict[tuple, list[int]] = {}
+    for i, r in enumerate(held):
+        rows.setdefault((r["doc_id"], tuple(r["terms"])), []).append(i)
+
+    def run(docs: pa.Array, ids: pa.Array, counts: pa.Array) -> list[pa.Array]:
+        made = [index.left_out(rows[d, tuple(t)][0], t, c)
+                for d, t, c in zip(docs.to_pylist(), ids.to_pylist(), counts.to_pylist())]
+        return [pa.array(made, pa.float64())]
+
+    tasks = known.sparkSession.sparkContext.defaultParallelism
+    voted = add_columns(known.where(F.size("terms") > 0).repartition(4 * tasks), ["doc_id", "terms", "counts"],
+                        [T.StructField("vote", T.DoubleType())], run, keep=["toxic"]).where("vote is not null").collect()
+    if voted:
+        index.calibrate(np.array([r["vote"] for r in voted]), np.array([float(r["toxic"]) for r in voted]))
+
+
 def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours) for every document.
 
@@ -239,9 +264,11 @@ def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     for term, n in rows.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
         seen[term] = n
     idf = np.log((rows.count() + 1) / (seen + 1)) + 1
-    known = vectors(examples, terms).join(small, "doc_id").orderBy("doc_id").collect()
-    index = Index([r["doc_id"] for r in known], [(r["terms"], r["counts"]) for r in known],
-                  np.array([r["toxic"] for r in known]), idf)
+    known = stored(vectors(examples, terms).join(small, "doc_id"), "known")
+    held = sorted(known.collect(), key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
+    index = Index([r["doc_id"] for r in held], [(r["terms"], r["counts"]) for r in held],
+                  np.array([r["toxic"] for r in held]), idf)
+    _calibrate(index, known, held)
 
     def run(ids: pa.Array, counts: pa.Array) -> list[pa.Array]:
         made = [index.score(t, c) for t, c in zip(ids.to_pylist(), counts.to_pylist())]

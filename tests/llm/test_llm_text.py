@@ -214,6 +214,8 @@ def test_block_max_search_is_exact():
         want = sorted((-cosine[i], i) for i in np.flatnonzero(cosine > 0))[:7]
         got = index.nearest(t, w, 7)
         assert np.allclose([c for c, _ in got], [-c for c, _ in want])
+    votes = [(index.left_out(i, *rows[i]), toxic[i]) for i in range(len(rows)) if len(rows[i][0])]
+    index.calibrate(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
     assert (np.diff(index.steps[1]) >= 0).all() and 0 <= index.steps[1].min() <= index.steps[1].max() <= 1
 
 
