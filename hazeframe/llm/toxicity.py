@@ -31,6 +31,8 @@ HELD_OUT, FOLDS = 0, 5
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 4000
 NEIGHBOURS, BLOCK = 15, 64
+#: Words a task remembers.
+KEPT_WORDS = 300_000
 #: Cosines that differ by less are equal.
 EQUAL = 1e-6
 WORD = re.compile(r"[^\W\d_]+")
@@ -108,17 +110,49 @@ def select_terms(examples: DataFrame, most: int = MAX_TERMS) -> list[str]:
     return [r[0] for r in chosen.orderBy(F.desc("ratio"), "term").limit(most).select("term").collect()]
 
 
+class Reader:
+    """Finds the selected terms of texts; what a word stands for is remembered."""
+
+    def __init__(self, terms: list[str]):
+        self.number = {w: i for i, w in enumerate(terms)}
+        self.counted = {w[:-1] for w in terms if w.endswith(("*2", "*3"))}
+        self.seen: dict[str, tuple] = {}
+
+    def _look_up(self, word: str) -> tuple:
+        stems = [word[:k] + "*" for k in PREFIXES if len(word) > k]
+        terms = tuple(self.number[w] for w in (word, *stems) if w in self.number)
+        counted = tuple(w for w in stems if w in self.counted)
+        return (terms, counted) if terms or counted else ()
+
+    def read(self, text: str | None) -> list[tuple[int, int]]:
+        """(number, frequency) of the selected terms, as ``terms_of`` counts them."""
+        if len(self.seen) > KEPT_WORDS:
+            self.seen.clear()
+        seen, own, forms = self.seen, Counter(), Counter()
+        for word, n in Counter(WORD.findall((text or "").lower())).items():
+            hit = seen.get(word)
+            if hit is None:
+                hit = seen[word] = self._look_up(word)
+            if hit:
+                for i in hit[0]:
+                    own[i] += n
+                forms.update(hit[1])
+        for stem, n in forms.items():
+            for least in (2, 3):
+                term = self.number.get(f"{stem}{least}")
+                if n >= least and term is not None:
+                    own[term] = 1
+        return sorted(own.items())
+
+
 def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     """(doc_id, terms, counts): numbers of the selected terms in each whole text."""
-    number = {w: i for i, w in enumerate(terms)}
+    reader = Reader(terms)
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        ids, counts = [], []
-        for text in texts:
-            own = sorted((number[w], n) for w, n in terms_of(text.as_py()).items() if w in number)
-            ids.append([i for i, _ in own])
-            counts.append([n for _, n in own])
-        return [pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))]
+        found = [reader.read(t.as_py()) for t in texts]
+        return [pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32())),
+                pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))]
 
     return add_columns(docs, ["text"], _VECTOR, run, keep=["doc_id"])
 

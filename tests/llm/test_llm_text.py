@@ -219,6 +219,14 @@ def test_block_max_search_is_exact():
     assert (np.diff(index.steps[1]) >= 0).all() and 0 <= index.steps[1].min() <= index.steps[1].max() <= 1
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["stem", "stemmed", "stemming", "stems", "stemless", "x", "É", "other others", "."]), max_size=12).map(" ".join))
+def test_selected_terms_are_read_as_they_are_counted(text):
+    terms = sorted(toxicity.terms_of("stem stemmed stemming stems stemless others"))[::2] + ["x"]
+    want = toxicity.terms_of(text)
+    assert toxicity.Reader(terms).read(text) == [(i, want[w]) for i, w in enumerate(terms) if w in want]
+
+
 def test_toxicity_held_out(spark, duck):
     labels = dict(duck.execute("SELECT doc_id, toxic FROM '/root/testdata/sf0.1/labels.parquet'").fetchall())
     rows = op5_toxicity(spark, "/root/testdata/sf0.1").collect()
