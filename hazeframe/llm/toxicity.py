@@ -7,8 +7,8 @@ vote with their cosines, and the vote is calibrated on the examples themselves,
 scored without its own text.
 
 Terms are words and stems of four to seven letters, so inflected forms meet. Those that
-tell the labels apart beyond chance are selected (likelihood ratio test with a bound
-that allows for the number of terms); the others would only add noise to the cosine.
+speak for the label beyond chance are selected (likelihood ratio test with a bound that
+allows for the number of terms); the others would only add noise to the cosine.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from hazeframe.llm.common import add_columns, bounded_rows, in_tasks, remainder,
 HELD_OUT, FOLDS = 0, 5
 #: Labelled rows the model is fitted on: those with the smallest hashes of doc_id.
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 4000
+MAX_TERMS = 1000
 NEIGHBOURS, BLOCK = 15, 64
 #: Words a task remembers.
 KEPT_WORDS = 300_000
@@ -74,7 +74,7 @@ def training_labels(labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
 
 
 def select_terms(examples: DataFrame, most: int = MAX_TERMS) -> list[str]:
-    """Terms whose presence depends on the label, the strongest first.
+    """Terms whose presence speaks for the label, the strongest first.
 
     ``examples`` has text and toxic. The test bound is that of a false term among all of
     them with probability 1/20.
@@ -106,7 +106,9 @@ def select_terms(examples: DataFrame, most: int = MAX_TERMS) -> list[str]:
     ratio = 2 * (part(F.col("n1"), n * pos / every) + part(F.col("n0"), n * neg / every)
                  + part(pos - F.col("n1"), (every - n) * pos / every)
                  + part(neg - F.col("n0"), (every - n) * neg / every))
-    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") >= 2 * math.log(max(1, kinds) / 0.05))
+    toxic_side = F.col("n1") * neg > F.col("n0") * pos
+    chosen = counts.withColumn("ratio", ratio).where(
+        toxic_side & (F.col("ratio") >= 2 * math.log(max(1, kinds) / 0.05)))
     return [r[0] for r in chosen.orderBy(F.desc("ratio"), "term").limit(most).select("term").collect()]
 
 
