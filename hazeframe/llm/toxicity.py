@@ -210,12 +210,11 @@ class Index:
             at[at == len(terms)] = 0
             hit = terms[at] == t
             cosine = np.bincount(e[hit], weights[at[hit]] * w[hit], minlength=self.block)
-            for i in np.flatnonzero(cosine > 0).tolist():
-                number = b * self.block + i
-                if number != skip:
-                    best.append((float(cosine[i]), number))
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[k:]
+            nearer = np.flatnonzero(cosine > (best[-1][0] if len(best) == k else 0.0)).tolist()
+            if nearer:
+                best += [(float(cosine[i]), b * self.block + i) for i in nearer if b * self.block + i != skip]
+                best.sort(key=lambda x: (-x[0], x[1]))
+                del best[k:]
         return best
 
     def vote(self, near: list[tuple[float, int]]) -> float:
