@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import isqrt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from hazeframe.functions.aqi import breakpoint_table
 from hazeframe.operators.columns import as_time, time_column
 from hazeframe.operators.filters import keep_last
-from hazeframe.scale import carry, group_sizes
+from hazeframe.scale import BROADCAST_ROWS, carry, group_row_limit, group_sizes
+from hazeframe.session import stored
 
 
 def suffix_shared(left: DataFrame, right: DataFrame, keys: Sequence[str], suffixes: tuple[str, str]):
@@ -24,15 +26,63 @@ def suffix_shared(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix
 def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Full outer join; null keys match null keys, so rows that repeat a key are paired.
-    Spark never splits a hot key of a full outer join; ``join_feeds`` needs none."""
+    Spark never splits a hot key of a full outer join; ``join_feeds`` needs none, and
+    ``merge_outer`` cuts it."""
     left, right = suffix_shared(left, right, keys, suffixes)
-    mine = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    both = left.join(mine, cond, "full_outer")
-    return both.select(
+    return _paired(left, right, keys, [], "full_outer")
+
+
+def _paired(left: DataFrame, right: DataFrame, keys: Sequence[str], cells: Sequence[str], how: str) -> DataFrame:
+    mine = right.withColumnsRenamed({k: f"_r_{k}" for k in (*keys, *cells)})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in (*keys, *cells)])
+    return left.join(mine, cond, how).select(
         *[F.coalesce(F.col(k), F.col(f"_r_{k}")).alias(k) for k in keys],
-        *[c for c in left.columns if c not in keys],
-        *[c for c in right.columns if c not in keys])
+        *[c for c in left.columns if c not in (*keys, *cells)],
+        *[c for c in right.columns if c not in (*keys, *cells)])
+
+
+def key_counts(feeds: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """The keys of all feeds with the rows that each feed has of them, ``_n0``, ``_n1`` and so on."""
+    flags = union_feeds(*[f.select(*keys, F.lit(k).alias("_feed")) for k, f in enumerate(feeds)])
+    return flags.groupBy(*keys).agg(*[F.count(F.when(F.col("_feed") == k, 1)).alias(f"_n{k}") for k in range(len(feeds))])
+
+
+def merge_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], suffixes: tuple[str, str] = ("_x", "_y"),
+                counts: DataFrame | None = None) -> DataFrame:
+    """``outer_join`` for keys of any size.
+
+    ``counts`` holds every key with its rows on both sides (``_n0``, ``_n1``). A key with
+    more rows or pairs than one task may hold is cut: rows of a side are dealt into slots
+    and repeated for every slot of the other side, so each pair meets in one cell. Such a
+    key on one side only needs no join.
+    """
+    left, right = suffix_shared(left, right, keys, suffixes)
+    limit = group_row_limit(left.sparkSession)
+    counts = key_counts([left, right], keys) if counts is None else counts
+    n0, n1 = F.col("_n0").cast("double"), F.col("_n1").cast("double")
+    hot = stored(counts.where(F.greatest(n0, n1, n0 * n1) > limit), "hot")
+    kinds = hot.count()
+    if not kinds:
+        return _paired(left, right, keys, [], "full_outer")
+    step = max(1, isqrt(limit))
+    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
+                     *[F.greatest(F.lit(1), F.ceil(n / step)).cast("int").alias(s) for n, s in ((n0, "_s0"), (n1, "_s1"))],
+                     ((n0 > 0) & (n1 > 0)).alias("_meet"))
+    hot = F.broadcast(hot) if kinds <= BROADCAST_ROWS else hot
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
+    drop = [f"_h_{k}" for k in keys]
+    cold = _paired(left.join(hot, cond, "left_anti"), right.join(hot, cond, "left_anti"), keys, [], "full_outer")
+    sides, alone = [], []
+    for feed, mine, other, slots in ((left, "_i", "_j", ("_s0", "_s1")), (right, "_j", "_i", ("_s1", "_s0"))):
+        rows = feed.join(hot, cond).drop(*drop)
+        alone.append(rows.where(~F.col("_meet")).select(*feed.columns))
+        # stored, since a slot drawn anew would lose pairs
+        slot = F.floor(F.rand(7) * F.col(slots[0])).cast("int")
+        dealt = stored(rows.where("_meet").withColumn(mine, slot), "slots")
+        dealt = dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(slots[1]) - 1)))
+        sides.append(dealt.select(*feed.columns, "_i", "_j"))
+    met = _paired(*sides, keys, ["_i", "_j"], "inner")
+    return union_feeds(cold, met, *alone).select(*cold.columns)
 
 
 def join_feeds(aqi: DataFrame, weather: DataFrame, traffic: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,14 +103,23 @@ def join_feeds(aqi: DataFrame, weather: DataFrame, traffic: DataFrame, keys: Seq
 
 def merge_masters(aqi: DataFrame, weather: DataFrame, traffic: DataFrame) -> DataFrame:
     """The merged table of three raw feeds: the time column of each is found by name, taken
-    as the common key, and the result is in time order."""
-    feeds = []
+    as the common key, and the result is in time order.
+
+    Rows are never summed up: those of one time (several stations, null times) are all
+    paired with each other, as two outer merges do.
+    """
+    feeds, keys = [], ["timestamp"]
     for feed in (aqi, weather, traffic):
         found = time_column(feed, "merge")
         if found is None:
             raise ValueError(f"no time column among {feed.columns}")
         feeds.append(feed.withColumn(found, as_time(feed, found)).withColumnRenamed(found, "timestamp"))
-    return join_feeds(*feeds, ["timestamp"]).orderBy("timestamp")
+    counts = stored(key_counts(feeds, keys), "counts")
+    one, two = F.col("_n0").cast("double"), F.col("_n1").cast("double")
+    pairs = F.when(one + two > 0, F.greatest(one, F.lit(1)) * F.greatest(two, F.lit(1))).otherwise(0.0)
+    both = merge_outer(*feeds[:2], keys, ("_aqi", "_weather"), counts)
+    return merge_outer(both, feeds[2], keys, counts=counts.select(
+        *keys, pairs.alias("_n0"), F.col("_n2").alias("_n1"))).orderBy(*keys)
 
 
 def asof(

@@ -45,6 +45,37 @@ def test_outer_join_matches_null_keys(spark):
     assert [(k, x, y) for k, x, y in got] == [(0, 1, 3), (1, 2, None), (2, None, 4)]
 
 
+@pytest.mark.parametrize("limit", ["4000000", "8"])
+def test_masters_keep_all_rows_of_a_time(spark, limit):
+    """Several stations an hour, null times and copies, against two pandas merges; with the
+    lower limit the hot times are cut into cells."""
+    times = [at(1)] * 9 + [at(2)] * 2 + [None, None, at(4)]
+    aqi = [(t, f"a{i}", float(i)) for i, t in enumerate(times)] + [(at(6), "same", 1.0)] * 12
+    weather = [(t, f"w{i}", -i) for i, t in enumerate([at(1)] * 5 + [None, at(3), at(4), at(4)])]
+    traffic = [(f"t{i}", t, i) for i, t in enumerate([at(1), at(1), at(3), None, None, at(5)])]
+    feeds = [("reading_time", "station", "o3"), ("obs_date", "station", "temperature"), ("station", "timestamp", "vehicles")]
+    kinds = ["{} timestamp_ntz, {} string, {} double", "{} timestamp_ntz, {} string, {} int", "{} string, {} timestamp_ntz, {} int"]
+    frames = [pd.DataFrame(rows, columns=names) for rows, names in zip((aqi, weather, traffic), feeds)]
+    frames = [f.rename(columns={"reading_time": "timestamp", "obs_date": "timestamp"}) for f in frames]
+    want = frames[0].merge(frames[1], on="timestamp", how="outer", suffixes=("_aqi", "_weather"))
+    want = want.merge(frames[2], on="timestamp", how="outer")
+    spark.conf.set("spark.hazeframe.groupRowLimit", limit)
+    try:
+        got = J.merge_masters(*[spark.createDataFrame(rows, kind.format(*names)) for rows, kind, names in
+                                zip((aqi, weather, traffic), kinds, feeds)])
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.hazeframe.groupRowLimit")
+    assert got.columns == list(want.columns)
+
+    def cells(row):
+        return tuple("" if pd.isna(v) else str(float(v)) if isinstance(v, (int, float)) else str(v) for v in row)
+
+    assert sorted(cells(r) for r in rows) == sorted(cells(r) for r in want.itertuples(index=False))
+    known = [r["timestamp"] for r in rows if r["timestamp"]]
+    assert known == sorted(known) and len(rows) > len(set(known)) + 1
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 40), st.one_of(st.none(), st.integers(0, 9))), min_size=1, max_size=160))
 def test_fills_equal_pandas_also_when_split(split, rows):
