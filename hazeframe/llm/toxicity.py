@@ -2,13 +2,15 @@
 
 Texts are TF-IDF vectors over selected terms; the cosine to labelled examples is searched
 exactly through an inverted index with block maxima: blocks of examples are visited in
-order of an upper bound on their cosine, until no block can hold a nearer one. Neighbours
-vote with their cosines, and the vote is calibrated on the examples themselves, each
-scored without its own text.
-
-Terms are words and stems of four to seven letters, so inflected forms meet. Those that
-speak for the label beyond chance are selected (likelihood ratio test with a bound that
-allows for the number of terms); the others would only add noise to the cosine.
+order of an upper bound on their cosine, until no block can hold a nearer one; where the
+bounds do not settle it within a few blocks, the postings of the text's terms are summed
+up over all examples at once. Neighbours vote with their cosines, and the vote is
+calibrated on the examples themselves, each scored without its own text.
+
+Terms are words and stems of four to seven letters, so inflected forms meet. All that
+tell the labels apart beyond chance, for either side, are selected (likelihood ratio test
+with a bound that allows for the number of terms); the others would only add noise to the
+cosine.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ from hazeframe.llm.common import add_columns, bounded_rows, in_tasks, remainder,
 HELD_OUT, FOLDS = 0, 5
 #: Labelled rows the model is fitted on: those with the smallest hashes of doc_id.
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 1000
 NEIGHBOURS, BLOCK = 15, 64
+#: Blocks visited one by one before all postings are summed up.
+FEW_BLOCKS = 4
 #: Words a task remembers.
 KEPT_WORDS = 300_000
 #: Cosines that differ by less are equal.
@@ -73,8 +76,8 @@ def training_labels(labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
                         F.col("doc_id"), most)
 
 
-def select_terms(examples: DataFrame, most: int = MAX_TERMS) -> list[str]:
-    """Terms whose presence speaks for the label, the strongest first.
+def select_terms(examples: DataFrame, most: int | None = None) -> list[str]:
+    """All terms whose presence depends on the label, the strongest first (at most ``most``).
 
     ``examples`` has text and toxic. The test bound is that of a false term among all of
     them with probability 1/20.
@@ -106,10 +109,9 @@ def select_terms(examples: DataFrame, most: int = MAX_TERMS) -> list[str]:
     ratio = 2 * (part(F.col("n1"), n * pos / every) + part(F.col("n0"), n * neg / every)
                  + part(pos - F.col("n1"), (every - n) * pos / every)
                  + part(neg - F.col("n0"), (every - n) * neg / every))
-    toxic_side = F.col("n1") * neg > F.col("n0") * pos
-    chosen = counts.withColumn("ratio", ratio).where(
-        toxic_side & (F.col("ratio") >= 2 * math.log(max(1, kinds) / 0.05)))
-    return [r[0] for r in chosen.orderBy(F.desc("ratio"), "term").limit(most).select("term").collect()]
+    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") >= 2 * math.log(max(1, kinds) / 0.05))
+    chosen = chosen.orderBy(F.desc("ratio"), "term")
+    return [r[0] for r in (chosen if most is None else chosen.limit(most)).select("term").collect()]
 
 
 class Reader:
@@ -187,6 +189,12 @@ class Index:
             w = np.array([x[2] for x in triples])
             np.maximum.at(self.maxima[:, b], t, (w * 1.000001).astype(np.float32))
             self.postings.append((t, np.array([x[1] for x in triples]), w))
+        # the same of all blocks, term after term
+        every = np.concatenate([np.zeros(0, int), *[t for t, _, _ in self.postings]]).astype(int)
+        order = np.argsort(every, kind="stable")
+        self.ends = np.searchsorted(every[order], np.arange(len(idf) + 1))
+        self.holders = np.concatenate([np.zeros(0, int), *[e + b * block for b, (_, e, _) in enumerate(self.postings)]])[order].astype(int)
+        self.shares = np.concatenate([np.zeros(0), *[w for _, _, w in self.postings]])[order]
         self.place = {i: n for n, i in enumerate(held)}
         self.steps = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
@@ -202,9 +210,11 @@ class Index:
         the k-th cosine are left out, so cosines are exact to EQUAL; ties go to any."""
         bounds = np.minimum(weights @ self.maxima[terms], 1.0)
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
+        for visited, b in enumerate(np.argsort(-bounds, kind="stable").tolist()):
             if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1][0] + EQUAL):
                 break
+            if visited == FEW_BLOCKS:
+                return self._nearest_of_all(terms, weights, k, skip)
             t, e, w = self.postings[b]
             at = np.searchsorted(terms, t)
             at[at == len(terms)] = 0
@@ -217,6 +227,16 @@ class Index:
                 del best[k:]
         return best
 
+    def _nearest_of_all(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int) -> list[tuple[float, int]]:
+        cosine = np.zeros(len(self.ids))
+        for t, w in zip(terms.tolist(), weights.tolist()):
+            held = slice(self.ends[t], self.ends[t + 1])
+            cosine[self.holders[held]] += w * self.shares[held]  # an example holds a term once
+        if skip >= 0:
+            cosine[skip] = 0.0
+        top = np.argpartition(-cosine, k)[:k] if len(cosine) > k else np.arange(len(cosine))
+        return sorted(((float(cosine[i]), int(i)) for i in top if cosine[i] > 0), key=lambda x: (-x[0], x[1]))
+
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Cosine-weighted share of toxic neighbours, drawn to the prior by half a vote."""
         weights = np.array([c for c, _ in near])
@@ -281,7 +301,7 @@ def _calibrate(index: Index, known: DataFrame, held: list) -> None:
         index.calibrate(np.array([r["vote"] for r in voted]), np.array([float(r["toxic"]) for r in voted]))
 
 
-def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours) for every document.
 
     Labels outside the held-out fold (crc32(doc_id as text) mod 5 = 0) are learned; only

@@ -1,5 +1,6 @@
 """Language, quality, licences, toxicity and decontamination against plain versions."""
 
+import itertools
 import random
 import re
 import zlib
@@ -238,6 +239,21 @@ def test_toxicity_held_out(spark, duck):
     assert sum(p for y, p, _ in held if not y) <= 0.01 * len(held)
 
 
+def test_all_telling_terms_of_both_sides_count(spark):
+    words = ["".join(w) for w in itertools.product("abcdefghijk", repeat=3)]
+    toxic, clean = words[:1100], words[1100:1200]
+    train = [d for d in range(200) if fold(d, 5)][:80]
+    texts = [(d, " ".join(toxic if d % 2 else clean), d % 2) for d in train]
+    examples = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    assert sorted(toxicity.select_terms(examples)) == sorted(toxic + clean)
+    # one chance term among many of the other side does not stand for the whole text
+    new = [d for d in range(200) if not fold(d, 5)][:2]
+    more = spark.createDataFrame(list(zip(new, [" ".join([toxic[0], *clean]), " ".join([clean[0], *toxic])])), "doc_id long, text string")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.scores(examples.select("doc_id", "text").union(more),
+                                                               examples.select("doc_id", "toxic")).collect()}
+    assert [got[d] for d in new] == [0, 1]
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (4, 0), (6, None), (None, 1)], "doc_id long, toxic int")
     for some in (labels, labels.limit(0)):
