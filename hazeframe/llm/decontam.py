@@ -1,10 +1,11 @@
 """Benchmark decontamination by edit distance over item-sized windows (operator 1).
 
-Texts are sequences of lower-cased words. For every benchmark item of n words, a window
-of n words (fewer at the end of a text) is a leak if its word edit distance to the item
-is at most ``share`` * n, rounded down. Steps, all inside the task that holds the text:
+Texts are sequences of lower-cased words. For every benchmark item of n words, a passage is
+a leak if its word edit distance k to the item is at most ``share`` * n, rounded down; it
+may have n - k to n + k words. Windows of n words find the candidates (fewer at the end of
+a text). Steps, all inside the task that holds the text:
 
-1. q-gram lemma, loses nothing: within k edits a window keeps at least n - 1 - 2k of the
+1. q-gram lemma, loses nothing: the window at the start of a passage within k edits keeps at least n - 1 - 2k of the
    item's n - 1 word pairs, so windows with fewer pairs of items of n words are out; pairs
    that repeat count once more only as far as they repeat in an item.
 2. CGK random walks embed windows and items so that edits become differing positions.
@@ -12,7 +13,7 @@ is at most ``share`` * n, rounded down. Steps, all inside the task that holds th
 3. Bit-sampling LSH: a few sampled positions of a walk make a signature; equal
    signatures of equal n are candidates. Walks are added until simulated edits at the
    largest allowed distance are found with the target recall.
-4. The exact edit distance decides.
+4. The exact edit distance to the nearest beginning of the window, extended by k words, decides.
 
 Items are a stated query set: they are taken in blocks of bounded size, each against all
 documents, and no document is shuffled or paired with another.
@@ -42,7 +43,8 @@ WORD = re.compile(r"\w+")
 BITS, SAMPLES, MAX_WALKS = 3, 4, 40
 LEAK = T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("start", T.IntegerType()),
-    T.StructField("n_words", T.IntegerType()), T.StructField("distance", T.IntegerType())])
+    T.StructField("n_words", T.IntegerType()), T.StructField("distance", T.IntegerType()),
+    T.StructField("span", T.IntegerType())])
 
 
 def words_of(text: str | None) -> list[str]:
@@ -68,6 +70,27 @@ def edit_distance(a: list, b: list, most: int) -> int | None:
     return row[-1] if row[-1] <= most else None
 
 
+def closest_span(a: list, b: list, most: int) -> tuple[int, int] | None:
+    """(distance, length) of the beginning of ``b`` nearest to ``a`` within ``most``; of
+    equals the one whose length is nearest to that of ``a``, then the shorter one."""
+    far = most + 1
+    row = [j if j <= most else far for j in range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        lo, hi = max(1, i - most), min(len(b), i + most)
+        if lo > len(b) + 1:
+            return None
+        new = [far] * (len(b) + 1)
+        if i <= most:
+            new[0] = i
+        for j in range(lo, hi + 1):
+            new[j] = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != b[j - 1]))
+        row = new
+        if min(row[lo - 1:hi + 1]) > most:
+            return None
+    distance, _, length = min((d, abs(j - len(a)), j) for j, d in enumerate(row))
+    return (distance, length) if distance <= most else None
+
+
 class Items:
     """The search structure of one block of items. Unknown words are 0, the end is -1."""
 
@@ -196,10 +219,16 @@ class Items:
     def leaks(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """(item_id, start word, item words, distance) per text: the closest window of
         each item, the first of equals; items in ascending order."""
+        return [[x[:4] for x in found] for found in self.spans(texts, False)]
+
+    def spans(self, texts: list[str | None], longer: bool = True) -> list[list[tuple[int, int, int, int, int]]]:
+        """(item_id, start word, item words, distance, span words) per text: the closest
+        passage of each item, of any length within the allowed edits; the first of equals.
+        Without ``longer`` only windows of the item's length are compared."""
         get = self.vocabulary.get
         coded = [np.array([get(w, 0) for w in words_of(t)], np.int64) for t in texts]
         sizes = np.array([len(c) for c in coded])
-        best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        best: list[dict[int, tuple[int, int, int, int]]] = [{} for _ in texts]
         if not self.sizes or not sizes.sum():
             return [[] for _ in texts]
         ids = np.concatenate(coded)
@@ -209,8 +238,8 @@ class Items:
             most = int(self.share * n)
             starts = starts[np.minimum(starts + n, ends[doc[starts]]) - starts >= n - most]
             for lo in range(0, len(starts), 50_000):
-                self._search(starts[lo:lo + 50_000], n, most, ids, doc, ends, *self.sizes[n], best)
-        return [[(i, s, n, d) for i, (d, s, n) in sorted(b.items())] for b in best]
+                self._search(starts[lo:lo + 50_000], n, most, ids, doc, ends, *self.sizes[n], best, longer)
+        return [[(i, s, n, d, m) for i, (d, s, n, m) in sorted(b.items())] for b in best]
 
     def _distinct_pairs(self, windows: np.ndarray, n: int) -> np.ndarray:
         """Different word pairs of each window that items of n words hold."""
@@ -220,7 +249,7 @@ class Items:
         ranked = np.sort(np.where(known, pair, -1), axis=1)
         return (ranked[:, 0] >= 0) + ((ranked[:, 1:] != ranked[:, :-1]) & (ranked[:, 1:] >= 0)).sum(axis=1)
 
-    def _search(self, starts, n, most, ids, doc, ends, item_ids, rows, best) -> None:
+    def _search(self, starts, n, most, ids, doc, ends, item_ids, rows, best, longer) -> None:
         at = starts[:, None] + np.arange(n)
         inside = at < ends[doc[starts]][:, None]
         windows = np.where(inside, ids[np.minimum(at, len(ids) - 1)], -1)
@@ -251,9 +280,17 @@ class Items:
             limit = most if had is None else min(most, had[0])
             if not limit and apart[k]:
                 continue
-            distance = 0 if not apart[k] else edit_distance(rows[i].tolist(), windows[w][inside[w]].tolist(), limit)
-            if distance is not None and (had is None or (distance, p - first) < had[:2]):
-                best[d][item] = (distance, p - first, n)
+            if not apart[k]:
+                hit = (0, n)
+            elif longer:
+                # words inserted in the middle push the end of the passage out of the window
+                hit = closest_span(rows[i].tolist(), ids[p:min(p + n + most, int(ends[d]))].tolist(), limit)
+            else:
+                window = windows[w][inside[w]].tolist()
+                distance = edit_distance(rows[i].tolist(), window, limit)
+                hit = None if distance is None else (distance, len(window))
+            if hit is not None and (had is None or (hit[0], p - first) < had[:2]):
+                best[d][item] = (hit[0], p - first, n, hit[1])
 
 
 def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS,
@@ -279,7 +316,7 @@ def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: i
 def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, target: float = TARGET_RECALL,
                min_words: int = MIN_WORDS, into: str = "leaks") -> DataFrame:
     """All rows and columns of ``docs`` plus ``into``: one (item_id, start, n_words,
-    distance) per benchmark item found, null for none.
+    distance, span) per benchmark item found, null for none; the passage has ``span`` words.
 
     Null and empty texts have no leaks; rows that repeat are judged alike; an empty
     benchmark leaves every row without leaks; a clashing column is replaced.
@@ -290,9 +327,10 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, targ
         def run(texts: pa.Array, block: Items = block) -> list[pa.Array]:
             found: list = []
             for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, 8 << 20):
-                found += [x or None for x in block.leaks(part.column(0).to_pylist())]
+                found += [x or None for x in block.spans(part.column(0).to_pylist())]
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()),
-                                       ("n_words", pa.int32()), ("distance", pa.int32())]))
+                                       ("n_words", pa.int32()), ("distance", pa.int32()),
+                                       ("span", pa.int32())]))
             return [pa.array([None if x is None else [dict(zip(LEAK.names, y)) for y in x] for x in found], kind)]
 
         names.append(fresh(out, f"_leaks{k}"))
@@ -305,7 +343,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, targ
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
-    """(doc_id, item_id, start, n_words, distance, similarity), one row per document and
+    """(doc_id, item_id, start, n_words, distance, span, similarity), one row per document and
     benchmark item that it holds."""
     found = with_leaks(docs.select("doc_id", "text"), benchmark, **kwargs).where("leaks is not null")
     return found.select("doc_id", F.explode("leaks").alias("l")).select(

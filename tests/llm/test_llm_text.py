@@ -327,6 +327,35 @@ def test_search_reaches_the_target_recall():
     assert found > 60 and missed <= 0.02 * (found + missed)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=10), st.lists(st.integers(0, 3), max_size=14), st.integers(0, 5))
+def test_closest_span(a, b, most):
+    want = min((plain_distance(a, b[:j]), abs(j - len(a)), j) for j in range(len(b) + 1))
+    assert decontam.closest_span(a, b, most) == ((want[0], want[2]) if want[0] <= most else None)
+
+
+def test_passages_with_inserted_words_are_leaks(spark):
+    """Against a brute force over all spans of n - k to n + k words."""
+    rnd = random.Random(5)
+    items = [(i, [f"w{i}x{j}" for j in range(15)]) for i in range(30)]
+    docs, want = [], {}
+    for d, (item, own) in enumerate(items):
+        changed, cuts = list(own), rnd.sample(range(5, 10), 1 + d % 3)
+        for at in sorted(cuts, reverse=True):
+            changed.insert(at, f"new{at}")
+        words = [rnd.choice("abcdef") for _ in range(9)]
+        words = words[:4] + changed + words[4:]
+        docs.append((d, " ".join(words)))
+        spans = [(plain_distance(own, words[p:p + n]), p, n) for p in range(len(words)) for n in range(12, 19) if p + n <= len(words)]
+        want[d, item] = min(spans)
+    assert {w[0] for w in want.values()} == {1, 2, 3}
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["distance"], r["start"], r["span"]) for r in decontam.leaks(table, bench).collect()}
+    assert got == want
+    assert decontam.without_leaks(table, bench).count() == 0
+
+
 def test_decontamination_query(spark, duck):
     items = [(i, decontam.words_of(t)) for i, t in duck.execute("SELECT item_id, text FROM benchmark").fetchall()]
     want = {(d, i): n for d, t, _ in texts(duck) for i, n in plain_leaks(t, items).items()}
