@@ -32,46 +32,56 @@ MAGIC = b"IDBLOCK1"
 END_ID = 0
 #: Ids of a block: the grammar works on some ten arrays of this length.
 BLOCK_IDS = 2_000_000
-#: Rounds of replacement, new rules per round at most, and times a pair must occur.
-ROUNDS, RULES_PER_ROUND, LEAST_PAIRS = 3, 5000, 16
+#: Rounds of replacement (None: until no pair is left), new rules per round at most, and
+#: times a pair must occur.
+ROUNDS, RULES_PER_ROUND, LEAST_PAIRS = None, 5000, 16
 
 
 def _buckets(pairs: np.ndarray) -> np.ndarray:
     return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
 
 
-def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int = ROUNDS,
+def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int | None = ROUNDS,
            per_round: int = RULES_PER_ROUND, least: int = LEAST_PAIRS):
     """(symbols, last flags, rules) of one block. ``last`` marks the last id of a document.
 
-    Each round counts every pair of the block, takes the most frequent ones as rules and
-    replaces them from left to right, of overlapping pairs every other one. Pairs that
-    would come after ``per_round`` others, or share a hash bucket with a more frequent
-    one, wait for the next round.
+    Each round takes the most frequent pairs as rules and replaces them from left to right,
+    of overlapping pairs every other one, until no pair occurs ``least`` times. Pairs that
+    would come after ``per_round`` others, or share a hash bucket with a more frequent one,
+    wait for the next round. A pair of old symbols only gets rarer, so a round counts the
+    pairs that were frequent before and those beside a new symbol.
     """
     seq, last = ids.astype(np.int64), last.copy()
+    open_ = np.ones(len(seq), bool)  # a pair that begins here may be frequent
     rules: list[np.ndarray] = []
     new = first_new
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        inner = np.flatnonzero(~last[:-1])
+    done, ease = 0, 2
+    while len(seq) > 1 and (rounds is None or done < rounds):
+        done += 1
+        inner = np.flatnonzero(open_[:-1] & ~last[:-1])
         pair = (seq[inner] << 32) | seq[inner + 1]
         # Buckets that are too rare as a whole hold no frequent pair: no need to sort them.
         bucket = _buckets(pair)
         weight = np.bincount(bucket, minlength=1 << 20)
         last_weight = np.partition(weight, len(weight) - per_round)[len(weight) - per_round]
-        limit = max(least, int(last_weight) // 2)
+        open_[inner[weight[bucket] < least]] = False
+        limit = max(least, int(last_weight) // ease)
         heavy = (weight >= limit)[bucket]
         inner, pair, bucket = inner[heavy], pair[heavy], bucket[heavy]
-        ranked = np.sort(pair)
+        by_pair = np.argsort(pair, kind="stable")
+        ranked = pair[by_pair]
         begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
         counts = np.diff(np.append(begin, len(ranked)))
+        open_[inner[by_pair[np.repeat(counts < least, counts)]]] = False
         begin, counts = begin[counts >= limit], counts[counts >= limit]
         kinds = ranked[begin]
         order = np.lexsort((kinds, -counts))[:per_round]
         if not len(order):
-            break
+            if limit == least:
+                break
+            # many pairs share the heavy buckets, none is that frequent itself
+            ease *= 2
+            continue
         chosen = kinds[order]
         place = _buckets(chosen)
         _, first = np.unique(place, return_index=True)
@@ -92,7 +102,10 @@ def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int = ROUN
         last[at] |= last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
+        open_[at] = True
+        open_[np.maximum(at - 1, 0)] = True
+        open_[np.maximum(at - 2, 0)] = True  # if the symbol before was replaced as well
+        seq, last, open_ = seq[keep], last[keep], open_[keep]
         rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
         new += len(chosen)
     return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)

@@ -55,6 +55,28 @@ def test_block_round_trip(docs, least):
             assert block.ids_at(i, lo, 5).tolist() == d[lo:lo + 5]
 
 
+def frequent_pairs(seq, last, least):
+    pair, n = np.unique(((seq[:-1] << 32) | seq[1:])[~last[:-1]], return_counts=True)
+    return pair[n >= least]
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(6)
+    text = rng.integers(1, 3000, 400)
+    docs = [np.append(text, 0) if k % 2 else np.append(rng.zipf(1.3, 300) % 500 + 1, 0) for k in range(200)]
+    ids, ends = np.concatenate(docs).astype(np.uint32), np.cumsum([len(d) for d in docs])
+    last = np.zeros(len(ids), bool)
+    last[ends - 1] = True
+    for per_round in (20, 5000):
+        seq, flags, rules = idfiles.repair(ids, last, int(ids.max()) + 1, per_round=per_round)
+        assert not len(frequent_pairs(seq, flags, idfiles.LEAST_PAIRS))
+        # a text that a block holds a hundred times is one symbol
+        symbol_ends = np.append(0, np.flatnonzero(flags) + 1)
+        assert max(np.diff(symbol_ends)[1::2]) == 1
+    block = idfiles.Block(idfiles.block_bytes(list(range(len(docs))), ids, ends))
+    assert all(block.ids(i, i + 1).tolist() == d.tolist() for i, d in enumerate(docs))
+
+
 def test_block_refuses_damage():
     data = idfiles.block_bytes([1], np.array([4, 5, 4, 5, 0], np.uint32), np.array([5]))
     for bad in (b"x" + data[1:], data[:-1], data + b"\0"):
