@@ -1,7 +1,8 @@
 """Licence scans by Dice coefficient over word bigrams (operator 6).
 
-Every line of a text, and every run of up to MAX_LINES consecutive lines, is normalised
-and compared with licence templates: twice the common bigrams over the sum of both.
+Every line of a text, and every run of consecutive lines, is normalised and compared with
+licence templates: twice the common bigrams over the sum of both. A run ends where it has
+more words than any template allows; blank lines do not count.
 A Dice value of t needs sizes within t / (2 - t) of each other, so only templates of a
 fitting size are compared, and lines that no size fits are never cut into bigrams.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from hazeframe.llm.common import add_columns
 
 LEAST_DICE = 0.8
+#: Lines of a run in the SQL, which lists all runs. ``scan`` has no such limit.
 MAX_LINES = 12
 WORD = re.compile(r"\w+")
 
@@ -107,22 +109,20 @@ class Templates:
         run of lines, of equals the shortest and first."""
         lines = (text or "").lower().split("\n")
         best: dict[str, tuple[float, int, int]] = {}
-        words = []
-        for line in lines:
+        flat: list[str] = []
+        # of every line with words: its number, and the words and known words before its end
+        held, ends, known_ends = [], [0], [0]
+        for at, line in enumerate(lines):
             found = WORD.findall(line)
-            words.append((found, sum(w in self.words for w in found)))
-        for first in range(len(words)):
-            run: list[str] = []
-            known = 0
-            for last in range(first, min(len(words), first + MAX_LINES)):
-                own, hits = words[last]
-                if not own:
-                    if last == first:
-                        break  # a run begins with a line that has words
-                    continue
-                run = run + own
-                known += hits
-                size = len(run) - 1
+            if found:
+                flat += found
+                held.append(at)
+                ends.append(len(flat))
+                known_ends.append(known_ends[-1] + sum(w in self.words for w in found))
+        for k, first in enumerate(held):
+            for end in range(k + 1, len(held) + 1):
+                last, known = held[end - 1], known_ends[end] - known_ends[k]
+                size = ends[end] - ends[k] - 1
                 if size > self.longest:
                     break
                 # common bigrams are at most the known words less one, so this loses nothing
@@ -132,7 +132,7 @@ class Templates:
                 for n, name, template in self.fitting(size):
                     if 2 * min(known - 1, n, size) < self.least * (size + n):
                         continue
-                    grams = grams or bigrams(run)
+                    grams = grams or bigrams(flat[ends[k]:ends[end]])
                     value = dice(grams, template)
                     key = (value, -(last - first), -first)
                     if value >= self.least and (name not in best or key > best[name]):

@@ -182,6 +182,17 @@ def test_size_bounds_lose_no_licence(text, least):
     assert licenses.Templates(licenses.TEMPLATES, least).scan(text) == plain_licenses(text, licenses.TEMPLATES, least)
 
 
+def test_long_licence_runs_are_found():
+    words = licenses.TEMPLATES["MIT"][2].split()
+    narrow = "\n".join(" ".join(words[i:i + 3]) for i in range(0, len(words), 3))
+    for text, lines in ((narrow, -(-len(words) // 3)), (narrow.replace("\n", "\n\n"), 2 * -(-len(words) // 3) - 1)):
+        assert licenses.Templates(licenses.TEMPLATES).scan(f"zzz\n\n{text}\nzzz") == [("MIT", 2, lines, 1.0)]
+    # a whole licence of 120 lines as template
+    whole = "\n".join(" ".join(f"w{i}x{j}" for j in range(9)) + "\n" * (i % 5 == 0) for i in range(120))
+    got = licenses.Templates({"own": [whole]}).scan("before\n" + whole + "\nafter")
+    assert got == [("own", 1, len(whole.split("\n")), 1.0)]
+
+
 def test_licence_query(spark, duck):
     want = [(d, *m) for d, t, _ in texts(duck) for m in plain_licenses(t, licenses.TEMPLATES, 0.8)]
     got = [tuple(r) for r in op6_licenses(spark, SMALL).collect()]
