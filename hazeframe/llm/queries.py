@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm import decontam, idfiles, langid, licenses, oracles, packing, quality, sharding, simhash, toxicity, warc
+from hazeframe.llm import (decontam, idfiles, langid, licenses, mixing, negatives, oracles, packing, quality, repair, sharding,
+                           simhash, toxicity, warc)
 from hazeframe.llm.common import table
 
 
@@ -66,8 +67,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents")).taken()
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.all_conversations(rows, repair.repair(repair.damage(rows))[0])
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found, _ = negatives.mine(rows.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_simhash, op3_packing, op4_warc, op5_toxicity, op6_licenses, op7_language,
-        op8_token_ids, op9_quality, op10_sharding)}
-ORACLES: dict[str, str] = {"op4_warc": oracles.WARC, "op6_licenses": oracles.licenses_sql()}
+        op8_token_ids, op9_quality, op10_sharding, op11_mixing, op12_repair, op13_negatives)}
+ORACLES: dict[str, str] = {
+    "op4_warc": oracles.WARC, "op6_licenses": oracles.licenses_sql(), "op11_mixing": oracles.MIXING, "op12_repair": oracles.repair_sql(),
+    "op13_negatives": oracles.NEGATIVES}
