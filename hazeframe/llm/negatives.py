@@ -1,9 +1,9 @@
 """Hard-negative mining with segment summaries (operator 13).
 
-Every vector is stored with the mean and the deviation of its segments of eight
+Every vector is stored with the mean and the deviation of its segments of two
 components. For a segment of n components, n * mean_a * mean_b is off the segment's part of
 the inner product by at most the product of the deviations, so two inner products of the
-summaries bound the score. Segments are refined from the whole vector to eight components;
+summaries bound the score. Segments are refined from the whole vector to two components;
 pairs whose bounds leave the wanted range of scores go at the first level that shows it,
 and the rest are scored exactly, in integers.
 
@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 from hazeframe.llm.common import in_tasks, number_slots, stored
 from hazeframe.session import scratch_path, ship
 
-SEGMENT = 8
+SEGMENT = 2
 #: Components beyond this have no part: their products would not fit a long.
 LARGEST = 1 << 26
 #: An anchor block holds at most so many anchors and so many components.
 BLOCK_ANCHORS, BLOCK_CELLS = 4096, 4_000_000
-#: Pairs that are compared at once in a task.
-TILE = 2_000_000
+#: Pairs that are compared at once in a task. The first rows come in smaller tiles, which set
+#: scores to beat for the rest.
+TILE, FIRST_ROWS = 2_000_000, 128
 NO_ID = np.iinfo(np.int64).max  # a null id comes last among ties
 NEVER = np.iinfo(np.int64).min
 
@@ -212,12 +213,15 @@ def _search(block: Anchors):
         best = Best(len(block.of), block.first, block.low)
         count = np.zeros(len(block.levels) + 2, np.int64)
         by_label = {x: np.flatnonzero(block.label == x) for x in np.unique(block.label)} if block.same else None
-        step = max(1, TILE // max(1, len(block.label)))
+        most = max(1, TILE // max(1, len(block.label)))
+        step = min(most, FIRST_ROWS)
         segments = block.levels[-1][0].shape[1]
         every = np.arange(len(block.label))
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
+            at = 0
+            while at < batch.num_rows:
                 part = batch.slice(at, step)
+                at, step = at + step, min(most, 2 * step)
                 ids, label, q, sums, squares = (part.column(i) for i in range(5))
                 tile = dict(
                     id=ids.fill_null(NO_ID).to_numpy(zero_copy_only=False), label=label.to_numpy(zero_copy_only=False),
