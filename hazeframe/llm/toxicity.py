@@ -1,46 +1,71 @@
 """Toxicity by the nearest labelled examples (operator 5).
 
-Texts are TF-IDF vectors over selected terms; the cosine to labelled examples is searched
-exactly through an inverted index with block maxima: blocks of examples are visited in
-order of an upper bound on their cosine, until no block can hold a nearer one; where the
-bounds do not settle it within a few blocks, the postings of the text's terms are summed
-up over all examples at once. Neighbours vote with their cosines, and the vote is
-calibrated on the examples themselves, each scored without its own text.
-
-Terms are words and stems of four to seven letters, so inflected forms meet. All that
-tell the labels apart beyond chance, for either side, are selected (likelihood ratio test
-with a bound that allows for the number of terms); the others would only add noise to the
-cosine.
+Texts are TF-IDF vectors over all their words; the cosine to labelled examples is searched
+exactly through an inverted index with block maxima, so that a text's terms bound its
+cosine to every block of examples. Blocks are visited from the highest bound on, until no
+block left can hold a nearer one.
+Neighbours vote with their cosines, and the vote is calibrated on the examples
+themselves, each scored without its own text.
+
+A term's IDF is multiplied by what it tells about the label: fully where a likelihood
+ratio test finds it to depend on the label beyond chance, else by ``WEAK``. Beside words,
+stems of four to seven letters count if they pass that test, so inflected forms meet.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeframe.llm.common import add_columns, bounded_rows, in_tasks, remainder, stored
+from hazeframe.llm.tokens import by_bytes
 
 HELD_OUT, FOLDS = 0, 5
 #: Labelled rows the model is fitted on: those with the smallest hashes of doc_id.
-MAX_EXAMPLES = 20_000
-NEIGHBOURS, BLOCK = 15, 64
-#: Blocks visited one by one before all postings are summed up.
-FEW_BLOCKS = 4
-#: Words a task remembers.
-KEPT_WORDS = 300_000
-#: Cosines that differ by less are equal.
-EQUAL = 1e-6
-WORD = re.compile(r"[^\W\d_]+")
+MAX_EXAMPLES = 8_000
+NEIGHBOURS, BLOCK = 15, 32
+#: Share of its IDF that a term keeps if it does not tell the labels apart.
+WEAK = 0.1
+#: Share of the examples from which on a term is kept as a row of weights.
+MANY = 0.05
+#: Blocks that each text has visited when thresholds are raised, before the rest, and texts searched at once.
+VISITS, TEXTS = (4, 16), 256
+#: Tasks that read the examples, and parts in which tasks hand over document frequencies.
+EXAMPLE_TASKS, SLICES = 16, 8
+#: Words a task remembers, and bytes of text it cuts into words at once.
+KEPT_WORDS, PART = 300_000, 4 << 20
+#: Cosines are compared to this many digits; blocks are left out if their bound is lower by more than that.
+DIGITS, EQUAL = 9, 1e-8
+GAP = r"[^\p{L}]+"
 PREFIXES = (4, 5, 6, 7)
-_VECTOR = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """(row, word, frequency) of every distinct word of every text, in order of row and
+    word, and the words that the numbers stand for: lower-case runs of letters."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(texts.fill_null("")), GAP)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    if "" in words:  # what stands before and behind the outer gaps
+        kept = code != words.index("")
+        code, row = code[kept], row[kept]
+    pair, n = np.unique(row * len(words) + code, return_counts=True)
+    return pair // max(1, len(words)), pair % max(1, len(words)), n, words
+
+
+def stems_of(word: str) -> list[str]:
+    return [word[:k] + "*" for k in PREFIXES if len(word) > k]
 
 
 def terms_of(text: str | None) -> Counter:
@@ -52,18 +77,16 @@ def terms_of(text: str | None) -> Counter:
     """
     out: Counter = Counter()
     forms: Counter = Counter()
-    for word, n in Counter(WORD.findall((text or "").lower())).items():
-        out[word] += n
-        for k in PREFIXES:
-            if len(word) > k:
-                stem = word[:k] + "*"
-                out[stem] += n
-                forms[stem] += 1
-    for stem, n in forms.items():
-        if n >= 2:
-            out[stem + "2"] = 1
-        if n >= 3:
-            out[stem + "3"] = 1
+    _, code, n, words = words_of(pa.array([text], pa.string()))
+    for c, k in zip(code.tolist(), n.tolist()):
+        out[words[c]] += k
+        for stem in stems_of(words[c]):
+            out[stem] += k
+            forms[stem] += 1
+    for stem, k in forms.items():
+        for least in (2, 3):
+            if k >= least:
+                out[f"{stem}{least}"] = 1
     return out
 
 
@@ -76,179 +99,281 @@ def training_labels(labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
                         F.col("doc_id"), most)
 
 
-def select_terms(examples: DataFrame, most: int | None = None) -> list[str]:
-    """All terms whose presence depends on the label, the strongest first (at most ``most``).
+def distinct_examples(docs: DataFrame, train: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic): one example per text, so that copies are one piece of evidence.
+    It has the smallest doc_id of its copies and the share of them that are toxic."""
+    small = F.broadcast(train)  # at most MAX_EXAMPLES rows of two numbers
+    rows = docs.join(small, "doc_id").groupBy(F.coalesce("text", F.lit("")).alias("text"))
+    return rows.agg(F.min("doc_id").alias("doc_id"), F.avg("toxic").alias("toxic")).repartition(EXAMPLE_TASKS)
 
-    ``examples`` has text and toxic. The test bound is that of a false term among all of
-    them with probability 1/20.
+
+def example_terms(examples: DataFrame) -> list[tuple[str, bool]]:
+    """(term, whether it tells the labels apart) of all words and all telling stems of the
+    examples, which bound what is collected.
+
+    The bound of the test is that of a false term among all of them with probability 1/20.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                seen[toxic].update(terms_of(text.as_py()).keys())
-            names = list(seen[0].keys() | seen[1].keys())
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[toxic >= 0.5].update(terms_of(text).keys())
+        names = list(seen[0].keys() | seen[1].keys())
+        for lo in range(0, len(names), 50_000):
+            part = names[lo:lo + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), *[pa.array([s[w] for w in names], pa.int64()) for s in seen]],
+                [pa.array(part, pa.string()), *[pa.array([s[w] for w in part], pa.int64()) for s in seen]],
                 names=["term", "n0", "n1"])
 
-    totals = {r[0]: r[1] for r in examples.groupBy("toxic").count().collect()}
-    neg, pos = totals.get(0, 0), totals.get(1, 0)
-    if not neg or not pos:
-        return []
+    totals = {r[0]: r[1] for r in examples.groupBy(F.col("toxic") >= 0.5).count().collect()}
+    neg, pos = totals.get(False, 0), totals.get(True, 0)
+    every = pos + neg
     counts = in_tasks(examples.select("text", "toxic"), run, "term string, n0 long, n1 long").groupBy("term").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    counts = stored(counts.where("n0 + n1 >= 3"), "terms")
-    kinds = counts.count()
+    counts = stored(counts, "terms")
+    # a term of fewer examples can never pass
+    kinds = counts.where("n0 + n1 >= 3").count()
     n = F.col("n0") + F.col("n1")
 
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    every = pos + neg
     ratio = 2 * (part(F.col("n1"), n * pos / every) + part(F.col("n0"), n * neg / every)
                  + part(pos - F.col("n1"), (every - n) * pos / every)
-                 + part(neg - F.col("n0"), (every - n) * neg / every))
-    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") >= 2 * math.log(max(1, kinds) / 0.05))
-    chosen = chosen.orderBy(F.desc("ratio"), "term")
-    return [r[0] for r in (chosen if most is None else chosen.limit(most)).select("term").collect()]
+                 + part(neg - F.col("n0"), (every - n) * neg / every)) if pos and neg else F.lit(0.0)
+    tells = (n >= 3) & (ratio >= 2 * math.log(max(1, kinds) / 0.05))
+    rows = counts.select("term", tells.alias("tells")).where(F.col("tells") | ~F.contains("term", F.lit("*")))
+    return sorted((r[0], bool(r[1])) for r in rows.collect())
+
+
+class Vectors:
+    """Term vectors of several texts, one after another: numbers and frequencies of the
+    numbered terms, in order, and per text the sum of (1 + log frequency) squared of its
+    other words."""
+
+    def __init__(self, rows: int, row: np.ndarray, term: np.ndarray, count: np.ndarray, rest: np.ndarray):
+        self.ends = np.searchsorted(row, np.arange(rows + 1))
+        self.term, self.count, self.rest = term, count, rest
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, float]:
+        own = slice(self.ends[i], self.ends[i + 1])
+        return self.term[own], self.count[own], float(self.rest[i])
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
 
 
 class Reader:
-    """Finds the selected terms of texts; what a word stands for is remembered."""
+    """Finds the numbered terms of texts; what a word stands for is remembered."""
 
     def __init__(self, terms: list[str]):
+        self.terms = len(terms)
         self.number = {w: i for i, w in enumerate(terms)}
-        self.counted = {w[:-1] for w in terms if w.endswith(("*2", "*3"))}
-        self.seen: dict[str, tuple] = {}
+        self.stems = {w.rstrip("23") for w in terms if "*" in w}
+        self.seen: dict[str, tuple[int, tuple]] = {}
 
-    def _look_up(self, word: str) -> tuple:
-        stems = [word[:k] + "*" for k in PREFIXES if len(word) > k]
-        terms = tuple(self.number[w] for w in (word, *stems) if w in self.number)
-        counted = tuple(w for w in stems if w in self.counted)
-        return (terms, counted) if terms or counted else ()
+    def _look_up(self, word: str) -> tuple[int, tuple]:
+        """(number of the word or -1, its stems that are terms in some form)."""
+        return self.number.get(word, -1), tuple(w for w in stems_of(word) if w in self.stems)
 
-    def read(self, text: str | None) -> list[tuple[int, int]]:
-        """(number, frequency) of the selected terms, as ``terms_of`` counts them."""
+    def read(self, texts: pa.Array) -> Vectors:
+        """Vectors of whole texts, as ``terms_of`` counts them."""
         if len(self.seen) > KEPT_WORDS:
             self.seen.clear()
-        seen, own, forms = self.seen, Counter(), Counter()
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
+        seen = self.seen
+        row, code, n, words = words_of(texts)
+        found = []
+        for word in words:
             hit = seen.get(word)
             if hit is None:
                 hit = seen[word] = self._look_up(word)
-            if hit:
-                for i in hit[0]:
-                    own[i] += n
-                forms.update(hit[1])
-        for stem, n in forms.items():
-            for least in (2, 3):
-                term = self.number.get(f"{stem}{least}")
-                if n >= least and term is not None:
-                    own[term] = 1
-        return sorted(own.items())
-
-
-def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """(doc_id, terms, counts): numbers of the selected terms in each whole text."""
+            found.append(hit)
+        number = np.fromiter((f[0] for f in found), np.int64, len(found))[code] if found else np.zeros(0, np.int64)
+        other = number < 0
+        rest = np.bincount(row[other], (1 + np.log(n[other])) ** 2, minlength=len(texts)) if other.any() else np.zeros(len(texts))
+        parts = [(row[~other], number[~other], n[~other])]
+        stemmed = {c: f[1] for c, f in enumerate(found) if f[1]}
+        if stemmed:
+            names = sorted({w for own in stemmed.values() for w in own})
+            place = {w: i for i, w in enumerate(names)}
+            at = np.flatnonzero(np.isin(code, np.fromiter(stemmed, np.int64, len(stemmed))))
+            pairs = np.array([(i, place[w]) for i in at.tolist() for w in stemmed[int(code[i])]], np.int64).reshape(-1, 2)
+            key, back, forms = np.unique(row[pairs[:, 0]] * len(names) + pairs[:, 1], return_inverse=True, return_counts=True)
+            of_row, stem = key // len(names), key % len(names)
+            total = np.bincount(back, n[pairs[:, 0]]).astype(np.int64)
+            for ending, most in (("", total), ("2", None), ("3", None)):
+                named = np.array([self.number.get(w + ending, -1) for w in names], np.int64)[stem]
+                held = (named >= 0) & (forms >= int(ending or 1))
+                parts.append((of_row[held], named[held], most[held] if most is not None else np.ones(int(held.sum()), np.int64)))
+        row, term, count = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((term, row))
+        return Vectors(len(texts), row[order], term[order], count[order], rest)
+
+
+def _distinct(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(distinct texts, number of each row's text)."""
+    coded = texts.fill_null("").dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+
+
+def document_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
+    """Documents that hold each term. A task counts a text once per batch, with its copies,
+    and hands over its counts as a few arrays, which are summed by their number."""
     reader = Reader(terms)
+    cuts = np.linspace(0, len(terms), SLICES + 1).astype(int)
 
-    def run(texts: pa.Array) -> list[pa.Array]:
-        found = [reader.read(t.as_py()) for t in texts]
-        return [pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32())),
-                pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))]
-
-    return add_columns(docs, ["text"], _VECTOR, run, keep=["doc_id"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(len(terms), np.int64)
+        for batch in (part for whole in batches for part in by_bytes(whole, 0, PART)):
+            texts, copies = _distinct(batch.column(0))
+            found = reader.read(texts)
+            times = np.bincount(copies, minlength=len(texts))
+            seen += np.bincount(found.term, np.repeat(times, np.diff(found.ends)), minlength=len(terms)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(SLICES), pa.int32()), pa.array([seen[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
+            names=["slice", "seen"])
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        made = sum(np.frombuffer(x, np.int64) for x in pdf["seen"])
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "seen": [np.asarray(made, np.int64).tobytes()]})
+
+    parts = in_tasks(docs.select("text"), run, "slice int, seen binary").groupBy("slice").applyInPandas(total, "slice int, seen binary")
+    got = {r[0]: np.frombuffer(r[1], np.int64) for r in parts.collect()}
+    return np.concatenate([got[i] if i in got else np.zeros(b - a, np.int64) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))])
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All of start, start + 1, ... start + count - 1, one range after another."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def _alike(rows: list[tuple[np.ndarray, np.ndarray]], groups: int) -> np.ndarray:
+    """An order in which like vectors stand together, so that bounds of blocks are tight:
+    k-means over random projections."""
+    rng = np.random.default_rng(7)
+    flat = np.zeros((len(rows), 48))
+    width = max((int(t[-1]) + 1 for t, _ in rows if len(t)), default=1)
+    signs = rng.choice([-1.0, 1.0], size=(width, flat.shape[1])).astype(np.float32)
+    for i, (t, w) in enumerate(rows):
+        flat[i] = w @ signs[t]
+    centres = flat[rng.choice(len(rows), groups, replace=False)]
+    for _ in range(6):
+        near = (flat @ centres.T - 0.5 * (centres * centres).sum(axis=1)).argmax(axis=1)
+        for g in range(groups):
+            if (near == g).any():
+                centres[g] = flat[near == g].mean(axis=0)
+    return np.lexsort((flat[:, 0], near))
 
 
 class Index:
-    """Block-max inverted index over labelled examples with a calibrated vote."""
+    """Block-max inverted index over labelled examples with a calibrated vote.
+
+    Like examples stand in blocks together. A term in many examples is a matrix row in
+    every block that holds it, with its largest weight there; a term in few is a list of
+    postings. ``value`` is the weight of each term (IDF times what it tells), ``unknown``
+    that of a word no example holds. ``toxic`` may be a share.
+    """
 
     def __init__(self, ids: list, rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray,
-                 idf: np.ndarray, neighbours: int = NEIGHBOURS, block: int = BLOCK):
-        self.idf, self.k, self.block = idf, neighbours, block
+                 value: np.ndarray, unknown: float = 0.0, neighbours: int = NEIGHBOURS, block: int = BLOCK, many: float = MANY):
+        self.value, self.unknown, self.k, self.block = value, unknown, neighbours, block
+        toxic = np.asarray(toxic, float)
         weighted = [self.weigh(t, c) for t, c in rows]
-        held = [i for i, (t, _) in enumerate(weighted) if len(t)]
-        # like examples share blocks, which keeps the upper bounds tight
-        held.sort(key=lambda i: (weighted[i][0][np.argmax(weighted[i][1])], tuple(weighted[i][0].tolist())))
-        self.ids = [ids[i] for i in held]
-        self.toxic = np.asarray(toxic, float)[held] if held else np.zeros(0)
+        held = np.array([i for i, (t, _) in enumerate(weighted) if len(t)], int)
+        if len(held):
+            held = held[_alike([weighted[i] for i in held], max(1, len(held) // (4 * block)))]
+        self.ids = np.array([ids[i] for i in held], np.int64)
+        self.toxic = toxic[held]
         empty = np.ones(len(rows), bool)
         empty[held] = False
-        self.prior = float(np.mean(toxic)) if len(toxic) else 0.0
-        self.no_terms = (float(np.sum(np.asarray(toxic)[empty])) + self.prior) / (float(empty.sum()) + 1)
+        self.prior = float(toxic.mean()) if len(toxic) else 0.0
+        self.no_terms = (float(toxic[empty].sum()) + self.prior) / (float(empty.sum()) + 1)
         self.blocks = -(-len(held) // block)
-        self.maxima = np.zeros((len(idf), max(1, self.blocks)), np.float32)
-        # postings: per block the (term, example, weight) triples sorted by term
-        self.postings = []
-        for b in range(self.blocks):
-            triples = [(int(t), e, w) for e, i in enumerate(held[b * block:(b + 1) * block])
-                       for t, w in zip(weighted[i][0], weighted[i][1])]
-            triples.sort()
-            t = np.array([x[0] for x in triples])
-            w = np.array([x[2] for x in triples])
-            np.maximum.at(self.maxima[:, b], t, (w * 1.000001).astype(np.float32))
-            self.postings.append((t, np.array([x[1] for x in triples]), w))
-        # the same of all blocks, term after term
-        every = np.concatenate([np.zeros(0, int), *[t for t, _, _ in self.postings]]).astype(int)
-        order = np.argsort(every, kind="stable")
-        self.ends = np.searchsorted(every[order], np.arange(len(idf) + 1))
-        self.holders = np.concatenate([np.zeros(0, int), *[e + b * block for b, (_, e, _) in enumerate(self.postings)]])[order].astype(int)
-        self.shares = np.concatenate([np.zeros(0), *[w for _, _, w in self.postings]])[order]
-        self.place = {i: n for n, i in enumerate(held)}
+        term = np.concatenate([np.zeros(0, np.int64), *[weighted[i][0] for i in held]])
+        holder = np.repeat(np.arange(len(held)), [len(weighted[i][0]) for i in held]).astype(np.int64)
+        weight = np.concatenate([np.zeros(0), *[weighted[i][1] for i in held]])
+        often = np.bincount(term, minlength=len(value)) >= max(1.0, many * len(held))
+        self.row_of = np.where(often, np.cumsum(often) - 1, -1)
+        dense = often[term]
+        self.largest = np.zeros((int(often.sum()), self.blocks))
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []  # per block: matrix rows that it holds, their weights
+        cuts = np.searchsorted(holder, np.arange(self.blocks + 1) * block)
+        for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            mine = np.flatnonzero(dense[lo:hi]) + lo
+            held_rows, at = np.unique(self.row_of[term[mine]], return_inverse=True)
+            part = np.zeros((len(held_rows), block))
+            part[at, holder[mine] - b * block] = weight[mine]
+            self.parts.append((held_rows, part))
+            self.largest[held_rows, b] = part.max(axis=1, initial=0.0)
+        order = np.lexsort((holder[~dense], term[~dense]))
+        self.holder, self.weight = holder[~dense][order].astype(np.int32), weight[~dense][order]
+        self.lists = np.searchsorted(term[~dense][order], np.arange(len(value) + 1))
+        self.place = {int(i): n for n, i in enumerate(held)}
         self.steps = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
-    def weigh(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
-        """(terms, weights) of unit length: (1 + log tf) * idf."""
+    def weigh(self, terms, counts, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights): (1 + log tf) * value over the length of the whole text."""
         terms = np.asarray(terms, np.int64)
-        weights = (1 + np.log(np.asarray(counts, float))) * self.idf[terms] if len(terms) else np.zeros(0)
-        norm = math.sqrt(float(weights @ weights))
+        weights = (1 + np.log(np.asarray(counts, float))) * self.value[terms] if len(terms) else np.zeros(0)
+        norm = math.sqrt(float(weights @ weights) + rest * self.unknown ** 2)
         return (terms, weights / norm) if norm else (terms[:0], weights[:0])
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k examples of largest positive cosine. Blocks whose bound is within EQUAL of
-        the k-th cosine are left out, so cosines are exact to EQUAL; ties go to any."""
-        bounds = np.minimum(weights @ self.maxima[terms], 1.0)
-        best: list[tuple[float, int]] = []
-        for visited, b in enumerate(np.argsort(-bounds, kind="stable").tolist()):
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1][0] + EQUAL):
-                break
-            if visited == FEW_BLOCKS:
-                return self._nearest_of_all(terms, weights, k, skip)
-            t, e, w = self.postings[b]
-            at = np.searchsorted(terms, t)
-            at[at == len(terms)] = 0
-            hit = terms[at] == t
-            cosine = np.bincount(e[hit], weights[at[hit]] * w[hit], minlength=self.block)
-            nearer = np.flatnonzero(cosine > (best[-1][0] if len(best) == k else 0.0)).tolist()
-            if nearer:
-                best += [(float(cosine[i]), b * self.block + i) for i in nearer if b * self.block + i != skip]
-                best.sort(key=lambda x: (-x[0], x[1]))
-                del best[k:]
-        return best
-
-    def _nearest_of_all(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int) -> list[tuple[float, int]]:
-        cosine = np.zeros(len(self.ids))
-        for t, w in zip(terms.tolist(), weights.tolist()):
-            held = slice(self.ends[t], self.ends[t + 1])
-            cosine[self.holders[held]] += w * self.shares[held]  # an example holds a term once
-        if skip >= 0:
-            cosine[skip] = 0.0
-        top = np.argpartition(-cosine, k)[:k] if len(cosine) > k else np.arange(len(cosine))
-        return sorted(((float(cosine[i]), int(i)) for i in top if cosine[i] > 0), key=lambda x: (-x[0], x[1]))
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each (terms, weights) the k examples of largest positive cosine, of equal ones
+        (to DIGITS digits) those with the smallest doc_id. ``skip`` names one to leave out."""
+        n, wide = len(texts), self.blocks * self.block
+        if not n or not wide:
+            return [[] for _ in texts]
+        row = np.repeat(np.arange(n), [len(t) for t, _ in texts])
+        term, weight = (np.concatenate([x[i] for x in texts]) for i in (0, 1))
+        often = self.row_of[term] >= 0
+        heavy = np.zeros((n, len(self.largest)))
+        heavy[row[often], self.row_of[term[often]]] = weight[often]
+        start = self.lists[term[~often]]
+        count = self.lists[term[~often] + 1] - start
+        postings = _ranges(start, count)
+        cosine = np.bincount(np.repeat(row[~often] * wide, count) + self.holder[postings],
+                             self.weight[postings] * np.repeat(weight[~often], count), minlength=n * wide).reshape(n, self.blocks, self.block)
+        bounds = cosine.max(axis=2) + heavy @ self.largest
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        least, skipped = np.zeros(n), np.full(n, -1) if skip is None else np.asarray(skip)
+        best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))  # text, cosine, example
+        for lo, hi in zip((0, *VISITS), (*VISITS, self.blocks)):
+            wanted = np.zeros((n, self.blocks), bool)
+            np.put_along_axis(wanted, order[:, lo:hi], True, axis=1)
+            wanted &= (bounds >= least[:, None]) & (bounds > 0)
+            found = [best]
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                mine = np.flatnonzero(wanted[:, b])
+                rows, part = self.parts[b]
+                own = cosine[mine, b] + heavy[np.ix_(mine, rows)] @ part
+                i, j = np.nonzero(own > np.maximum(least[mine], 0.0)[:, None])
+                found.append((mine[i], np.round(own[i, j], DIGITS), b * self.block + j))
+            text, value, example = (np.concatenate(x) for x in zip(*found))
+            kept = (example != skipped[text]) & (value > 0)
+            text, value, example = text[kept], value[kept], example[kept]
+            at = np.lexsort((self.ids[example], -value, text))
+            text, value, example = text[at], value[at], example[at]
+            first = np.searchsorted(text, np.arange(n + 1))
+            rank = np.arange(len(text)) - first[text]
+            full = np.flatnonzero(rank == k - 1)
+            least[text[full]] = value[full] - EQUAL
+            best = (text[rank < k], value[rank < k], example[rank < k])
+        first = np.searchsorted(best[0], np.arange(n + 1))
+        pairs = list(zip(best[1].tolist(), best[2].tolist()))
+        return [pairs[a:b] for a, b in zip(first, first[1:])]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Cosine-weighted share of toxic neighbours, drawn to the prior by half a vote."""
         weights = np.array([c for c, _ in near])
         return float((weights @ self.toxic[[i for _, i in near]] + 0.5 * self.prior) / (weights.sum() + 0.5))
 
-    def left_out(self, row: int, terms, counts) -> float | None:
-        """The raw vote on example ``row`` (its number when the index was made) without the
-        example itself; null for one without terms."""
-        if row not in self.place:
-            return None
-        near = self.nearest(*self.weigh(terms, counts), self.k, self.place[row])
-        return self.vote(near) if near else self.prior
+    def left_out(self, rows: list[int], texts: list[tuple]) -> list[float]:
+        """The raw votes on examples (their numbers when the index was made) without the
+        examples themselves; the prior for one that meets no other."""
+        near = self.nearest([self.weigh(t, c) for t, c in texts], self.k, [self.place.get(i, -1) for i in rows])
+        return [self.vote(x) if x else self.prior for x in near]
 
     def calibrate(self, raw: np.ndarray, toxic: np.ndarray) -> None:
         """Isotonic steps from raw votes to observed shares."""
@@ -270,67 +395,82 @@ class Index:
             ys.append(ys[-1])
         self.steps = (np.array(xs), np.array(ys))
 
-    def score(self, terms, counts) -> tuple[float, list[int]]:
-        """(calibrated score, ids of the neighbours). A text without selected terms gets
-        the share of toxic examples among such texts."""
-        own, weights = self.weigh(terms, counts)
-        near = self.nearest(own, weights, self.k) if len(own) and self.blocks else []
-        if not near:
-            return self.no_terms, []
-        return float(np.interp(self.vote(near), *self.steps)), [self.ids[i] for _, i in near]
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray, float]]) -> list[tuple[float, list[int]]]:
+        """(calibrated score, ids of the neighbours, nearest first) of each text. One that
+        shares no term with an example gets the share of toxic examples without terms."""
+        out = []
+        for lo in range(0, len(texts), TEXTS):
+            near = self.nearest([self.weigh(*t) for t in texts[lo:lo + TEXTS]], self.k)
+            out += [(float(np.interp(self.vote(x), *self.steps)), self.ids[[i for _, i in x]].tolist()) if x else (self.no_terms, []) for x in near]
+        return out
 
 
 _SCORES = [T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(T.LongType()))]
 
 
-def _calibrate(index: Index, known: DataFrame, held: list) -> None:
-    """Vote on every example in tasks, then fit the steps on these votes."""
-    rows: dict[tuple, list[int]] = {}
-    for i, r in enumerate(held):
-        rows.setdefault((r["doc_id"], tuple(r["terms"])), []).append(i)
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, weak: float = WEAK) -> tuple[list[str], Index]:
+    """(terms, index) of the labelled examples; document frequencies count all ``docs``."""
+    train = stored(training_labels(labels, max_examples), "labels")
+    examples = stored(distinct_examples(docs, train), "examples")
+    known = example_terms(examples)
+    terms, tells = [t for t, _ in known], np.array([s for _, s in known], bool)
+    every = docs.count()
+    idf = np.log((every + 1) / (document_frequencies(docs, terms) + 1)) + 1
+    value = idf * np.where(tells, 1.0, weak)
+    reader = Reader(terms)
 
-    def run(docs: pa.Array, ids: pa.Array, counts: pa.Array) -> list[pa.Array]:
-        made = [index.left_out(rows[d, tuple(t)][0], t, c)
-                for d, t, c in zip(docs.to_pylist(), ids.to_pylist(), counts.to_pylist())]
+    def run(texts: pa.Array) -> list[pa.Array]:
+        found = reader.read(texts)
+        ends = pa.array(found.ends.astype(np.int32))
+        return [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (found.term, found.count)]
+
+    vector = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
+    rows = stored(add_columns(examples, ["text"], vector, run, keep=["doc_id", "toxic"]), "vectors")
+    held = rows.toPandas().sort_values("doc_id")  # at most max_examples rows
+    index = Index(held["doc_id"].tolist(), list(zip(held["terms"], held["counts"])), held["toxic"].to_numpy(float), value,
+                  weak * (math.log((every + 1) / 2) + 1))
+    number = {d: i for i, d in enumerate(held["doc_id"])}
+
+    def vote(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> list[pa.Array]:
+        made, rows = [], list(zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist()))
+        for lo in range(0, len(rows), TEXTS):
+            part = rows[lo:lo + TEXTS]
+            made += index.left_out([number[d] for d, _, _ in part], [(np.array(t, np.int64), c) for _, t, c in part])
         return [pa.array(made, pa.float64())]
 
-    tasks = known.sparkSession.sparkContext.defaultParallelism
-    voted = add_columns(known.where(F.size("terms") > 0).repartition(4 * tasks), ["doc_id", "terms", "counts"],
-                        [T.StructField("vote", T.DoubleType())], run, keep=["toxic"]).where("vote is not null").collect()
+    voted = add_columns(rows.where(F.size("terms") > 0).repartition(EXAMPLE_TASKS), ["doc_id", "terms", "counts"],
+                        [T.StructField("vote", T.DoubleType())], vote, keep=["doc_id", "toxic"]).collect()
     if voted:
-        index.calibrate(np.array([r["vote"] for r in voted]), np.array([float(r["toxic"]) for r in voted]))
+        voted.sort(key=lambda r: r["doc_id"])
+        index.calibrate(np.array([r["vote"] for r in voted]), np.array([r["toxic"] for r in voted]))
+    return terms, index
 
 
-def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int | None = None) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, weak: float = WEAK) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours) for every document.
 
     Labels outside the held-out fold (crc32(doc_id as text) mod 5 = 0) are learned; only
-    the text of a document is scored, whole. IDF counts all documents. Null and empty
-    texts have no terms; repeated rows are scored alike; held_out is null for a null
-    doc_id; without labels of both kinds every score is the share of toxic labels.
+    the text of a document is scored, whole. IDF counts all documents; a word that no
+    example holds cannot meet one and counts in the length of its text, as a word of one
+    document. Of examples with one text the smallest doc_id stands for all, and ties
+    between neighbours go to smaller ids. Null and empty texts have no terms; repeated rows
+    are scored alike; held_out is null for a null doc_id; without labels of both kinds every
+    score is the share of toxic labels. An empty table gives no rows. Columns other than
+    doc_id and text are ignored, whatever their names.
     """
     docs = docs.select("doc_id", "text")
-    train = stored(training_labels(labels, max_examples), "labels")
-    small = F.broadcast(train)  # at most max_examples rows of two numbers
-    examples = stored(docs.join(small, "doc_id").select("doc_id", "text", "toxic"), "examples")
-    terms = select_terms(examples, max_terms)
-    rows = stored(vectors(docs, terms), "vectors")
-    seen = np.zeros(len(terms))
-    for term, n in rows.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
-        seen[term] = n
-    idf = np.log((rows.count() + 1) / (seen + 1)) + 1
-    known = stored(vectors(examples, terms).join(small, "doc_id"), "known")
-    held = sorted(known.collect(), key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
-    index = Index([r["doc_id"] for r in held], [(r["terms"], r["counts"]) for r in held],
-                  np.array([r["toxic"] for r in held]), idf)
-    _calibrate(index, known, held)
-
-    def run(ids: pa.Array, counts: pa.Array) -> list[pa.Array]:
-        made = [index.score(t, c) for t, c in zip(ids.to_pylist(), counts.to_pylist())]
+    terms, index = fit(docs, labels, max_examples, weak)
+    reader = Reader(terms)
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        made = []
+        for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, PART):
+            own, at = _distinct(part.column(0))
+            found = reader.read(own)
+            scored = index.scores([found[i] for i in range(len(found))])
+            made += [scored[i] for i in at.tolist()]
         return [pa.array([m[0] for m in made], pa.float64()), pa.array([m[1] for m in made], pa.list_(pa.int64()))]
 
-    scored = add_columns(rows, ["terms", "counts"], _SCORES, run, keep=["doc_id"])
+    scored = add_columns(docs, ["text"], _SCORES, run, keep=["doc_id"])
     return scored.select("doc_id", (remainder("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours")
-
-

@@ -203,40 +203,119 @@ def test_licence_query(spark, duck):
 
 # toxicity
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("many", [0.0, 0.1, 2.0])
+def test_block_max_search_is_exact(many):
     rng = random.Random(8)
     n_terms, rows = 30, []
     for _ in range(400):
         own = sorted(rng.sample(range(n_terms), rng.randint(0, 6)))
         rows.append((np.array(own, int), np.array([rng.randint(1, 4) for _ in own], int)))
-    idf = np.array([1 + rng.random() for _ in range(n_terms)])
+    rows += rows[:90]  # equal vectors tie
+    value = np.array([1 + rng.random() for _ in range(n_terms)])
     toxic = np.array([rng.randint(0, 1) for _ in rows])
-    index = toxicity.Index(list(range(len(rows))), rows, toxic, idf, neighbours=7, block=16)
-    dense = np.zeros((len(index.ids), n_terms))
-    for i, d in enumerate(index.ids):
-        t, w = index.weigh(*rows[d])
+    ids = list(range(len(rows)))
+    rng.shuffle(ids)
+    index = toxicity.Index(ids, rows, toxic, value, neighbours=7, block=16, many=many)
+    dense = np.zeros((len(rows), n_terms))
+    for i, row in enumerate(rows):
+        t, w = index.weigh(*row)
         dense[i, t] = w
-    for t, c in rows[:60]:
-        t, w = index.weigh(t, c)
-        if not len(t):
-            continue
-        query = np.zeros(n_terms)
-        query[t] = w
-        cosine = dense @ query
-        want = sorted((-cosine[i], i) for i in np.flatnonzero(cosine > 0))[:7]
-        got = index.nearest(t, w, 7)
-        assert np.allclose([c for c, _ in got], [-c for c, _ in want])
-    votes = [(index.left_out(i, *rows[i]), toxic[i]) for i in range(len(rows)) if len(rows[i][0])]
+
+    def plain(row, skip=None):
+        t, w = index.weigh(*row)
+        cosine = dense[:, t] @ w
+        best = sorted((-round(c, 9), ids[i]) for i, c in enumerate(cosine) if c > 0 and i != skip)[:7]
+        return [(i, pytest.approx(-c)) for c, i in best]
+
+    got = index.nearest([index.weigh(*r) for r in rows], 7)
+    assert [[(index.ids[i], c) for c, i in g] for g in got] == [plain(r) for r in rows]
+    alone = index.nearest([index.weigh(*r) for r in rows], 7, [index.place.get(i, -1) for i in range(len(rows))])
+    assert [[(index.ids[i], c) for c, i in g] for g in alone] == [plain(r, i) for i, r in enumerate(rows)]
+    votes = [(v, toxic[i]) for i, v in enumerate(index.left_out(list(range(len(rows))), rows)) if len(rows[i][0])]
     index.calibrate(np.array([v for v, _ in votes]), np.array([float(y) for _, y in votes]))
     assert (np.diff(index.steps[1]) >= 0).all() and 0 <= index.steps[1].min() <= index.steps[1].max() <= 1
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.sampled_from(["stem", "stemmed", "stemming", "stems", "stemless", "x", "É", "other others", "."]), max_size=12).map(" ".join))
-def test_selected_terms_are_read_as_they_are_counted(text):
-    terms = sorted(toxicity.terms_of("stem stemmed stemming stems stemless others"))[::2] + ["x"]
-    want = toxicity.terms_of(text)
-    assert toxicity.Reader(terms).read(text) == [(i, want[w]) for i, w in enumerate(terms) if w in want]
+@given(st.lists(st.lists(st.sampled_from(["stem", "stemmed", "stemming", "stems", "stemless", "x", "É", "other others", ".", "no1two"]), max_size=12)
+                .map(" ".join) | st.none(), max_size=4))
+def test_numbered_terms_are_read_as_they_are_counted(some):
+    terms = sorted(toxicity.terms_of("stem stemmed stemming stems stemless others"))[::2] + ["x", "stemmed"]
+    import pyarrow as pa
+    got = toxicity.Reader(terms).read(pa.array(some, pa.string()))
+    assert len(got) == len(some)
+    number = {w: i for i, w in enumerate(terms)}
+    for i, text in enumerate(some):
+        want = toxicity.terms_of(text)
+        t, n, rest = got[i]
+        assert list(zip(t.tolist(), n.tolist())) == sorted((number[w], k) for w, k in want.items() if w in number)
+        assert rest == pytest.approx(sum((1 + np.log(k)) ** 2 for w, k in want.items() if w not in number and "*" not in w))
+
+
+def test_words_are_runs_of_letters():
+    assert dict(toxicity.terms_of("One one, ÉTÉ-2x under_score 日本 no.One")) == {
+        "one": 3, "été": 1, "x": 1, "under": 1, "score": 1, "日本": 1, "no": 1, "unde*": 1, "scor*": 1}
+
+
+def plain_toxicity(docs, labels, weak):
+    """(neighbours, vote) of every document by cosines to all examples. docs: id -> text."""
+    by_text = {}
+    for d in sorted(labels):
+        if d in docs and fold(d, 5):
+            by_text.setdefault(docs[d] or "", []).append(d)
+    examples = [(own[0], t, sum(labels[d] for d in own) / len(own)) for t, own in by_text.items()]
+    seen = [Counter(), Counter()]
+    for _, t, y in examples:
+        seen[y >= 0.5].update(set(toxicity.terms_of(t)))
+    of = [sum(y < 0.5 for *_, y in examples), sum(y >= 0.5 for *_, y in examples)]
+    every = [w for w in seen[0] | seen[1]]
+    kinds = sum(seen[0][w] + seen[1][w] >= 3 for w in every)
+
+    def ratio(w):
+        total, n = 0.0, seen[0][w] + seen[1][w]
+        for side in (0, 1):
+            for k, share in ((seen[side][w], n), (of[side] - seen[side][w], sum(of) - n)):
+                if k:
+                    total += 2 * k * np.log(k / (share * of[side] / sum(of)))
+        return total
+
+    tells = {w for w in every if seen[0][w] + seen[1][w] >= 3 and ratio(w) >= 2 * np.log(kinds / 0.05)}
+    used = {w for w in every if w in tells or "*" not in w}
+    bags = {d: toxicity.terms_of(t) for d, t in docs.items()}
+    holds = Counter(w for b in bags.values() for w in b)
+    place = {w: i for i, w in enumerate(sorted(used))}
+
+    def vector(bag):
+        out, rest = np.zeros(len(place)), 0.0
+        for w, n in bag.items():
+            if w in place:
+                out[place[w]] = (1 + np.log(n)) * (np.log((len(docs) + 1) / (holds[w] + 1)) + 1) * (1 if w in tells else weak)
+            elif "*" not in w:
+                rest += ((1 + np.log(n)) * weak * (np.log((len(docs) + 1) / 2) + 1)) ** 2
+        length = np.sqrt(out @ out + rest)
+        return out / length if length else out
+
+    matrix = np.stack([vector(bags[d]) for d, *_ in examples])
+    share = np.mean([y for *_, y in examples])
+    out = {}
+    for d, bag in bags.items():
+        cosine = np.round(matrix @ vector(bag), 9)
+        best = sorted((-c, examples[i][0], examples[i][2]) for i, c in enumerate(cosine) if c > 0)[:toxicity.NEIGHBOURS]
+        weights = [-c for c, *_ in best]
+        vote = (sum(w * y for w, (*_, y) in zip(weights, best)) + 0.5 * share) / (sum(weights) + 0.5)
+        out[d] = ([i for _, i, _ in best], vote if best else None)
+    return out
+
+
+def test_toxicity_query_against_all_cosines(spark, duck):
+    docs = dict(duck.execute(f"SELECT doc_id, text FROM '{MIDDLE}/documents.parquet'").fetchall())
+    labels = dict(duck.execute(f"SELECT doc_id, toxic FROM '{MIDDLE}/labels.parquet'").fetchall())
+    want = plain_toxicity(docs, labels, toxicity.WEAK)
+    rows = {r["doc_id"]: r for r in toxicity.scores(*[spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels")]).collect()}
+    assert {d: r["neighbours"] for d, r in rows.items()} == {d: near for d, (near, _) in want.items()}
+    assert sum(bool(near) for near, _ in want.values()) > 0.99 * len(docs)
+    by_vote = sorted((vote, rows[d]["score"]) for d, (near, vote) in want.items() if near)
+    assert all(b[1] >= a[1] - 1e-9 for a, b in zip(by_vote, by_vote[1:]))
 
 
 def test_toxicity_held_out(spark, duck):
@@ -254,9 +333,11 @@ def test_all_telling_terms_of_both_sides_count(spark):
     words = ["".join(w) for w in itertools.product("abcdefghijk", repeat=3)]
     toxic, clean = words[:1100], words[1100:1200]
     train = [d for d in range(200) if fold(d, 5)][:80]
-    texts = [(d, " ".join(toxic if d % 2 else clean), d % 2) for d in train]
+    # a word of its own makes each text an example of its own
+    texts = [(d, " ".join([*(toxic if d % 2 else clean), "own" + chr(97 + d % 26) * (d // 26 + 1)]), d % 2) for d in train]
     examples = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
-    assert sorted(toxicity.select_terms(examples)) == sorted(toxic + clean)
+    found = toxicity.example_terms(examples)
+    assert {w for w, tells in found if tells} == {*toxic, *clean} and len(found) == 1200 + len(train)
     # one chance term among many of the other side does not stand for the whole text
     new = [d for d in range(200) if not fold(d, 5)][:2]
     more = spark.createDataFrame(list(zip(new, [" ".join([toxic[0], *clean]), " ".join([clean[0], *toxic])])), "doc_id long, text string")
@@ -265,6 +346,14 @@ def test_all_telling_terms_of_both_sides_count(spark):
     assert [got[d] for d in new] == [0, 1]
 
 
+def test_copies_are_one_example(spark):
+    rows = [(d, "same words here", 1) for d in range(50)] + [(60, "other words", 0), (61, "same words here", 0), (62, None, 0), (63, "", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    train = frame.select("doc_id", "toxic")
+    got = {r["text"]: (r["doc_id"], r["toxic"]) for r in toxicity.distinct_examples(frame.select("doc_id", "text"), train).collect()}
+    assert got == {"same words here": (0, pytest.approx(50 / 51)), "other words": (60, 0.0), "": (62, 0.5)}
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (4, 0), (6, None), (None, 1)], "doc_id long, toxic int")
     for some in (labels, labels.limit(0)):
