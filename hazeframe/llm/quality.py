@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 
 from hazeframe.llm.common import add_columns, bounded_rows, fresh, stored
 
-#: Trees, and rows each one is grown on; the sample is TREES * TREE_ROWS rows at most.
-TREES, TREE_ROWS = 200, 256
+#: Trees, rows each one is grown on, and rows of the sample they are drawn from. Fewer trees
+#: leave the score of a row, and with it the threshold, to the luck of the splits.
+TREES, TREE_ROWS, SAMPLE_ROWS = 1000, 256, 51_200
 #: Share of the good labelled rows that the threshold keeps at least.
 KEEP_GOOD = 0.99
 BINS = 2000
@@ -169,8 +170,8 @@ class Model:
 
 
 def learn(stats: DataFrame, labels: DataFrame, trees: int = TREES, rows: int = TREE_ROWS,
-          keep_good: float = KEEP_GOOD) -> Model:
-    """Grow the forest on at most trees * rows rows (those with the smallest hashes of
+          keep_good: float = KEEP_GOOD, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Grow the forest on at most ``sample_rows`` rows (those with the smallest hashes of
     doc_id) and set the threshold on all labelled rows.
 
     Rows that fail the base rules play no part in the threshold. Of BINS steps that keep
@@ -180,7 +181,7 @@ def learn(stats: DataFrame, labels: DataFrame, trees: int = TREES, rows: int = T
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("_good"))
-    sample = bounded_rows(stats.where("n_words > 0"), F.col("doc_id"), trees * rows).select(*COUNTS, *MORE).toPandas()
+    sample = bounded_rows(stats.where("n_words > 0"), F.col("doc_id"), sample_rows).select(*COUNTS, *MORE).toPandas()
     forest = Forest(features({c: sample[c].to_numpy() for c in COUNTS + MORE}), trees, rows)
     passing = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     scored = _score_column(passing.join(marks, "doc_id"), forest, ["_good"])
