@@ -1,17 +1,20 @@
 """Licence scans by Dice coefficient over word bigrams (operator 6).
 
-Every line of a text, and every run of consecutive lines, is normalised and compared with
-licence templates: twice the common bigrams over the sum of both. A run ends where it has
-more words than any template allows; blank lines do not count.
-A Dice value of t needs sizes within t / (2 - t) of each other, so only templates of a
-fitting size are compared, and lines that no size fits are never cut into bigrams.
+A text is a sequence of normalised words; any run of them, wherever its lines break, is
+compared with licence templates: twice the common bigrams over the sum of both. The best
+run of a template begins and ends with a bigram of the template, since any other end only
+adds to the sum. So runs are anchored at the places where the text holds bigrams of the
+template. A Dice value of t needs sizes within t / (2 - t) of each other, which ends runs, and
+leaves out templates of which a text holds fewer bigrams than that.
 """
 
 from __future__ import annotations
 
+import math
+import os
 import re
-from bisect import bisect_left, bisect_right
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,11 +24,10 @@ from pyspark.sql import types as T
 from hazeframe.llm.common import add_columns
 
 LEAST_DICE = 0.8
-#: Lines of a run in the SQL, which lists all runs. ``scan`` has no such limit.
-MAX_LINES = 12
 WORD = re.compile(r"\w+")
 
-# Short notices by which works state their licence.
+# Notices by which works state their licence, and the texts of short licences.
+# ``read_templates`` adds the texts of long ones.
 TEMPLATES = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -41,6 +43,25 @@ TEMPLATES = {
         "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
         "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
         "following conditions:",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all "
+        "copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
+        "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+        "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+        "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+        "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -58,6 +79,20 @@ TEMPLATES = {
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met:",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright "
+        "holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        "CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+        "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+        "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.",
                   "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -88,65 +123,86 @@ def dice(a: Counter, b: Counter) -> float:
     return 2 * sum(min(n, b[g]) for g, n in a.items()) / size if size else 0.0
 
 
+def read_templates(folder: str) -> dict[str, list[str]]:
+    """Templates from a folder of licence texts on the driver: a file per licence, named by
+    it (an ending is cut off). Give ``{**TEMPLATES, **read_templates(folder)}`` to ``licenses``."""
+    out = {}
+    for name in sorted(os.listdir(folder)):
+        path = os.path.join(folder, name)
+        if os.path.isfile(path):
+            with open(path, encoding="utf-8", errors="replace") as f:
+                out[os.path.splitext(name)[0] if name.endswith((".txt", ".md")) else name] = [f.read()]
+    return out
+
+
 class Templates:
-    """Templates sorted by size. Those of one word have no bigram and never match."""
+    """Templates by their bigrams. Those of one word have no bigram and never match."""
 
     def __init__(self, named: dict[str, list[str]], least: float = LEAST_DICE):
-        made = [(bigrams(WORD.findall(t.lower())), name) for name, texts in named.items() for t in texts]
-        self.rows = sorted(((sum(b.values()), name, b) for b, name in made if b), key=lambda r: (r[0], r[1]))
-        self.sizes = [r[0] for r in self.rows]
-        self.least, self.ratio = least, least / (2 - least)
-        self.words = frozenset(w for _, _, b in self.rows for g in b for w in g)
-        self.shortest = self.sizes[0] * self.ratio if self.rows else float("inf")
-        self.longest = self.sizes[-1] / self.ratio if self.rows else 0
-
-    def fitting(self, size: int) -> list[tuple[int, str, Counter]]:
-        """Templates whose size allows the least Dice value (with room for rounding)."""
-        return self.rows[bisect_left(self.sizes, size * self.ratio - 1e-9):bisect_right(self.sizes, size / self.ratio + 1e-9)]
+        self.least = least
+        made = [(name, bigrams(WORD.findall(t.lower()))) for name, texts in named.items() for t in texts]
+        self.rows = [(name, own, sum(own.values())) for name, own in made if own]
+        ratio = least / (2 - least)
+        #: Bigrams that a run must share with a template, and bigrams it may have (with room for rounding).
+        self.needs = [max(1, math.ceil(n * ratio - 1e-9)) for _, _, n in self.rows]
+        self.most = [math.floor(n / ratio + 1e-9) if ratio else math.inf for _, _, n in self.rows]
+        holders = defaultdict(list)
+        for k, (_, own, _) in enumerate(self.rows):
+            for g in own:
+                holders[g].append(k)
+        self.holders = dict(holders)
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
         """(licence, first line, lines, Dice value) of each licence in the text: its best
-        run of lines, of equals the shortest and first."""
-        lines = (text or "").lower().split("\n")
+        run of words, of equals the one of fewest words, then the first."""
+        words, ends = [], []
+        for line in (text or "").lower().split("\n"):
+            words += WORD.findall(line)
+            ends.append(len(words))
+        pairs = list(zip(words, words[1:]))
+        anchors = defaultdict(list)
+        for i, own in enumerate(map(self.holders.get, pairs)):
+            if own:
+                for k in own:
+                    anchors[k].append(i)
         best: dict[str, tuple[float, int, int]] = {}
-        flat: list[str] = []
-        # of every line with words: its number, and the words and known words before its end
-        held, ends, known_ends = [], [0], [0]
-        for at, line in enumerate(lines):
-            found = WORD.findall(line)
-            if found:
-                flat += found
-                held.append(at)
-                ends.append(len(flat))
-                known_ends.append(known_ends[-1] + sum(w in self.words for w in found))
-        for k, first in enumerate(held):
-            for end in range(k + 1, len(held) + 1):
-                last, known = held[end - 1], known_ends[end] - known_ends[k]
-                size = ends[end] - ends[k] - 1
-                if size > self.longest:
-                    break
-                # common bigrams are at most the known words less one, so this loses nothing
-                if size < self.shortest or 2 * (known - 1) < self.least * (size + self.sizes[0]):
+        for k, at in anchors.items():
+            name, template, n = self.rows[k]
+            need, most = self.needs[k], self.most[k]
+            for a in range(len(at) - need + 1):
+                first = at[a]
+                if at[a + need - 1] - first >= most:  # too few anchors within the longest run
                     continue
-                grams = None
-                for n, name, template in self.fitting(size):
-                    if 2 * min(known - 1, n, size) < self.least * (size + n):
-                        continue
-                    grams = grams or bigrams(flat[ends[k]:ends[end]])
-                    value = dice(grams, template)
-                    key = (value, -(last - first), -first)
+                seen, common = {}, 0
+                for last in at[a:]:
+                    size = last - first + 1
+                    if size > most:
+                        break
+                    g = pairs[last]
+                    seen[g] = seen.get(g, 0) + 1
+                    if seen[g] > template[g]:
+                        continue  # the run that ends before is better
+                    common += 1
+                    value = 2 * common / (size + n)
+                    key = (value, -size, -first)
                     if value >= self.least and (name not in best or key > best[name]):
                         best[name] = key
-        return [(name, -f, -n + 1, v) for name, (v, n, f) in sorted(best.items())]
+        out = []
+        for name, (value, size, first) in sorted(best.items()):
+            top, bottom = bisect_left(ends, -first + 1), bisect_left(ends, -first - size + 1)
+            out.append((name, top, bottom - top + 1, value))
+        return out
 
 
 def licenses(docs: DataFrame, named: dict[str, list[str]] | None = None, least: float = LEAST_DICE) -> DataFrame:
     """(doc_id, license_id, line, lines, dice): one row per document and licence that it
-    states, line counted from 0.
+    states, with the lines its best run of words begins in (counted from 0) and covers.
 
-    Case, punctuation and line breaks do not matter. Null and empty texts give no rows;
-    repeated rows give repeated results; other columns are ignored. Of two licences that
-    match the same text both are given, with their values.
+    Case, punctuation and line breaks do not matter, and a notice may stand inside a line.
+    Of runs with one value the one of fewest words counts, then the first. Null and empty
+    texts and an empty table give no rows; repeated rows give repeated results; columns
+    other than doc_id and text are ignored, whatever their names. Of two licences that match
+    the same text both are given, with their values.
     """
     templates = Templates(TEMPLATES if named is None else named, least)
 

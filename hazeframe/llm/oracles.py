@@ -7,7 +7,7 @@ plain versions.
 
 from __future__ import annotations
 
-from hazeframe.llm.licenses import LEAST_DICE, MAX_LINES, TEMPLATES
+from hazeframe.llm.licenses import LEAST_DICE, TEMPLATES
 
 # Base32 of a SHA-1: every five hex digits are four letters.
 WARC = """WITH h AS (SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, sha1(t) AS s, max(page_id) OVER (PARTITION BY t) AS top
@@ -30,25 +30,27 @@ def _bigrams(words: str) -> str:
 
 
 def licenses_sql() -> str:
-    """Every run of lines against every template of a fitting size."""
+    """Every run of words that begins and ends with a bigram of a template."""
     named = [(name, text) for name, texts in TEMPLATES.items() for text in texts]
     rows = ", ".join(f"({k}, {_quoted(n)}, {_quoted(t)})" for k, (n, t) in enumerate(named))
-    low, high = LEAST_DICE / (2 - LEAST_DICE), (2 - LEAST_DICE) / LEAST_DICE
+    ratio = LEAST_DICE / (2 - LEAST_DICE)
     return f"""WITH tw AS (SELECT k, license_id, {_words('t')} AS w FROM (VALUES {rows}) v(k, license_id, t)),
-tg AS (SELECT k, license_id, {_bigrams('w')} AS g, len(w) - 1 AS n FROM tw WHERE len(w) > 1),
+tg AS (SELECT k, license_id, unnest({_bigrams('w')}) AS g, len(w) - 1 AS n FROM tw WHERE len(w) > 1),
+tn AS (SELECT k, license_id, g, n, count(*) AS times FROM tg GROUP BY ALL),
 ln AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS line, {_words('ls[i]')} AS w
  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) u(i)),
-runs AS (SELECT a.doc_id, a.line, CAST(b.line - a.line + 1 AS INTEGER) AS lines, flatten(list(c.w ORDER BY c.line)) AS w
- FROM ln a JOIN ln b ON a.doc_id = b.doc_id AND b.line BETWEEN a.line AND a.line + {MAX_LINES - 1} AND len(a.w) > 0 AND len(b.w) > 0
- JOIN ln c ON c.doc_id = a.doc_id AND c.line BETWEEN a.line AND b.line
- GROUP BY a.doc_id, a.line, b.line HAVING sum(len(c.w)) BETWEEN 2 AND (SELECT max(n) * {high} + 2 FROM tg)),
-rg AS (SELECT doc_id, line, lines, {_bigrams('w')} AS g, len(w) - 1 AS n FROM runs),
-cand AS (SELECT doc_id, line, lines, license_id, rg.n + tg.n AS total,
- list_sum(list_transform(list_distinct(rg.g), lambda x: least(len(list_filter(rg.g, lambda y: y = x)), len(list_filter(tg.g, lambda y: y = x))))) AS common
- FROM rg JOIN tg ON rg.n BETWEEN tg.n * {low} - 0.001 AND tg.n * {high} + 0.001 AND list_has_any(rg.g, tg.g))
-SELECT doc_id, license_id, line, lines, dice FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, license_id ORDER BY dice DESC, lines, line) AS rn
- FROM (SELECT *, 2 * common / CAST(total AS DOUBLE) AS dice FROM cand) WHERE dice >= {LEAST_DICE}) WHERE rn = 1"""
-
+wd AS (SELECT doc_id, line, unnest(w) AS w, unnest(range(len(w))) AS j FROM ln),
+sq AS (SELECT doc_id, line, w, row_number() OVER o AS i, lead(w) OVER o AS w2, lead(line) OVER o AS line2 FROM wd WINDOW o AS (PARTITION BY doc_id ORDER BY line, j)),
+an AS (SELECT doc_id, k, license_id, n, times, i, line, line2, g FROM sq JOIN tn ON g = w || ' ' || w2),
+ok AS (SELECT doc_id, k FROM an GROUP BY doc_id, k, n HAVING count(*) >= n * {ratio} - 0.001),
+ac AS (SELECT an.* FROM an JOIN ok ON an.doc_id = ok.doc_id AND an.k = ok.k),
+rn AS (SELECT a.doc_id, a.k, a.license_id, a.n, a.i AS lo, b.i AS hi, a.line, b.line2 FROM ac a JOIN ac b
+ ON a.doc_id = b.doc_id AND a.k = b.k AND b.i BETWEEN a.i AND a.i + a.n / {ratio} + 0.001 - 1),
+cm AS (SELECT rn.*, c.g, least(count(*), c.times) AS both FROM rn JOIN ac c ON c.doc_id = rn.doc_id AND c.k = rn.k AND c.i BETWEEN lo AND hi
+ GROUP BY rn.doc_id, rn.k, rn.license_id, rn.n, lo, hi, rn.line, rn.line2, c.g, c.times),
+dv AS (SELECT doc_id, license_id, lo, hi, line, line2, 2 * sum(both) / CAST(hi - lo + 1 + n AS DOUBLE) AS dice FROM cm GROUP BY doc_id, k, license_id, n, lo, hi, line, line2)
+SELECT doc_id, license_id, line, CAST(line2 - line + 1 AS INTEGER) AS lines, dice FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, license_id ORDER BY dice DESC, hi - lo, lo) AS rn
+ FROM dv WHERE dice >= {LEAST_DICE}) WHERE rn = 1"""
 
 # What a source's words are taken from follows from its target: the first words of its
 # documents in the order of their MD5, round after round.
