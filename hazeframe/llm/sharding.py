@@ -1,10 +1,12 @@
 """Sharding by balanced label propagation (operator 10), DataFrame operations only.
 
-Documents with equal texts are linked. Shards are labels that spread over the links: in
-every round each linked document asks for the shard that holds most of its group among
-those with room (for the whole group, where there is one), and requests are granted, the
-strongest first, while the wanted shard stays within its quota of bytes. Documents without links cost no cut wherever they go, so they are dealt last
-and level the shards, the large ones first.
+Documents with equal texts are linked. Shards are labels that spread over the links: every
+document starts with a label of its own, and its group then asks, as a whole, for the
+shard that holds most of it. Requests are granted while the shard stays within its quota of
+bytes, the large ones first; what is refused asks for shards with room, round after round,
+until nothing moves. A group above the quota cannot stay whole and fills shard after shard.
+Documents without links cost no cut wherever they go, so they are dealt last and level the
+shards, the large ones first.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from hazeframe.llm.common import number_slots, running_total, stored
 
 SHARDS = 8
-MAX_ROUNDS = 8
+#: Tasks over which the rows of one group are dealt when they meet a fact about it.
+SALTS = 16
 #: Upper sizes of the classes in which documents level the shards, from large to small.
 LEVELS = [1 << k for k in (40, 17, 15, 13, 11, 10, 9, 8, 7)]
 
@@ -34,50 +37,91 @@ def _totals(rows: DataFrame, shards: int) -> list[int]:
     return out
 
 
-def _propagate(linked: DataFrame, quota: int, shards: int, rounds: int) -> DataFrame:
-    """Move linked documents towards the shards of their groups."""
-    now = stored(linked.withColumn("shard", F.pmod(F.xxhash64("key", F.lit("start")), F.lit(shards)).cast("int")), "labels")
-    for _ in range(rounds):
-        used = _totals(now, shards)
-        room = [quota - u for u in used]
-        roomiest = max(range(shards), key=lambda k: room[k])
-        # at most one row per group and shard, so a group is a handful of rows here
-        of_group = Window.partitionBy("group")
-        votes = now.groupBy("group", "shard").agg(F.sum("size").alias("here"))
-        votes = votes.withColumn("total", F.sum("here").over(of_group))
-        # a shard that can take the whole group beats one that can take a part of it
-        whole = _pick(room, F.col("shard")) >= F.col("total") - F.col("here")
-        open_to = F.when(whole | (_pick(room, F.col("shard")) > 0), F.col("here"))
-        best = F.max(F.struct(whole.alias("whole"), open_to.alias("there"), (-F.col("shard")).alias("shard"))).over(of_group)
-        votes = votes.withColumn("best", best).select(
-            "group", "shard", "here", "total", F.col("best.whole").alias("whole"), F.col("best.there").alias("there"),
-            (-F.col("best.shard")).alias("best"))
-        aside = ~F.col("whole") & (F.col("total") <= room[roomiest])
-        part = ~F.col("whole") & ~aside
-        strength = (votes.withColumn("to", F.when(aside, roomiest).otherwise(F.col("best")).cast("int"))
-                    .where(F.col("to") != F.col("shard"))
-                    .where(~part | (F.col("there") > F.col("here")) | ((F.col("there") == F.col("here")) & (F.col("to") < F.col("shard"))))
-                    .select(F.col("group").alias("_g"), F.col("shard").alias("_s"), "to",
-                            F.when(part, F.col("there") - F.col("here")).otherwise(F.col("total")).alias("gain")))
-        asks = (now.join(strength, (F.col("group") == F.col("_g")) & (F.col("shard") == F.col("_s")))
-                .select("key", "group", "size", "shard", "to", "gain"))
-        asks = stored(asks, "asks")
-        n = asks.count()
-        if not n:
+def _line(units: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """Add ``_at``: the bytes of the units before each in its ``by`` group, large units first
+    (by powers of two, of equals in the order of running_total)."""
+    ranked = units.withColumn("_rank", (64 - F.floor(F.log2("size"))).cast("int"))
+    weights = ranked.groupBy(*by, "_rank").agg(F.sum("size").alias("_w"))
+    before = Window.partitionBy(*by).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    weights = weights.select(*[F.col(c).alias(f"_b_{c}") for c in (*by, "_rank")], F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"))
+    match = F.lit(True)
+    for c in (*by, "_rank"):
+        match = match & (F.col(c) == F.col(f"_b_{c}"))
+    # at most 64 rows for each shard
+    queued = running_total(ranked, [*by, "_rank"], ["unit"], "size", "_queue", rows).join(F.broadcast(weights), match)
+    return queued.select(*units.columns, (F.col("_before") + F.col("_queue")).alias("_at"))
+
+
+def _dealt(line: Column, size: Column, room: list[int]) -> Column:
+    """The shard whose stretch of the rooms, one after another, holds a unit's middle."""
+    ends = list(accumulate(max(0, r) for r in room))
+    return F.size(F.filter(F.array(*[F.lit(float(e)) for e in ends[:-1]]), lambda e: e <= line + size / 2)).cast("int")
+
+
+def _salted(rows: DataFrame, groups: DataFrame, on: str, to: str, how: str) -> DataFrame:
+    """Join of documents with a table of one row per group or unit. The rows of a large group
+    are dealt over SALTS tasks, where the other side is repeated."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
+    right = groups.withColumn("_salt", salts)
+    joined = rows.withColumn("_own", salt).join(right, (F.col(on) == F.col(to)) & (F.col("_own") == F.col("_salt")), how)
+    return joined.drop("_own", "_salt", to)
+
+
+def _propagate(linked: DataFrame, quota: int, shards: int) -> tuple[DataFrame, DataFrame]:
+    """(linked documents with their shards, those that no shard has room for).
+
+    A unit is a group, or a document of a group above the quota.
+    """
+    start = linked.withColumn("shard", F.pmod(F.xxhash64("key", F.lit("start")), F.lit(shards)).cast("int"))
+    votes = start.groupBy("group", "shard").agg(F.sum("size").alias("here"))
+    groups = stored(votes.groupBy("group").agg(  # at most one row per group and shard
+        F.sum("here").alias("size"), F.max(F.struct("here", (-F.col("shard")).alias("shard"))).alias("best")).select(
+        "group", "size", (-F.col("best.shard")).alias("to")), "groups")
+    above = groups.where(F.col("size") > quota).select(F.col("group").alias("_g"))
+    large = stored(_salted(linked, above, "group", "_g", "left_semi"), "large")
+    small = groups.where(F.col("size") <= quota).select(F.col("group").alias("unit"), "size", "to")
+    n_large = large.count()
+    room = [quota] * shards
+    asks = small
+    if n_large:  # one after another, so that each is cut as seldom as can be
+        queue = running_total(large, [], ["group", "key"], "size", "_at", n_large)
+        filled = F.least(F.floor((F.col("_at") + F.col("size") / 2) / quota), F.lit(shards - 1)).cast("int")
+        asks = asks.unionByName(queue.select(F.col("key").alias("unit"), "size", filled.alias("to")))
+    asks = stored(asks, "asks")
+    placed, waiting = None, asks.count()
+    while waiting:
+        granted = stored(_line(asks, ["to"], waiting).withColumn("_in", F.col("_at") + F.col("size") <= _pick(room, F.col("to"))), "granted")
+        inside = granted.where("_in").select("unit", "size", F.col("to").alias("shard"))
+        before = sum(room)
+        for shard, taken in enumerate(_totals(inside, shards)):
+            room[shard] -= taken
+        placed = inside if placed is None else placed.unionByName(inside)
+        refused = granted.where("not _in").select("unit", "size")
+        if sum(room) == before:
+            asks = refused
             break
-        # strongest first: gains fall into powers of two, which are granted in turn
-        asks = asks.withColumn("rank", (64 - F.floor(F.log2(F.col("gain") + 1))).cast("int"))
-        weights = asks.groupBy("to", "rank").agg(F.sum("size").alias("w"))
-        before = Window.partitionBy("to").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-        weights = weights.select(F.col("to").alias("_to"), F.col("rank").alias("_rank"),
-                                 F.coalesce(F.sum("w").over(before), F.lit(0)).alias("_before"))
-        queued = running_total(asks, ["to", "rank"], ["group", "key"], "size", "_queue", n)
-        granted = (queued.join(F.broadcast(weights), (F.col("to") == F.col("_to")) & (F.col("rank") == F.col("_rank")))
-                   .where(F.col("_before") + F.col("_queue") + F.col("size") <= _pick(room, F.col("to")))
-                   .select(F.col("key").alias("_key"), "to"))
-        now = stored(now.join(granted, F.col("key") == F.col("_key"), "left")
-                     .select("key", "group", "size", F.coalesce("to", "shard").alias("shard")), "labels")
-    return now
+        waiting = refused.count()
+        if waiting:
+            asks = stored(_line(refused, [], waiting).select("unit", "size", _dealt(F.col("_at"), F.col("size"), room).alias("to")), "asks")
+    if placed is None:
+        nothing = linked.withColumn("shard", F.lit(0)).limit(0)
+        return nothing, linked
+    unit = F.coalesce(F.col("_u"), F.col("group"))
+    named = linked.join(large.select(F.col("key").alias("_u")), F.col("key") == F.col("_u"), "left").withColumn("unit", unit).drop("_u")
+    home = placed.select(F.col("unit").alias("_unit"), "shard")
+    done = stored(_salted(named, home, "unit", "_unit", "left").select("key", "group", "size", "shard"), "labels")
+    return done.where("shard is not null"), done.where("shard is null").drop("shard")
+
+
+def cut_pairs(placed: DataFrame) -> DataFrame:
+    """(pairs, cut): pairs of linked documents, and those whose shards differ; from rows
+    with group and shard."""
+    parts = placed.groupBy("group", "shard").agg(F.count("*").alias("n"))
+    groups = parts.groupBy("group").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("same"))
+    pairs = F.col("n") * (F.col("n") - 1) / 2
+    return groups.agg(F.coalesce(F.sum(pairs), F.lit(0)).cast("long").alias("pairs"),
+                      F.coalesce(F.sum(pairs - F.col("same")), F.lit(0)).cast("long").alias("cut"))
 
 
 def _height(used: list[int], weight: int) -> float:
@@ -90,15 +134,6 @@ def _height(used: list[int], weight: int) -> float:
     return 0.0
 
 
-def _over_quota(labels: DataFrame, quota: int, used: list[int]) -> tuple[DataFrame, DataFrame | None]:
-    """(labels within the quota, documents beyond it or None)."""
-    if max(used) <= quota:
-        return labels, None
-    line = stored(running_total(labels, ["shard"], ["group", "key"], "size", "_at", labels.count()), "line")
-    fits = F.col("_at") + F.col("size") <= quota
-    return line.where(fits).drop("_at"), line.where(~fits).select("key", "group", "size")
-
-
 def _level(rest: DataFrame, used: list[int], shards: int) -> DataFrame:
     """Deal documents into the room that shards have left, class by class of size.
 
@@ -126,9 +161,10 @@ def _level(rest: DataFrame, used: list[int], shards: int) -> DataFrame:
     return done
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot): equal texts together where quotas allow,
-    sizes near equal.
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot, group): equal texts together where quotas
+    allow, sizes near equal. Rows of one group have equal texts; ``cut_pairs`` counts the
+    links between shards.
 
     size is the UTF-8 bytes of the text plus 1 (a null text has no bytes), slot numbers
     the rows of a shard without gaps. Null texts are equal to each other. Rows that
@@ -146,15 +182,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, max_rounds: int = MAX
         F.sum("size").alias("size"), F.count("*").alias("rows"))
     items = stored(items, "items")
     copies = items.groupBy("group").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("group").alias("_g"))
-    linked = items.join(copies, F.col("group") == F.col("_g"), "left_semi").select("key", "group", "size")
-    single = items.join(copies, F.col("group") == F.col("_g"), "left_anti").select("key", "group", "size")
+    linked = _salted(items, copies, "group", "_g", "left_semi").select("key", "group", "size")
+    single = _salted(items, copies, "group", "_g", "left_anti").select("key", "group", "size")
     total = int(items.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
     quota = -(-total // shards)
-    labels = _propagate(linked, quota, shards, max_rounds)
-    labels, beyond = _over_quota(labels, quota, _totals(labels, shards))
-    loose = _level(single if beyond is None else single.unionByName(beyond), _totals(labels, shards), shards)
+    labels, beyond = _propagate(linked, quota, shards)
+    loose = _level(single.unionByName(beyond), _totals(labels, shards), shards)
     placed = labels if loose is None else labels.unionByName(loose)
     named = rows.join(placed.select(F.col("key").alias("_key"), "shard"), F.col("key") == F.col("_key"))
     n = rows.count()
-    return number_slots(stored(named.select("doc_id", "size", "text_crc32", "key", "shard"), "placed"),
-                        "shard", ["key", "doc_id"], "slot", n).select("doc_id", "size", "text_crc32", "shard", "slot")
+    return number_slots(stored(named.select("doc_id", "size", "text_crc32", "key", "shard", F.col("_hash").alias("group")), "placed"),
+                        "shard", ["key", "doc_id"], "slot", n).select("doc_id", "size", "text_crc32", "shard", "slot", "group")

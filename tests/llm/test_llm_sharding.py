@@ -49,6 +49,46 @@ def test_sizes_are_even_and_groups_whole(spark):
     assert sum(len(s) > 1 for s in where.values()) <= 2
 
 
+def hashed_cut(groups):
+    """Cut pairs if every document went to a shard by its hash."""
+    cut = 0
+    for own in groups.values():
+        parts = Counter(zlib.crc32(str(d).encode()) % 8 for d in own)
+        cut += len(own) * (len(own) - 1) // 2 - sum(n * (n - 1) // 2 for n in parts.values())
+    return cut
+
+
+@pytest.mark.parametrize("copies, single", [(4, 0), (10, 200), (2, 3000), (700, 300)])
+def test_linked_tables_keep_their_groups(spark, copies, single):
+    """Where nearly all documents are linked, groups stay whole but for the last few."""
+    linked = 4000 // copies * copies
+    docs = [(i, f"group {i // copies} " + "word " * (i // copies * 7 % 40)) for i in range(linked)]
+    docs += [(10_000 + i, f"single {i} " + "x" * (i * 31 % 200)) for i in range(single)]
+    found = sharding.shard_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    rows = found.collect()
+    check(rows, docs, max(len(t) for _, t in docs) + 1)
+    text, where, groups = dict(docs), defaultdict(set), defaultdict(list)
+    for r in rows:
+        where[text[r["doc_id"]]].add(r["shard"])
+        groups[r["group"]].append(r["doc_id"])
+    assert sum(len(s) > 1 for s in where.values()) <= 8
+    pairs, cut = sharding.cut_pairs(found).first()
+    assert pairs == linked // copies * (copies * (copies - 1) // 2)
+    assert cut <= hashed_cut(groups) / (20 if copies < 100 else 1.5)
+
+
+def test_a_group_above_the_quota_fills_shard_after_shard(spark):
+    docs = [(i, "hot text") for i in range(3000)] + [(5000 + i, f"other {i % 50} words") for i in range(1000)] + [(9000 + i, f"s {i}") for i in range(500)]
+    rows = sharding.shard_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    check(rows, docs, 40)
+    text, where = dict(docs), defaultdict(set)
+    for r in rows:
+        where[text[r["doc_id"]]].add(r["shard"])
+    size = sum(len(t) + 1 for _, t in docs)
+    assert len(where["hot text"]) <= 3000 * 9 / (size / 8) + 2
+    assert sum(len(s) > 1 for s in where.values()) <= 8
+
+
 def test_one_text_only_is_split_evenly(spark):
     docs = [(i, "same text") for i in range(4001)]
     check(sharding.shard_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs, 200)
