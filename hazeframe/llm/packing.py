@@ -12,6 +12,7 @@ count meets its bound or one small partition is left.
 from __future__ import annotations
 
 import math
+import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -36,29 +37,35 @@ PIECES = T.StructType([
     T.StructField("ids", T.BinaryType())])
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, digest: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids): ids of whole texts plus the end id, cut into
-    pieces of ``capacity`` where longer. ``ids`` is little-endian unsigned 32-bit.
+    pieces of ``capacity`` where longer. ``ids`` is little-endian unsigned 32-bit; with
+    ``digest`` their crc32, as ``ids_crc32``, takes their place and the ids stay in the task.
 
     A null or empty text is the end id alone.
     """
+    last = T.StructField("ids_crc32", T.LongType()) if digest else PIECES["ids"]
+    schema = T.StructType([*PIECES.fields[:-1], last])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in (part for whole in batches for part in by_bytes(whole, 1)):
             ids, offsets = enc.encode(batch.column(1))
-            docs_, parts, starts, lengths, values = [], [], [], [], []
-            tail = np.array([end_id], "<u4")
-            for d, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                own = np.append(ids[lo:hi], tail).astype("<u4", copy=False)
-                for k, at in enumerate(range(0, len(own), capacity)):
-                    part = own[at:at + capacity]
-                    docs_.append(d), parts.append(k), starts.append(at), lengths.append(len(part))
-                    values.append(part.tobytes())
+            ids = np.insert(ids, offsets[1:], end_id).astype("<u4", copy=False)
+            begins = offsets + np.arange(len(offsets))  # an end id per text
+            parts = -(-np.diff(begins) // capacity)
+            doc = np.repeat(np.arange(len(parts)), parts)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+            at = begins[doc] + piece * capacity
+            length = np.minimum(capacity, begins[doc + 1] - at)
+            raw = memoryview(ids.tobytes())
+            cuts = [raw[4 * a:4 * (a + n)] for a, n in zip(at.tolist(), length.tolist())]
+            made = pa.array([zlib.crc32(c) for c in cuts], pa.int64()) if digest else pa.array(cuts, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs_, pa.int64()), pa.array(parts, pa.int32()), pa.array(starts, pa.int64()),
-                 pa.array(lengths, pa.int64()), pa.array(values, pa.binary())], names=PIECES.names)
+                [batch.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(piece * capacity),
+                 pa.array(length), made], names=schema.names)
 
-    return in_tasks(docs.select(F.col("doc_id").cast("long"), "text"), run, PIECES)
+    return in_tasks(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
 def dual_feasible(capacity: int) -> list[tuple[int, np.ndarray]]:
@@ -144,7 +151,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_task: int = PER_TASK, m
     total = int(counts.sum())
     least = lower_bound(counts, capacity)
     schema = T.StructType([rows.schema[c] for c in cols] + _STATE)
-    key = F.xxhash64(*cols)
+    # by place in the stored table: rows that repeat are dealt out like any others
+    key = F.xxhash64(F.monotonically_increasing_id())
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lengths = pdf["length"].to_numpy(np.int64)
@@ -179,5 +187,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of
     every document. Null texts count as empty, repeated rows are packed each for itself,
     rows without doc_id keep a null one, and other columns are ignored."""
-    cut = pieces(docs, tokenizer, capacity, end_id)
-    return pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    return pack(pieces(docs, tokenizer, capacity, end_id, digest=True), capacity)

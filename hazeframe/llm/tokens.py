@@ -3,8 +3,10 @@
 Words repeat, so a worker encodes each distinct piece of text once and keeps its ids.
 Texts are cut only where every pre-tokenizer here cuts as well: before a single ASCII
 space, and around a single line feed, that stand between two characters which are
-surely not white space. Everywhere else a piece simply stays longer. Pieces are found
-on the bytes of the Arrow column and counted by Arrow's own dictionary encoding.
+surely not white space, and before a closing mark that follows a letter or digit.
+Everywhere else a piece simply stays longer. Where a tokenizer ignores case and white
+space, pieces lose both before they are counted. Pieces are found on the bytes of the Arrow
+column and counted by Arrow's own dictionary encoding.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ import pyarrow.compute as pc
 _loaded: dict[str, "Encoder"] = {}
 #: Pieces kept per worker and generation; two generations are alive at a time.
 KEPT_PIECES = 300_000
+#: Marks that no pre-tokenizer here joins to a letter or digit before them.
+CLOSING = np.frombuffer(b".,;:!?", np.uint8)
 
 
 def encoder(path: str) -> "Encoder":
@@ -48,9 +52,27 @@ def piece_starts(data: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     at = at[before[at - 1] & after[at + 1]]
     feeds = at[data[at] == 0x0A]
     begins[at] = begins[feeds + 1] = True
+    # letters of one byte, and those of two that surely are letters (C3 but for the two signs there)
+    letter = ((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A) | (data >= 0x30) & (data <= 0x39)
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    mark = np.flatnonzero(np.isin(data, CLOSING))
+    mark = mark[mark > 0]
+    begins[mark[letter[mark - 1]]] = True
     return np.flatnonzero(begins)
 
 
+def folded(data: np.ndarray, starts: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, offsets) in lower-case ASCII without the spaces that begin a piece."""
+    begins = starts[starts < len(data)]
+    spaces = begins[(data[begins] == 0x20) & (np.append(begins[1:], len(data)) - begins > 1)]
+    kept = np.ones(len(data), bool)
+    kept[spaces] = False
+    place = np.concatenate([[0], np.cumsum(kept)])
+    data = data[kept]
+    upper = (data >= 0x41) & (data <= 0x5A)
+    return np.where(upper, data | 0x20, data).astype(np.uint8), place[starts], place[offsets]
+
+
 def by_bytes(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``most`` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -69,9 +91,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.folds = self._ignores_case_and_spaces()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _ignores_case_and_spaces(self) -> bool:
+        """Whether the tokenizer lowers all texts itself and drops the spaces before a word."""
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+        letters = [chr(c) for c in range(0x61, 0x7B)]
+        plain = [*letters, *".,;:!?#1", "word"]
+        return ('"Lowercase"' in self.tokenizer.to_str() and all(ids(c) == ids(c.upper()) for c in letters)
+                and all(ids(c) == ids(" " + c) for c in plain))
+
     def _ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of every word as packed unsigned 32-bit integers."""
         young, old = self.young, self.old
@@ -107,7 +140,11 @@ class Encoder:
         data = np.frombuffer(buffers[2], np.uint8)[lo:hi]
         doc_starts = offsets[:-1] - lo
         starts = piece_starts(data, doc_starts[doc_starts < hi - lo])
-        bounds = np.append(starts, hi - lo).astype(np.int64)
+        offsets = offsets - lo
+        # a text in capitals must not become a special token
+        if self.folds and b"<|" not in data.tobytes():
+            data, starts, offsets = folded(data, starts, offsets)
+        bounds = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
         coded = pieces.dictionary_encode()
@@ -118,7 +155,7 @@ class Encoder:
         code = coded.indices.to_numpy(zero_copy_only=False)
         ids, ends = gather(flat, firsts[code], lengths[code])
         # pieces before each document -> ids before it
-        return ids, ends[np.searchsorted(starts, offsets - lo)]
+        return ids, ends[np.searchsorted(starts, offsets)]
 
 
 def gather(flat: np.ndarray, firsts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
