@@ -11,8 +11,9 @@ a text). Steps, all inside the task that holds the text:
 2. CGK random walks embed windows and items so that edits become differing positions.
    A walk steps from a word to the next one when a random bit of (step, word) says so.
 3. Bit-sampling LSH: a few sampled positions of a walk make a signature; equal
-   signatures of equal n are candidates. Walks are added until simulated edits at the
-   largest allowed distance are found with the target recall.
+   signatures of equal n are candidates. For each size n, walks are added until simulated
+   edits at the largest allowed distance are found with the target recall; where MAX_WALKS
+   do not reach it, all windows of step 1 are compared with the items whose pairs they hold.
 4. The exact edit distance to the nearest beginning of the window, extended by k words, decides.
 
 Items are a stated query set: they are taken in blocks of bounded size, each against all
@@ -24,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeframe.llm.common import add_columns, fresh
+from hazeframe.llm.common import add_columns, fresh, stored
 from hazeframe.llm.tokens import by_bytes, gather
 
 SHARE = 0.2
-MIN_WORDS = 5
+#: Items of one word are no evidence of a leak and are left out.
+MIN_WORDS = 2
+#: Simulated passages per item size.
+TRIALS = 400
 TARGET_RECALL = 0.99
 #: Words of the items that one pass over the documents carries to every task.
 BLOCK_WORDS = 500_000
@@ -121,9 +126,19 @@ class Items:
         self.odd = rng.integers(1, 1 << 62, (MAX_WALKS, longest)) | 1
         self.shift = rng.integers(0, 1 << 62, (MAX_WALKS, longest))
         self.draws = rng.random((MAX_WALKS, SAMPLES, BITS))
-        self.walks, self.recall = self._enough_walks(target, rng)
-        self.index = {n: [self.signatures(w, walk) for walk in range(self.walks)]
+        #: Walks and recall for each item size; a size without walks is compared exactly.
+        self.walks, self.recall = {}, {}
+        for n in self.sizes:
+            self.walks[n], self.recall[n] = self._enough_walks(n, target, rng)
+        self.index = {n: [self.signatures(w, walk) for walk in range(self.walks[n])]
                       for n, (_, w) in self.sizes.items()}
+        # for the exact sizes: the items that hold each pair
+        self.holders = {}
+        for n, walks in self.walks.items():
+            if not walks:
+                row = np.repeat(np.arange(len(pairs[n])), n - 1)
+                own, item = np.unique(np.stack([pairs[n].ravel(), row]), axis=1)
+                self.holders[n] = own, item
 
     @staticmethod
     def _bucket(pairs: np.ndarray) -> np.ndarray:
@@ -188,33 +203,30 @@ class Items:
             at = np.minimum(at + ((mixed >> 37) & 1), n)
         return made.T
 
-    def _enough_walks(self, target: float, rng) -> tuple[int, float]:
-        """Walks until items with random edits at the largest distance are found."""
-        flat = [(n, w) for n, (_, rows) in self.sizes.items() for w in rows]
-        if not flat:
+    def _enough_walks(self, n: int, target: float, rng) -> tuple[int, float]:
+        """(walks, recall): as many walks as find items of ``n`` words with random edits at
+        the largest distance often enough; (0, 1.0) where MAX_WALKS do not."""
+        items, most = self.sizes[n][1], int(self.share * n)
+        if not most:  # one walk finds what is equal
             return 1, 1.0
-        trials: dict[int, list] = defaultdict(list)
-        for pick in rng.permutation(len(flat))[:100].tolist() * 3:
-            n, words = flat[pick]
-            changed = words.tolist()
-            for _ in range(int(self.share * n)):
-                kind, at = rng.integers(3), int(rng.integers(max(1, len(changed))))
-                if kind == 0 and len(changed) > 1:
-                    del changed[at]
+        picks = items[rng.integers(len(items), size=TRIALS)]
+        changed = np.full((TRIALS, n), -1, np.int64)
+        for t, words in enumerate(picks.tolist()):
+            for _ in range(most):
+                kind, at = rng.integers(3), int(rng.integers(max(1, len(words))))
+                if kind == 0 and len(words) > 1:
+                    del words[at]
                 elif kind == 1:
-                    changed.insert(at, 0)
+                    words.insert(at, 0)
                 else:
-                    changed[at] = 0
-            trials[n].append((words, (changed + [-1] * n)[:n]))
-        pairs = {n: (np.stack([a for a, _ in v]), np.array([b for _, b in v], np.int64)) for n, v in trials.items()}
-        found = {n: np.zeros(len(a), bool) for n, (a, _) in pairs.items()}
+                    words[at] = 0
+            changed[t, :min(n, len(words))] = words[:n]
+        found = np.zeros(TRIALS, bool)
         for walk in range(MAX_WALKS):
-            for n, (a, b) in pairs.items():
-                found[n] |= (self.signatures(a, walk) == self.signatures(b, walk)).any(axis=1)
-            recall = float(np.concatenate(list(found.values())).mean())
-            if recall >= target:
-                break
-        return walk + 1, recall
+            found |= (self.signatures(picks, walk) == self.signatures(changed, walk)).any(axis=1)
+            if found.mean() >= (3 + target) / 4:  # room for the luck of the trials
+                return walk + 1, float(found.mean())
+        return 0, 1.0
 
     def leaks(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """(item_id, start word, item words, distance) per text: the closest window of
@@ -249,6 +261,23 @@ class Items:
         ranked = np.sort(np.where(known, pair, -1), axis=1)
         return (ranked[:, 0] >= 0) + ((ranked[:, 1:] != ranked[:, :-1]) & (ranked[:, 1:] >= 0)).sum(axis=1)
 
+    def _sharing(self, windows: np.ndarray, n: int, need: int) -> set[tuple[int, int]]:
+        """(window, item) of all items that share at least ``need`` different pairs."""
+        own, item = self.holders[n]
+        if need <= 0:
+            return {(w, i) for w in range(len(windows)) for i in range(len(self.sizes[n][1]))}
+        out: set[tuple[int, int]] = set()
+        for lo in range(0, len(windows), 2000):
+            part = windows[lo:lo + 2000]
+            pair = np.where((part[:, :-1] > 0) & (part[:, 1:] > 0), part[:, :-1] * self.base + part[:, 1:], -1)
+            flat, window = np.unique(np.stack([pair.ravel(), np.repeat(np.arange(len(part)), n - 1)]), axis=1)
+            first, last = np.searchsorted(own, flat), np.searchsorted(own, flat, "right")
+            met, _ = gather(item, first, last - first)
+            met_window = np.repeat(window, last - first)
+            both, times = np.unique(np.stack([met_window, met]), axis=1, return_counts=True)
+            out.update((lo + int(w), int(i)) for w, i in both[:, times >= need].T)
+        return out
+
     def _search(self, starts, n, most, ids, doc, ends, item_ids, rows, best, longer) -> None:
         at = starts[:, None] + np.arange(n)
         inside = at < ends[doc[starts]][:, None]
@@ -257,8 +286,8 @@ class Items:
         starts, windows, inside = starts[enough], windows[enough], inside[enough]
         if not len(starts):
             return
-        seen: set[tuple[int, int]] = set()
-        for walk in range(self.walks):
+        seen: set[tuple[int, int]] = set() if self.walks[n] else self._sharing(windows, n, n - 1 - 2 * most - self.repeats[n])
+        for walk in range(self.walks[n]):
             made, have = self.signatures(windows, walk), self.index[n][walk]
             for s in range(SAMPLES):
                 order = np.argsort(have[:, s], kind="stable")
@@ -296,7 +325,7 @@ class Items:
 def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS,
                 share: float = SHARE, target: float = TARGET_RECALL) -> Iterator[Items]:
     """Search structures of bounded size. Items without text, without id or with fewer
-    than ``min_words`` words are left out: short phrases are no evidence of a leak."""
+    than ``min_words`` words are left out."""
     held: list[tuple[int, list[str]]] = []
     size = 0
     rows = benchmark.where("item_id is not null and text is not null")
@@ -313,33 +342,49 @@ def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: i
         yield Items(held, share, target)
 
 
+_KIND = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()),
+                            ("distance", pa.int32()), ("span", pa.int32())]))
+
+
+def _with_block(docs: DataFrame, block: Items, into: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus what the texts leak of one block of items."""
+    def run(texts: pa.Array) -> list[pa.Array]:
+        found: list = []
+        for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, 8 << 20):
+            found += [x or None for x in block.spans(part.column(0).to_pylist())]
+        return [pa.array([None if x is None else [dict(zip(LEAK.names, y)) for y in x] for x in found], _KIND)]
+
+    return add_columns(docs, ["text"], [T.StructField(into, T.ArrayType(LEAK))], run, keep)
+
+
 def with_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, target: float = TARGET_RECALL,
-               min_words: int = MIN_WORDS, into: str = "leaks") -> DataFrame:
+               min_words: int = MIN_WORDS, into: str = "leaks", block_words: int = BLOCK_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` plus ``into``: one (item_id, start, n_words,
     distance, span) per benchmark item found, null for none; the passage has ``span`` words.
 
     Null and empty texts have no leaks; rows that repeat are judged alike; an empty
-    benchmark leaves every row without leaks; a clashing column is replaced.
+    benchmark leaves every row without leaks; a clashing column is replaced; an empty table
+    stays empty. Of passages of one item the nearest counts, then the first.
+
+    A benchmark of one block is searched in the plan that is returned. Of a larger one each
+    block is searched and what it finds is stored before the next one is read, so that no
+    plan, and no task, carries more than a block.
     """
     out = docs.drop(into)
-    names: list[str] = []
-    for k, block in enumerate(item_blocks(benchmark, min_words, share=share, target=target)):
-        def run(texts: pa.Array, block: Items = block) -> list[pa.Array]:
-            found: list = []
-            for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, 8 << 20):
-                found += [x or None for x in block.spans(part.column(0).to_pylist())]
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()),
-                                       ("n_words", pa.int32()), ("distance", pa.int32()),
-                                       ("span", pa.int32())]))
-            return [pa.array([None if x is None else [dict(zip(LEAK.names, y)) for y in x] for x in found], kind)]
-
-        names.append(fresh(out, f"_leaks{k}"))
-        out = add_columns(out, ["text"], [T.StructField(names[-1], T.ArrayType(LEAK))], run)
-    if not names:
+    blocks = item_blocks(benchmark, min_words, block_words, share, target)
+    block, after = next(blocks, None), next(blocks, None)
+    if block is None:
         return out.withColumn(into, F.lit(None).cast(T.ArrayType(LEAK)))
-    parts = [F.coalesce(F.col(n), F.array().cast(T.ArrayType(LEAK))) for n in names]
-    whole = F.concat(*parts)
-    return out.withColumn(into, F.when(F.size(whole) > 0, whole)).drop(*names)
+    if after is None:
+        return _with_block(out, block, into, out.columns)
+    row, other = fresh(out, "_row"), fresh(out, "_other")
+    rows = stored(out.withColumn(row, F.monotonically_increasing_id()), "rows")
+    hits = None
+    for block in chain([block, after], blocks):
+        part = stored(_with_block(rows, block, into, [row]).where(F.col(into).isNotNull()), "leaks")
+        hits = part if hits is None else hits.unionByName(part)
+    found = hits.groupBy(F.col(row).alias(other)).agg(F.array_sort(F.flatten(F.collect_list(into))).alias(into))
+    return rows.join(found, F.col(row) == F.col(other), "left").select(*out.columns, into)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
