@@ -107,6 +107,27 @@ def distinct_examples(docs: DataFrame, train: DataFrame) -> DataFrame:
     return rows.agg(F.min("doc_id").alias("doc_id"), F.avg("toxic").alias("toxic")).repartition(EXAMPLE_TASKS)
 
 
+def _sides(texts: pa.Array, side: np.ndarray) -> Iterator[tuple[list[str], np.ndarray]]:
+    """(terms, texts of either side that hold each) for the words and each kind of stem."""
+    row, code, _, words = words_of(texts)
+
+    def counted(held: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(held * 2 + side[of], minlength=2 * n).reshape(n, 2)
+
+    yield words, counted(code, row, len(words))
+    place: dict[str, int] = {}
+    own = [[place.setdefault(w, len(place)) for w in stems_of(word)] for word in words]
+    n = np.fromiter(map(len, own), np.int64, len(own))
+    flat = np.fromiter((i for x in own for i in x), np.int64, int(n.sum()))
+    stems = flat[_ranges((np.cumsum(n) - n)[code], n[code])]
+    pair, forms = np.unique(np.repeat(row, n[code]) * max(1, len(place)) + stems, return_counts=True)
+    of, stem = pair // max(1, len(place)), pair % max(1, len(place))
+    for ending in (1, 2, 3):
+        held = forms >= ending
+        if held.any():
+            yield [w + (str(ending) if ending > 1 else "") for w in place], counted(stem[held], of[held], len(place))
+
+
 def example_terms(examples: DataFrame) -> list[tuple[str, bool]]:
     """(term, whether it tells the labels apart) of all words and all telling stems of the
     examples, which bound what is collected.
@@ -114,16 +135,19 @@ def example_terms(examples: DataFrame) -> list[tuple[str, bool]]:
     The bound of the test is that of a false term among all of them with probability 1/20.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[toxic >= 0.5].update(terms_of(text).keys())
-        names = list(seen[0].keys() | seen[1].keys())
+        seen: dict[str, np.ndarray] = {}
+        for batch in (part for whole in batches for part in by_bytes(whole, 0, PART)):
+            side = (batch.column(1).to_numpy(zero_copy_only=False) >= 0.5).astype(np.int64)
+            for names, n in _sides(batch.column(0), side):
+                for i in np.flatnonzero(n.any(axis=1)).tolist():
+                    name, counts = names[i], n[i]
+                    held = seen.get(name)
+                    seen[name] = counts if held is None else held + counts
+        names = list(seen)
         for lo in range(0, len(names), 50_000):
-            part = names[lo:lo + 50_000]
+            n = np.array([seen[w] for w in names[lo:lo + 50_000]], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), *[pa.array([s[w] for w in part], pa.int64()) for s in seen]],
-                names=["term", "n0", "n1"])
+                [pa.array(names[lo:lo + 50_000], pa.string()), *(pa.array(np.ascontiguousarray(c)) for c in n.T)], names=["term", "n0", "n1"])
 
     totals = {r[0]: r[1] for r in examples.groupBy(F.col("toxic") >= 0.5).count().collect()}
     neg, pos = totals.get(False, 0), totals.get(True, 0)
@@ -266,6 +290,30 @@ def _alike(rows: list[tuple[np.ndarray, np.ndarray]], groups: int) -> np.ndarray
     return np.lexsort((flat[:, 0], near))
 
 
+Steps = tuple[np.ndarray, np.ndarray]
+
+
+def calibrated(raw: np.ndarray, toxic: np.ndarray, prior: float) -> Steps:
+    """Isotonic steps from raw votes to observed shares, each drawn to the prior by one row."""
+    order = np.argsort(raw, kind="stable")
+    pools: list[list[float]] = []  # sum, number, least and largest raw vote
+    for x, y in zip(raw[order], toxic[order]):
+        pools.append([y, 1, x, x])
+        while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
+            last = pools.pop()
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
+    xs, ys = [0.0], [0.0]
+    for total, n, low, high in pools:
+        for x in (low, high):
+            if x > xs[-1]:
+                xs.append(x)
+                ys.append(max(ys[-1], (total + prior) / (n + 1)))
+    if xs[-1] < 1:
+        xs.append(1.0)
+        ys.append(ys[-1] if pools else 1.0)
+    return np.array(xs), np.array(ys)
+
+
 class Index:
     """Block-max inverted index over labelled examples with a calibrated vote.
 
@@ -310,7 +358,6 @@ class Index:
         self.holder, self.weight = holder[~dense][order].astype(np.int32), weight[~dense][order]
         self.lists = np.searchsorted(term[~dense][order], np.arange(len(value) + 1))
         self.place = {int(i): n for n, i in enumerate(held)}
-        self.steps = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def weigh(self, terms, counts, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights): (1 + log tf) * value over the length of the whole text."""
@@ -375,45 +422,48 @@ class Index:
         near = self.nearest([self.weigh(t, c) for t, c in texts], self.k, [self.place.get(i, -1) for i in rows])
         return [self.vote(x) if x else self.prior for x in near]
 
-    def calibrate(self, raw: np.ndarray, toxic: np.ndarray) -> None:
-        """Isotonic steps from raw votes to observed shares."""
-        order = np.argsort(raw, kind="stable")
-        pools: list[list[float]] = []  # sum, number, least and largest raw vote
-        for x, y in zip(raw[order], toxic[order]):
-            pools.append([y, 1, x, x])
-            while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
-                last = pools.pop()
-                pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
-        xs, ys = [0.0], [0.0]
-        for total, n, low, high in pools:
-            for x in (low, high):
-                if x > xs[-1]:
-                    xs.append(x)
-                    ys.append(max(ys[-1], (total + self.prior) / (n + 1)))
-        if xs[-1] < 1:
-            xs.append(1.0)
-            ys.append(ys[-1])
-        self.steps = (np.array(xs), np.array(ys))
-
-    def scores(self, texts: list[tuple[np.ndarray, np.ndarray, float]]) -> list[tuple[float, list[int]]]:
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray, float]], steps: Steps) -> list[tuple[float, list[int]]]:
         """(calibrated score, ids of the neighbours, nearest first) of each text. One that
         shares no term with an example gets the share of toxic examples without terms."""
         out = []
         for lo in range(0, len(texts), TEXTS):
             near = self.nearest([self.weigh(*t) for t in texts[lo:lo + TEXTS]], self.k)
-            out += [(float(np.interp(self.vote(x), *self.steps)), self.ids[[i for _, i in x]].tolist()) if x else (self.no_terms, []) for x in near]
+            out += [(float(np.interp(self.vote(x), *steps)), self.ids[[i for _, i in x]].tolist()) if x else (self.no_terms, []) for x in near]
         return out
 
 
 _SCORES = [T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(T.LongType()))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, weak: float = WEAK) -> tuple[list[str], Index]:
-    """(terms, index) of the labelled examples; document frequencies count all ``docs``."""
+class Model:
+    """What tasks need to score texts. The structures are built where they are used, once per
+    worker, so that only the example vectors travel."""
+
+    def __init__(self, terms: list[str], ids: np.ndarray, ends: np.ndarray, term: np.ndarray, count: np.ndarray,
+                 toxic: np.ndarray, value: np.ndarray, unknown: float):
+        self.terms, self.ids, self.ends, self.toxic = "\n".join(terms), ids, ends, toxic
+        self.term, self.count, self.value, self.unknown = term.astype(np.int32), count.astype(np.int32), value, unknown
+        self.built: tuple[Reader, Index] | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "built": None}
+
+    def parts(self) -> tuple[Reader, Index]:
+        if self.built is None:
+            rows = [(self.term[a:b].astype(np.int64), self.count[a:b]) for a, b in zip(self.ends, self.ends[1:])]
+            terms = self.terms.split("\n") if self.terms else []
+            self.built = Reader(terms), Index(self.ids.tolist(), rows, self.toxic, self.value, self.unknown)
+        return self.built
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, weak: float = WEAK):
+    """(broadcast model, calibration steps) of the labelled examples; document frequencies
+    count all ``docs``."""
     train = stored(training_labels(labels, max_examples), "labels")
     examples = stored(distinct_examples(docs, train), "examples")
     known = example_terms(examples)
     terms, tells = [t for t, _ in known], np.array([s for _, s in known], bool)
+    del known
     every = docs.count()
     idf = np.log((every + 1) / (document_frequencies(docs, terms) + 1)) + 1
     value = idf * np.where(tells, 1.0, weak)
@@ -426,13 +476,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, we
 
     vector = [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
     rows = stored(add_columns(examples, ["text"], vector, run, keep=["doc_id", "toxic"]), "vectors")
-    held = rows.toPandas().sort_values("doc_id")  # at most max_examples rows
-    index = Index(held["doc_id"].tolist(), list(zip(held["terms"], held["counts"])), held["toxic"].to_numpy(float), value,
+    held = rows.toArrow().sort_by("doc_id").combine_chunks()  # at most max_examples rows
+    lists = held.column("terms").combine_chunks()
+    model = Model(terms, held.column("doc_id").to_numpy(), lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(),
+                  held.column("counts").combine_chunks().values.to_numpy(), held.column("toxic").to_numpy(), value,
                   weak * (math.log((every + 1) / 2) + 1))
-    number = {d: i for i, d in enumerate(held["doc_id"])}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    number = {d: i for i, d in enumerate(model.ids.tolist())}
 
     def vote(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> list[pa.Array]:
-        made, rows = [], list(zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist()))
+        made, index = [], shared.value.parts()[1]
+        rows = list(zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist()))
         for lo in range(0, len(rows), TEXTS):
             part = rows[lo:lo + TEXTS]
             made += index.left_out([number[d] for d, _, _ in part], [(np.array(t, np.int64), c) for _, t, c in part])
@@ -440,10 +494,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, we
 
     voted = add_columns(rows.where(F.size("terms") > 0).repartition(EXAMPLE_TASKS), ["doc_id", "terms", "counts"],
                         [T.StructField("vote", T.DoubleType())], vote, keep=["doc_id", "toxic"]).collect()
-    if voted:
-        voted.sort(key=lambda r: r["doc_id"])
-        index.calibrate(np.array([r["vote"] for r in voted]), np.array([r["toxic"] for r in voted]))
-    return terms, index
+    voted.sort(key=lambda r: r["doc_id"])
+    prior = float(model.toxic.mean()) if len(model.toxic) else 0.0
+    return shared, calibrated(np.array([r["vote"] for r in voted]), np.array([r["toxic"] for r in voted]), prior)
 
 
 def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, weak: float = WEAK) -> DataFrame:
@@ -459,15 +512,15 @@ def scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
     doc_id and text are ignored, whatever their names.
     """
     docs = docs.select("doc_id", "text")
-    terms, index = fit(docs, labels, max_examples, weak)
-    reader = Reader(terms)
+    shared, steps = fit(docs, labels, max_examples, weak)
 
     def run(texts: pa.Array) -> list[pa.Array]:
+        reader, index = shared.value.parts()
         made = []
         for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, PART):
             own, at = _distinct(part.column(0))
             found = reader.read(own)
-            scored = index.scores([found[i] for i in range(len(found))])
+            scored = index.scores([found[i] for i in range(len(found))], steps)
             made += [scored[i] for i in at.tolist()]
         return [pa.array([m[0] for m in made], pa.float64()), pa.array([m[1] for m in made], pa.list_(pa.int64()))]
 
