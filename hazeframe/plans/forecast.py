@@ -12,7 +12,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.scale import one_row
@@ -90,23 +90,31 @@ def fit_series(y: np.ndarray, order: tuple, seasonal: tuple, exog: np.ndarray |
             "d": d, "D": D, "x_last": x[-1] if x is not None else None}
 
 
-def forecast_series(y: np.ndarray, fit: dict, steps: int = HORIZON) -> np.ndarray:
+def model_state(y: np.ndarray, fit: dict) -> dict:
+    """What a forecast needs of a fitted series: coefficients and lags, the last differenced
+    values and shocks, and the levels that undo the differences."""
+    levels = [y]
+    for _ in range(fit["D"]):
+        levels.append(levels[-1][SEASON:] - levels[-1][:-SEASON])
+    return {"beta": fit["beta"], "ar": fit["ar"], "ma": fit["ma"],
+            "recent": fit["w"][len(fit["w"]) - max(fit["ar"], default=0):],
+            "shocks": fit["shocks"][len(fit["shocks"]) - max(fit["ma"], default=0):],
+            "outside": fit["x_last"] if fit["x_last"] is not None else np.empty(0),
+            "ends": [np.diff(levels[-1], n=k)[-1] for k in range(fit["d"])],
+            "seasons": [level[-SEASON:] for level in levels[:-1]]}
+
+
+def forecast_state(state: dict, steps: int = HORIZON) -> np.ndarray:
     """Recursive forecast; future shocks are zero and outside columns keep their last value."""
-    w, e = list(fit["w"]), list(fit["shocks"])
-    tail = list(fit["x_last"]) if fit["x_last"] is not None else []
+    w, e, outside = list(state["recent"]), list(state["shocks"]), list(state["outside"])
     for _ in range(steps):
-        terms = [1.0] + [w[-k] for k in fit["ar"]] + [e[-k] for k in fit["ma"]] + tail
-        w.append(float(np.dot(fit["beta"], terms)))
+        terms = [1.0] + [w[-k] for k in state["ar"]] + [e[-k] for k in state["ma"]] + outside
+        w.append(float(np.dot(state["beta"], terms)))
         e.append(0.0)
     out = np.array(w[-steps:])
-    levels = [y]
-    for _ in range(fit["D"]):
-        levels.append(levels[-1][SEASON:] - levels[-1][:-SEASON])
-    base = levels[-1]
-    ends = [np.diff(base, n=k)[-1] for k in range(fit["d"])]
-    for last in reversed(ends):
+    for last in reversed(state["ends"]):
         out = last + np.cumsum(out)
-    for level in reversed(levels[:-1]):
+    for level in reversed(state["seasons"]):
         known = list(level)
         for v in out:
             known.append(v + known[-SEASON])
@@ -114,6 +122,11 @@ def forecast_series(y: np.ndarray, fit: dict, steps: int = HORIZON) -> np.ndarra
     return out
 
 
+def forecast_series(y: np.ndarray, fit: dict, steps: int = HORIZON) -> np.ndarray:
+    """Forecast of the series a fit was made on."""
+    return forecast_state(model_state(y, fit), steps)
+
+
 def _fit_or_mean(y, order, seasonal, exog=None):
     """Fit; a constant or too short series falls back to its mean."""
     for o, s, x in ((order, seasonal, exog), (*DEFAULT_ORDER, None)):
@@ -200,6 +213,27 @@ def _unpack(row, y, exog):
     return values, np.column_stack(taken) if taken else None, names
 
 
+def widest_lag(grid: Sequence[tuple]) -> int:
+    """The longest lag that any candidate needs."""
+    return max(max(p + q + 2, p, q, 4, SEASON * max(P, Q)) for (p, _, q), (P, _, Q) in grid)
+
+
+def candidate_aic(values: np.ndarray, exog: np.ndarray | None, candidate: tuple, widest: int) -> float:
+    """AIC of one candidate, NaN where it can't be fitted. A common first point makes the
+    candidates of a grid comparable."""
+    order, seasonal = candidate
+    lost = order[1] + SEASON * seasonal[1]
+    try:
+        return fit_series(values, order, seasonal, exog, start=max(0, widest + 2 - lost))["aic"]
+    except np.linalg.LinAlgError:
+        return np.nan
+
+
+def spelled(grid: Sequence[tuple]) -> Column:
+    """The candidates as an array of (o, s)."""
+    return F.array(*[F.struct(F.array(*map(F.lit, o)).alias("o"), F.array(*map(F.lit, s)).alias("s")) for o, s in grid])
+
+
 def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Sequence[str] = (),
                   grid: list[tuple] | None = None, blocks: int | None = None, partitions: int | None = None) -> DataFrame:
     """AIC of every candidate order of every series, null where it can't be fitted.
@@ -219,20 +253,12 @@ def search_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seq
     fan = packed.drop(f"_a_{ts}").select("*", numbers).repartition(n, *keys, "_block")
     types = dict(df.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", candidate int, aic double"
-    widest = max(max(p + q + 2, p, q, 4, SEASON * max(P, Q)) for (p, _, q), (P, _, Q) in grid)
+    widest = widest_lag(grid)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
         values, x, _ = _unpack(row, y, exog)
-        done = []
-        for number in range(int(row["_block"]), len(grid), blocks):
-            order, seasonal = grid[number]
-            # A common first point makes the candidates comparable.
-            lost = order[1] + SEASON * seasonal[1]
-            try:
-                done.append((number, fit_series(values, order, seasonal, x, start=max(0, widest + 2 - lost))["aic"]))
-            except np.linalg.LinAlgError:
-                done.append((number, np.nan))
+        done = [(number, candidate_aic(values, x, grid[number], widest)) for number in range(int(row["_block"]), len(grid), blocks)]
         return _rows({k: row[k] for k in keys}, len(done), candidate=np.array([c for c, _ in done], "int32"),
                      aic=np.array([a for _, a in done], float))
 
@@ -247,10 +273,7 @@ def best_orders(df: DataFrame, keys: Sequence[str], ts: str, y: str, exog: Seque
     tried = search_orders(df, keys, ts, y, exog, grid)
     known = F.when(F.col("aic").isNotNull(), F.struct("aic", "candidate"))
     best = tried.groupBy(*keys).agg(F.min(known).alias("_b"))
-    spelled = F.array(*[F.struct(F.array(*map(F.lit, o)).alias("o"), F.array(*map(F.lit, s)).alias("s")) for o, s in grid])
-    chosen = spelled[F.col("_b.candidate")]
-    default = F.struct(F.array(*map(F.lit, DEFAULT_ORDER[0])).alias("o"), F.array(*map(F.lit, DEFAULT_ORDER[1])).alias("s"))
-    pick = F.when(F.col("_b").isNotNull(), chosen).otherwise(default)
+    pick = F.when(F.col("_b").isNotNull(), spelled(grid)[F.col("_b.candidate")]).otherwise(spelled([DEFAULT_ORDER])[0])
     return (best.withColumn("_p", pick)
             .select(*keys, F.col("_p.o").alias("order"), F.col("_p.s").alias("seasonal"), F.col("_b.aic").alias("aic")))
 
