@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from hazeframe.operators.filters import keep_last
 from hazeframe.scale import ranking
 from hazeframe.session import scratch_path
+from hazeframe.sources.live import upsert_live
 
 BATCH = "_batch_id"
 
@@ -51,7 +52,7 @@ def change_log(stream: DataFrame, out: str, checkpoint: str, mode: str = "update
 
 def read_log(spark: SparkSession, out: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Newest state of each key in a change log."""
-    return keep_last(spark.read.parquet(out), keys, [BATCH, *order]).drop(BATCH)
+    return fold_latest(spark.read.parquet(out), keys, order)
 
 
 def hourly_mean_stream(rows: DataFrame, by: Sequence[str], cols: Sequence[str], delay: str = "2 hours") -> DataFrame:
@@ -103,18 +104,48 @@ def upsert_stream(rows: DataFrame, out: str, checkpoint: str, keys: Sequence[str
 
 def read_upserts(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """Current state of every key of an upsert log; a repeated event order goes to the later batch."""
-    return spark.read.parquet(out).groupBy(*keys).agg(
-        F.min_by("_id", F.struct("_first", BATCH)).alias("_id"),
-        F.max_by("_m", F.struct("_last", BATCH)).alias("_m")).select(*keys, "_id.*", "_m.*")
+    return fold_upserts(spark.read.parquet(out), keys).select(*keys, "_id.*", "_m.*")
 
 
-def compact_log(spark: SparkSession, out: str, new_out: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Fold a change log into one folder of a new log, between two drains.
+def live_upserts(rows: DataFrame, root: str, checkpoint: str, keys: Sequence[str], identity: Sequence[str],
+                 measures: Sequence[str], order: Sequence[str]) -> None:
+    """Upsert a stream into the live table at ``root``. A micro-batch is one swap; repeated
+    after a restart, it is known by its number and left out."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_live(batch, root, keys, identity, measures, order, token=batch_id)
+
+    query = (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def fold_latest(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Fold of a ``read_log`` log: the newest row of each key."""
+    return keep_last(log, keys, [BATCH, *order]).drop(BATCH)
+
+
+def fold_upserts(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fold of an ``upsert_stream`` log: the earliest identity and the latest measures of
+    each key, with the event orders they rank by."""
+    first, last = F.struct("_first", BATCH), F.struct("_last", BATCH)
+    return log.groupBy(*keys).agg(F.min("_first").alias("_first"), F.min_by("_id", first).alias("_id"),
+                                  F.max("_last").alias("_last"), F.max_by("_m", last).alias("_m"))
+
+
+def fold_nearest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fold of a ``nearest_weather_stream`` log: the nearest hit of each key and its rank."""
+    return log.groupBy(*keys).agg(F.max("_rank").alias("_rank"), F.max_by("_hit", "_rank").alias("_hit"))
+
+
+def compact_log(spark: SparkSession, out: str, new_out: str, fold: Callable[[DataFrame], DataFrame]) -> None:
+    """Fold a change log into one folder of a new log, between two drains, by the fold of
+    its kind. Folds give rows of the log's own form and can be repeated.
 
     Later drains go on into ``new_out``; the old folder may be removed then. The folded
     state ranks below every later batch.
     """
-    read_log(spark, out, keys, order).write.mode("overwrite").parquet(f"{new_out}/{BATCH}=-1")
+    fold(spark.read.parquet(out)).write.mode("overwrite").parquet(f"{new_out}/{BATCH}=-1")
 
 
 def nearest_weather_stream(readings: DataFrame, weather: DataFrame, by: Sequence[str], ts: str, key: Sequence[str],
@@ -144,8 +175,7 @@ def nearest_weather_stream(readings: DataFrame, weather: DataFrame, by: Sequence
 
 def read_nearest(readings: DataFrame, out: str, key: Sequence[str]) -> DataFrame:
     """Landed readings with the nearest weather found so far; nulls where there is none."""
-    log = readings.sparkSession.read.parquet(out)
-    best = log.groupBy(*key).agg(F.max_by("_hit", "_rank").alias("_hit"))
+    best = fold_nearest(readings.sparkSession.read.parquet(out), key).drop("_rank")
     return readings.join(best, list(key), "left").select(*readings.columns, "_hit.*")
 
 

@@ -125,7 +125,7 @@ def test_weather_that_lands_later_is_matched(spark, tmp_path):
 def test_compacted_log_reads_the_same(spark, tmp_path):
     for n in range(3):
         spark.createDataFrame([(1, n), (n + 5, n)], "k int, v int").write.parquet(f"{tmp_path}/log/{S.BATCH}={n}")
-    S.compact_log(spark, f"{tmp_path}/log", f"{tmp_path}/new", ["k"])
+    S.compact_log(spark, f"{tmp_path}/log", f"{tmp_path}/new", lambda log: S.fold_latest(log, ["k"]))
     spark.createDataFrame([(1, 9)], "k int, v int").write.parquet(f"{tmp_path}/new/{S.BATCH}=3")
     got = {r.k: r.v for r in S.read_log(spark, f"{tmp_path}/new", ["k"]).collect()}
     assert got == {1: 9, 5: 0, 6: 1, 7: 2}
