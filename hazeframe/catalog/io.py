@@ -9,7 +9,7 @@ from hazeframe.operators import columns as K
 from hazeframe.operators import upsert as U
 from hazeframe.plans.feeds import parse_time
 from hazeframe.session import scratch_path
-from hazeframe.sources import files, payloads
+from hazeframe.sources import files, live, payloads
 
 
 @query("scan_csv_typed", sql("dirty dirty_ts ev", f"SELECT ord, {lenient('raw')} AS reading, {LENIENT_TS} AS at, ev.k = 7 AS flag, 'é ' || ev.event_type AS label FROM ev JOIN dirty USING (ord) JOIN dirty_ts USING (ord)"))
@@ -113,3 +113,50 @@ def upsert_keep_last(spark, sf):
 def upsert_inserted_count(spark, sf):
     rows = V.air_wide(spark, sf).select("station", "ts", "ord")
     return U.inserted_count(rows.where("ord % 2 = 0"), rows.where("ord % 5 = 0"), ["station", "ts"])
+
+
+@query("append_counted", sql("air", "SELECT CAST(count(*) FILTER (WHERE ord % 2 = 0 OR ord % 5 = 0) AS BIGINT) AS rows, count(*) FILTER (WHERE ord % 5 = 0 AND ord % 2 <> 0) AS inserted FROM air"))
+def append_counted(spark, sf):
+    """Rows and additions of a keyed append, observed while it is written."""
+    rows = V.air_wide(spark, sf).select("station", "ts", "ord", "pm25")
+    both, seen = U.append_counted(rows.where("ord % 2 = 0"), rows.where("ord % 5 = 0"), ["station", "ts"], ["ord"])
+    both.write.parquet(scratch_path(spark, "appended"))
+    return spark.createDataFrame([(seen.get["rows"], seen.get["inserted"])], "rows long, inserted long")
+
+
+@query("live_table", sql("air", """SELECT station, hour, min(ord) FILTER (WHERE part = first) AS first_ord, arg_max(pm25, ord) FILTER (WHERE part = last) AS pm25, arg_max(o3, ord) FILTER (WHERE part = last) AS o3
+ FROM (SELECT *, min(part) OVER (PARTITION BY station, hour) AS first, max(part) OVER (PARTITION BY station, hour) AS last FROM (SELECT station, date_trunc('hour', ts) AS hour, ord, coalesce(pm25, -1) AS pm25, o3, ord % 3 AS part FROM air)) GROUP BY station, hour"""))
+def live_table(spark, sf):
+    """Station hours upserted into a table that is swapped three times."""
+    root = scratch_path(spark, "live")
+    rows = V.air_wide(spark, sf).select("station", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "ord",
+                                        F.col("ord").alias("first_ord"), F.coalesce("pm25", F.lit(-1.0)).alias("pm25"), "o3")
+    for part in range(3):
+        batch = rows.where(F.col("ord") % 3 == part)
+        first = batch.groupBy("station", "hour").agg(F.min("first_ord").alias("first_ord"), F.max("ord").alias("ord"),
+                                                     F.max_by("pm25", "ord").alias("pm25"), F.max_by("o3", "ord").alias("o3"))
+        live.upsert_live(first, root, ["station", "hour"], ["first_ord"], ["pm25", "o3"], ["ord"], token=part)
+    return live.read_live(spark, root)
+
+
+@query("first_source", sql("ev", "SELECT station, max(ts) AS ts, count(*) AS n FROM ev GROUP BY station"))
+def first_source(spark, sf):
+    """The first source that holds rows: one is missing, one is empty."""
+    root = scratch_path(spark, "sources")
+    rows = V.events(spark, sf).select("station", "ts")
+    rows.limit(0).write.parquet(f"{root}/empty")
+    rows.write.parquet(f"{root}/full")
+    found = files.first_source(spark, [f"{root}/missing", f"{root}/empty", f"{root}/full"])
+    return found.groupBy("station").agg(F.max("ts").alias("ts"), F.count("*").alias("n"))
+
+
+@query("append_columns", sql("ev", "SELECT station, ts, value AS aqi, CAST(NULL AS VARCHAR) AS category FROM ev WHERE event_type IN ('view', 'click')"))
+def append_columns(spark, sf):
+    """Two feeds appended to a table store under the columns it expects."""
+    path = scratch_path(spark, "store")
+    rows = V.events(spark, sf)
+    expected = [("station", "bigint"), ("ts", "timestamp_ntz"), ("aqi", "double"), ("category", "string")]
+    for kind in ("view", "click"):
+        part = rows.where(F.col("event_type") == kind).select("ts", F.col("value").alias("aqi"), "station", "sensor")
+        files.append_table(part, expected, path=path)
+    return spark.read.parquet(path)

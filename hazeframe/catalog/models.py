@@ -13,6 +13,9 @@ from hazeframe.operators.grid import resample_hourly
 from hazeframe.operators.impute import impute_neighbours
 from hazeframe.plans import forecast as M
 from hazeframe.plans import learn as L
+from hazeframe.plans import modelstore
+from hazeframe.plans import report as R
+from hazeframe.plans.orders import stepwise_orders
 from hazeframe.plans.training import feature_frame as features_of
 from hazeframe.session import stored
 
@@ -145,6 +148,48 @@ def ar_order_search(spark, sf):
     return out.select("station", F.col("order")[0].alias("p"), F.col("order")[1].alias("d"), F.round("aic", 4).alias("aic"))
 
 
+@query("arima_stepwise")
+def arima_stepwise(spark, sf):
+    """Stepwise search over the whole wide grid, seasonal part included."""
+    return stepwise_orders(series(spark, sf), ["station"], "ts", "pm25")
+
+
+@query("ar_stepwise", sql("hourly_station", """SELECT station, CASE WHEN m < s1 AND a11 < m THEN 1 WHEN m < s1 AND a10 <= a01 THEN 1 WHEN m < s1 THEN 0 ELSE 0 END AS p,
+ CASE WHEN m < s1 AND a11 < m THEN 1 WHEN m < s1 AND a10 <= a01 THEN 0 WHEN m < s1 THEN 1 ELSE 0 END AS d,
+ round(CASE WHEN m < s1 THEN least(m, a11) ELSE s1 END, 4) AS aic, CASE WHEN m < s1 THEN 4 ELSE 3 END AS fits
+ FROM (SELECT *, a00 AS s1, least(a10, a01) AS m FROM (SELECT station, n * ln(greatest(vy, 1e-12)) + 4 AS a00, n * ln(greatest(vy * (1 - ry), 1e-12)) + 6 AS a10,
+ n * ln(greatest(vd, 1e-12)) + 4 AS a01, n * ln(greatest(vd * (1 - rd), 1e-12)) + 6 AS a11 FROM u WHERE n > 3))""", **{**SERIES,
+    "i": "SELECT station, ts, pm25 AS y, row_number() OVER (PARTITION BY station ORDER BY ts) - 1 AS i FROM y",
+    "d1": "SELECT *, y - lag(y) OVER w AS d, lag(y) OVER w AS y0 FROM i WINDOW w AS (PARTITION BY station ORDER BY i)",
+    "d2": "SELECT *, lag(d) OVER (PARTITION BY station ORDER BY i) AS d0 FROM d1",
+    "u": "SELECT station, count(*) AS n, var_pop(y) AS vy, var_pop(d) AS vd, regr_r2(y, y0) AS ry, regr_r2(d, d0) AS rd FROM d2 WHERE i >= 6 GROUP BY station"}))
+def ar_stepwise(spark, sf):
+    """The stepwise search from (0, 0, 0) on candidates whose fits have a closed form, with
+    the number of fits."""
+    out = stepwise_orders(series(spark, sf), ["station"], "ts", "pm25", grid=AR_GRID, starts=[AR_GRID[0]])
+    return out.select("station", F.col("order")[0].alias("p"), F.col("order")[1].alias("d"), F.round("aic", 4).alias("aic"), "fits")
+
+
+@query("forecast_refresh", sql("air", f"""SELECT station, parameter, CASE WHEN station % 3 = 2 THEN TIMESTAMP '{NOW - datetime.timedelta(hours=2)}' ELSE TIMESTAMP '{NOW}' END AS trained_at,
+ CAST(s AS INTEGER) AS step, last_ts + s * INTERVAL 1 HOUR AS ts,
+ round(lastv + s * c / (1 - phi) + (lastd - c / (1 - phi)) * phi * (1 - pow(phi, s)) / (1 - phi), 4) AS yhat FROM lf, generate_series(1, 24) t(s) WHERE n >= 10""", **STEPS))
+def forecast_refresh(spark, sf):
+    """A store with fresh, stale and missing models, after one refresh, and its forecasts."""
+    rows = stored(parameter_series(spark, sf), "series")
+    keys, order = ["station", "parameter"], ((1, 1, 0), (0, 0, 0))
+
+    def at(hours):
+        return F.lit(NOW - datetime.timedelta(hours=hours)).cast("timestamp_ntz")
+
+    old = modelstore.fit_models(rows.where("station % 3 = 1"), keys, "ts", "value", at(8), order)
+    kept = modelstore.fit_models(rows.where("station % 3 = 2"), keys, "ts", "value", at(2), order)
+    store = stored(old.unionByName(kept), "models")
+    store = stored(modelstore.refresh_models(rows, store, keys, "ts", "value", at(0), order), "models")
+    ahead = modelstore.forecast_models(store, keys)
+    return ahead.join(store.select(*keys, "trained_at"), keys).select(
+        *keys, "trained_at", "step", "ts", F.round("yhat", 4).alias("yhat"))
+
+
 EXOG = ["temperature", "humidity", "windspeed"]
 
 
@@ -237,6 +282,22 @@ def linreg_two_features(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("rmse", "mae", "r2")})
 
 
+@query("what_if_fitted", sql("air", """SELECT scenario, count(*) AS n, round(avg((factor - 1) * b2 * no2), 4) + 0 AS mean_delta, round(avg(my + b1 * (pm10 - m1) + b2 * (no2 * factor - m2)), 4) AS mean_predicted
+ FROM h, fit, cut, (VALUES ('baseline', CAST(1.0 AS DOUBLE)), ('traffic_cut', 0.8), ('ev_shift', 0.7)) s(scenario, factor) WHERE epoch_us(ts) > "at" GROUP BY scenario""", **STRICT,
+    h="SELECT station, date_trunc('hour', ts) AS ts, avg(pm10) AS pm10, avg(no2) AS no2, avg(aqi) AS aqi FROM strict GROUP BY ALL HAVING avg(aqi) IS NOT NULL",
+    cut="SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) * 0.8 AS \"at\" FROM h",
+    mo="""SELECT avg(pm10) AS m1, avg(no2) AS m2, avg(aqi) AS my, var_pop(pm10) AS s11, var_pop(no2) AS s22, covar_pop(pm10, no2) AS s12, covar_pop(pm10, aqi) AS s1, covar_pop(no2, aqi) AS s2
+ FROM h, cut WHERE epoch_us(ts) <= "at" """,
+    fit="SELECT m1, m2, my, (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) AS b1, (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM mo"))
+def what_if_fitted(spark, sf):
+    """The fitted linear model scored again under each scenario."""
+    train, test = learning_rows(spark, sf)
+    model = L.fit_linear(train, ["pm10", "no2"], "aqi", scale=True)
+    out = R.what_if_fitted(test.select("station", "pm10", "no2"), model, {"baseline": 1.0, "traffic_cut": 0.8, "ev_shift": 0.7}, ["no2"])
+    return out.groupBy("scenario").agg(
+        F.count("*").alias("n"), (F.round(F.avg("delta"), 4) + 0).alias("mean_delta"), F.round(F.avg("predicted"), 4).alias("mean_predicted"))
+
+
 @query("linreg_metrics")
 def linreg_metrics(spark, sf):
     train, test = learning_rows(spark, sf)

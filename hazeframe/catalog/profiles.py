@@ -6,8 +6,10 @@ from hazeframe.catalog import views as V
 from hazeframe.catalog.registry import query, sql
 from hazeframe.operators import joins as J
 from hazeframe.operators import profile as P
+from hazeframe.operators import sketches as S
 from hazeframe.plans.daily import combined_daily as combine
 from hazeframe.plans.daily import daily_table
+from hazeframe.session import stored
 
 NUMS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -54,6 +56,24 @@ def boxplot_stats(spark, sf):
     return P.boxplot(nums(spark, sf), NUMS)
 
 
+SKETCHED = (0.05, 0.25, 0.5, 0.9, 0.99)
+
+
+@query("sketch_quantiles", sql("", " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(p AS DOUBLE) AS prob, count({c}) AS n, true AS within FROM lineitem, (VALUES {', '.join(f'({p})' for p in SKETCHED)}) v(p) GROUP BY p" for c in NUMS)))
+def sketch_quantiles(spark, sf):
+    """Quantiles of the whole table from its daily sketches, and whether the true rank of
+    each lies within the sketch's error."""
+    rows = V.table(spark, sf, "lineitem")
+    daily = stored(S.daily_sketches(rows, "l_shipdate", NUMS), "daily-sketches")
+    answers = stored(S.sketch_quantiles(S.merged(daily, ["column_name"]), SKETCHED), "answers")
+    values = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in NUMS])).alias("_e"))
+    ranks = values.select("_e.*").join(F.broadcast(answers), F.col("c") == F.col("column_name")).groupBy("column_name", "prob").agg(
+        F.max("n").alias("n"), F.count_if(F.col("v") < F.col("value")).alias("below"), F.count_if(F.col("v") <= F.col("value")).alias("upto"))
+    error = S.rank_error() * F.col("n") + 1
+    at = F.col("prob") * F.col("n")
+    return ranks.select("column_name", "prob", "n", ((F.col("below") - error <= at) & (F.col("upto") + error >= at)).alias("within"))
+
+
 NULLED = ("ord", "ts", "station", "temperature", "humidity", "windspeed", "pressure")
 
 
@@ -119,3 +139,15 @@ def sort_nulls_last(spark, sf):
 @query("tail_10", sql("air", "SELECT ord, ts, station, pm25 FROM air ORDER BY ts DESC, ord DESC LIMIT 10"))
 def tail_10(spark, sf):
     return P.tail(V.air_wide(spark, sf).select("ord", "ts", "station", "pm25"), ["ts", "ord"])
+
+
+@query("join_ranges", sql("", """SELECT c_custkey, c_nationkey, c_acctbal, s_suppkey, lo, hi FROM customer LEFT JOIN
+ (SELECT s_suppkey, s_nationkey, s_acctbal AS lo, CASE WHEN s_suppkey % 10 <> 0 THEN s_acctbal + (s_suppkey % 50) * 10 END AS hi FROM supplier)
+ ON c_nationkey = s_nationkey AND c_acctbal >= lo AND (hi IS NULL OR c_acctbal <= hi)"""))
+def join_ranges(spark, sf):
+    """A table of bands that belongs to the user, some open above, by group."""
+    bands = V.table(spark, sf, "supplier").select(
+        "s_suppkey", F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("lo"),
+        F.when(F.col("s_suppkey") % 10 != 0, F.col("s_acctbal") + (F.col("s_suppkey") % 50) * 10).alias("hi"))
+    rows = V.table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return J.join_ranges(rows, bands, ["c_nationkey"], "c_acctbal")

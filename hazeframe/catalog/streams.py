@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from hazeframe.catalog import views as V
 from hazeframe.catalog.registry import query, sql
 from hazeframe.functions.casts import hour_of
+from hazeframe.sources import live
 from hazeframe.streaming import ingest as S
+from hazeframe.streaming.silence import rocksdb, silent_stations
 
 WIDE = "40 days"  # the events span 30 days, so no row of the test tables is late
 
@@ -85,7 +87,13 @@ def stream_late_rows(spark, sf):
     """Hourly means over six landings with a delay of two hours. A row is cut off when its
     hour lies behind the watermark, which Spark raises one batch after the rows that set it."""
     out, check = S.folders(spark, "late")
-    inbox = f"{out}-inbox"
+    stream = _landings(spark, sf, f"{out}-inbox")
+    S.change_log(S.hourly_mean_stream(stream, ["station"], ["value"], "2 hours"), out, check)
+    return S.read_log(spark, out, ["station", "hour"]).withColumn("value", F.round("value", 6))
+
+
+def _landings(spark, sf, inbox):
+    """The events in six landings, as LANDED deals them."""
     events = V.events(spark, sf)
     span = events.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).first()
     own = F.least(F.floor(F.lit(FILES) * (F.col("ord") - F.lit(span["lo"])) / F.lit(span["hi"] - span["lo"] + 1)), F.lit(FILES - 1))
@@ -93,9 +101,37 @@ def stream_late_rows(spark, sf):
     rows = events.select("ord", "ts", "station", "value").withColumn("_file", file)
     for k in range(FILES):
         rows.where(F.col("_file") == k).drop("_file").coalesce(1).write.parquet(f"{inbox}/{k}")
-    stream = S.landed(spark, inbox, rows.drop("_file").schema, files_per_trigger=1, nested=True)
-    S.change_log(S.hourly_mean_stream(stream, ["station"], ["value"], "2 hours"), out, check)
-    return S.read_log(spark, out, ["station", "hour"]).withColumn("value", F.round("value", 6))
+    return S.landed(spark, inbox, rows.drop("_file").schema, files_per_trigger=1, nested=True)
+
+
+BATCHED = {
+    "landed": LANDED,
+    "batched": f"SELECT *, CASE WHEN ord % 50 = 0 THEN least(own + 2, {FILES - 1}) ELSE own END AS file FROM landed",
+    "top": "SELECT file AS own, max(ts) AS newest FROM batched GROUP BY 1",
+    "newest": "SELECT own, max(newest) OVER (ORDER BY own) AS seen FROM top",
+}
+
+
+@query("stream_silence", sql("ev", """SELECT station, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS readings, arg_max(round(value, 6), ts) FILTER (WHERE value IS NOT NULL) AS value
+ FROM spells GROUP BY station, spell HAVING max(ts) + INTERVAL 2 HOUR < (SELECT date_trunc('millisecond', max(ts)) FROM batched) - INTERVAL 2 HOUR""", **BATCHED,
+    kept="SELECT station, date_trunc('millisecond', ts) AS ts, value FROM batched LEFT JOIN newest ON newest.own = file - 2 WHERE seen IS NULL OR ts >= seen - INTERVAL 2 HOUR",
+    marked="SELECT *, ts > lag(ts) OVER (PARTITION BY station ORDER BY ts) + INTERVAL 2 HOUR AS fresh FROM kept",
+    spells="SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY station ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS spell FROM marked"))
+def stream_silence(spark, sf):
+    """Stations that sent nothing for two hours, over six landings with late rows."""
+    out, check = S.folders(spark, "silence")
+    with rocksdb(spark):
+        S.append_rows(silent_stations(_landings(spark, sf, f"{out}-inbox"), ["station"], "ts", "value", "2 hours", "2 hours"), out, check)
+    return spark.read.parquet(out).withColumn("value", F.round("value", 6))
+
+
+@query("stream_live_table", sql("air", "SELECT station, date_trunc('hour', ts) AS hour, max(ord) AS last_ord, arg_max(o3, ord) AS o3 FROM air GROUP BY ALL"))
+def stream_live_table(spark, sf):
+    """A stream upserted into a live table: each batch is one swap, numbered by its id."""
+    out, check = S.folders(spark, "live")
+    rows = _air(spark, sf).select("station", hour_of(F.col("ts")).alias("hour"), "ord", F.col("ord").alias("last_ord"), "o3")
+    S.live_upserts(rows, out, check, ["station", "hour"], [], ["last_ord", "o3"], ["ord"])
+    return live.read_live(spark, out)
 
 
 @query("stream_last_valid", sql("air", "SELECT station, arg_max(pm25, ord) FILTER (WHERE pm25 IS NOT NULL) AS pm25, arg_max(o3, ord) AS o3 FROM air GROUP BY station"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hazeframe.functions.aqi import breakpoint_table
 from hazeframe.operators.columns import as_time, time_column
 from hazeframe.operators.filters import keep_last
-from hazeframe.scale import BROADCAST_ROWS, carry, group_row_limit, group_sizes
+from hazeframe.scale import BROADCAST_ROWS, carry, group_row_limit, group_sizes, null_safe
 from hazeframe.session import stored
 
 
@@ -103,7 +103,8 @@ def join_feeds(aqi: DataFrame, weather: DataFrame, traffic: DataFrame, keys: Seq
 
 def merge_masters(aqi: DataFrame, weather: DataFrame, traffic: DataFrame) -> DataFrame:
     """The merged table of three raw feeds: the time column of each is found by name, taken
-    as the common key, and the result is in time order.
+    as the common key, and the result is in time order. Rows of one time are ordered by a
+    hash, so that a time that holds much of the result is cut into several ranges of the sort.
 
     Rows are never summed up: those of one time (several stations, null times) are all
     paired with each other, as two outer merges do.
@@ -118,8 +119,8 @@ def merge_masters(aqi: DataFrame, weather: DataFrame, traffic: DataFrame) -> Dat
     one, two = F.col("_n0").cast("double"), F.col("_n1").cast("double")
     pairs = F.when(one + two > 0, F.greatest(one, F.lit(1)) * F.greatest(two, F.lit(1))).otherwise(0.0)
     both = merge_outer(*feeds[:2], keys, ("_aqi", "_weather"), counts)
-    return merge_outer(both, feeds[2], keys, counts=counts.select(
-        *keys, pairs.alias("_n0"), F.col("_n2").alias("_n1"))).orderBy(*keys)
+    merged = merge_outer(both, feeds[2], keys, counts=counts.select(*keys, pairs.alias("_n0"), F.col("_n2").alias("_n1")))
+    return merged.orderBy(*keys, F.xxhash64(*merged.columns))
 
 
 def asof(
@@ -175,6 +176,52 @@ def join_bands(df: DataFrame, scheme: str, pollutant: str = "pollutant", conc: s
     return df.join(bands, cond, "left").drop("_p")
 
 
+#: Band widths are told apart by powers of two to this power: a reading is looked up once
+#: per class of widths, and a bin is at most so much wider than its bands.
+WIDTH_STEP = 3
+
+
+def join_ranges(df: DataFrame, bands: DataFrame, by: Sequence[str], value: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """Left join of every row with each band of its ``by`` group that holds ``value``, both
+    ends included; for tables of any size on either side.
+
+    Bands are dealt into bins of the value range whose width fits their own, so a band
+    lies in one or two bins; distinct values look up their bin of every width and check
+    both ends. Bins with many values, and values with many rows, are cut. A null end is
+    open, a band with lo above hi holds nothing, and a null value matches none.
+    """
+    by = list(by)
+    limit = group_row_limit(df.sparkSession)
+    v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    values = stored(df.select(*by, v.alias("_v")).where("_v is not null").distinct(), "values")
+    ends = values.agg(F.min("_v"), F.max("_v")).first()
+    least, most = (ends[0], ends[1]) if ends[0] is not None else (0.0, 0.0)
+    more = [c for c in bands.columns if c not in by]
+    # an open end reaches as far as the values do; so does one beyond them
+    held = bands.withColumns({"_lo": F.greatest(F.coalesce(F.col(lo).cast("double"), F.lit(least)), F.lit(least)),
+                              "_hi": F.least(F.coalesce(F.col(hi).cast("double"), F.lit(most)), F.lit(most))})
+    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(2.0 ** -60))
+    held = held.where("_lo <= _hi").withColumn("_level", (F.ceil(F.log2(width) / WIDTH_STEP) * WIDTH_STEP).cast("int"))
+    levels = [r[0] for r in held.select("_level").distinct().collect()]  # at most one per WIDTH_STEP powers of two
+
+    def bin_of(c: str):
+        return F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("_level"))).cast("double")
+
+    first, last = bin_of("_lo"), bin_of("_hi")
+    held = held.withColumn("_bin", F.explode(F.when(first == last, F.array(first)).otherwise(F.array(first, last))))
+    asked = values.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("_bin", bin_of("_v"))
+    key = [*by, "_level", "_bin"]
+    full = stored(asked.groupBy(*key).count().where(F.col("count") > limit).withColumn("_cells", F.ceil(F.col("count") / limit).cast("int")).drop("count"), "full-bins")
+    full = F.broadcast(full) if full.count() <= BROADCAST_ROWS else full  # fewer than values / limit
+    cells = F.coalesce("_cells", F.lit(1))
+    asked = null_safe(asked, full, key, "left").withColumn("_cell", F.pmod(F.xxhash64("_v"), cells.cast("long")).cast("int")).drop("_cells")
+    held = null_safe(held, full, key, "left").withColumn("_cell", F.explode(F.sequence(F.lit(0), cells - 1))).drop("_cells")
+    met = null_safe(asked, held, [*key, "_cell"]).where("_v >= _lo and _v <= _hi").select(*by, "_v", *[F.col(c).alias(f"_b_{c}") for c in more])
+    met = stored(met, "band-hits")
+    joined = merge_outer(df.withColumn("_v", v), met, [*by, "_v"])
+    return joined.select(*df.columns, *[F.col(f"_b_{c}").alias(c) for c in more])
+
+
 def attach(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join a dimension; Spark broadcasts it when its measured size allows."""
     return df.join(dim, list(on), "left")

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations, combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.operators.columns import numeric_columns
 from hazeframe.scale import medians, one_row, quantiles
-
-#: Pairs per pass: the cost of a pass lies in its expressions.
-CORR_CHUNK = 100
+from hazeframe.session import ship
 
 
 def _long(row: DataFrame, parts: dict[str, list], names: Sequence[str]) -> DataFrame:
@@ -95,27 +94,81 @@ def coverage(feeds: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    out = None
-    for start in range(0, len(pairs), CORR_CHUNK):
-        part = pairs[start:start + CORR_CHUNK]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                       for i, (a, b) in enumerate(part)])
-        items = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
-                 for i, (a, b) in enumerate(part)]
-        long = row.select(F.explode(F.array(*items)).alias("_e")).select("_e.*")
-        out = long if out is None else out.unionByName(long)
-    return out
+_GRAM = "a int, b int, oa double, ob double, n double, sa double, sb double, saa double, sbb double, sab double"
+
+
+def gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(a, b, n, sa, sb, saa, sbb, sab) per pair of columns, a <= b by their numbers: over the
+    rows that hold both, the count, and the sums, squares and products of the values less
+    an origin near them.
+
+    One scan, however many columns there are: a task multiplies blocks of rows as matrices
+    and emits one row per pair. Its origin is the first value it sees of each column; the
+    few rows of a pair are moved to one origin and summed.
+    """
+    ship(df.sparkSession)
+    upper = np.triu_indices(len(cols))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s, ss, sp = (np.zeros((len(cols), len(cols))) for _ in range(4))
+        origin = np.full(len(cols), np.nan)
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            has = np.isfinite(x)
+            fresh = np.isnan(origin) & has.any(axis=0)
+            origin[fresh] = x[has.argmax(axis=0)[fresh], fresh]
+            x = np.where(has, x - np.nan_to_num(origin), 0.0)
+            mask = has.astype(float)
+            n += mask.T @ mask
+            s += x.T @ mask  # row a, column b: sum of a where b is there
+            ss += (x * x).T @ mask
+            sp += x.T @ x
+        origin = np.nan_to_num(origin)
+        parts = [origin[upper[0]], origin[upper[1]], n[upper], s[upper], s.T[upper], ss[upper], ss.T[upper], sp[upper]]
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(i.astype("int32")) for i in upper), *(pa.array(np.ascontiguousarray(v)) for v in parts)],
+            names=[f.split()[0] for f in _GRAM.split(", ")])
+
+    blocks = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(run, _GRAM).where("n > 0")
+    # a row without values for every pair, so that none is missing
+    place = [(F.col("id") / len(cols)).cast("int").alias("a"), (F.col("id") % len(cols)).cast("int").alias("b")]
+    nothing = df.sparkSession.range(len(cols) ** 2).select(*place).where("a <= b").selectExpr(
+        "a", "b", "cast(null as double) as oa", "cast(null as double) as ob", *[f"0D as {c}" for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    blocks = blocks.unionByName(nothing)
+    pair = Window.partitionBy("a", "b")
+    n = F.col("n")
+    da, db = (F.coalesce(F.col(c) - F.min(c).over(pair), F.lit(0.0)) for c in ("oa", "ob"))
+    moved = blocks.withColumns({"da": da, "db": db}).select(
+        "a", "b", "n", (F.col("sa") + n * F.col("da")).alias("sa"), (F.col("sb") + n * F.col("db")).alias("sb"),
+        (F.col("saa") + 2 * F.col("da") * F.col("sa") + n * F.col("da") * F.col("da")).alias("saa"),
+        (F.col("sbb") + 2 * F.col("db") * F.col("sb") + n * F.col("db") * F.col("db")).alias("sbb"),
+        (F.col("sab") + F.col("da") * F.col("sb") + F.col("db") * F.col("sa") + n * F.col("da") * F.col("db")).alias("sab"))
+    return moved.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+
+
+def _correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair a <= b over the rows that hold both; null where no
+    row does."""
+    sums = gram(df, cols)
+    n = F.nullif("n", F.lit(0.0))
+    va = F.col("saa") - F.col("sa") * F.col("sa") / n
+    vb = F.col("sbb") - F.col("sb") * F.col("sb") / n
+    # what rounding leaves of the squares of a constant is no variance
+    spread = (va > 1e-13 * F.col("saa")) & (vb > 1e-13 * F.col("sbb"))
+    value = F.try_divide(F.col("sab") - F.col("sa") * F.col("sb") / n, F.sqrt(va * vb))
+    corr = F.when(F.col("n") > 0, F.when(spread, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))).otherwise(F.lit(float("nan"))))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.element_at(names, F.col("a") + 1).alias("a"), F.element_at(names, F.col("b") + 1).alias("b"), corr.alias("corr"))
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every unordered pair, one pass per chunk."""
-    return _correlations(df, list(combinations(cols, 2)))
+    """Pairwise-complete Pearson correlation of every unordered pair, in one scan."""
+    return _correlations(df, cols).where("a <> b")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Full matrix in long form; each unordered pair is computed once and mirrored."""
-    half = _correlations(df, list(combinations_with_replacement(cols, 2)))
+    half = _correlations(df, cols)
     same = F.struct("a", "b", "corr")
     turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("corr"))
     both = F.when(F.col("a") == F.col("b"), F.array(same)).otherwise(F.array(same, turned))

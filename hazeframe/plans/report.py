@@ -210,3 +210,19 @@ def what_if(df: DataFrame, scenarios: dict[str, float], factors: Sequence[str],
         moved = moved + F.lit(float(w)) * F.col(c) * (F.col("factor") if c in factors else F.lit(1.0))
     return rows.withColumns({"baseline": base, "predicted": moved}).withColumn(
         "delta", F.col("predicted") - F.col("baseline"))
+
+
+def what_if_fitted(df: DataFrame, model, scenarios: dict[str, float], factors: Sequence[str]) -> DataFrame:
+    """Score a fitted pipeline once per scenario, with the ``factors`` among its features
+    scaled, and once on the features as they are: scenario, factor, baseline, predicted and
+    delta. The model itself predicts, so its scaling and any non-linear effect count.
+    """
+    base = model.transform(df).select(*df.columns, F.col("prediction").alias("baseline"))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(float(x)).alias("factor"))
+                               for n, x in scenarios.items()])).alias("_s")
+    rows = base.select("*", each).select(*base.columns, "_s.*")
+    kept = [c for c in rows.columns if c not in factors]
+    moved = rows.select(*kept, *[F.col(c).alias(f"_own_{c}") for c in factors], *[(F.col(c) * F.col("factor")).alias(c) for c in factors])
+    scored = model.transform(moved)
+    return scored.select(*[F.col(f"_own_{c}").alias(c) if c in factors else F.col(c) for c in df.columns], "scenario", "factor", "baseline",
+                         F.col("prediction").alias("predicted"), (F.col("prediction") - F.col("baseline")).alias("delta"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,6 +55,15 @@ def ordered_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], total
     return stored(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null meets null; the result has one copy of them."""
+    named = right.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in right.columns])
+    match = F.lit(True)
+    for c in keys:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return left.join(named, match, how).drop(*[f"_k_{c}" for c in keys])
+
+
 def ranking(order: Sequence[str]) -> Column:
     """Sort key for max_by and min_by. A single column keeps the buffer fixed-width, so
     that Spark can aggregate by hash instead of by sort."""
@@ -191,56 +201,95 @@ def trailing(
     )
 
 
+#: Rank error that the brackets of ``quantiles`` allow for, as a share of a group's values,
+#: and the size of the sketches they come from. A bracket that misses is widened.
+BRACKET, SKETCH = 0.004, 2048
+
+
+def _value(c: str) -> Column:
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def quantiles(
     df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float],
     approx: bool = False, sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Exact interpolated percentiles: one row per key, one array per column.
+    """Exact interpolated percentiles: one row per key, one array per column. NaN counts as
+    null.
 
     Spark's exact percentile keeps every distinct value of a group in one buffer. For
-    large groups the values are counted first and ranked by position instead.
-    ``approx`` trades exactness for a mergeable sketch.
+    large groups ``refined_quantiles`` narrows the ranks down instead. ``approx`` takes the
+    quantiles of a mergeable sketch.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
-    grid = F.array(*[F.lit(p) for p in probs])
     if approx:
-        return df.groupBy(*by).agg(
-            *[F.percentile_approx(c, probs, 10_000).alias(c) for c in cols])
+        grid = F.array(*[F.lit(p) for p in probs])
+        sketched = df.groupBy(*by).agg(*[x for i, c in enumerate(cols) for x in (
+            F.count(_value(c)).alias(f"_n{i}"), F.kll_sketch_agg_double(_value(c), F.lit(SKETCH)).alias(f"_s{i}"))])
+        return sketched.select(*by, *[F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", grid)).alias(c)
+                                      for i, c in enumerate(cols)])
     _, largest = sizes or group_sizes(df, by)
     # One buffer per column holds the distinct values of a group.
     if largest <= group_row_limit(df.sparkSession) // max(1, len(cols)):
-        return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), grid).alias(c) for c in cols])
-
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in cols]))
-    keys = by + ["_column"]
-    counts = (
-        df.select(*by, pairs.alias("_pair")).select(*by, "_pair.*")
-        .groupBy(*keys, "_value").agg(F.count("_value").alias("_n"))
-    )
-    # Stored, because sizing, sampling of the ranges and the ranking all read the counts.
-    ranked = positions(stored(counts, "counts"), keys, ["_value"], "_n")
-    totals = ranked.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    right = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = ranked.join(right, cond)
-    picks = []
-    for i, p in enumerate(probs):
-        rank = F.lit(p) * (F.col("_total") - 1)
-        for name, k in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            hit = (k >= F.col(POSITION) - F.col("_n")) & (k < F.col(POSITION))
-            picks.append(F.max(F.when(hit, F.col("_value"))).alias(f"_{name}{i}"))
-    picked = joined.groupBy(*keys).agg(F.first("_total").alias("_total"), *picks)
-    values = []
-    for i, p in enumerate(probs):
-        rank = F.lit(p) * (F.col("_total") - 1)
-        part = rank - F.floor(rank)
-        values.append(F.when(part == 0, F.col(f"_lo{i}"))
-                      .otherwise((1 - part) * F.col(f"_lo{i}") + part * F.col(f"_hi{i}")))
-    long = picked.select(*by, "_column", F.array(*values).alias("_q"))
-    return long.groupBy(*by).agg(*[F.max(F.when(F.col("_column") == c, F.col("_q"))).alias(c) for c in cols])
+        grid = F.array(*[F.lit(p) for p in probs])
+        return df.groupBy(*by).agg(*[F.percentile(_value(c), grid).alias(c) for c in cols])
+    return refined_quantiles(df, by, cols, probs)
+
+
+def refined_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``quantiles`` for groups of any size.
+
+    A mergeable sketch of every group and column gives a bracket of values around each
+    wanted rank. The next passes count the values below the brackets, and those inside value
+    by value; no buffer holds the values of a group, and only a small share of the rows is
+    shuffled. Brackets that miss their rank, which the counts show, are widened.
+    """
+    pairs = [(i, p) for i in range(len(cols)) for p in probs]
+
+    def at(i: int, p: float) -> Column:
+        return F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", F.lit(p)))
+
+    # stored, as a sketch drawn anew would differ
+    sketched = stored(df.groupBy(*by).agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(_value(c)).alias(f"_n{i}"), F.kll_sketch_agg_double(_value(c), F.lit(SKETCH)).alias(f"_s{i}"))]), "sketches")
+    wide = BRACKET
+    while True:
+        ends = {}
+        for k, (i, p) in enumerate(pairs):
+            ends[f"_lo{k}"] = at(i, p - wide) if p - wide > 0 else F.lit(float("-inf"))
+            ends[f"_hi{k}"] = at(i, p + wide) if p + wide < 1 else F.lit(float("inf"))
+        targets = stored(sketched.select(*by, *[f"_n{i}" for i in range(len(cols))], *[c.alias(n) for n, c in ends.items()]), "brackets")
+        values = df.select(*by, *[_value(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+        if by:
+            rows = null_safe(values, targets, by)
+        else:
+            one = targets.select(F.struct(*targets.columns).alias("_t")).scalar()
+            rows = values.withColumn("_t", one).select(*values.columns, *[F.col(f"_t.{n}").alias(n) for n in ends])
+        below = rows.groupBy(*by).agg(*[F.count_if(F.col(f"_v{i}") < F.col(f"_lo{k}")).alias(f"_b{k}") for k, (i, _) in enumerate(pairs)])
+        inside = [(F.col(f"_v{i}") >= F.col(f"_lo{k}")) & (F.col(f"_v{i}") <= F.col(f"_hi{k}")) for k, (i, _) in enumerate(pairs)]
+        near = rows.where(reduce(lambda a, b: a | b, inside)).select(*by, F.explode(F.array(*[
+            F.when(hit, F.struct(F.lit(k).alias("_k"), F.col(f"_v{i}").alias("_v"))) for (k, (i, _)), hit in zip(enumerate(pairs), inside)])).alias("_e"))
+        counts = stored(near.where("_e is not null").select(*by, "_e.*").groupBy(*by, "_k", "_v").agg(F.count("*").alias("_n")), "counts")
+        facts = F.explode(F.array(*[F.struct(F.lit(k).alias("_k"), F.lit(p).alias("_p"), F.col(f"_n{i}").alias("_all"), F.col(f"_b{k}").alias("_below"))
+                                    for k, (i, p) in enumerate(pairs)])).alias("_e")
+        totals = targets.select(*by, *[f"_n{i}" for i in range(len(cols))])
+        if by:
+            known = null_safe(totals, below, by)
+        else:  # two single rows
+            known = totals.withColumn("_b", one_row(below)).select(*totals.columns, "_b.*")
+        known = known.select(*by, facts).select(*by, "_e.*")
+        ranked = null_safe(positions(counts, [*by, "_k"], ["_v"], "_n"), known, [*by, "_k"])
+        rank = F.col("_p") * (F.col("_all") - 1) - F.col("_below")
+        hits = {name: (r >= F.col(POSITION) - F.col("_n")) & (r < F.col(POSITION)) for name, r in (("lo", F.floor(rank)), ("hi", F.ceil(rank)))}
+        found = ranked.groupBy(*by, "_k").agg(*[F.max(F.when(hit, F.col("_v"))).alias(f"_{name}") for name, hit in hits.items()])
+        picked = stored(null_safe(known, found, [*by, "_k"], "left"), "picks")
+        if wide >= 1 or picked.where("_all > 0 and (_lo is null or _hi is null)").isEmpty():
+            break
+        wide *= 8
+    part = F.col("_p") * (F.col("_all") - 1) - F.floor(F.col("_p") * (F.col("_all") - 1))
+    exact = F.when(part == 0, F.col("_lo")).otherwise((1 - part) * F.col("_lo") + part * F.col("_hi"))
+    return picked.groupBy(*by).agg(*[
+        F.array(*[F.max(F.when(F.col("_k") == pairs.index((i, p)), exact)) for p in probs]).alias(c) for i, c in enumerate(cols)])
 
 
 def medians(df: DataFrame, by: Sequence[str], cols: Sequence[str], approx: bool = False,

@@ -11,8 +11,9 @@ from hazeframe.catalog import views as V
 from hazeframe.functions.aqi import score_aqi
 
 PYTHON = {"forecast_24h", "forecast_110", "arima_grid_best", "arima_wide_search", "ar_order_search", "insample_fit",
-          "insample_fixed_order", "model_metadata"}  # model fits
-EAGER = {k for k in QUERIES if k.startswith("stream_")} | {"linreg_two_features", "linreg_metrics", "gbt_metrics", "feature_importance"}
+          "insample_fixed_order", "model_metadata", "arima_stepwise", "ar_stepwise", "forecast_refresh",  # model fits
+          "corr_matrix", "top_corr_pairs"}  # matrix products
+EAGER = {k for k in QUERIES if k.startswith("stream_")} | {"linreg_two_features", "linreg_metrics", "gbt_metrics", "feature_importance", "what_if_fitted"}
 
 
 def plan(df, capsys, mode=None):
