@@ -83,25 +83,34 @@ def _propagate(linked: DataFrame, quota: int, shards: int) -> tuple[DataFrame, D
     small = groups.where(F.col("size") <= quota).select(F.col("group").alias("unit"), "size", "to")
     n_large = large.count()
     room = [quota] * shards
+    placed = None
+
+    def grant(asks: DataFrame, rows: int) -> DataFrame:
+        """Place what fits, the large units first; gives what does not."""
+        nonlocal placed
+        granted = stored(_line(asks, ["to"], rows).withColumn("_in", F.col("_at") + F.col("size") <= _pick(room, F.col("to"))), "granted")
+        inside = granted.where("_in").select("unit", "size", F.col("to").alias("shard"))
+        for shard, taken in enumerate(_totals(inside, shards)):
+            room[shard] -= taken
+        placed = inside if placed is None else placed.unionByName(inside)
+        return granted.where("not _in").select("unit", "size")
+
     asks = small
-    if n_large:  # one after another, so that each is cut as seldom as can be
+    if n_large:  # one after another and before all others, so that each is cut as seldom as can be
         queue = running_total(large, [], ["group", "key"], "size", "_at", n_large)
         filled = F.least(F.floor((F.col("_at") + F.col("size") / 2) / quota), F.lit(shards - 1)).cast("int")
-        asks = asks.unionByName(queue.select(F.col("key").alias("unit"), "size", filled.alias("to")))
+        refused = grant(stored(queue.select(F.col("key").alias("unit"), "size", filled.alias("to")), "asks"), n_large)
+        left = refused.count()
+        if left:
+            asks = asks.unionByName(_line(refused, [], left).select("unit", "size", _dealt(F.col("_at"), F.col("size"), room).alias("to")))
     asks = stored(asks, "asks")
-    placed, waiting = None, asks.count()
+    waiting = asks.count()
     while waiting:
-        granted = stored(_line(asks, ["to"], waiting).withColumn("_in", F.col("_at") + F.col("size") <= _pick(room, F.col("to"))), "granted")
-        inside = granted.where("_in").select("unit", "size", F.col("to").alias("shard"))
         before = sum(room)
-        for shard, taken in enumerate(_totals(inside, shards)):
-            room[shard] -= taken
-        placed = inside if placed is None else placed.unionByName(inside)
-        refused = granted.where("not _in").select("unit", "size")
-        if sum(room) == before:
-            asks = refused
-            break
+        refused = grant(asks, waiting)
         waiting = refused.count()
+        if sum(room) == before:  # nothing moved
+            break
         if waiting:
             asks = stored(_line(refused, [], waiting).select("unit", "size", _dealt(F.col("_at"), F.col("size"), room).alias("to")), "asks")
     if placed is None:

@@ -5,11 +5,12 @@ import sys
 
 import pytest
 from conftest import SMALL, rows_of, rows_of_sql
-from llm_cases import SENTENCE
+from llm_cases import ALL_IDS, SENTENCE, ids, no_docs, odd_docs
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
+from test_llm_text import plain_leaks  # noqa: E402
 from hazeframe.llm.queries import ORACLES, QUERIES  # noqa: E402
 
 
@@ -60,8 +61,8 @@ def test_plain_version_of_the_first_four_stages(spark, duck):
                 low, high = sorted((root[a], root[b]))
                 root = {d: low if r == high else r for d, r in root.items()}
     stay = set(root.values())
-    block = decontam.Items([(i, decontam.words_of(t)) for i, t in duck.execute("SELECT item_id, text FROM benchmark").fetchall()])
-    stay = {d for d in stay if not block.leaks([rows[d]])[0]}
+    items = [(i, decontam.words_of(t)) for i, t in duck.execute("SELECT item_id, text FROM benchmark").fetchall()]
+    stay = {d for d in stay if not plain_leaks(rows[d], items)}
     assert stay == {r["doc_id"] for r in corpus_pipeline.run(spark, SMALL).collect()}
 
 
@@ -81,9 +82,30 @@ def test_decisions_take_effect(spark, tmp_path):
     assert host["doc_id"] in left or left
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_and_empty_tables(spark, name, stage):
+    """Nulls in every column, empty and long texts, repeated rows, clashing columns, no rows."""
+    docs = odd_docs(spark)
+    out = stage(spark, docs, SMALL)
+    assert set(ids(out)) <= set(ALL_IDS)
+    if name == "pack":
+        assert set(ids(out)) == set(ALL_IDS)
+    else:
+        assert out.columns == docs.columns
+    if name == "decontaminate":
+        assert ids(out) == ALL_IDS
+    assert stage(spark, no_docs(spark), SMALL).count() == 0
+
+
+def test_pipeline_without_documents_labels_or_benchmark(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
     assert set(QUERIES) < names and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
