@@ -229,8 +229,10 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids:
             [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
             names=["part", "block", "path", "at", "size", "n_docs", "n_ids"])
 
-    ordered = (docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id").withColumn("_part", F.spark_partition_id().cast("long")))
+    # the row's place cuts a doc_id, or null, that many rows share
+    placed = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
+    ordered = (placed.repartitionByRange("doc_id", "_row").sortWithinPartitions("doc_id")
+               .select("doc_id", "text", F.spark_partition_id().cast("long").alias("_part")))
     return stored(in_tasks(
         ordered, run, "part long, block long, path string, at long, size long, n_docs long, n_ids long"), "manifest")
 
