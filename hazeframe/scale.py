@@ -261,12 +261,12 @@ def refined_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], pro
         targets = stored(sketched.select(*by, *[f"_n{i}" for i in range(len(cols))], *[c.alias(n) for n, c in ends.items()]), "brackets")
         values = df.select(*by, *[_value(c).alias(f"_v{i}") for i, c in enumerate(cols)])
         if by:
-            rows = null_safe(values, targets, by)
-        else:
-            one = targets.select(F.struct(*targets.columns).alias("_t")).scalar()
-            rows = values.withColumn("_t", one).select(*values.columns, *[F.col(f"_t.{n}").alias(n) for n in ends])
-        below = rows.groupBy(*by).agg(*[F.count_if(F.col(f"_v{i}") < F.col(f"_lo{k}")).alias(f"_b{k}") for k, (i, _) in enumerate(pairs)])
-        inside = [(F.col(f"_v{i}") >= F.col(f"_lo{k}")) & (F.col(f"_v{i}") <= F.col(f"_hi{k}")) for k, (i, _) in enumerate(pairs)]
+            rows, end = null_safe(values, targets, by), {n: F.col(n) for n in ends}
+        else:  # one row of numbers: as literals they reach the scan
+            one = targets.first()
+            rows, end = values, {n: F.lit(one[n]).cast("double") for n in ends}
+        below = rows.groupBy(*by).agg(*[F.count_if(F.col(f"_v{i}") < end[f"_lo{k}"]).alias(f"_b{k}") for k, (i, _) in enumerate(pairs)])
+        inside = [(F.col(f"_v{i}") >= end[f"_lo{k}"]) & (F.col(f"_v{i}") <= end[f"_hi{k}"]) for k, (i, _) in enumerate(pairs)]
         near = rows.where(reduce(lambda a, b: a | b, inside)).select(*by, F.explode(F.array(*[
             F.when(hit, F.struct(F.lit(k).alias("_k"), F.col(f"_v{i}").alias("_v"))) for (k, (i, _)), hit in zip(enumerate(pairs), inside)])).alias("_e"))
         counts = stored(near.where("_e is not null").select(*by, "_e.*").groupBy(*by, "_k", "_v").agg(F.count("*").alias("_n")), "counts")
@@ -276,6 +276,7 @@ def refined_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], pro
         if by:
             known = null_safe(totals, below, by)
         else:  # two single rows
+            below = stored(below, "below")
             known = totals.withColumn("_b", one_row(below)).select(*totals.columns, "_b.*")
         known = known.select(*by, facts).select(*by, "_e.*")
         ranked = null_safe(positions(counts, [*by, "_k"], ["_v"], "_n"), known, [*by, "_k"])
