@@ -46,9 +46,9 @@ ok AS (SELECT doc_id, k FROM an GROUP BY doc_id, k, n HAVING count(*) >= n * {ra
 ac AS (SELECT an.* FROM an JOIN ok ON an.doc_id = ok.doc_id AND an.k = ok.k),
 rn AS (SELECT a.doc_id, a.k, a.license_id, a.n, a.i AS lo, b.i AS hi, a.line, b.line2 FROM ac a JOIN ac b
  ON a.doc_id = b.doc_id AND a.k = b.k AND b.i BETWEEN a.i AND a.i + a.n / {ratio} + 0.001 - 1),
-cm AS (SELECT rn.*, c.g, least(count(*), c.times) AS both FROM rn JOIN ac c ON c.doc_id = rn.doc_id AND c.k = rn.k AND c.i BETWEEN lo AND hi
+cm AS (SELECT rn.*, c.g, least(count(*), c.times) AS shared FROM rn JOIN ac c ON c.doc_id = rn.doc_id AND c.k = rn.k AND c.i BETWEEN lo AND hi
  GROUP BY rn.doc_id, rn.k, rn.license_id, rn.n, lo, hi, rn.line, rn.line2, c.g, c.times),
-dv AS (SELECT doc_id, license_id, lo, hi, line, line2, 2 * sum(both) / CAST(hi - lo + 1 + n AS DOUBLE) AS dice FROM cm GROUP BY doc_id, k, license_id, n, lo, hi, line, line2)
+dv AS (SELECT doc_id, license_id, lo, hi, line, line2, 2 * sum(shared) / CAST(hi - lo + 1 + n AS DOUBLE) AS dice FROM cm GROUP BY doc_id, k, license_id, n, lo, hi, line, line2)
 SELECT doc_id, license_id, line, CAST(line2 - line + 1 AS INTEGER) AS lines, dice FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, license_id ORDER BY dice DESC, hi - lo, lo) AS rn
  FROM dv WHERE dice >= {LEAST_DICE}) WHERE rn = 1"""
 
