@@ -37,8 +37,8 @@ BLOCK_IDS = 2_000_000
 ROUNDS, RULES_PER_ROUND, LEAST_PAIRS = None, 5000, 16
 
 
-def _buckets(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+def _buckets(pairs: np.ndarray, factor: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    return ((pairs.view(np.uint64) * np.uint64(factor)) >> np.uint64(44)).astype(np.int32)
 
 
 def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int | None = ROUNDS,
@@ -63,18 +63,21 @@ def repair(ids: np.ndarray, last: np.ndarray, first_new: int, rounds: int | None
         # Buckets that are too rare as a whole hold no frequent pair: no need to sort them.
         bucket = _buckets(pair)
         weight = np.bincount(bucket, minlength=1 << 20)
-        last_weight = np.partition(weight, len(weight) - per_round)[len(weight) - per_round]
-        open_[inner[weight[bucket] < least]] = False
+        enough = weight[weight >= least]
+        last_weight = np.partition(enough, len(enough) - per_round)[len(enough) - per_round] if len(enough) > per_round else 0
+        open_[inner[(weight < least)[bucket]]] = False
         limit = max(least, int(last_weight) // ease)
         heavy = (weight >= limit)[bucket]
         inner, pair, bucket = inner[heavy], pair[heavy], bucket[heavy]
-        by_pair = np.argsort(pair, kind="stable")
-        ranked = pair[by_pair]
+        ranked = np.sort(pair)
         begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
         counts = np.diff(np.append(begin, len(ranked)))
-        open_[inner[by_pair[np.repeat(counts < least, counts)]]] = False
-        begin, counts = begin[counts >= limit], counts[counts >= limit]
         kinds = ranked[begin]
+        # a rare pair is closed unless it looks like a frequent one, which costs time only
+        frequent = np.zeros(1 << 20, bool)
+        frequent[_buckets(kinds[counts >= least], 0xC2B2AE3D27D4EB4F)] = True
+        open_[inner[~frequent[_buckets(pair, 0xC2B2AE3D27D4EB4F)]]] = False
+        kinds, counts = kinds[counts >= limit], counts[counts >= limit]
         order = np.lexsort((kinds, -counts))[:per_round]
         if not len(order):
             if limit == least:

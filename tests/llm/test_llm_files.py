@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from hypothesis import given, settings
@@ -60,6 +61,44 @@ def frequent_pairs(seq, last, least):
     return pair[n >= least]
 
 
+class Counting:
+    """A tokenizer that counts the texts it is handed."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, 0
+
+    def encode_batch_fast(self, texts, **kwargs):
+        self.texts += len(texts)
+        return self.inner.encode_batch_fast(texts, **kwargs)
+
+
+def test_new_pieces_share_texts_and_known_ones_stay(monkeypatch):
+    """Ids are those of whole texts, though few texts are encoded, also when the store is full
+    and when pieces are long, look alike or hold an added token."""
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    plain, enc.tokenizer = enc.tokenizer, Counting(enc.tokenizer)
+    texts = [" ".join(f"w{i}x{i * 7919 % 1000}" for i in range(k * 3000, k * 3000 + 3000)) for k in range(4)]
+    odd = ["a <|endoftext|> b, <|endoftext|>c", "é è Ü! \u00d7 a\x00b a\x00 a", "x" * 23 + " " + "x" * 24 + " " + "x" * 200, "", "日本 語 the end."]
+
+    def check():
+        ids, offsets = enc.encode(pa.array([*texts, *odd]))
+        for i, text in enumerate([*texts, *odd]):
+            assert ids[offsets[i]:offsets[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+    check()
+    assert enc.tokenizer.texts < 200  # of 12,000 distinct pieces
+    enc.tokenizer.texts = 0
+    check()
+    assert enc.tokenizer.texts < 20
+    kept = enc.known
+    assert sum(x.nbytes for x in (kept.hashes, kept.number, kept.keys, kept.used, kept.ids, kept.ends)) < 100 * len(kept.keys)
+    monkeypatch.setattr("hazeframe.llm.tokens.KEPT_PIECES", 1000)
+    enc.encode(pa.array([" ".join(f"y{i}" for i in range(500))]))
+    assert len(kept.keys) <= 1000
+    check()
+    check()
+
+
 def test_no_frequent_pair_is_left():
     rng = np.random.default_rng(6)
     text = rng.integers(1, 3000, 400)
