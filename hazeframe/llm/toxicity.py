@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,12 +38,16 @@ NEIGHBOURS, BLOCK = 15, 32
 WEAK = 0.1
 #: Share of the examples from which on a term is kept as a row of weights.
 MANY = 0.05
+#: Share of these rows from which on a block keeps all, zeros included: then none are picked out.
+MOST = 0.7
 #: Blocks that each text has visited when thresholds are raised, before the rest, and texts searched at once.
 VISITS, TEXTS = (4, 16), 256
+#: Texts whose postings are summed up at once: they take most of the memory of a search.
+POSTED = 32
 #: Tasks that read the examples, and parts in which tasks hand over document frequencies.
 EXAMPLE_TASKS, SLICES = 16, 8
-#: Words a task remembers, and bytes of text it cuts into words at once.
-KEPT_WORDS, PART = 300_000, 4 << 20
+#: Bytes of text that a task cuts into words at once.
+PART = 4 << 20
 #: Cosines are compared to this many digits; blocks are left out if their bound is lower by more than that.
 DIGITS, EQUAL = 9, 1e-8
 GAP = r"[^\p{L}]+"
@@ -54,7 +59,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[
     word, and the words that the numbers stand for: lower-case runs of letters."""
     lists = pc.split_pattern_regex(pc.utf8_lower(texts.fill_null("")), GAP)
     coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     if "" in words:  # what stands before and behind the outer gaps
@@ -188,35 +193,25 @@ class Vectors:
 
 
 class Reader:
-    """Finds the numbered terms of texts; what a word stands for is remembered."""
+    """Finds the numbered terms of texts."""
 
     def __init__(self, terms: list[str]):
         self.terms = len(terms)
         self.number = {w: i for i, w in enumerate(terms)}
         self.stems = {w.rstrip("23") for w in terms if "*" in w}
-        self.seen: dict[str, tuple[int, tuple]] = {}
-
-    def _look_up(self, word: str) -> tuple[int, tuple]:
-        """(number of the word or -1, its stems that are terms in some form)."""
-        return self.number.get(word, -1), tuple(w for w in stems_of(word) if w in self.stems)
+        #: What every word with such a stem begins with; few words do.
+        self.heads = {w[:min(PREFIXES)] for w in self.stems}
 
     def read(self, texts: pa.Array) -> Vectors:
         """Vectors of whole texts, as ``terms_of`` counts them."""
-        if len(self.seen) > KEPT_WORDS:
-            self.seen.clear()
-        seen = self.seen
         row, code, n, words = words_of(texts)
-        found = []
-        for word in words:
-            hit = seen.get(word)
-            if hit is None:
-                hit = seen[word] = self._look_up(word)
-            found.append(hit)
-        number = np.fromiter((f[0] for f in found), np.int64, len(found))[code] if found else np.zeros(0, np.int64)
+        number = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))[code]
         other = number < 0
         rest = np.bincount(row[other], (1 + np.log(n[other])) ** 2, minlength=len(texts)) if other.any() else np.zeros(len(texts))
         parts = [(row[~other], number[~other], n[~other])]
-        stemmed = {c: f[1] for c, f in enumerate(found) if f[1]}
+        heads, head = self.heads, min(PREFIXES)
+        stemmed = {c: [w for w in stems_of(words[c]) if w in self.stems] for c, word in enumerate(words) if word[:head] in heads}
+        stemmed = {c: own for c, own in stemmed.items() if own}
         if stemmed:
             names = sorted({w for own in stemmed.values() for w in own})
             place = {w: i for i, w in enumerate(names)}
@@ -345,15 +340,17 @@ class Index:
         self.row_of = np.where(often, np.cumsum(often) - 1, -1)
         dense = often[term]
         self.largest = np.zeros((int(often.sum()), self.blocks))
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []  # per block: matrix rows that it holds, their weights
+        # per block: the matrix rows that it holds (None: all, as it holds most of them), their weights
+        self.parts: list[tuple[np.ndarray | None, np.ndarray]] = []
         cuts = np.searchsorted(holder, np.arange(self.blocks + 1) * block)
         for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
             mine = np.flatnonzero(dense[lo:hi]) + lo
-            held_rows, at = np.unique(self.row_of[term[mine]], return_inverse=True)
-            part = np.zeros((len(held_rows), block))
-            part[at, holder[mine] - b * block] = weight[mine]
-            self.parts.append((held_rows, part))
-            self.largest[held_rows, b] = part.max(axis=1, initial=0.0)
+            part = np.zeros((len(self.largest), block))
+            part[self.row_of[term[mine]], holder[mine] - b * block] = weight[mine]
+            self.largest[:, b] = part.max(axis=1, initial=0.0)
+            rows_held = np.flatnonzero(self.largest[:, b])
+            whole = len(rows_held) > MOST * len(part)
+            self.parts.append((None, part) if whole else (rows_held, part[rows_held]))
         order = np.lexsort((holder[~dense], term[~dense]))
         self.holder, self.weight = holder[~dense][order].astype(np.int32), weight[~dense][order]
         self.lists = np.searchsorted(term[~dense][order], np.arange(len(value) + 1))
@@ -377,11 +374,17 @@ class Index:
         often = self.row_of[term] >= 0
         heavy = np.zeros((n, len(self.largest)))
         heavy[row[often], self.row_of[term[often]]] = weight[often]
-        start = self.lists[term[~often]]
-        count = self.lists[term[~often] + 1] - start
-        postings = _ranges(start, count)
-        cosine = np.bincount(np.repeat(row[~often] * wide, count) + self.holder[postings],
-                             self.weight[postings] * np.repeat(weight[~often], count), minlength=n * wide).reshape(n, self.blocks, self.block)
+        of, few, by = row[~often], term[~often], weight[~often]
+        cosine = np.empty((n, self.blocks, self.block))
+        for lo in range(0, n, POSTED):
+            hi = min(n, lo + POSTED)
+            own = slice(*np.searchsorted(of, (lo, hi)))
+            start = self.lists[few[own]]
+            count = self.lists[few[own] + 1] - start
+            postings = _ranges(start, count)
+            at = np.repeat((of[own] - lo) * wide, count) + self.holder[postings]
+            worth = self.weight[postings] * np.repeat(by[own], count)
+            cosine[lo:hi] = np.bincount(at, worth, minlength=(hi - lo) * wide).reshape(hi - lo, self.blocks, self.block)
         bounds = cosine.max(axis=2) + heavy @ self.largest
         order = np.argsort(-bounds, axis=1, kind="stable")
         least, skipped = np.zeros(n), np.full(n, -1) if skip is None else np.asarray(skip)
@@ -394,7 +397,8 @@ class Index:
             for b in np.flatnonzero(wanted.any(axis=0)).tolist():
                 mine = np.flatnonzero(wanted[:, b])
                 rows, part = self.parts[b]
-                own = cosine[mine, b] + heavy[np.ix_(mine, rows)] @ part
+                own = heavy if len(mine) == n else heavy[mine]
+                own = cosine[mine, b] + (own if rows is None else own[:, rows]) @ part
                 i, j = np.nonzero(own > np.maximum(least[mine], 0.0)[:, None])
                 found.append((mine[i], np.round(own[i, j], DIGITS), b * self.block + j))
             text, value, example = (np.concatenate(x) for x in zip(*found))

@@ -258,6 +258,42 @@ def test_block_max_search_is_exact(many):
     assert (np.diff(ys) >= 0).all() and 0 <= ys.min() <= ys.max() <= 1 and (xs[0], xs[-1]) == (0, 1)
 
 
+def test_blocks_of_most_frequent_terms_keep_all_of_them():
+    """Blocks that hold most rows of the matrix are multiplied whole, others by their own rows;
+    neighbours are those of all cosines."""
+    rng = np.random.default_rng(4)
+    common, kinds = np.arange(40), [np.arange(40, 60), np.arange(60, 80)]
+    for own in ([], kinds):  # one language, and two that share no term
+        rows = []
+        for i in range(320):
+            terms = np.sort(rng.choice(own[i % 2] if len(own) else common, 12, replace=False))
+            rows.append((terms, rng.integers(1, 4, len(terms))))
+        index = toxicity.Index(list(range(320)), rows, np.arange(320) % 3 == 0, np.ones(80), neighbours=5, block=16)
+        if own:
+            assert any(held is not None and len(held) == len(part) == 20 for held, part in index.parts)
+        else:
+            assert all(held is None and len(part) == 40 for held, part in index.parts)
+        dense = np.zeros((320, 80))
+        for i, (t, w) in enumerate(index.weigh(*r) for r in rows):
+            dense[i, t] = w
+        got = index.nearest([index.weigh(*r) for r in rows], 5)
+        for i, near in enumerate(got):
+            want = sorted((-round(c, 9), k) for k, c in enumerate(dense @ dense[i]) if c > 0)[:5]
+            assert [(int(index.ids[k]), pytest.approx(c)) for c, k in near] == [(k, -c) for c, k in want]
+
+
+def test_reading_looks_at_stems_of_few_words(monkeypatch):
+    import pyarrow as pa
+    reader = toxicity.Reader(["plain", "stemm*", "stemm*2"])
+    asked = []
+    stems_of = toxicity.stems_of
+    monkeypatch.setattr(toxicity, "stems_of", lambda w: asked.append(w) or stems_of(w))
+    words = ["other" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(600)]
+    got = reader.read(pa.array([" ".join([*words, "stemmed stemming stemless plain stem"])]))
+    assert got[0][0].tolist() == [0, 1, 2] and got[0][1].tolist() == [1, 2, 1]
+    assert sorted(asked) == ["stem", "stemless", "stemmed", "stemming"]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["stem", "stemmed", "stemming", "stems", "stemless", "x", "É", "other others", ".", "no1two"]), max_size=12)
                 .map(" ".join) | st.none(), max_size=4))
