@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from hazeframe.scale import quantiles, refined_quantiles
 from hazeframe.session import scratch_path
 from hazeframe.sources import live
 from hazeframe.streaming import ingest as S
-from hazeframe.streaming.silence import merge_spells, rocksdb, silent_stations, spells_of
+from hazeframe.streaming.silence import BUCKETS, NEVER, SPELL, joined_spells, merge_spells, rocksdb, silent_stations, spells_of
 
 
 def test_readers_stay_on_their_version(spark):
@@ -228,3 +229,40 @@ def test_state_of_silent_stations_is_dropped(spark):
                  for r in spark.read.parquet(out).collect())
     # the row of minute 10 is behind the watermark; station 1 speaks again at 290
     assert got == [(1, 0, 30, 2, 1.0), (1, 290, 290, 1, 8.0), (2, 0, 0, 1, 5.0), (2, 100, 100, 1, 6.0), (3, 300, 301, 2, 7.0)]
+
+
+def test_spells_of_many_stations_at_once():
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, "1"]), t, rng.choice([float("nan"), float(rng.randrange(9))]))
+            for t in (rng.randrange(4000) for _ in range(600))]
+    whole = None
+    for k in range(0, 600, 70):
+        own = pd.DataFrame(rows[k:k + 70], columns=["x", "y", "first", "value"])
+        own = own.assign(last=own["first"], readings=1, valid_at=own["first"].where(own["value"].notna(), NEVER))
+        whole = joined_spells(own if whole is None else pd.concat([whole, own], ignore_index=True), ["x", "y"], 40)
+    want = []
+    for x, y in {r[:2] for r in rows}:
+        times, values = zip(*[r[2:] for r in rows if r[:2] == (x, y)])
+        want += [(x, y, *s) for s in spells_of(np.array(times), np.array(values), 40)]
+    got = whole[["x", "y", *SPELL]].itertuples(index=False, name=None)
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_stations_share_buckets_of_state(spark):
+    out, check = S.folders(spark, "silence")
+    base, big = dt.datetime(2024, 1, 1), 1 << 60
+    schema = "first long, _city string, ts timestamp_ntz, v double"
+    batches = [[(None if i == 7 else big + i, "x" if i % 2 else None, 0, float(i)) for i in range(2000)], [(big, None, 90, None)], [(big, None, 300, 1.0)]]
+    for rows in batches:
+        frame = spark.createDataFrame([(s, c, base + dt.timedelta(minutes=m), v) for s, c, m, v in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(f"{out}-inbox")
+        with rocksdb(spark):
+            stream = spark.readStream.schema(schema).parquet(f"{out}-inbox").withColumn("ts", F.col("ts").cast("timestamp"))
+            query = (silent_stations(stream, ["first", "_city"], "ts", "v", "60 minutes", "30 minutes").writeStream.format("parquet")
+                     .option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start())
+            query.awaitTermination()
+        if len(rows) > 1:  # state, a timer and its index per bucket at most, for 2,000 stations
+            assert 0 < max(op.numRowsTotal for p in query.recentProgress for op in p.stateOperators) <= 3 * BUCKETS
+    got = [(str(r["first"]), r._city, int((r.last_ts - base).total_seconds() // 60), r.readings, r.value) for r in spark.read.parquet(out).collect()]
+    want = [(str(None if i == 7 else big + i), "x" if i % 2 else None, 0, 1, float(i)) for i in range(2000)]
+    assert sorted(map(str, got)) == sorted(map(str, [*want, (str(big), None, 90, 1, None)]))
