@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hazeframe.functions.aqi import breakpoint_table
 from hazeframe.operators.columns import as_time, time_column
 from hazeframe.operators.filters import keep_last
-from hazeframe.scale import BROADCAST_ROWS, carry, group_row_limit, group_sizes, null_safe
+from hazeframe.scale import BROADCAST_ROWS, carry, chunk_count, chunk_sums, group_row_limit, group_sizes, ordered_chunks
 from hazeframe.session import stored
 
 
@@ -176,50 +176,59 @@ def join_bands(df: DataFrame, scheme: str, pollutant: str = "pollutant", conc: s
     return df.join(bands, cond, "left").drop("_p")
 
 
-#: Band widths are told apart by powers of two to this power: a reading is looked up once
-#: per class of widths, and a bin is at most so much wider than its bands.
-WIDTH_STEP = 3
+#: A cell of rows that bands are looked up in has at least so many rows.
+CELL_ROWS = 64
 
 
 def join_ranges(df: DataFrame, bands: DataFrame, by: Sequence[str], value: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Left join of every row with each band of its ``by`` group that holds ``value``, both
-    ends included; for tables of any size on either side.
-
-    Bands are dealt into bins of the value range whose width fits their own, so a band
-    lies in one or two bins; distinct values look up their bin of every width and check
-    both ends. Bins with many values, and values with many rows, are cut. A null end is
-    open, a band with lo above hi holds nothing, and a null value matches none.
+    ends included; for tables of any size on either side. A null end is open, a band with lo
+    above hi holds nothing, and a null value matches none.
+
+    Rows and band ends stand in one order, by group and value, so that a band holds the rows
+    of one span of ranks, and the bands open at a row are its hits. Ranks are cut into cells,
+    and a band goes to those it meets; a cell has a fourth of the mean span, but 64 rows at
+    least and 2,000 at most (the root of the row limit). Hits are never stored or shuffled:
+    disk grows with the tables and with one copy of a band per cell of its span.
     """
     by = list(by)
-    limit = group_row_limit(df.sparkSession)
+    spark = df.sparkSession
+    step = max(1, isqrt(group_row_limit(spark)))
     v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
-    values = stored(df.select(*by, v.alias("_v")).where("_v is not null").distinct(), "values")
-    ends = values.agg(F.min("_v"), F.max("_v")).first()
-    least, most = (ends[0], ends[1]) if ends[0] is not None else (0.0, 0.0)
     more = [c for c in bands.columns if c not in by]
-    # an open end reaches as far as the values do; so does one beyond them
-    held = bands.withColumns({"_lo": F.greatest(F.coalesce(F.col(lo).cast("double"), F.lit(least)), F.lit(least)),
-                              "_hi": F.least(F.coalesce(F.col(hi).cast("double"), F.lit(most)), F.lit(most))})
-    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(2.0 ** -60))
-    held = held.where("_lo <= _hi").withColumn("_level", (F.ceil(F.log2(width) / WIDTH_STEP) * WIDTH_STEP).cast("int"))
-    levels = [r[0] for r in held.select("_level").distinct().collect()]  # at most one per WIDTH_STEP powers of two
-
-    def bin_of(c: str):
-        return F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("_level"))).cast("double")
-
-    first, last = bin_of("_lo"), bin_of("_hi")
-    held = held.withColumn("_bin", F.explode(F.when(first == last, F.array(first)).otherwise(F.array(first, last))))
-    asked = values.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("_bin", bin_of("_v"))
-    key = [*by, "_level", "_bin"]
-    full = stored(asked.groupBy(*key).count().where(F.col("count") > limit).withColumn("_cells", F.ceil(F.col("count") / limit).cast("int")).drop("count"), "full-bins")
-    full = F.broadcast(full) if full.count() <= BROADCAST_ROWS else full  # fewer than values / limit
-    cells = F.coalesce("_cells", F.lit(1))
-    asked = null_safe(asked, full, key, "left").withColumn("_cell", F.pmod(F.xxhash64("_v"), cells.cast("long")).cast("int")).drop("_cells")
-    held = null_safe(held, full, key, "left").withColumn("_cell", F.explode(F.sequence(F.lit(0), cells - 1))).drop("_cells")
-    met = null_safe(asked, held, [*key, "_cell"]).where("_v >= _lo and _v <= _hi").select(*by, "_v", *[F.col(c).alias(f"_b_{c}") for c in more])
-    met = stored(met, "band-hits")
-    joined = merge_outer(df.withColumn("_v", v), met, [*by, "_v"])
-    return joined.select(*df.columns, *[F.col(f"_b_{c}").alias(c) for c in more])
+    low, high = (F.coalesce(F.col(c).cast("double"), F.lit(open_end)) for c, open_end in ((lo, float("-inf")), (hi, float("inf"))))
+    # stored, since a number drawn anew would pair other ends
+    held = stored(bands.select(*by, F.monotonically_increasing_id().alias("_id"), low.alias("_lo"), high.alias("_hi"),
+                               *[F.col(c).alias(f"_b_{c}") for c in more]), "bands")
+    ends = held.where("_lo <= _hi").select(*by, "_id", F.explode(F.array(
+        F.struct(F.col("_lo").alias("_x"), F.lit(0).alias("_side")), F.struct(F.col("_hi").alias("_x"), F.lit(2).alias("_side")))).alias("_end")).select(*by, "_id", "_end.*")
+    rows = df.select(*by, v.alias("_x"), F.lit(1).alias("_side"), F.struct(*df.columns).alias("_row"))
+    # + 0.0: both zeros are one value; a random tie-break cuts a value of many rows
+    points = union_feeds(rows, ends).withColumns({"_x": F.col("_x") + 0.0, "_tie": F.rand(7)})
+    total = points.count()
+    order = [*by, "_x", "_side", "_tie"]
+    is_row = (F.col("_side") == 1) & F.col("_x").isNotNull()
+    ranked = stored(chunk_sums(ordered_chunks(points, [], order, total), [], order, {
+        "_rank": is_row.cast("long"), "_open": F.when(F.col("_side") == 0, 1).when(F.col("_side") == 2, -1).otherwise(0).cast("long"),
+    }, chunk_count(spark, total)).select("_side", "_id", "_row", "_rank", "_open"), "ranked")
+    spans = ranked.where("_side <> 1").groupBy("_id").agg(F.min("_rank").alias("_from"), F.max("_rank").alias("_to")).where("_from < _to")
+    spans = stored(held.join(spans, "_id").drop(*by, "_lo", "_hi"), "spans")
+    count, hits = spans.agg(F.count("*"), F.sum(F.col("_to") - F.col("_from"))).first()
+    rows_in = min(step, max(CELL_ROWS, (hits or 0) // (4 * max(1, count))))
+    asked = ranked.where("_side = 1 and _open > 0").select("_row", (F.col("_rank") - 1).alias("_at"))
+    asked = asked.withColumn("_cell", F.floor(F.col("_at") / rows_in))
+    spread = spans.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_from") / rows_in), F.floor((F.col("_to") - 1) / rows_in))))
+    # a cell of many bands is cut into slots of bands, each with all its rows
+    full = stored(spread.groupBy("_cell").count().where(F.col("count") > step).select("_cell", F.ceil(F.col("count") / step).cast("int").alias("_slots")), "full-cells")
+    full = F.broadcast(full) if full.count() <= BROADCAST_ROWS else full
+    slots = F.coalesce("_slots", F.lit(1))
+    asked = asked.join(full, "_cell", "left").withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("_slots")
+    spread = spread.join(full, "_cell", "left").withColumn("_slot", F.pmod(F.xxhash64("_id"), slots.cast("long")).cast("int")).drop("_slots")
+    # by sort: what is known of the size of the bands was known before their copies
+    met = asked.join(spread.hint("merge"), ["_cell", "_slot"]).where("_at >= _from and _at < _to")
+    alone = ranked.where("_side = 1 and _open = 0")
+    return met.select("_row.*", *[F.col(f"_b_{c}").alias(c) for c in more]).union(
+        alone.select("_row.*", *[F.lit(None).cast(bands.schema[c].dataType).alias(c) for c in more]))
 
 
 def attach(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:

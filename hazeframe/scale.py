@@ -157,18 +157,20 @@ def positions(
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(POSITION, F.sum(step).over(w if by else inner))
     rows = ordered_chunks(df, by, order, total)
+    return chunk_sums(rows, by, order, {POSITION: step}, chunk_count(df.sparkSession, total)).select(*df.columns, POSITION)
+
+
+def chunk_sums(rows: DataFrame, by: Sequence[str], order: Sequence[str], sums: dict[str, Column], chunks: int) -> DataFrame:
+    """Running sums along ``order`` over the ``chunks`` ranges of ``ordered_chunks``; ``sums``
+    maps a new column to what it adds up."""
+    by = list(by)
     w = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    state = (
-        rows.groupBy(*by, CHUNK).agg(F.sum(step).alias("_sum"))
-        .select(*by, CHUNK, F.sum("_sum").over(before).alias("_start"))
-        .where("_start is not null")
-    )
-    chunks = chunk_count(df.sparkSession, total)
-    joined = _attach(rows.withColumn("_in", F.sum(step).over(w)), state, by + [CHUNK], chunks)
-    return joined.select(
-        *df.columns, (F.col("_in") + F.coalesce(F.col("_start"), F.lit(0))).alias(POSITION)
-    )
+    state = rows.groupBy(*by, CHUNK).agg(*[F.sum(step).alias(f"_s_{new}") for new, step in sums.items()]).select(
+        *by, CHUNK, *[F.sum(f"_s_{new}").over(before).alias(f"_s_{new}") for new in sums])
+    state = state.where(F.coalesce(*[f"_s_{new}" for new in sums]).isNotNull())
+    joined = _attach(rows.withColumns({new: F.sum(step).over(w) for new, step in sums.items()}), state, by + [CHUNK], chunks)
+    return joined.select(*rows.columns, *[(F.col(new) + F.coalesce(f"_s_{new}", F.lit(0))).alias(new) for new in sums])
 
 
 def trailing(

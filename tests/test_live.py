@@ -15,7 +15,7 @@ from hazeframe.operators import joins as J
 from hazeframe.operators import profile as P
 from hazeframe.operators import sketches as K
 from hazeframe.scale import quantiles, refined_quantiles
-from hazeframe.session import scratch_path
+from hazeframe.session import scratch_path, stored
 from hazeframe.sources import live
 from hazeframe.streaming import ingest as S
 from hazeframe.streaming.silence import BUCKETS, NEVER, SPELL, joined_spells, merge_spells, rocksdb, silent_stations, spells_of
@@ -190,6 +190,41 @@ def test_many_bands_need_no_pair_loop(split, capsys):
     assert out.where("v = 38.5").select("id").distinct().first()[0] == 385
 
 
+def test_bands_in_many_cells_and_slots(split):
+    rng = random.Random(9)
+    odd = [float("inf"), float("-inf"), 0.0, -0.0, float("nan"), None]
+    rows = [(i, rng.choice(["x", "y", "only rows", None]), rng.choice([rng.uniform(-50, 50), 7.0, rng.choice(odd)])) for i in range(700)]
+    bands = []
+    for b in range(300):
+        lo = rng.choice([rng.uniform(-60, 50), 7.0, 0.0, -0.0, float("-inf"), None])
+        bands.append((b, rng.choice(["x", "y", "only bands", None]), lo, rng.choice([None, float("inf"), -0.0, (lo or 0.0) + rng.choice([-1.0, 0.0, 0.5, 30.0])])))
+    n = "lo double, hi double"
+    got = J.join_ranges(split.createDataFrame(rows, "i long, g string, v double"), split.createDataFrame(bands, f"b long, g string, {n}"), ["g"], "v")
+    assert got.columns == ["i", "g", "v", "b", "lo", "hi"]
+    want = []
+    for i, g, v in rows:
+        hits = [b for b, h, lo, hi in bands if h == g and v is not None and v == v and (lo is None or lo <= v) and (hi is None or v <= hi)]
+        want += [(i, b) for b in hits] or [(i, None)]
+    assert sorted(((r.i, r.b) for r in got.collect()), key=str) == sorted(want, key=str)
+    none = J.join_ranges(split.createDataFrame(rows, "i long, g string, v double"), split.createDataFrame([], f"b long, g string, {n}"), ["g"], "v")
+    assert sorted((r.i, r.b, r.lo) for r in none.collect()) == [(i, None, None) for i in range(700)]
+
+
+def test_hits_of_bands_are_not_stored(spark, monkeypatch):
+    kept = []
+
+    def counted(df, name):
+        kept.append(stored(df, name))
+        return kept[-1]
+
+    monkeypatch.setattr(J, "stored", counted)
+    rows = spark.range(2001).selectExpr("id as i", "cast(id as double) as v")
+    bands = spark.range(500).selectExpr("id as b", "id / 1000 as lo", "1999.5D as hi")
+    found = J.join_ranges(rows, bands, [], "v").agg(F.count("*").alias("n"), F.count("b").alias("met")).first()
+    assert found["met"] == 1 + 1999 * 500 and found["n"] == found["met"] + 1
+    assert max(k.count() for k in kept) <= 2001 + 2 * 500
+
+
 def test_words_of_a_hot_run_are_cut(spark, monkeypatch):
     names = [f"sand {i} town" for i in range(300)] + ["Sandy Bay", "XA", "b"]
     words = ["sand", "and", "s", "town", "nd 2", "q", "xa", "ab", "sandy"] + [f"{i} t" for i in range(150)]
